@@ -2,9 +2,9 @@
 
 Determinism: K-Means and Gaussian-mixture fits depend on the row layout even
 with a fixed seed, so every fit goes through ``fit_layout`` first (hash
-partition on the entity id into a fixed number of partitions, then sort within
-partitions) and the laid-out vectors are materialised once (``cut_lineage``)
-before a sweep re-reads them k times.
+partition on the entity id into a number of partitions derived from the row
+count, then sort within partitions) and the laid-out vectors are materialised
+once (``cut_lineage``) before a sweep re-reads them k times.
 
 Silhouette uses ``ClusteringEvaluator`` (squared Euclidean), which is one pass
 with per-cluster sums, never pairwise; a labelling with fewer than two clusters
@@ -13,6 +13,7 @@ has no silhouette and gives ``None``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -27,6 +28,7 @@ from ..functions.columns import vector_max
 from ..session import cut_lineage
 
 DEFAULT_FIT_PARTITIONS = 32
+ROWS_PER_FIT_PARTITION = 50_000
 DEFAULT_SEED = 42
 
 
@@ -35,8 +37,29 @@ def fit_layout(df: DataFrame, id_col: str, partitions: int = DEFAULT_FIT_PARTITI
     return df.repartition(partitions, id_col).sortWithinPartitions(id_col)
 
 
-def prepare_for_fit(df: DataFrame, id_col: str, partitions: int = DEFAULT_FIT_PARTITIONS) -> DataFrame:
-    """Lay out and materialise the vectors that several fits will read."""
+def fit_partitions(n_rows: int, rows_per_partition: int = ROWS_PER_FIT_PARTITION, max_partitions: int = 4096) -> int:
+    """Partition count for a fit input of ``n_rows``: a function of the data
+    only, so the same data always gets the same layout (and the same model)."""
+    return max(1, min(max_partitions, math.ceil(n_rows / rows_per_partition)))
+
+
+def prepare_for_fit(
+    df: DataFrame,
+    id_col: str,
+    partitions: int | None = None,
+    rows_per_partition: int = ROWS_PER_FIT_PARTITION,
+) -> DataFrame:
+    """Lay out and materialise the vectors that several fits will read.
+
+    Without an explicit ``partitions`` the input is materialised first, counted
+    from that copy, and laid out in ``fit_partitions(count)`` partitions, so the
+    upstream plan runs once. Each fit iteration is one Spark job over these
+    partitions; sizing them to the data keeps small fits from paying for many
+    near-empty tasks and large fits spread over the cluster.
+    """
+    if partitions is None:
+        df = cut_lineage(df)
+        partitions = fit_partitions(df.count(), rows_per_partition)
     return cut_lineage(fit_layout(df, id_col, partitions))
 
 
@@ -72,9 +95,18 @@ def fit_gmm(
     return model, preds
 
 
-def silhouette(preds: DataFrame, prediction_col: str = "cluster", features_col: str = "features") -> float | None:
-    """Mean silhouette (squared Euclidean) of any labelling; ``None`` for < 2 clusters."""
-    if preds.select(prediction_col).distinct().limit(2).count() < 2:
+def silhouette(
+    preds: DataFrame,
+    prediction_col: str = "cluster",
+    features_col: str = "features",
+    n_clusters: int | None = None,
+) -> float | None:
+    """Mean silhouette (squared Euclidean) of any labelling; ``None`` for < 2
+    clusters. Pass ``n_clusters`` (non-empty clusters) when it is already known,
+    e.g. from a K-Means summary, to skip the distinct-count job."""
+    if n_clusters is None:
+        n_clusters = preds.select(prediction_col).distinct().limit(2).count()
+    if n_clusters < 2:
         return None
     evaluator = ClusteringEvaluator(
         featuresCol=features_col,
@@ -85,30 +117,39 @@ def silhouette(preds: DataFrame, prediction_col: str = "cluster", features_col:
     return float(evaluator.evaluate(preds.withColumn(prediction_col, F.col(prediction_col).cast("double"))))
 
 
+def score_kmeans(df: DataFrame, k: int, seed: int = DEFAULT_SEED, features_col: str = "features") -> dict:
+    """Fit K-Means at one k and score it: k, training_cost, silhouette, sizes, and
+    the fitted model (kept so the chosen k need not be refitted)."""
+    model, preds = fit_kmeans(df, k, seed, features_col, "cluster")
+    sizes = [int(s) for s in model.summary.clusterSizes]
+    return {
+        "k": int(k),
+        "training_cost": float(model.summary.trainingCost),
+        "silhouette": silhouette(preds, "cluster", features_col, n_clusters=sum(1 for s in sizes if s > 0)),
+        "min_size": min(s for s in sizes if s > 0),
+        "model": model,
+    }
+
+
+def run_parallel(fn, items: Sequence, parallel_fits: int = 8) -> list:
+    """Submit independent Spark jobs (model fits) from a small driver thread pool."""
+    items = list(items)
+    if not items:
+        return []
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel_fits, len(items)))) as pool:
+        return list(pool.map(fn, items))
+
+
 def kmeans_sweep(
     df: DataFrame,
     ks: Iterable[int],
     seed: int = DEFAULT_SEED,
     features_col: str = "features",
-    parallel_fits: int = 4,
+    parallel_fits: int = 8,
 ) -> list[dict]:
-    """Fit K-Means for every k and score it (M2): rows of k, training_cost,
-    silhouette. Fits are independent Spark jobs on the same materialised input;
-    a small driver thread pool submits several at once."""
-
-    def one(k: int) -> dict:
-        model, preds = fit_kmeans(df, k, seed, features_col, "cluster")
-        return {
-            "k": int(k),
-            "training_cost": float(model.summary.trainingCost),
-            "silhouette": silhouette(preds, "cluster", features_col),
-        }
-
-    ks = list(ks)
-    if not ks:
-        return []
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel_fits, len(ks)))) as pool:
-        return list(pool.map(one, ks))
+    """Fit K-Means for every k and score it (M2). Fits are independent Spark jobs
+    on the same materialised input, submitted a few at a time."""
+    return run_parallel(lambda k: score_kmeans(df, k, seed, features_col), list(ks), parallel_fits)
 
 
 def choose_k(rows: Sequence[dict], override: int | None = None) -> int:

@@ -127,20 +127,44 @@ def exposure(
     ``carry`` columns (e.g. a display name) are kept with a deterministic
     ``max``; the grouping is on the ids only.
     """
+    if mode not in ("span", "sum_segments"):
+        raise ValueError(f"unknown exposure mode {mode!r}")
     segs = segments.filter(F.col(role).isNotNull()) if role else segments
     if ends is not None:
         segs = fill_open_ends(segs, ends, session, to_col, end_col)
     frm, to = F.col(from_col), F.col(to_col)
-    if mode == "span":
-        measure = clamp_min(F.max(to) - F.min(frm))
-    elif mode == "sum_segments":
-        measure = F.sum(clamp_min(to - frm))
-    else:
-        raise ValueError(f"unknown exposure mode {mode!r}")
     keys = [session, entity]
-    result = segs.groupBy(*keys).agg(*[F.max(c).alias(c) for c in carry], measure.alias(out))
-    if role:
-        weight = role_weight if role_weight is not None else (to - frm)
-        roles = dominant_role(segs, keys, role, weight, role_out)
-        result = result.join(roles, keys, "left")
-    return result
+    if not role:
+        measure = clamp_min(F.max(to) - F.min(frm)) if mode == "span" else F.sum(clamp_min(to - frm))
+        return segs.groupBy(*keys).agg(*[F.max(c).alias(c) for c in carry], measure.alias(out))
+
+    # One aggregation at (session, entity, role) grain feeds both outputs: the
+    # span is the min/max over the role rows and the dominant role is the top
+    # role row, so the segments are scanned and shuffled once. The window then
+    # sees at most one row per role of an entity, never its raw segments.
+    weight = role_weight if role_weight is not None else (to - frm)
+    per_role = segs.groupBy(*keys, role).agg(
+        F.min(frm).alias("_from"),
+        F.max(to).alias("_to"),
+        F.sum(clamp_min(to - frm)).alias("_len"),
+        F.sum(weight).alias("_weight"),
+        *[F.max(c).alias(c) for c in carry],
+    )
+    whole = Window.partitionBy(*keys)
+    ranked = whole.orderBy(F.desc("_weight"), F.asc_nulls_last(role))
+    measure = (
+        clamp_min(F.max("_to").over(whole) - F.min("_from").over(whole))
+        if mode == "span"
+        else F.sum("_len").over(whole)
+    )
+    return (
+        per_role.select(
+            *keys,
+            *[F.max(c).over(whole).alias(c) for c in carry],
+            measure.alias(out),
+            F.col(role).alias(role_out),
+            F.row_number().over(ranked).alias("_rank"),
+        )
+        .filter(F.col("_rank") == 1)
+        .drop("_rank")
+    )

@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from .clustering import DEFAULT_SEED, choose_k, fit_kmeans, fit_layout, kmeans_sweep, silhouette
+from .clustering import DEFAULT_SEED, choose_k, prepare_for_fit, run_parallel, score_kmeans
 from .scaling import assemble, grouped_standardise
-from ..session import cut_lineage
 
 # --- Fixed values: family k-range rule ---------------------------------------------
 MIN_PER_CLUSTER = 12
@@ -77,8 +76,9 @@ def cluster_families(
     overrides: Mapping[str, int | None] | None = None,
     seed: int = DEFAULT_SEED,
     min_per_cluster: int = MIN_PER_CLUSTER,
-    partitions: int = 32,
+    partitions: int | None = None,
     cluster_col: str = "cluster",
+    parallel_fits: int = 8,
 ) -> dict[str, DataFrame]:
     """Per-family scaling, k sweep, override guard (M12) and final assignment.
 
@@ -92,43 +92,59 @@ def cluster_families(
     ranges = family_k_ranges(features, family_col, min_per_cluster).collect()  # one row per family
     eligible = {r[family_col]: (int(r["n"]), int(r["k_min"]), int(r["k_max"])) for r in ranges if r["eligible"]}
 
+    if not eligible:
+        return {
+            "assignments": features.limit(0).withColumn(cluster_col, F.lit(None).cast("int")),
+            "sweep": spark.createDataFrame([], FAMILY_SWEEP_SCHEMA),
+            "choice": spark.createDataFrame([], FAMILY_CHOICE_SCHEMA),
+        }
     all_cols = sorted({c for cols in [default_features, *feature_sets.values()] for c in cols})
     scaled_all = grouped_standardise(
-        features.filter(F.col(family_col).isin(*eligible.keys())) if eligible else features.limit(0),
-        family_col,
-        all_cols,
+        features.filter(F.col(family_col).isin(*eligible.keys())), family_col, all_cols
     )
-    scaled_all = cut_lineage(fit_layout(scaled_all, id_col, partitions))
+    scaled_all = prepare_for_fit(scaled_all, id_col, partitions)
+
+    inputs = {
+        fam: assemble(
+            scaled_all.filter(F.col(family_col) == fam),
+            [f"z_{c}" for c in feature_sets.get(fam, default_features)],
+            "features",
+        )
+        for fam in eligible
+    }
+    # Every (family, k) fit is an independent job: submit them together, plus
+    # any override k outside the family's sweep range.
+    jobs = [(fam, k) for fam in sorted(eligible) for k in range(eligible[fam][1], eligible[fam][2] + 1)]
+    extra = [
+        (fam, int(overrides[fam]))
+        for fam in sorted(eligible)
+        if overrides.get(fam) is not None and not eligible[fam][1] <= int(overrides[fam]) <= eligible[fam][2]
+    ]
+    scored = run_parallel(lambda job: (job, score_kmeans(inputs[job[0]], job[1], seed)), jobs + extra, parallel_fits)
+    by_job = dict(scored)
 
     assignments, sweep_rows, choice_rows = [], [], []
     for family in sorted(eligible):
         n, k_lo, k_hi = eligible[family]
-        cols = list(feature_sets.get(family, default_features))
-        fam = assemble(scaled_all.filter(F.col(family_col) == family), [f"z_{c}" for c in cols], "features")
-        rows = kmeans_sweep(fam, range(k_lo, k_hi + 1), seed)
+        rows = [by_job[(family, k)] for k in range(k_lo, k_hi + 1)]
         sweep_rows += [(family, r["k"], r["training_cost"], r["silhouette"]) for r in rows]
         best_k = choose_k(rows)
-        best_sil = next(r["silhouette"] for r in rows if r["k"] == best_k)
-        chosen_k, chosen_sil, override_min = best_k, best_sil, None
-        override = overrides.get(family)
-        if override is not None and override != best_k:
-            _, cand = fit_kmeans(fam, override, seed, "features", cluster_col)
-            sizes = cand.groupBy(cluster_col).count().agg(F.min("count")).first()[0]
-            override_min = int(sizes)
+        chosen = by_job[(family, best_k)]
+        override, override_min = overrides.get(family), None
+        if override is not None and int(override) != best_k:
+            cand = by_job[(family, int(override))]
+            override_min = cand["min_size"]
             if override_min >= min_per_cluster:
-                chosen_k, chosen_sil = override, silhouette(cand, cluster_col, "features")
-        _, preds = fit_kmeans(fam, chosen_k, seed, "features", cluster_col)
+                chosen = cand
+        preds = chosen["model"].transform(inputs[family]).withColumnRenamed("cluster", cluster_col)
         assignments.append(preds.select(*features.columns, cluster_col))
         choice_rows.append(
-            (family, n, best_k, override, override_min, chosen_k, chosen_sil, chosen_k != best_k)
+            (family, n, best_k, override, override_min, chosen["k"], chosen["silhouette"], chosen["k"] != best_k)
         )
 
-    if assignments:
-        out = assignments[0]
-        for a in assignments[1:]:
-            out = out.unionByName(a)
-    else:
-        out = features.limit(0).withColumn(cluster_col, F.lit(None).cast("int"))
+    out = assignments[0]
+    for a in assignments[1:]:
+        out = out.unionByName(a)
     return {
         "assignments": out,
         "sweep": spark.createDataFrame(sweep_rows, FAMILY_SWEEP_SCHEMA),

@@ -4,10 +4,10 @@ Session-level counts and session-level exposure are rolled up per entity and
 turned into exposure-normalised rates and guarded ratios, with a majority
 label attached:
 
-    counts(session, entity)    --sum-->  totals(entity)
-    exposure(session, entity)  --sum/count--> exposure(entity)
-    role(session, entity)      --vote--> label(entity)
-    exposure JOIN totals (inner) LEFT JOIN label, exposure >= minimum
+    counts(session, entity)          --sum-->            totals(entity)
+    exposure + role(session, entity) --(entity, role) agg, one window-->
+                                     exposure, sessions, majority label(entity)
+    exposure JOIN totals (inner), exposure >= minimum
 
 Extra grouping keys (``by``, e.g. a train/test split) compute several
 populations in the same pass instead of once per population.
@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import per_exposure, safe_ratio
@@ -77,6 +77,41 @@ def majority_label(
     return top_label(votes, keys, label, "_votes", out)
 
 
+def exposure_and_label(
+    exposure: DataFrame,
+    keys: Sequence[str],
+    exposure_col: str,
+    label_col: str,
+    out: str = "total_exposure",
+    sessions_out: str = "sessions",
+    label_out: str = "label",
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """A6 and W2 from one aggregation: per (entity, label) the number of sessions
+    and their exposure, then one window per entity gives the totals (sums over
+    its label rows) and the majority label (top row; ties to the smallest
+    label). The window sees at most one row per label of an entity."""
+    votes = exposure.groupBy(*keys, label_col).agg(
+        F.count(F.lit(1)).alias("_votes"),
+        F.sum(exposure_col).alias("_exposure"),
+        *[F.max(c).alias(c) for c in carry],
+    )
+    whole = Window.partitionBy(*keys)
+    ranked = whole.orderBy(F.desc("_votes"), F.asc_nulls_last(label_col))
+    return (
+        votes.select(
+            *keys,
+            *[F.max(c).over(whole).alias(c) for c in carry],
+            F.sum("_exposure").over(whole).alias(out),
+            F.sum("_votes").over(whole).alias(sessions_out),
+            F.col(label_col).alias(label_out),
+            F.row_number().over(ranked).alias("_rank"),
+        )
+        .filter(F.col("_rank") == 1)
+        .drop("_rank")
+    )
+
+
 def entity_features(
     counts: DataFrame,
     exposure: DataFrame,
@@ -112,11 +147,11 @@ def entity_features(
             needed.update((o.numerator, o.denominator))
     counters = [c for c in counts.columns if c in needed]
     totals = entity_totals(counts, keys, counters)
-    expo = entity_exposure(exposure, keys, exposure_col, exposure_out, sessions_out, carry)
-    joined = expo.join(totals, keys, "inner")
     if label_col:
-        joined = joined.join(majority_label(exposure, keys, label_col, label_out), keys, "left")
-    joined = joined.filter(F.col(exposure_out) >= min_exposure)
+        expo = exposure_and_label(exposure, keys, exposure_col, label_col, exposure_out, sessions_out, label_out, carry)
+    else:
+        expo = entity_exposure(exposure, keys, exposure_col, exposure_out, sessions_out, carry)
+    joined = expo.join(totals, keys, "inner").filter(F.col(exposure_out) >= min_exposure)
 
     metrics = []
     for o in outputs:
