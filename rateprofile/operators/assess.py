@@ -96,12 +96,17 @@ def cohort_intensity(
     ``sessions`` maps each session to its cohort and period.
     """
     dim = sessions.select(session_col, cohort_col, period_col)
-    num = events.join(dim, session_col, "inner").groupBy(cohort_col, period_col).agg(
-        F.count(F.lit(1)).alias("n_events")
+    # Both sides are reduced to one row per session before they meet the
+    # session dimension, so a session holding a large share of all events
+    # reaches the join as a single row.
+    per_session_n = events.groupBy(session_col).agg(F.count(F.lit(1)).alias("_n"))
+    num = per_session_n.join(dim, session_col, "inner").groupBy(cohort_col, period_col).agg(
+        F.sum("_n").alias("n_events")
     )
     den_keys = [cohort_col, period_col] if per_period_denominator else [cohort_col]
-    den = exposure.join(dim, session_col, "inner").groupBy(*den_keys).agg(
-        F.sum(exposure_col).alias("total_exposure")
+    per_session_x = exposure.groupBy(session_col).agg(F.sum(exposure_col).alias("_x"))
+    den = per_session_x.join(dim, session_col, "inner").groupBy(*den_keys).agg(
+        F.sum("_x").alias("total_exposure")
     )
     return num.join(den, den_keys, "inner").withColumn(
         "events_per_90", F.col("n_events") / F.col("total_exposure") * per

@@ -103,6 +103,75 @@ def dominant_role(
     return top_label(role_time(segments, keys, role, weight), keys, role, "role_time", out)
 
 
+def _null_safe_sum(a: Column, b: Column) -> Column:
+    """a + b treating one NULL side as 0, NULL when both are NULL (like SUM)."""
+    return F.when(a.isNull() & b.isNull(), F.lit(None).cast("double")).otherwise(
+        F.coalesce(a, F.lit(0.0)) + F.coalesce(b, F.lit(0.0))
+    )
+
+
+def _exposure_open_ends(
+    segs: DataFrame,
+    ends: DataFrame,
+    session: str,
+    entity: str,
+    from_col: str,
+    to_col: str,
+    role: str,
+    end_col: str,
+    carry: Sequence[str],
+    out: str,
+    role_out: str,
+) -> DataFrame:
+    """Span exposure and dominant role when open segment ends are filled from
+    the session end, with the aggregation pushed below the join.
+
+    Per (session, entity, role) the closed segments are summarised (min start,
+    max end, total length) and the open ones counted (with the sum of their
+    starts); only these aggregated rows are joined to the session ends. An open
+    segment contributes ``end - from``, so the open part of a role's time is
+    ``n_open * end - sum(open starts)``. A session holding a large share of all
+    segments therefore reaches the join as one row per (entity, role), not as
+    its raw segments.
+    """
+    frm, to = F.col(from_col), F.col(to_col)
+    is_open = to.isNull()
+    keys = [session, entity]
+    per_role = segs.groupBy(*keys, role).agg(
+        F.min(frm).alias("_from"),
+        F.max(to).alias("_to_closed"),
+        F.sum(F.when(~is_open, to - frm)).alias("_w_closed"),
+        F.count_if(is_open).alias("_n_open"),
+        F.sum(F.when(is_open, frm)).alias("_from_open"),
+        *[F.max(c).alias(c) for c in carry],
+    )
+    end = F.col(end_col)
+    has_open = F.col("_n_open") > 0
+    filled = per_role.join(ends.select(session, end_col), session, "left").select(
+        *keys,
+        role,
+        *carry,
+        "_from",
+        F.greatest(F.col("_to_closed"), F.when(has_open, end)).alias("_to"),
+        _null_safe_sum(F.col("_w_closed"), F.when(has_open, F.col("_n_open") * end - F.col("_from_open"))).alias(
+            "_weight"
+        ),
+    )
+    whole = Window.partitionBy(*keys)
+    ranked = whole.orderBy(F.desc("_weight"), F.asc_nulls_last(role))
+    return (
+        filled.select(
+            *keys,
+            *[F.max(c).over(whole).alias(c) for c in carry],
+            clamp_min(F.max("_to").over(whole) - F.min("_from").over(whole)).alias(out),
+            F.col(role).alias(role_out),
+            F.row_number().over(ranked).alias("_rank"),
+        )
+        .filter(F.col("_rank") == 1)
+        .drop("_rank")
+    )
+
+
 def exposure(
     segments: DataFrame,
     session: str,
@@ -130,10 +199,12 @@ def exposure(
     if mode not in ("span", "sum_segments"):
         raise ValueError(f"unknown exposure mode {mode!r}")
     segs = segments.filter(F.col(role).isNotNull()) if role else segments
+    keys = [session, entity]
+    if ends is not None and role and role_weight is None and mode == "span":
+        return _exposure_open_ends(segs, ends, session, entity, from_col, to_col, role, end_col, carry, out, role_out)
     if ends is not None:
         segs = fill_open_ends(segs, ends, session, to_col, end_col)
     frm, to = F.col(from_col), F.col(to_col)
-    keys = [session, entity]
     if not role:
         measure = clamp_min(F.max(to) - F.min(frm)) if mode == "span" else F.sum(clamp_min(to - frm))
         return segs.groupBy(*keys).agg(*[F.max(c).alias(c) for c in carry], measure.alias(out))

@@ -50,14 +50,15 @@ def split_keys(spark, sf_dir):
 
 
 def nested_orders(spark, sf_dir):
-    """Orders with their lines nested as an array (the shape of a lineup file);
-    an order without lines has a NULL array. One order holds few lines, so each
-    nested array is bounded by the order's own size."""
-    lines = _lines(spark, sf_dir).groupBy("l_orderkey").agg(
+    """Orders with their lines nested as arrays (the shape of a lineup file);
+    an order without lines has a NULL array. Lines are nested per (order, line
+    number) slot, so an array holds only the lines sharing one slot and no
+    order, however large, is collected into one array."""
+    lines = _lines(spark, sf_dir).groupBy("l_orderkey", "l_linenumber").agg(
         F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_returnflag", "l_quantity")).alias("lines")
     )
     return _orders(spark, sf_dir, ("o_orderkey", "o_custkey")).join(
-        lines.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left"
+        lines.select(F.col("l_orderkey").alias("o_orderkey"), "lines"), "o_orderkey", "left"
     )
 
 
@@ -95,10 +96,12 @@ def q_dominant_role(spark, sf_dir):
 
 
 def q_cross_tab(spark, sf_dir):
-    lines = _lines(spark, sf_dir).select("l_orderkey", "l_returnflag")
+    # Lines are counted per (order, flag) before the join with orders: a hot
+    # order reaches the join as one row per flag.
+    lines = _lines(spark, sf_dir).groupBy("l_orderkey", "l_returnflag").agg(F.count(F.lit(1)).alias("_n"))
     orders = _orders(spark, sf_dir, ("o_orderkey", "o_orderpriority"))
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner")
-    return assess.cross_tab(joined, "l_returnflag", "o_orderpriority")
+    return joined.groupBy("l_returnflag", "o_orderpriority").agg(F.sum("_n").alias("n"))
 
 
 def q_split_keys(spark, sf_dir):

@@ -142,5 +142,7 @@ def load_sessions(spark: SparkSession, path: str, cohort_names: DataFrame | None
 
 
 def missing_sessions(manifest: DataFrame, landed: DataFrame, key: str) -> DataFrame:
-    """Sessions listed in ``manifest`` with no landed rows (S10): an anti join."""
-    return manifest.join(landed.select(key), key, "left_anti")
+    """Sessions listed in ``manifest`` with no landed rows (S10): an anti join
+    against the distinct landed keys (deduplicated with partial aggregation, so
+    a session with many rows is one row per map task before the shuffle)."""
+    return manifest.join(landed.select(key).distinct(), key, "left_anti")
