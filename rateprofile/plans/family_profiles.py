@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import LabelRule, contains_any, label_family
 from ..functions.predicates import GENERAL_FEATURES, GOALKEEPER_FEATURES, MIN_EXPOSURE_MINUTES, POSITION_FAMILY_RULES
 from ..operators import families
+from ..session import cut_lineage
 from ..sources.sinks import write_parquet
 from .common import player_features, player_match_stats, player_minutes
 
@@ -43,7 +44,7 @@ def family_profiles(
     partitions: int | None = None,
 ) -> dict[str, DataFrame]:
     feats = player_features(player_match_stats(events), player_minutes(events, segments), min_minutes)
-    feats = feats.withColumn("family", label_family("position_label", rules))
+    feats = cut_lineage(feats.withColumn("family", label_family("position_label", rules)))
     res = families.cluster_families(
         feats,
         "player_id",
@@ -75,8 +76,8 @@ def family_profiles(
         "choice": res["choice"],
         "sweep": res["sweep"],
         "assignments": clustered,
-        "profiles": profiles,
-        "cross_tab": cross,
+        "profiles": profiles.orderBy("family", "cluster"),
+        "cross_tab": cross.orderBy("family", "cluster", F.desc("n")),
         "samples": samples,
         "spot_check": spot,
     }

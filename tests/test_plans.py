@@ -53,3 +53,11 @@ def test_family_profiles_end_to_end(spark, football_dir, scratch):
     write_family_outputs(res, scratch)
     parts = sorted(p for p in os.listdir(f"{scratch}/families") if p.startswith("family="))
     assert parts == sorted(f"family={f}" for f in choice)
+
+
+def test_cli_families(spark, football_dir, scratch):
+    from rateprofile.cli import main
+
+    main(["families", "--data", football_dir, "--out", scratch, "--spot", "Star"])
+    assert spark.read.parquet(f"{scratch}/report/choice").count() >= 1
+    assert spark.read.parquet(f"{scratch}/families").count() > 0
