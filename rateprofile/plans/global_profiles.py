@@ -31,14 +31,15 @@ BLENDED_N = 15
 # --- end of fixed values ----------------------------------------------------------------
 
 
-def global_profiles(
-    events: DataFrame,
-    segments: DataFrame,
-    sessions: DataFrame,
-    train_cohorts: Sequence[tuple[int, int]],
-    test_cohorts: Sequence[tuple[int, int]],
-    feature_cols: Sequence[str] = GENERAL_FEATURES,
-    min_minutes: float = MIN_EXPOSURE_MINUTES,
+def cluster_and_assess(
+    feats: DataFrame,
+    feature_cols: Sequence[str],
+    id_col: str,
+    name_col: str | None,
+    label_col: str,
+    split_col: str = "split",
+    train_value: str = "train",
+    test_value: str = "test",
     k_range: Sequence[int] = K_RANGE,
     k_override: int | None = None,
     seed: int = SEED,
@@ -46,22 +47,18 @@ def global_profiles(
     ignore_case: bool = False,
     partitions: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Run L1. ``sessions`` has match_id, competition_id, season_id, season_year
-    (and optionally competition_name); cohorts are (competition_id, season_id)."""
-    spark = events.sparkSession
+    """The model half of L1 on any entity feature table with a split column:
+    standardise on the train rows, k sweep, K-Means at the chosen k and a
+    Gaussian mixture, then profiles, cross-tab, spot check, model comparison,
+    most blended entities, and transfer of the fitted scaler + model to the
+    held-out rows with per-cluster drift."""
+    spark = feats.sparkSession
     feature_cols = list(feature_cols)
-    splits = split_sessions(sessions, train_cohorts, test_cohorts)
-    minutes = player_minutes(events, segments)
-    stats = player_match_stats(events)
-    feats = player_features(with_split(stats, splits), with_split(minutes, splits), min_minutes, by=("split",))
-    # The entity table is small next to the events it summarises: materialise it
-    # once (reliable checkpoint) so every later report reads it, not the events.
-    feats = cut_lineage(feats)
-    train = feats.filter(F.col("split") == "train").drop("split")
-    test = feats.filter(F.col("split") == "test").drop("split")
+    train = feats.filter(F.col(split_col) == train_value).drop(split_col)
+    test = feats.filter(F.col(split_col) == test_value).drop(split_col)
 
     scaled, scaler = scaling.standardise(train, feature_cols)
-    fit_input = clustering.prepare_for_fit(scaled, "player_id", partitions)
+    fit_input = clustering.prepare_for_fit(scaled, id_col, partitions)
     sweep_rows = clustering.kmeans_sweep(fit_input, k_range, seed)
     silhouette_k = clustering.choose_k(sweep_rows)
     best_k = clustering.choose_k(sweep_rows, k_override)
@@ -80,22 +77,12 @@ def global_profiles(
     )
     train_profile = assess.cluster_profile(train_out, "cluster_kmeans", feature_cols)
     test_profile = assess.cluster_profile(test_pred, "cluster_kmeans", feature_cols)
-
     sil_gmm = clustering.silhouette(train_out, "cluster_gmm")
     compare = spark.createDataFrame(
         [("kmeans", best_k, km["silhouette"]), ("gmm", best_k, sil_gmm)],
         "model string, k int, silhouette double",
     )
-    pressures = events.filter(F.col("event_type") == PRESSURE)
-    cohort_cols = ["competition_name"] if "competition_name" in sessions.columns else ["competition_id", "season_id"]
-    cohort_dim = sessions.select(
-        "match_id", F.concat_ws("/", *[F.col(c).cast("string") for c in cohort_cols]).alias("cohort"), "season_year"
-    )
-    intensity = assess.cohort_intensity(
-        pressures, minutes, cohort_dim, "match_id", "cohort", "season_year", exposure_col="minutes_played"
-    )
     return {
-        "features": feats,
         "sweep": clustering.sweep_table(spark, sweep_rows, best_k).withColumn(
             "silhouette_max", F.col("k") == F.lit(silhouette_k)
         ),
@@ -106,20 +93,69 @@ def global_profiles(
         "gmm_profile": assess.cluster_profile(train_out, "cluster_gmm", feature_cols).orderBy("cluster_gmm"),
         "test_profile": test_profile.orderBy("cluster_kmeans"),
         "profile_drift": assess.profile_drift(train_profile, test_profile, "cluster_kmeans", feature_cols),
-        "cross_tab": assess.cross_tab(train_out, "cluster_kmeans", "position_label").orderBy(
-            "cluster_kmeans", F.desc("n")
-        ),
-        "spot_check": assess.spot_check(drop_vectors(train_out), "player_name", spot_names, ignore_case),
+        "cross_tab": assess.cross_tab(train_out, "cluster_kmeans", label_col).orderBy("cluster_kmeans", F.desc("n")),
+        "spot_check": assess.spot_check(drop_vectors(train_out), name_col, spot_names, ignore_case)
+        if name_col
+        else drop_vectors(train_out).limit(0),
         "model_compare": compare,
         "most_blended": assess.lowest(
-            train_out.select("player_id", "player_name", "position_label", "cluster_gmm", "gmm_max_prob"),
-            ["gmm_max_prob", "player_id"],
+            train_out.select(id_col, *([name_col] if name_col else []), label_col, "cluster_gmm", "gmm_max_prob"),
+            ["gmm_max_prob", id_col],
             BLENDED_N,
         ),
-        "cohort_intensity": intensity.orderBy("season_year", "cohort"),
     }
 
 
+def global_profiles(
+    events: DataFrame,
+    segments: DataFrame,
+    sessions: DataFrame,
+    train_cohorts: Sequence[tuple[int, int]],
+    test_cohorts: Sequence[tuple[int, int]],
+    feature_cols: Sequence[str] = GENERAL_FEATURES,
+    min_minutes: float = MIN_EXPOSURE_MINUTES,
+    k_range: Sequence[int] = K_RANGE,
+    k_override: int | None = None,
+    seed: int = SEED,
+    spot_names: Sequence[str] = (),
+    ignore_case: bool = False,
+    partitions: int | None = None,
+) -> dict[str, DataFrame]:
+    """Run L1. ``sessions`` has match_id, competition_id, season_id, season_year
+    (and optionally competition_name); cohorts are (competition_id, season_id)."""
+    splits = split_sessions(sessions, train_cohorts, test_cohorts)
+    minutes = player_minutes(events, segments)
+    stats = player_match_stats(events)
+    feats = player_features(with_split(stats, splits), with_split(minutes, splits), min_minutes, by=("split",))
+    # The entity table is small next to the events it summarises: materialise it
+    # once (reliable checkpoint) so every later report reads it, not the events.
+    feats = cut_lineage(feats)
+    res = cluster_and_assess(
+        feats,
+        feature_cols,
+        "player_id",
+        "player_name",
+        "position_label",
+        k_range=k_range,
+        k_override=k_override,
+        seed=seed,
+        spot_names=spot_names,
+        ignore_case=ignore_case,
+        partitions=partitions,
+    )
+    pressures = events.filter(F.col("event_type") == PRESSURE)
+    cohort_cols = ["competition_name"] if "competition_name" in sessions.columns else ["competition_id", "season_id"]
+    cohort_dim = sessions.select(
+        "match_id", F.concat_ws("/", *[F.col(c).cast("string") for c in cohort_cols]).alias("cohort"), "season_year"
+    )
+    intensity = assess.cohort_intensity(
+        pressures, minutes, cohort_dim, "match_id", "cohort", "season_year", exposure_col="minutes_played"
+    )
+    res["features"] = feats
+    res["cohort_intensity"] = intensity.orderBy("season_year", "cohort")
+    return res
+
+
 def write_global_outputs(results: dict[str, DataFrame], out_dir: str) -> None:
     """The train and test entity tables as Parquet (vectors dropped)."""
     write_parquet(results["train_clusters"], f"{out_dir.rstrip('/')}/player_features_train")

@@ -222,6 +222,19 @@ def q_family_standardise(spark, sf_dir):
     return finish(z.select("user_id", "family", *[f"z_{c}" for c in EV_FEATURES]))
 
 
+def q_global_clusters(spark, sf_dir):
+    """Pipeline L1's model half on the events table: fit on the first half of the
+    month (A), transfer to the second (B); the train entities with their K-Means
+    and Gaussian-mixture clusters."""
+    from ..plans.global_profiles import cluster_and_assess
+
+    feats = ev_features(spark, sf_dir, by_split=True)
+    res = cluster_and_assess(
+        feats, EV_FEATURES, "user_id", None, "label", train_value="A", test_value="B", k_range=(3, 4, 5, 6)
+    )
+    return finish(res["train_clusters"].select("user_id", "cluster_kmeans", "cluster_gmm", "gmm_max_prob"))
+
+
 def q_family_clusters(spark, sf_dir):
     res = families.cluster_families(
         ev_family_features(spark, sf_dir), "user_id", "family", {}, EV_FEATURES, overrides={"BROWSE": 3}
@@ -426,4 +439,5 @@ QUERIES = {
     "family_sizes": q_family_sizes,
     "family_standardise": q_family_standardise,
     "family_clusters": q_family_clusters,
+    "global_clusters": q_global_clusters,
 }

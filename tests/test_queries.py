@@ -48,6 +48,7 @@ def test_every_query_is_registered():
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {
         "family_clusters",
+        "global_clusters",
         "kmeans_assign",
         "gmm_assign",
         "models_side_by_side",
