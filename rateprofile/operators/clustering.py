@@ -182,13 +182,13 @@ def sweep_table(spark: SparkSession, rows: Sequence[dict], chosen_k: int) -> Dat
 def label_centroids(
     df: DataFrame, label_col: str, features_col: str = "features", max_centroids: int = 1024
 ) -> list[tuple]:
-    """Mean vector per label (one distributed aggregation with partial
-    aggregation). Only the per-label means reach the driver, and only after
-    their number is checked against ``max_centroids``."""
-    n = df.select(label_col).distinct().count()
-    if n > max_centroids:
-        raise ValueError(f"{n} labels exceed max_centroids={max_centroids}")
-    rows = df.groupBy(label_col).agg(Summarizer.mean(F.col(features_col)).alias("_m")).collect()
+    """Mean vector per label: one distributed aggregation (partial aggregation
+    per task), of which at most ``max_centroids + 1`` rows are fetched, so the
+    driver never receives more than the bound; more labels than that is an error."""
+    means = df.groupBy(label_col).agg(Summarizer.mean(F.col(features_col)).alias("_m"))
+    rows = means.limit(max_centroids + 1).collect()
+    if len(rows) > max_centroids:
+        raise ValueError(f"more than max_centroids={max_centroids} labels")
     return sorted((r[label_col], [float(v) for v in r["_m"].toArray()]) for r in rows)
 
 

@@ -79,6 +79,7 @@ def cluster_families(
     partitions: int | None = None,
     cluster_col: str = "cluster",
     parallel_fits: int = 8,
+    max_families: int = 256,
 ) -> dict[str, DataFrame]:
     """Per-family scaling, k sweep, override guard (M12) and final assignment.
 
@@ -89,7 +90,9 @@ def cluster_families(
     """
     spark = features.sparkSession
     overrides = dict(overrides or {})
-    ranges = family_k_ranges(features, family_col, min_per_cluster).collect()  # one row per family
+    ranges = family_k_ranges(features, family_col, min_per_cluster).limit(max_families + 1).collect()
+    if len(ranges) > max_families:
+        raise ValueError(f"more than max_families={max_families} families")
     eligible = {r[family_col]: (int(r["n"]), int(r["k_min"]), int(r["k_max"])) for r in ranges if r["eligible"]}
 
     if not eligible:

@@ -60,3 +60,30 @@ def test_split_as_grouping_key(spark):
         ).collect()
     }
     assert out["train"].shots_p90 == 3 / 300 * 90 and out["test"].label == "B"
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+SESSION = st.tuples(st.integers(1, 3), st.integers(0, 6), st.integers(0, 6), st.sampled_from(["A", "B", "C"]))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(SESSION, min_size=1, max_size=12, unique_by=lambda t: t[0]), st.sampled_from([2.0, 3.0]))
+def test_rate_properties(spark, sessions, factor):
+    counts = spark.createDataFrame([(m, 1, s, g) for m, s, g, _ in sessions], CNT)
+    expo = spark.createDataFrame([(m, 1, 100.0, r) for m, _, _, r in sessions], EXP)
+    scaled = spark.createDataFrame([(m, 1, 100.0 * factor, r) for m, _, _, r in sessions], EXP)
+    kw = dict(exposure_col="minutes", label_col="role", min_exposure=0.0)
+    a = entity_features(counts, expo, "player_id", OUT, **kw).first()
+    b = entity_features(counts, scaled, "player_id", OUT, **kw).first()
+    total_shots = sum(s for _, s, _, _ in sessions)
+    # totals are the sums of the session counters; rates scale inversely with exposure
+    assert abs(a.shots_p90 - total_shots / (100.0 * len(sessions)) * 90) < 1e-9
+    assert abs(a.shots_p90 - factor * b.shots_p90) < 1e-9
+    # the label is one of the session labels, with the largest vote, smallest on ties
+    votes = {}
+    for _, _, _, r in sessions:
+        votes[r] = votes.get(r, 0) + 1
+    assert a.label == min(votes, key=lambda r: (-votes[r], r))
+    assert a.sessions == len(sessions)
