@@ -57,8 +57,9 @@ def apply_scaler(
 
 
 def vector_long(df: DataFrame, keys: Sequence[str], vector_col: str, pos: str = "pos", value: str = "z") -> DataFrame:
-    """One row per vector component: (keys..., pos, value), pos from 0."""
-    return df.select(*keys, F.posexplode(vector_to_array(F.col(vector_col))).alias(pos, value))
+    """One row per vector component: (keys..., pos, value), pos (long) from 0."""
+    exploded = df.select(*keys, F.posexplode(vector_to_array(F.col(vector_col))).alias(pos, value))
+    return exploded.withColumn(pos, F.col(pos).cast("long"))
 
 
 def grouped_standardise(

@@ -11,6 +11,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
 
@@ -67,6 +68,9 @@ def test_query_matches_oracle(spark, duck, name):
     d_rows = res.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
     assert _canon(df.columns, s_rows) == _canon(d_cols, d_rows)
+    d_types = dict(zip(d_cols, [t[1] for t in duck.execute(f"describe {ORACLE[name]}").fetchall()]))
+    for f in df.schema.fields:
+        assert DUCK_TYPE[f.dataType.simpleString()] == d_types[f.name], (f.name, f.dataType, d_types[f.name])
 
 
 @pytest.mark.parametrize("name", ["kmeans_assign", "k_sweep", "holdout_assign"])
