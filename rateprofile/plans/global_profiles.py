@@ -120,11 +120,18 @@ def global_profiles(
     spot_names: Sequence[str] = (),
     ignore_case: bool = False,
     partitions: int | None = None,
+    end_mode: str = "reference",
+    exposure_mode: str = "span",
+    per_period_denominator: bool = False,
 ) -> dict[str, DataFrame]:
     """Run L1. ``sessions`` has match_id, competition_id, season_id, season_year
-    (and optionally competition_name); cohorts are (competition_id, season_id)."""
+    (and optionally competition_name); cohorts are (competition_id, season_id).
+
+    ``end_mode`` ("reference" | "exact") picks the session-end rule,
+    ``exposure_mode`` ("span" | "sum_segments") the minutes rule, and
+    ``per_period_denominator`` the intensity denominator (see the operators)."""
     splits = split_sessions(sessions, train_cohorts, test_cohorts)
-    minutes = player_minutes(events, segments)
+    minutes = player_minutes(events, segments, end_mode=end_mode, mode=exposure_mode)
     stats = player_match_stats(events)
     feats = player_features(with_split(stats, splits), with_split(minutes, splits), min_minutes, by=("split",))
     # The entity table is small next to the events it summarises: materialise it
@@ -149,7 +156,14 @@ def global_profiles(
         "match_id", F.concat_ws("/", *[F.col(c).cast("string") for c in cohort_cols]).alias("cohort"), "season_year"
     )
     intensity = assess.cohort_intensity(
-        pressures, minutes, cohort_dim, "match_id", "cohort", "season_year", exposure_col="minutes_played"
+        pressures,
+        minutes,
+        cohort_dim,
+        "match_id",
+        "cohort",
+        "season_year",
+        exposure_col="minutes_played",
+        per_period_denominator=per_period_denominator,
     )
     res["features"] = feats
     res["cohort_intensity"] = intensity.orderBy("season_year", "cohort")
