@@ -58,8 +58,10 @@ def prepare_for_fit(
     near-empty tasks and large fits spread over the cluster.
     """
     if partitions is None:
-        df = cut_lineage(df)
-        partitions = fit_partitions(df.count(), rows_per_partition)
+        first = cut_lineage(df)
+        laid = cut_lineage(fit_layout(first, id_col, fit_partitions(first.count(), rows_per_partition)))
+        first.unpersist()  # only held in memory when no checkpoint folder is configured
+        return laid
     return cut_lineage(fit_layout(df, id_col, partitions))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import LabelRule, contains_any, label_family
+from ..functions.columns import LabelRule, label_family
 from ..operators import assess, exposure, families
 from ..sources.json_sources import missing_sessions
 from .common import finish, table

@@ -87,3 +87,21 @@ def test_rate_properties(spark, sessions, factor):
         votes[r] = votes.get(r, 0) + 1
     assert a.label == min(votes, key=lambda r: (-votes[r], r))
     assert a.sessions == len(sessions)
+
+
+def test_cohort_intensity_denominator_modes(spark):
+    from rateprofile.operators.assess import cohort_intensity
+
+    sessions = spark.createDataFrame([(1, "C", 2022), (2, "C", 2023), (3, "D", 2023)], "m long, cohort string, year long")
+    events = spark.createDataFrame([(1,), (1,), (2,), (3,)], "m long")
+    expo = spark.createDataFrame([(1, 90.0), (1, 90.0), (2, 180.0), (3, 45.0)], "m long, exposure double")
+    ref = {(r.cohort, r.year): r for r in cohort_intensity(events, expo, sessions, "m", "cohort", "year").collect()}
+    # the reference rule: per (cohort, year) numerator over the whole cohort's exposure
+    assert ref[("C", 2022)].n_events == 2 and ref[("C", 2022)].total_exposure == 360.0
+    assert abs(ref[("C", 2022)].events_per_90 - 0.5) < 1e-12
+    per = {
+        (r.cohort, r.year): r
+        for r in cohort_intensity(events, expo, sessions, "m", "cohort", "year", per_period_denominator=True).collect()
+    }
+    assert per[("C", 2022)].total_exposure == 180.0 and per[("C", 2023)].total_exposure == 180.0
+    assert abs(per[("D", 2023)].events_per_90 - 2.0) < 1e-12
