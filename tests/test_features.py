@@ -96,7 +96,7 @@ def test_cohort_intensity_denominator_modes(spark):
     events = spark.createDataFrame([(1,), (1,), (2,), (3,)], "m long")
     expo = spark.createDataFrame([(1, 90.0), (1, 90.0), (2, 180.0), (3, 45.0)], "m long, exposure double")
     ref = {(r.cohort, r.year): r for r in cohort_intensity(events, expo, sessions, "m", "cohort", "year").collect()}
-    # the reference rule: per (cohort, year) numerator over the whole cohort's exposure
+    # default rule: per (cohort, year) numerator over the whole cohort's exposure
     assert ref[("C", 2022)].n_events == 2 and ref[("C", 2022)].total_exposure == 360.0
     assert abs(ref[("C", 2022)].events_per_90 - 0.5) < 1e-12
     per = {
