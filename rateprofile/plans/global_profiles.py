@@ -56,6 +56,8 @@ def cluster_and_assess(
     feature_cols = list(feature_cols)
     train = feats.filter(F.col(split_col) == train_value).drop(split_col)
     test = feats.filter(F.col(split_col) == test_value).drop(split_col)
+    if train.limit(1).count() == 0:
+        raise ValueError(f"no entities in the {train_value!r} split meet the exposure minimum")
 
     scaled, scaler = scaling.standardise(train, feature_cols)
     fit_input = clustering.prepare_for_fit(scaled, id_col, partitions)
