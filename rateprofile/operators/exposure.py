@@ -129,8 +129,8 @@ def _exposure_open_ends(
     Per (session, entity, role) the closed segments are summarised (min start,
     max end, total length) and the open ones counted (with the sum of their
     starts); only these aggregated rows are joined to the session ends. An open
-    segment contributes ``end - from``, so the open part of a role's time is
-    ``n_open * end - sum(open starts)``. A session holding a large share of all
+    segment contributes ``end - from`` (nothing when its start is unknown), so
+    the open part of a role's time is ``n_open_timed * end - sum(open starts)``. A session holding a large share of all
     segments therefore reaches the join as one row per (entity, role), not as
     its raw segments.
     """
@@ -142,6 +142,7 @@ def _exposure_open_ends(
         F.max(to).alias("_to_closed"),
         F.sum(F.when(~is_open, to - frm)).alias("_w_closed"),
         F.count_if(is_open).alias("_n_open"),
+        F.count_if(is_open & frm.isNotNull()).alias("_n_open_timed"),
         F.sum(F.when(is_open, frm)).alias("_from_open"),
         *[F.max(c).alias(c) for c in carry],
     )
@@ -153,9 +154,10 @@ def _exposure_open_ends(
         *carry,
         "_from",
         F.greatest(F.col("_to_closed"), F.when(has_open, end)).alias("_to"),
-        _null_safe_sum(F.col("_w_closed"), F.when(has_open, F.col("_n_open") * end - F.col("_from_open"))).alias(
-            "_weight"
-        ),
+        _null_safe_sum(
+            F.col("_w_closed"),
+            F.when(F.col("_n_open_timed") > 0, F.col("_n_open_timed") * end - F.col("_from_open")),
+        ).alias("_weight"),
     )
     whole = Window.partitionBy(*keys)
     ranked = whole.orderBy(F.desc("_weight"), F.asc_nulls_last(role))

@@ -125,3 +125,23 @@ def test_family_override_guard(spark, emb):
     ranges = {r.family: r for r in families.family_k_ranges(wide, "family").collect()}
     n = ranges["LOW"].n
     assert ranges["LOW"].k_max == max(2, min(6, n // 12))
+
+
+def test_fit_is_independent_of_upstream_layout(emb):
+    """The same rows arriving in different partitionings give the same model:
+    prepare_for_fit derives the layout from the data alone."""
+    scaled, _ = scaling.standardise(emb, "embedding")
+    base = scaled.select("vec_id", "features")
+    out = []
+    for n in (1, 3, 7):
+        data = clustering.prepare_for_fit(base.repartition(n), "vec_id")
+        km, preds = clustering.fit_kmeans(data, 4, 42)
+        gm, gpreds = clustering.fit_gmm(data, 3, 42)
+        out.append(
+            (
+                round(km.summary.trainingCost, 9),
+                {r.vec_id: r.cluster for r in preds.select("vec_id", "cluster").collect()},
+                {r.vec_id: r.cluster for r in gpreds.select("vec_id", "cluster").collect()},
+            )
+        )
+    assert out[0] == out[1] == out[2]
