@@ -3,9 +3,10 @@
 Mapping onto the profile model: session = calendar day of ``ts``, entity =
 ``user_id``, role and event kind = ``event_type``, clock = minute of the day
 (``hour*60 + minute``) plus seconds. Each event is also a presence segment
-starting at its clock time and lasting ``value`` seconds; ``error`` segments
-have no recorded end and stay open until the session ends. Cohorts are the two
-halves of the month (A before 2024-01-16, B from then on).
+starting at its clock time and lasting ``value`` seconds; a segment with
+``value >= 200`` has no recorded end and stays open until the session ends.
+Cohorts are the two halves of the month (A before 2024-01-16, B from then on);
+cohort intensity measures ``error`` events.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from .common import finish, table
 # --- Fixed values of the adapter -----------------------------------------------------
 SPLIT_DATE = "2024-01-16"
 EVENT_TYPES = ("click", "view", "purchase", "error", "signup")
-OPEN_ENDED_TYPE = "error"
+OPEN_MIN_VALUE = 200.0
+INTENSITY_TYPE = "error"
 HIGH_VALUE = 80.0
 MIN_EXPOSURE = 270.0
 EV_FAMILY_RULES = (
@@ -65,7 +67,7 @@ def ev_segments(ev: DataFrame) -> DataFrame:
         "user_id",
         F.col("event_type").alias("role"),
         start.alias("from_min"),
-        F.when(F.col("event_type") == OPEN_ENDED_TYPE, F.lit(None).cast("double"))
+        F.when(F.col("value") >= OPEN_MIN_VALUE, F.lit(None).cast("double"))
         .otherwise(start + F.col("value") / 60.0)
         .alias("to_min"),
     )
@@ -197,7 +199,7 @@ def q_cohort_intensity(spark, sf_dir):
         F.when(F.col("day") < SPLIT_DATE, "A").otherwise("B").alias("cohort"),
         F.year(F.to_date("day")).cast("long").alias("year"),
     )
-    errors = ev.filter(F.col("event_type") == OPEN_ENDED_TYPE)
+    errors = ev.filter(F.col("event_type") == INTENSITY_TYPE)
     out = assess.cohort_intensity(errors, ev_exposure(ev), sessions, "day", "cohort", "year")
     return finish(out)
 
@@ -251,7 +253,7 @@ e as (select event_id, user_id, event_type, value,
 ends as (select day, max(mi) + max(se) / 60.0 as session_end from e group by day),
 seg as (select e.event_id, e.day, e.user_id, e.event_type as role,
                e.mi + e.se / 60.0 as from_min,
-               coalesce(case when e.event_type = '{OPEN_ENDED_TYPE}' then null
+               coalesce(case when e.value >= {OPEN_MIN_VALUE} then null
                              else e.mi + e.se / 60.0 + e.value / 60.0 end, ends.session_end) as to_min
         from e left join ends on e.day = ends.day),
 ex as (select day, user_id, greatest(max(to_min) - min(from_min), 0) as exposure
@@ -408,7 +410,7 @@ with {_EV_CTES},
 ss as (select distinct day, case when day < '{SPLIT_DATE}' then 'A' else 'B' end as cohort,
               cast(year(cast(day as date)) as bigint) as year from e),
 nn as (select cohort, year, count(*) as n_events from e join ss using (day)
-       where e.event_type = '{OPEN_ENDED_TYPE}' group by cohort, year),
+       where e.event_type = '{INTENSITY_TYPE}' group by cohort, year),
 dd as (select cohort, sum(exposure) as total_exposure from exr join ss using (day) group by cohort)
 select cohort, year, n_events, round(total_exposure, 6) as total_exposure,
        round(n_events / total_exposure * 90.0, 6) as events_per_90
