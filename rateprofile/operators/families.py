@@ -2,10 +2,10 @@
 
 One grouped count gives every family's size and its k range (no per-family
 count job). Every family is z-scored by its own mean and std in one pass for
-all families (``grouped_standardise``); the standardised table is laid out and
-materialised once. Then each eligible family gets its own k sweep and fit. The
-driver loop is proportional to families x k (bounded by the rule list and the
-k cap), never to rows; all row work is in Spark jobs.
+all families (``grouped_standardise``), materialised once; each eligible family
+then gets its own laid-out fit input, k sweep and fit, so a fit reads only its
+own family's rows. The driver loop is proportional to families x k (bounded by
+the rule list and the k cap), never to rows; all row work is in Spark jobs.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from ..session import cut_lineage
 from .clustering import DEFAULT_SEED, choose_k, prepare_for_fit, run_parallel, score_kmeans
 from .scaling import assemble, grouped_standardise
 
@@ -102,19 +103,19 @@ def cluster_families(
             "choice": spark.createDataFrame([], FAMILY_CHOICE_SCHEMA),
         }
     all_cols = sorted({c for cols in [default_features, *feature_sets.values()] for c in cols})
-    scaled_all = grouped_standardise(
-        features.filter(F.col(family_col).isin(*eligible.keys())), family_col, all_cols
+    # One pass z-scores every eligible family; that table is materialised once,
+    # then each family gets its own laid-out, materialised fit input, so each of
+    # its k fits reads only that family's rows.
+    scaled_all = cut_lineage(
+        grouped_standardise(features.filter(F.col(family_col).isin(*eligible.keys())), family_col, all_cols)
     )
-    scaled_all = prepare_for_fit(scaled_all, id_col, partitions)
 
-    inputs = {
-        fam: assemble(
-            scaled_all.filter(F.col(family_col) == fam),
-            [f"z_{c}" for c in feature_sets.get(fam, default_features)],
-            "features",
-        )
-        for fam in eligible
-    }
+    def prepare(fam: str):
+        cols = [f"z_{c}" for c in feature_sets.get(fam, default_features)]
+        own = assemble(scaled_all.filter(F.col(family_col) == fam), cols, "features")
+        return fam, prepare_for_fit(own, id_col, partitions)
+
+    inputs = dict(run_parallel(prepare, sorted(eligible), parallel_fits))
     # Every (family, k) fit is an independent job: submit them together, plus
     # any override k outside the family's sweep range.
     jobs = [(fam, k) for fam in sorted(eligible) for k in range(eligible[fam][1], eligible[fam][2] + 1)]
