@@ -133,7 +133,9 @@ def global_profiles(
     ``exposure_mode`` ("span" | "sum_segments") the minutes rule, and
     ``per_period_denominator`` the intensity denominator (see the operators)."""
     splits = split_sessions(sessions, train_cohorts, test_cohorts)
-    minutes = player_minutes(events, segments, end_mode=end_mode, mode=exposure_mode)
+    # Minutes feed both the features and the intensity denominator; one row per
+    # (match, player), so it is materialised once instead of re-reading events.
+    minutes = cut_lineage(player_minutes(events, segments, end_mode=end_mode, mode=exposure_mode))
     stats = player_match_stats(events)
     feats = player_features(with_split(stats, splits), with_split(minutes, splits), min_minutes, by=("split",))
     # The entity table is small next to the events it summarises: materialise it
