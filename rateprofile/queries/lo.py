@@ -50,16 +50,19 @@ def split_keys(spark, sf_dir):
 
 
 def nested_orders(spark, sf_dir):
-    """Orders with their lines nested as arrays (the shape of a lineup file);
-    an order without lines has a NULL array. Lines are nested per (order, line
-    number) slot, so an array holds only the lines sharing one slot and no
-    order, however large, is collected into one array."""
-    lines = _lines(spark, sf_dir).groupBy("l_orderkey", "l_linenumber").agg(
-        F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_returnflag", "l_quantity")).alias("lines")
-    )
-    return _orders(spark, sf_dir, ("o_orderkey", "o_custkey")).join(
-        lines.select(F.col("l_orderkey").alias("o_orderkey"), "lines"), "o_orderkey", "left"
+    """Orders with their lines as nested arrays (the shape of a lineup file); an
+    order without lines has a NULL array. No grouping builds the arrays: every
+    line is wrapped in its own array, so no array grows with a hot order. Lines
+    meet their order in an inner join (AQE can split a skewed side of it); orders
+    with no line come from the anti join against the distinct line keys."""
+    line = F.struct("l_linenumber", "l_suppkey", "l_returnflag", "l_quantity")
+    wrapped = _lines(spark, sf_dir).select(F.col("l_orderkey").alias("o_orderkey"), F.array(line).alias("lines"))
+    orders = _orders(spark, sf_dir, ("o_orderkey", "o_custkey"))
+    with_lines = wrapped.join(orders, "o_orderkey", "inner")
+    no_lines = missing_sessions(orders, wrapped, "o_orderkey").withColumn(
+        "lines", F.lit(None).cast(wrapped.schema["lines"].dataType)
     )
+    return with_lines.unionByName(no_lines)
 
 
 def q_segments_explode(spark, sf_dir):
