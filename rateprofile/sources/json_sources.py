@@ -33,8 +33,11 @@ def path_key(pattern: str = SESSION_KEY_PATTERN, group: int = 1, cast: str | Non
     return key.try_cast(cast) if cast else key
 
 
-def read_json_arrays(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+def read_json_arrays(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
+    """Files holding one JSON array each (``multi_line=True``, one task per file:
+    such a file cannot be split) or JSON Lines (``multi_line=False``, one record
+    per line, split across tasks like any text file)."""
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
 
 
 def optional_field(df: DataFrame, path: str, dtype: DataType | str, alias: str | None = None) -> Column:
@@ -89,9 +92,11 @@ def flatten_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def load_events(spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA) -> DataFrame:
+def load_events(
+    spark: SparkSession, path: str, schema: StructType = EVENT_SCHEMA, multi_line: bool = True
+) -> DataFrame:
     """All event files under ``path`` (a folder or glob) as flat events."""
-    raw = read_json_arrays(spark, path, schema).withColumn("match_id", path_key())
+    raw = read_json_arrays(spark, path, schema, multi_line).withColumn("match_id", path_key())
     return flatten_events(raw)
 
 
@@ -120,9 +125,10 @@ def explode_segments(teams: DataFrame) -> DataFrame:
     )
 
 
-def load_lineups(spark: SparkSession, path: str) -> DataFrame:
+def load_lineups(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """All lineup files under ``path`` as flat presence segments."""
-    return explode_segments(read_json_arrays(spark, path, LINEUP_SCHEMA).withColumn("match_id", path_key()))
+    raw = read_json_arrays(spark, path, LINEUP_SCHEMA, multi_line).withColumn("match_id", path_key())
+    return explode_segments(raw)
 
 
 def load_sessions(spark: SparkSession, path: str, cohort_names: DataFrame | None = None) -> DataFrame:

@@ -81,3 +81,18 @@ def test_streaming_landing_matches_batch_scan(spark, football_dir, scratch):
     assert teams == 2 * len(os.listdir(f"{football_dir}/lineups"))
     batch_lu = load_lineups(spark, f"{football_dir}/lineups/*.json")
     assert rows(spark.read.parquet(f"{scratch}/lineups").select(*batch_lu.columns)) == rows(batch_lu)
+
+
+def test_json_lines_input_matches_arrays(spark, football_dir, scratch):
+    """The same events as JSON Lines (splittable) load to the same rows."""
+    os.makedirs(f"{scratch}/jl")
+    for p in sorted(glob.glob(f"{football_dir}/events/*.json"))[:3]:
+        with open(p) as f, open(f"{scratch}/jl/{os.path.basename(p)}", "w") as g:
+            for rec in json.load(f):
+                g.write(json.dumps(rec) + "\n")
+    jl = load_events(spark, f"{scratch}/jl/*.json", multi_line=False)
+    arr = load_events(spark, f"{football_dir}/events/*.json").filter(F.col("match_id").isin(*[
+        int(os.path.basename(p)[:-5]) for p in glob.glob(f"{scratch}/jl/*.json")
+    ]))
+    cols = ["match_id", "event_id", "event_type", "player_id", "minute", "second"]
+    assert rows(jl, *cols) == rows(arr, *cols)
