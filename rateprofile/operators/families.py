@@ -81,6 +81,7 @@ def cluster_families(
     cluster_col: str = "cluster",
     parallel_fits: int = 8,
     max_families: int = 256,
+    input_materialised: bool = False,
 ) -> dict[str, DataFrame]:
     """Per-family scaling, k sweep, override guard (M12) and final assignment.
 
@@ -91,6 +92,8 @@ def cluster_families(
     """
     spark = features.sparkSession
     overrides = dict(overrides or {})
+    if not input_materialised:  # read twice below: sizes, then scaling
+        features = cut_lineage(features)
     ranges = family_k_ranges(features, family_col, min_per_cluster).limit(max_families + 1).collect()
     if len(ranges) > max_families:
         raise ValueError(f"more than max_families={max_families} families")

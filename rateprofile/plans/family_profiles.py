@@ -54,6 +54,7 @@ def family_profiles(
         overrides,
         seed=seed,
         partitions=partitions,
+        input_materialised=True,
     )
     clustered = res["assignments"]
     all_cols = sorted({c for cols in [default_features, *feature_sets.values()] for c in cols})

@@ -46,14 +46,21 @@ def cluster_and_assess(
     spot_names: Sequence[str] = (),
     ignore_case: bool = False,
     partitions: int | None = None,
+    input_materialised: bool = False,
 ) -> dict[str, DataFrame]:
     """The model half of L1 on any entity feature table with a split column:
     standardise on the train rows, k sweep, K-Means at the chosen k and a
     Gaussian mixture, then profiles, cross-tab, spot check, model comparison,
     most blended entities, and transfer of the fitted scaler + model to the
-    held-out rows with per-cluster drift."""
+    held-out rows with per-cluster drift.
+
+    The entity table is read several times (scaler fit, fit layout, holdout,
+    reports), so it is materialised first unless the caller already did
+    (``input_materialised=True``)."""
     spark = feats.sparkSession
     feature_cols = list(feature_cols)
+    if not input_materialised:
+        feats = cut_lineage(feats)
     train = feats.filter(F.col(split_col) == train_value).drop(split_col)
     test = feats.filter(F.col(split_col) == test_value).drop(split_col)
     if train.limit(1).count() == 0:
@@ -153,6 +160,7 @@ def global_profiles(
         spot_names=spot_names,
         ignore_case=ignore_case,
         partitions=partitions,
+        input_materialised=True,
     )
     pressures = events.filter(F.col("event_type") == PRESSURE)
     cohort_cols = ["competition_name"] if "competition_name" in sessions.columns else ["competition_id", "season_id"]
