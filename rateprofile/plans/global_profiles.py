@@ -87,10 +87,15 @@ def cluster_and_assess(
     train_profile = assess.cluster_profile(train_out, "cluster_kmeans", feature_cols)
     test_profile = assess.cluster_profile(test_pred, "cluster_kmeans", feature_cols)
     sil_gmm = clustering.silhouette(train_out, "cluster_gmm")
-    compare = spark.createDataFrame(
-        [("kmeans", best_k, km["silhouette"]), ("gmm", best_k, sil_gmm)],
-        "model string, k int, silhouette double",
-    )
+    compare_rows = [("kmeans", best_k, km["silhouette"]), ("gmm", best_k, sil_gmm)]
+    if silhouette_k != best_k:
+        # An override moved k: compare the two models at the silhouette-best k too.
+        _, gmm_at_sil = clustering.fit_gmm(fit_input, silhouette_k, seed, prediction_col="cluster_gmm")
+        compare_rows += [
+            ("kmeans", silhouette_k, by_k[silhouette_k]["silhouette"]),
+            ("gmm", silhouette_k, clustering.silhouette(gmm_at_sil, "cluster_gmm")),
+        ]
+    compare = spark.createDataFrame(compare_rows, "model string, k int, silhouette double")
     return {
         "sweep": clustering.sweep_table(spark, sweep_rows, best_k).withColumn(
             "silhouette_max", F.col("k") == F.lit(silhouette_k)
