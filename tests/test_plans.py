@@ -62,3 +62,20 @@ def test_cli_families(spark, football_dir, scratch):
     main(["families", "--data", football_dir, "--out", scratch, "--spot", "Star"])
     assert spark.read.parquet(f"{scratch}/report/choice").count() >= 1
     assert spark.read.parquet(f"{scratch}/families").count() > 0
+
+
+def test_cli_land_then_global_on_parquet(spark, football_dir, scratch):
+    import shutil
+
+    from rateprofile.cli import main
+
+    main(["land", "--data", football_dir, "--out", f"{scratch}/bronze"])
+    shutil.copytree(f"{football_dir}/matches", f"{scratch}/bronze/matches")
+    main(
+        ["global", "--data", f"{scratch}/bronze", "--out", f"{scratch}/out", "--parquet", "--k", "3",
+         "--train", "901:1", "902:1", "--test", "903:2", "904:2", "--spot", "Star"]
+    )
+    sweep = spark.read.parquet(f"{scratch}/out/report/sweep").collect()
+    assert [r.k for r in sweep if r.chosen] == [3]
+    assert spark.read.parquet(f"{scratch}/out/player_features_train").count() > 0
+    assert spark.read.parquet(f"{scratch}/out/report/cohort_intensity").count() == 4
