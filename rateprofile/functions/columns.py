@@ -47,8 +47,10 @@ def clamp_min(c: ColumnOrName, floor: float = 0.0) -> Column:
 
 
 def per_exposure(count: ColumnOrName, exposure: ColumnOrName, per: float = 90.0) -> Column:
-    """Rate per ``per`` units of exposure (per 90 minutes by default)."""
-    return as_col(count) / as_col(exposure) * per
+    """Rate per ``per`` units of exposure (per 90 minutes by default); NULL for
+    zero exposure instead of an ANSI division error."""
+    e = as_col(exposure)
+    return as_col(count) / F.when(e > 0, e) * per
 
 
 def safe_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import contains_any
+from ..functions.columns import contains_any, per_exposure
 
 
 def cluster_profile(
@@ -109,5 +109,5 @@ def cohort_intensity(
         F.sum("_x").alias("total_exposure")
     )
     return num.join(den, den_keys, "inner").withColumn(
-        "events_per_90", F.col("n_events") / F.col("total_exposure") * per
+        "events_per_90", per_exposure("n_events", "total_exposure", per)
     )

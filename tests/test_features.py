@@ -105,3 +105,12 @@ def test_cohort_intensity_denominator_modes(spark):
     }
     assert per[("C", 2022)].total_exposure == 180.0 and per[("C", 2023)].total_exposure == 180.0
     assert abs(per[("D", 2023)].events_per_90 - 2.0) < 1e-12
+
+
+def test_zero_exposure_gives_null_rate_not_an_error(spark):
+    counts = spark.createDataFrame([(1, 1, 2, 1)], CNT)
+    expo = spark.createDataFrame([(1, 1, 0.0, "X")], EXP)
+    r = entity_features(
+        counts, expo, "player_id", OUT, exposure_col="minutes", label_col="role", min_exposure=0.0, fill=None
+    ).first()
+    assert r.shots_p90 is None and r.conversion == 0.5
