@@ -147,7 +147,7 @@ def _event(rng, idx, minute, team, player, position):
     elif etype == "Dribble":
         ev["dribble"] = {"outcome": {"name": rng.choice(["Complete", "Incomplete"])}}
     elif etype == "Duel":
-        kind = rng.choice(["Tackle", "Aerial Lost"])
+        kind = "Tackle"  # "Aerial Lost" duels are emitted opposite every won aerial
         ev["duel"] = {"type": {"name": kind}}
         if kind == "Tackle":
             ev["duel"]["outcome"] = {"name": rng.choice(["Won", "Lost In Play", "Success In Play"])}
@@ -188,7 +188,27 @@ def write_football_fixture(root: str, seed: int = 7, events_per_minute: int = 4)
                         team = rng.choice((home, away))
                         player, position = rng.choice(_on_pitch(team, minute, subs[team]))
                         idx += 1
-                        events.append(_event(rng, idx, minute, team, player, position))
+                        ev = _event(rng, idx, minute, team, player, position)
+                        events.append(ev)
+                        if any((ev.get(k) or {}).get("aerial_won") for k in ("pass", "shot", "clearance", "miscontrol")):
+                            # the losing side of the same aerial: a Duel of type "Aerial Lost"
+                            opp = away if team == home else home
+                            loser, loser_pos = rng.choice(_on_pitch(opp, minute, subs[opp]))
+                            idx += 1
+                            events.append(
+                                {
+                                    "id": f"e{idx}",
+                                    "period": ev["period"],
+                                    "minute": minute,
+                                    "second": ev["second"],
+                                    "type": {"name": "Duel"},
+                                    "team": {"id": opp, "name": f"Team {opp}"},
+                                    "player": {"id": loser["player_id"], "name": loser["player_name"]},
+                                    "position": {"name": loser_pos},
+                                    "location": [120.0 - ev["location"][0], 80.0 - ev["location"][1]],
+                                    "duel": {"type": {"name": "Aerial Lost"}},
+                                }
+                            )
                 with open(os.path.join(root, "events", f"{match_id}.json"), "w") as f:
                     json.dump(events, f)
                 with open(os.path.join(root, "lineups", f"{match_id}.json"), "w") as f:

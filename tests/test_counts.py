@@ -81,3 +81,15 @@ def test_zone_event_types_parameter(spark):
     ev = _events(spark, [_ev("Pressure", location=[95.0, 1.0]), _ev("Pass", location=[95.0, 1.0])])
     r = conditional_counts(ev, ["player_id"], event_counters(zone_event_types=["Pass"])).first()
     assert r["attacking_third_touches"] == 1
+
+
+def test_aerial_balance_invariant(spark, football_dir):
+    """Won aerials are flags on four carrier event types; the loser of each one
+    is a Duel of type "Aerial Lost". Over a whole fixture the two counts agree."""
+    from rateprofile.sources.json_sources import load_events
+
+    ev = load_events(spark, f"{football_dir}/events/*.json")
+    won = conditional_counts(ev, ["match_id"], event_counters(), require_not_null=["player_id"])
+    total_won = won.agg(F.sum("aerial_duels_won")).first()[0]
+    lost = ev.filter((F.col("event_type") == "Duel") & (F.col("duel_type") == "Aerial Lost")).count()
+    assert total_won == lost > 0
