@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from ..functions.columns import vector_max
-from ..session import cut_lineage
+from ..session import cut_lineage, describe_jobs
 
 DEFAULT_FIT_PARTITIONS = 32
 ROWS_PER_FIT_PARTITION = 50_000
@@ -119,9 +119,12 @@ def silhouette(
     return float(evaluator.evaluate(preds.withColumn(prediction_col, F.col(prediction_col).cast("double"))))
 
 
-def score_kmeans(df: DataFrame, k: int, seed: int = DEFAULT_SEED, features_col: str = "features") -> dict:
+def score_kmeans(
+    df: DataFrame, k: int, seed: int = DEFAULT_SEED, features_col: str = "features", label: str = ""
+) -> dict:
     """Fit K-Means at one k and score it: k, training_cost, silhouette, sizes, and
     the fitted model (kept so the chosen k need not be refitted)."""
+    describe_jobs(df.sparkSession, f"rateprofile kmeans {label} k={k}".replace("  ", " "))
     model, preds = fit_kmeans(df, k, seed, features_col, "cluster")
     sizes = [int(s) for s in model.summary.clusterSizes]
     return {

@@ -127,7 +127,11 @@ def cluster_families(
         for fam in sorted(eligible)
         if overrides.get(fam) is not None and not eligible[fam][1] <= int(overrides[fam]) <= eligible[fam][2]
     ]
-    scored = run_parallel(lambda job: (job, score_kmeans(inputs[job[0]], job[1], seed)), jobs + extra, parallel_fits)
+    scored = run_parallel(
+        lambda job: (job, score_kmeans(inputs[job[0]], job[1], seed, label=f"family={job[0]}")),
+        jobs + extra,
+        parallel_fits,
+    )
     by_job = dict(scored)
 
     assignments, sweep_rows, choice_rows = [], [], []

@@ -70,3 +70,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # Only where the session names no shared folder (tests, local bench).
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rateprofile-ckpt-", dir="/tmp"))
     return spark
+
+
+def describe_jobs(spark: SparkSession, text: str) -> None:
+    """Label the Spark jobs this thread submits next (visible in the event log),
+    e.g. which family and k a parallel fit belongs to."""
+    try:
+        spark.sparkContext.setJobDescription(text)
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
+        pass
