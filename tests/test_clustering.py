@@ -145,3 +145,22 @@ def test_fit_is_independent_of_upstream_layout(emb):
             )
         )
     assert out[0] == out[1] == out[2]
+
+
+def test_family_specific_feature_set(spark, emb):
+    """A family with its own feature list (as goalkeepers have) is scaled and
+    clustered on exactly those columns."""
+    wide = emb.select(
+        "vec_id",
+        F.when(F.col("label") < 5, "LOW").otherwise("HIGH").alias("family"),
+        *[F.get("embedding", i).cast("double").alias(f"f{i}") for i in range(6)],
+    )
+    res = families.cluster_families(
+        wide, "vec_id", "family", {"LOW": ["f0", "f1"]}, [f"f{i}" for i in range(6)], min_per_cluster=3
+    )
+    out = res["assignments"]
+    assert out.count() == wide.count()
+    low = out.filter(F.col("family") == "LOW").select("cluster").collect()
+    k = {r.family: r.chosen_k for r in res["choice"].collect()}["LOW"]
+    assert len({r.cluster for r in low}) <= k
+    assert {r.family for r in res["sweep"].collect()} == {"LOW", "HIGH"}
