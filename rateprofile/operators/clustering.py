@@ -48,21 +48,25 @@ def prepare_for_fit(
     id_col: str,
     partitions: int | None = None,
     rows_per_partition: int = ROWS_PER_FIT_PARTITION,
+    input_materialised: bool = False,
 ) -> DataFrame:
     """Lay out and materialise the vectors that several fits will read.
 
-    Without an explicit ``partitions`` the input is materialised first, counted
-    from that copy, and laid out in ``fit_partitions(count)`` partitions, so the
-    upstream plan runs once. Each fit iteration is one Spark job over these
-    partitions; sizing them to the data keeps small fits from paying for many
-    near-empty tasks and large fits spread over the cluster.
+    Without an explicit ``partitions`` the row count sets the partition count
+    (``fit_partitions``). An expensive input is materialised before it is
+    counted, so its plan runs once; an input that is a projection of a
+    materialised table (``input_materialised=True``) is counted directly. Each
+    fit iteration is one Spark job over these partitions; sizing them to the
+    data keeps small fits from paying for many near-empty tasks and spreads
+    large fits over the cluster.
     """
-    if partitions is None:
-        first = cut_lineage(df)
-        laid = cut_lineage(fit_layout(first, id_col, fit_partitions(first.count(), rows_per_partition)))
+    if partitions is not None:
+        return cut_lineage(fit_layout(df, id_col, partitions))
+    first = df if input_materialised else cut_lineage(df)
+    laid = cut_lineage(fit_layout(first, id_col, fit_partitions(first.count(), rows_per_partition)))
+    if not input_materialised:
         first.unpersist()  # only held in memory when no checkpoint folder is configured
-        return laid
-    return cut_lineage(fit_layout(df, id_col, partitions))
+    return laid
 
 
 def fit_kmeans(

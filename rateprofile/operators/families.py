@@ -116,7 +116,7 @@ def cluster_families(
     def prepare(fam: str):
         cols = [f"z_{c}" for c in feature_sets.get(fam, default_features)]
         own = assemble(scaled_all.filter(F.col(family_col) == fam), cols, "features")
-        return fam, prepare_for_fit(own, id_col, partitions)
+        return fam, prepare_for_fit(own, id_col, partitions, input_materialised=True)
 
     inputs = dict(run_parallel(prepare, sorted(eligible), parallel_fits))
     # Every (family, k) fit is an independent job: submit them together, plus

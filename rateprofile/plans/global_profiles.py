@@ -67,7 +67,7 @@ def cluster_and_assess(
         raise ValueError(f"no entities in the {train_value!r} split meet the exposure minimum")
 
     scaled, scaler = scaling.standardise(train, feature_cols)
-    fit_input = clustering.prepare_for_fit(scaled, id_col, partitions)
+    fit_input = clustering.prepare_for_fit(scaled, id_col, partitions, input_materialised=True)
     sweep_rows = clustering.kmeans_sweep(fit_input, k_range, seed)
     silhouette_k = clustering.choose_k(sweep_rows)
     best_k = clustering.choose_k(sweep_rows, k_override)

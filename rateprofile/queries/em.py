@@ -44,7 +44,8 @@ def _scaled(spark, sf_dir):
 
 def _fit_input(spark, sf_dir):
     scaled, _ = _scaled(spark, sf_dir)
-    return clustering.prepare_for_fit(scaled.select("vec_id", "label", "features"), "vec_id")
+    # a scaler transform over a Parquet scan: cheap to re-read, counted directly
+    return clustering.prepare_for_fit(scaled.select("vec_id", "label", "features"), "vec_id", input_materialised=True)
 
 
 def q_vec_head(spark, sf_dir):
@@ -138,7 +139,8 @@ def q_model_compare(spark, sf_dir):
 def q_holdout_assign(spark, sf_dir):
     emb = _emb(spark, sf_dir)
     train, scaler = scaling.standardise(emb.filter(F.col("label") < HOLDOUT_MIN_LABEL), "embedding")
-    model, _ = clustering.fit_kmeans(clustering.prepare_for_fit(train.select("vec_id", "features"), "vec_id"), K, SEED)
+    fit_input = clustering.prepare_for_fit(train.select("vec_id", "features"), "vec_id", input_materialised=True)
+    model, _ = clustering.fit_kmeans(fit_input, K, SEED)
     test = scaling.apply_scaler(emb.filter(F.col("label") >= HOLDOUT_MIN_LABEL), "embedding", scaler)
     return model.transform(test).select("vec_id", "label", "cluster")
 
