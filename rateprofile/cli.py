@@ -12,6 +12,7 @@ cluster resources.
 from __future__ import annotations
 
 import argparse
+import os
 
 from pyspark.sql import SparkSession
 
@@ -40,8 +41,10 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName(f"rateprofile-{args.command}").getOrCreate()
     data, out = args.data.rstrip("/"), args.out.rstrip("/")
     if args.command == "land":
-        land_events(spark, f"{data}/events", f"{out}/events", f"{out}/_checkpoints/events")
-        land_lineups(spark, f"{data}/lineups", f"{out}/lineups", f"{out}/_checkpoints/lineups")
+        # partition the landed tables by cohort when the match files are present
+        sessions = load_sessions(spark, f"{data}/matches/*/*.json") if os.path.isdir(f"{data}/matches") else None
+        land_events(spark, f"{data}/events", f"{out}/events", f"{out}/_checkpoints/events", sessions=sessions)
+        land_lineups(spark, f"{data}/lineups", f"{out}/lineups", f"{out}/_checkpoints/lineups", sessions=sessions)
         return
     if args.parquet:
         events, segments = spark.read.parquet(f"{data}/events"), spark.read.parquet(f"{data}/lineups")

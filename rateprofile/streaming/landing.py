@@ -12,12 +12,16 @@ splittable files).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..sources.json_sources import explode_segments, flatten_events, path_key
 from ..sources.schemas import EVENT_SCHEMA, LINEUP_SCHEMA
 
+COHORT_COLUMNS = ("competition_id", "season_id")
+
 
 def _stream(spark: SparkSession, src_dir: str, schema: StructType, max_files: int) -> DataFrame:
     return (
@@ -29,27 +33,58 @@ def _stream(spark: SparkSession, src_dir: str, schema: StructType, max_files: in
     )
 
 
-def _land(df: DataFrame, out_path: str, checkpoint: str) -> int:
-    query = (
+def _with_cohort(df: DataFrame, sessions: DataFrame | None, partition_cols: Sequence[str]) -> DataFrame:
+    """Stream-static left join adding the cohort columns of each session (one
+    row per session on the static side)."""
+    if sessions is None:
+        return df
+    return df.join(sessions.select("match_id", *partition_cols), "match_id", "left")
+
+
+def _land(df: DataFrame, out_path: str, checkpoint: str, partition_cols: Sequence[str] = ()) -> int:
+    writer = (
         df.writeStream.format("parquet")
         .option("path", out_path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
+    if partition_cols:
+        writer = writer.partitionBy(*partition_cols)
+    query = writer.start()
     query.awaitTermination()
     progress = query.recentProgress or []
     return int(sum(p.get("numInputRows", 0) for p in progress))
 
 
-def land_events(spark: SparkSession, src_dir: str, out_path: str, checkpoint: str, max_files: int = 256) -> int:
+def land_events(
+    spark: SparkSession,
+    src_dir: str,
+    out_path: str,
+    checkpoint: str,
+    max_files: int = 256,
+    sessions: DataFrame | None = None,
+    partition_cols: Sequence[str] = COHORT_COLUMNS,
+) -> int:
     """Flat events of every new file under ``src_dir`` appended to ``out_path``.
-    Returns the number of source records (events) read by this run."""
-    return _land(flatten_events(_stream(spark, src_dir, EVENT_SCHEMA, max_files)), out_path, checkpoint)
+    With a ``sessions`` dimension the landed table is partitioned by cohort
+    (a few large folders rather than one per session), so reads of some cohorts
+    prune the rest. Returns the number of source records (events) read by this run."""
+    flat = _with_cohort(flatten_events(_stream(spark, src_dir, EVENT_SCHEMA, max_files)), sessions, partition_cols)
+    return _land(flat, out_path, checkpoint, partition_cols if sessions is not None else ())
 
 
-def land_lineups(spark: SparkSession, src_dir: str, out_path: str, checkpoint: str, max_files: int = 256) -> int:
-    """Flat presence segments of every new lineup file appended to ``out_path``.
-    Returns the number of source records (team rows) read by this run."""
-    return _land(explode_segments(_stream(spark, src_dir, LINEUP_SCHEMA, max_files)), out_path, checkpoint)
+def land_lineups(
+    spark: SparkSession,
+    src_dir: str,
+    out_path: str,
+    checkpoint: str,
+    max_files: int = 256,
+    sessions: DataFrame | None = None,
+    partition_cols: Sequence[str] = COHORT_COLUMNS,
+) -> int:
+    """Flat presence segments of every new lineup file appended to ``out_path``,
+    partitioned by cohort when ``sessions`` is given. Returns the number of
+    source records (team rows) read by this run."""
+    flat = _with_cohort(explode_segments(_stream(spark, src_dir, LINEUP_SCHEMA, max_files)), sessions, partition_cols)
+    return _land(flat, out_path, checkpoint, partition_cols if sessions is not None else ())

@@ -1,4 +1,6 @@
+import contextlib
 import glob
+import io
 import json
 import os
 
@@ -96,3 +98,22 @@ def test_json_lines_input_matches_arrays(spark, football_dir, scratch):
     ]))
     cols = ["match_id", "event_id", "event_type", "player_id", "minute", "second"]
     assert rows(jl, *cols) == rows(arr, *cols)
+
+
+def test_landing_partitioned_by_cohort(spark, football_dir, scratch):
+    sessions = load_sessions(spark, f"{football_dir}/matches/*/*.json")
+    land_events(spark, f"{football_dir}/events", f"{scratch}/ev", f"{scratch}/ck", sessions=sessions)
+    parts = sorted(p for p in os.listdir(f"{scratch}/ev") if p.startswith("competition_id="))
+    assert parts == ["competition_id=901", "competition_id=902", "competition_id=903", "competition_id=904"]
+    landed = spark.read.parquet(f"{scratch}/ev")
+    one = landed.filter((F.col("competition_id") == 901) & (F.col("season_id") == 1))
+    batch = load_events(spark, f"{football_dir}/events/*.json").join(
+        sessions.filter("competition_id = 901").select("match_id"), "match_id", "left_semi"
+    )
+    assert one.count() == batch.count() > 0
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        one.explain()
+    scan = [line for line in buf.getvalue().splitlines() if "FileScan parquet" in line][0]
+    assert "PartitionFilters: [isnotnull(competition_id" in scan and "(competition_id = 901)" in scan
+
