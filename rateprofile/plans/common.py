@@ -91,3 +91,17 @@ def split_sessions(
         "competition_id long, season_id long, split string",
     )
     return sessions.join(F.broadcast(keys), ["competition_id", "season_id"], "inner")
+
+
+def restrict_to_cohorts(df: DataFrame, cohorts: Sequence[tuple[int, int]]) -> DataFrame:
+    """Keep the rows of the listed (competition_id, season_id) cohorts when the
+    table carries those columns (a cohort-partitioned landing does): the filter
+    becomes a partition filter, so other cohorts' files are not read."""
+    if not {"competition_id", "season_id"} <= set(df.columns) or not cohorts:
+        return df
+    cond = None
+    for comp, season in cohorts:
+        c = (F.col("competition_id") == int(comp)) & (F.col("season_id") == int(season))
+        cond = c if cond is None else (cond | c)
+    return df.filter(cond)
+

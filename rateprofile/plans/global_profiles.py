@@ -22,7 +22,14 @@ from ..functions.predicates import GENERAL_FEATURES, MIN_EXPOSURE_MINUTES, PRESS
 from ..operators import assess, clustering, scaling
 from ..session import cut_lineage
 from ..sources.sinks import drop_vectors, write_parquet
-from .common import player_features, player_match_stats, player_minutes, split_sessions, with_split
+from .common import (
+    player_features,
+    player_match_stats,
+    player_minutes,
+    restrict_to_cohorts,
+    split_sessions,
+    with_split,
+)
 
 # --- Fixed values: pipeline defaults ---------------------------------------------------
 K_RANGE = tuple(range(3, 11))
@@ -148,7 +155,8 @@ def global_profiles(
     # Minutes feed both the features and the intensity denominator; one row per
     # (match, player), so it is materialised once instead of re-reading events.
     minutes = cut_lineage(player_minutes(events, segments, end_mode=end_mode, mode=exposure_mode))
-    stats = player_match_stats(events)
+    # Counters read the widest slice of the events; only train and test cohorts matter.
+    stats = player_match_stats(restrict_to_cohorts(events, [*train_cohorts, *test_cohorts]))
     feats = player_features(with_split(stats, splits), with_split(minutes, splits), min_minutes, by=("split",))
     # The entity table is small next to the events it summarises: materialise it
     # once (reliable checkpoint) so every later report reads it, not the events.
