@@ -145,6 +145,14 @@ def q_exposure_span(spark, sf_dir):
     return finish(expo)
 
 
+def q_exposure_sum_segments(spark, sf_dir):
+    ev = ev_events(spark, sf_dir)
+    expo = exposure.exposure(
+        ev_segments(ev), "day", "user_id", role=None, ends=ev_session_end(ev), mode="sum_segments"
+    )
+    return finish(expo)
+
+
 def q_exposure_with_role(spark, sf_dir):
     return finish(ev_exposure(ev_events(spark, sf_dir)))
 
@@ -369,6 +377,9 @@ select event_id, day, round(from_min, 6) as from_min, round(to_min, 6) as to_min
     "exposure_span": f"""
 with {_EV_CTES}
 select day, user_id, round(exposure, 6) as exposure from ex""",
+    "exposure_sum_segments": f"""
+with {_EV_CTES}
+select day, user_id, round(sum(greatest(to_min - from_min, 0)), 6) as exposure from seg group by day, user_id""",
     "exposure_with_role": f"""
 with {_EV_CTES}
 select day, user_id, round(exposure, 6) as exposure, primary_role from exr""",
@@ -427,6 +438,7 @@ QUERIES = {
     "session_end": q_session_end,
     "open_end_fill": q_open_end_fill,
     "exposure_span": q_exposure_span,
+    "exposure_sum_segments": q_exposure_sum_segments,
     "exposure_with_role": q_exposure_with_role,
     "session_entity_counts": q_session_entity_counts,
     "entity_totals": q_entity_totals,

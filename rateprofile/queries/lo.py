@@ -19,6 +19,7 @@ from .common import finish, table
 TRAIN_COHORTS = (("1-URGENT", 1995), ("1-URGENT", 1996), ("2-HIGH", 1995), ("2-HIGH", 1996))
 TEST_COHORTS = (("3-MEDIUM", 1997), ("5-LOW", 1997), ("5-LOW", 1998))
 SPOT_NAMES = ("000000042", "00000013")
+RETURNED = "R"
 SEGMENT_FAMILY_RULES = (
     LabelRule("VEHICLE", equals=("AUTOMOBILE",)),
     LabelRule("HOME", contains=("HOUSE", "FURNI")),
@@ -107,6 +108,29 @@ def q_cross_tab(spark, sf_dir):
     return joined.groupBy("l_returnflag", "o_orderpriority").agg(F.sum("_n").alias("n"))
 
 
+def q_cohort_intensity_per_year(spark, sf_dir):
+    """Returned lines per 90 units of quantity per (priority, year), with the
+    per-period denominator: a priority spans several years, so this differs from
+    the per-cohort denominator."""
+    lines = _lines(spark, sf_dir)
+    sessions = _orders(spark, sf_dir).select(
+        F.col("o_orderkey").alias("l_orderkey"),
+        F.col("o_orderpriority").alias("cohort"),
+        F.year("o_orderdate").cast("long").alias("year"),
+    )
+    out = assess.cohort_intensity(
+        lines.filter(F.col("l_returnflag") == RETURNED),
+        lines,
+        sessions,
+        "l_orderkey",
+        "cohort",
+        "year",
+        exposure_col="l_quantity",
+        per_period_denominator=True,
+    )
+    return finish(out)
+
+
 def q_split_keys(spark, sf_dir):
     return split_keys(spark, sf_dir)
 
@@ -182,6 +206,15 @@ where rn = 1""",
     "cross_tab": """
 select l_returnflag, o_orderpriority, count(*) as n
 from lineitem join orders on l_orderkey = o_orderkey group by l_returnflag, o_orderpriority""",
+    "cohort_intensity_per_year": f"""
+with ss as (select o_orderkey as k, o_orderpriority as cohort, cast(year(o_orderdate) as bigint) as year from orders),
+nn as (select cohort, year, count(*) as n_events from lineitem join ss on l_orderkey = k
+       where l_returnflag = '{RETURNED}' group by cohort, year),
+dd as (select cohort, year, sum(l_quantity) as total_exposure from lineitem join ss on l_orderkey = k
+       group by cohort, year)
+select cohort, year, n_events, round(total_exposure, 6) as total_exposure,
+       round(n_events / total_exposure * 90.0, 6) as events_per_90
+from nn join dd using (cohort, year)""",
     "split_keys": f"""
 with {_SPLIT_SQL}
 select o_orderkey, split from sk""",
@@ -210,6 +243,7 @@ QUERIES = {
     "role_totals": q_role_totals,
     "dominant_role": q_dominant_role,
     "cross_tab": q_cross_tab,
+    "cohort_intensity_per_year": q_cohort_intensity_per_year,
     "split_keys": q_split_keys,
     "split_filter": q_split_filter,
     "spot_check": q_spot_check,
