@@ -20,6 +20,7 @@ TRAIN_COHORTS = (("1-URGENT", 1995), ("1-URGENT", 1996), ("2-HIGH", 1995), ("2-H
 TEST_COHORTS = (("3-MEDIUM", 1997), ("5-LOW", 1997), ("5-LOW", 1998))
 SPOT_NAMES = ("000000042", "00000013")
 RETURNED = "R"
+SPOT_NAMES_ANY_CASE = ("CUSTOMER#0000001", "customer#00000077")
 SEGMENT_FAMILY_RULES = (
     LabelRule("VEHICLE", equals=("AUTOMOBILE",)),
     LabelRule("HOME", contains=("HOUSE", "FURNI")),
@@ -145,6 +146,11 @@ def q_spot_check(spark, sf_dir):
     return assess.spot_check(cu, "c_name", SPOT_NAMES)
 
 
+def q_spot_check_ignore_case(spark, sf_dir):
+    cu = table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    return assess.spot_check(cu, "c_name", SPOT_NAMES_ANY_CASE, ignore_case=True)
+
+
 def _segment_families(spark, sf_dir):
     cu = table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
     return cu.withColumn("family", label_family("c_mktsegment", SEGMENT_FAMILY_RULES))
@@ -225,6 +231,9 @@ from lineitem where l_orderkey in (select o_orderkey from sk where split = 'trai
     "spot_check": f"""
 select c_custkey, c_name, c_mktsegment from customer
 where {" or ".join(f"contains(c_name, '{s}')" for s in SPOT_NAMES)}""",
+    "spot_check_ignore_case": f"""
+select c_custkey, c_name, c_mktsegment from customer
+where {" or ".join(f"contains(lower(c_name), '{s.lower()}')" for s in SPOT_NAMES_ANY_CASE)}""",
     "label_family": f"""
 select c_custkey, c_mktsegment, {_segment_case('c_mktsegment')} as family from customer""",
     "family_k_range": f"""
@@ -247,6 +256,7 @@ QUERIES = {
     "split_keys": q_split_keys,
     "split_filter": q_split_filter,
     "spot_check": q_spot_check,
+    "spot_check_ignore_case": q_spot_check_ignore_case,
     "label_family": q_label_family,
     "family_k_range": q_family_k_range,
 }
