@@ -12,6 +12,10 @@ operators  exposure, conditional counts, entity features, scaling, clustering, a
 plans      the two end-to-end pipelines (global and per-family profiles)
 streaming  incremental JSON -> Parquet landing with Structured Streaming
 queries    adapters from the test tables to the operators, plus DuckDB oracle SQL
+cli        ``python -m rateprofile {global,families,land}``
+
+See README.md for the operator inventory and the scale design, docs/PLANS.md for
+the physical plans and docs/ADAPTERS.md for the test-table bindings.
 """
 
 __version__ = "0.1.0"
