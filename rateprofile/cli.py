@@ -29,8 +29,8 @@ def _pairs(values):
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="rateprofile")
     ap.add_argument("command", choices=["global", "families", "land"])
-    ap.add_argument("--data", required=True)
-    ap.add_argument("--out", required=True)
+    ap.add_argument("--data", required=True, help="folder with events/, lineups/ and matches/ (or landed Parquet)")
+    ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     ap.add_argument("--train", nargs="*", help="competition:season pairs fitted on")
     ap.add_argument("--test", nargs="*", help="competition:season pairs held out")
     ap.add_argument("--k", type=int, default=None, help="override the silhouette-chosen k")
