@@ -1,0 +1,281 @@
+"""PII surrogates: detected entities get keyed replacements of the same type and
+format, one per entity throughout the corpus.
+
+Detection gives each mention a type and a canonical form (digits of a phone
+number, lower-cased address, name words). The surrogate of a canonical form is
+drawn from HMAC-SHA256(key, type, form, attempt): same length, letters for letters and digits
+for digits; card numbers keep their checksum status, IBANs get a valid checksum, names
+keep script and gender. It is poured back into the punctuation and case of each mention, so
+mentions of one entity agree (coreference).
+
+Distinctness is checked over the whole corpus: entities with the same surrogate, or
+with a surrogate that is itself an entity of the corpus, draw again, all but one. Only entities
+that had to draw again are sent to the tasks; all others recompute theirs.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import hmac
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import materialise
+
+KEY = b"rateprofile-surrogates"
+#: Entities that drew again are broadcast up to this number, else joined per document.
+BROADCAST_REDRAWN = 100_000
+#: From this attempt on a surrogate may equal an entity of the corpus, so that small
+#: formats cannot run out; it stays distinct from all other surrogates.
+ATTEMPTS_APART = 40
+
+#: Titles by gender, and the names whose gender is known without one.
+TITLES = {
+    "m": ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Mister", "господин"),
+    "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Señorita", "Srta", "госпожа"),
+    "n": ("Mx", "Dr", "Prof"),
+}
+#: Given names of the surrogates, by script and gender.
+GIVEN = {
+    ("latin", "m"): ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karim", "Leo", "Martin", "Noel", "Oscar", "Paul"),
+    ("latin", "f"): ("Alice", "Berta", "Clara", "Diana", "Emma", "Flora", "Greta", "Helena", "Irene", "Julia", "Karla", "Laura", "Marta", "Nina", "Olga", "Petra"),
+    ("latin", "n"): ("Alex", "Robin", "Kim", "Sascha", "Noa", "Charlie", "Dominique", "Andrea"),
+    ("cyrillic", "m"): ("Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Иван", "Кирилл"),
+    ("cyrillic", "f"): ("Анна", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Ксения", "Мария"),
+    ("cyrillic", "n"): ("Саша", "Женя", "Валя", "Слава"),
+}
+#: Syllables of which family names are made, by script.
+SYLLABLES = {
+    "latin": [c + v for c in "bdfgklmnprstv" for v in "aeiou"],
+    "cyrillic": [c + v for c in "бвгдклмнпрст" for v in "аеиоу"],
+}
+
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_DIGITAL = re.compile(
+    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
+    r"|(?P<phone>(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,5}){1,4}(?![0-9])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9]))"
+    r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
+    rf"|(?P<ip>(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9]))"
+    r"|(?P<card>(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]))"
+)
+_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])|(?<!\w)[\w.%+-]{1,64}@(?:[\w-]{1,63}\.){1,8}[A-Za-z]{2,24}(?!\w)")
+_NAME_WORD = r"[^\W\d_a-zа-яß-öø-ÿ][^\W\d_A-ZА-ЯÀ-Þ]+"
+_NAME = re.compile(rf"\b(?P<title>{'|'.join(t for g in TITLES.values() for t in g)})\.? (?P<name>{_NAME_WORD}(?:[ -]{_NAME_WORD}){{0,2}})")
+_GENDER = {t: g for g, ts in TITLES.items() for t in ts}
+_IBAN_LENGTHS = range(15, 35)
+
+
+def luhn(digits: str) -> bool:
+    total = sum(sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits)))
+    return total % 10 == 0
+
+
+def _iban_ok(s: str) -> bool:
+    return len(s) in _IBAN_LENGTHS and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+
+
+def detect(text: str) -> list[tuple[int, int, str, str]]:
+    """(start, end, type, canonical form) of the entities, in order, not overlapping."""
+    found: list[tuple[int, int, str, str]] = []
+    if "@" in text:
+        found += [(m.start(), m.end(), "email", m.group().lower()) for m in _EMAIL.finditer(text)]
+    if any(d in text for d in "0123456789"):
+        for m in _DIGITAL.finditer(text):
+            kind, s = m.lastgroup, m.group()
+            form = s if kind == "ip" else re.sub(r"[^0-9A-Z]", "", s)
+            if kind == "iban" and not _iban_ok(form):
+                continue
+            found.append((m.start(), m.end(), kind, form))
+    for m in _NAME.finditer(text):
+        found.append((m.start("name"), m.end("name"), "name_" + _GENDER[m["title"]], re.sub(r"[ -]", " ", m["name"]).lower()))
+    out: list[tuple[int, int, str, str]] = []
+    for e in sorted(found, key=lambda e: (e[0], -e[1])):
+        if not out or e[0] >= out[-1][1]:
+            out.append(e)
+    return out
+
+
+class _Draw:
+    """A stream of numbers from the key, an entity and the attempt."""
+
+    def __init__(self, key: bytes, kind: str, form: str, attempt: int):
+        self.seed = hmac.new(key, f"{kind}\x00{form}\x00{attempt}".encode(), hashlib.sha256).digest()
+        self.n, self.left = 0, b""
+
+    def below(self, n: int) -> int:
+        if len(self.left) < 4:
+            self.left += hashlib.sha256(self.seed + self.n.to_bytes(4, "big")).digest()
+            self.n += 1
+        x, self.left = int.from_bytes(self.left[:4], "big"), self.left[4:]
+        return x % n
+
+    def digits(self, n: int) -> str:
+        return "".join(str(self.below(10)) for _ in range(n))
+
+
+def surrogate(kind: str, form: str, attempt: int = 0, key: bytes = KEY) -> str:
+    """Canonical form of the replacement; never the form itself."""
+    for turn in range(100):
+        out = _surrogate(kind, form, _Draw(key, kind, form, attempt + 1_000_000 * turn))
+        if out != form:
+            return out
+    return out
+
+
+def _surrogate(kind: str, form: str, d: _Draw) -> str:
+    if kind == "ip":
+        return ".".join(str(1 + d.below(254)) for _ in range(4))
+    if kind == "email":
+        name, _, tld = form.rpartition(".")
+        return "".join(chr(97 + d.below(26)) if c.isalpha() else str(d.below(10)) if c.isdigit() else c for c in name) + "." + tld
+    if kind == "card":
+        body = form[0] + d.digits(len(form) - 2)
+        last = next(str(c) for c in range(10) if luhn(body + str(c)))
+        return body + (last if luhn(form) else str((int(last) + 1 + d.below(9)) % 10))
+    if kind == "phone":
+        n = 1 if form.startswith(("1", "7")) else 2
+        return form[:n] + d.digits(len(form) - n)
+    if kind == "iban":
+        body = "".join(chr(65 + d.below(26)) if c.isalpha() else str(d.below(10)) for c in form[4:])
+        check = 98 - int("".join(str(int(c, 36)) for c in body + form[:2] + "00")) % 97
+        return f"{form[:2]}{check:02d}{body}"
+    if kind.startswith("name_"):
+        words = form.split(" ")
+        script = "cyrillic" if re.match(r"[а-яё]", form) else "latin"
+        made = ["".join(SYLLABLES[script][d.below(len(SYLLABLES[script]))] for _ in range(3 + d.below(2))) for _ in words]
+        if len(words) > 1:
+            given = GIVEN[script, kind[-1]]
+            made[0] = given[d.below(len(given))].lower()
+        return " ".join(made)
+    return d.digits(len(form))
+
+
+def pour(mention: str, kind: str, form: str, new: str) -> str:
+    """The replacement in the punctuation and case of the mention."""
+    if kind == "ip":
+        return new
+    if kind.startswith("name_"):
+        words = iter(new.split(" "))
+        parts = re.split(r"([ -])", mention)
+        return "".join(p if i % 2 else (next(words).upper() if p.isupper() and len(p) > 1 else next(words).capitalize()) for i, p in enumerate(parts))
+    if kind == "email" and len(new) == len(mention):
+        return "".join(n.upper() if m.isupper() else n for m, n in zip(mention, new))
+    signs = iter(new)
+    return "".join(next(signs, "") if c.isalnum() else c for c in mention)
+
+
+def _entities(text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = {(k, f) for t in batch.column("text") for _, _, k, f in detect(t.as_py() or "")}
+            kinds, forms = [k for k, _ in seen], [f for _, f in seen]
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(forms, pa.string())], names=["kind", "form"])
+
+    return run
+
+
+def _drawn(key: bytes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new = [surrogate(k.as_py(), f.as_py(), a.as_py(), key) for k, f, a in zip(*(batch.column(c) for c in ("kind", "form", "attempt")))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("kind", "form", "attempt")), pa.array(new, pa.string())], names=["kind", "form", "attempt", "new"])
+
+    return run
+
+
+_SCHEMA = "kind string, form string, attempt int, new string"
+
+
+def assign(entities: DataFrame, key: bytes = KEY) -> DataFrame:
+    """(kind, form, attempt, new) for distinct (kind, form): distinct replacements.
+    Each round settles at least one of the entities that share a replacement."""
+    family = F.split("kind", "_")[0]
+    forms = entities.select(family.alias("family"), F.col("form").alias("new")).distinct()
+    pending = entities.withColumn("attempt", F.lit(0))
+    settled = None
+    attempt = 0
+    while True:
+        drawn = materialise(pending.mapInArrow(_drawn(key), _SCHEMA), "drawn").withColumn("family", family)
+        owner = drawn.groupBy("family", "new").agg(F.min(F.struct("kind", "form")).alias("owner"))
+        won = drawn.join(owner, ["family", "new"]).filter((F.col("owner.kind") == F.col("kind")) & (F.col("owner.form") == F.col("form"))).drop("owner")
+        if attempt < ATTEMPTS_APART:
+            won = won.join(forms, ["family", "new"], "left_anti")
+        if settled is not None:
+            won = won.join(settled.select("family", "new"), ["family", "new"], "left_anti")
+        won = materialise(won.select("kind", "form", "attempt", "new", "family"), "settled")
+        settled = won if settled is None else settled.unionByName(won)
+        lost = drawn.join(won, ["kind", "form"], "left_anti")
+        attempt += 1
+        if lost.isEmpty():
+            return settled.drop("family")
+        pending = lost.select("kind", "form", F.lit(attempt).alias("attempt"))
+
+
+def _replace(text_col: str, key: bytes, shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = shared.value
+        memo: dict[tuple[str, str, int], str] = {}
+        for batch in batches:
+            row, own = batch.column("row"), batch.column("redrawn")
+            new_text, lists = [], []
+            for i, t in enumerate(row.field(text_col)):
+                text = t.as_py()
+                spans, out, at = [], [], 0
+                found = detect(text) if text else []
+                mine = {(x["kind"], x["form"]): x["attempt"] for x in own[i].as_py() or ()} if found else {}
+                for a, b, kind, form in found:
+                    n = mine.get((kind, form), common.get((kind, form), 0))
+                    if (kind, form, n) not in memo:
+                        if len(memo) > 200_000:
+                            memo.clear()
+                        memo[kind, form, n] = surrogate(kind, form, n, key)
+                    new = pour(text[a:b], kind, form, memo[kind, form, n])
+                    out += [text[at:a], new]
+                    spans.append({"kind": kind, "start": a, "end": b, "surrogate": new})
+                    at = b
+                new_text.append(text if text is None or not found else "".join([*out, text[at:]]))
+                lists.append(spans)
+            yield pa.RecordBatch.from_arrays([row, pa.array(new_text, pa.string()), pa.array(lists, batch.schema.field("entities").type)], names=["row", "text", "entities"])
+
+    return run
+
+
+def anonymise(docs: DataFrame, text_col: str = "text", key: bytes = KEY, broadcast_redrawn: int = BROADCAST_REDRAWN) -> DataFrame:
+    """One row per document: ``row`` (struct of all input columns, whatever their
+    names), ``text`` with the surrogates, ``entities`` (kind, start, end in the input text, surrogate).
+
+    A null text stays null and an empty one empty; texts without entities stay as
+    they are; repeated rows get the same surrogates; an empty table gives an empty result.
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.col(text_col).alias("text"))
+    entities = materialise(texts.mapInArrow(_entities(text_col), "kind string, form string").distinct(), "entities")
+    redrawn = materialise(assign(entities, key).filter("attempt > 0").select("kind", "form", "attempt"), "redrawn")
+    few = redrawn.count() <= broadcast_redrawn
+    shared = spark.sparkContext.broadcast({(r["kind"], r["form"]): r["attempt"] for r in redrawn.collect()} if few else {})
+    kind = "array<struct<kind:string,form:string,attempt:int>>"
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    if few:
+        rows = rows.withColumn("redrawn", F.lit(None).cast(kind))
+    else:
+        # only documents that mention such an entity get a list of attempts
+        keyed = docs.select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).dropDuplicates(["h"])
+        mentions = keyed.mapInArrow(_mentions, "h long, kind string, form string").join(redrawn, ["kind", "form"])
+        lists = mentions.groupBy("h").agg(F.collect_list(F.struct("kind", "form", "attempt")).alias("redrawn"))
+        rows = rows.withColumn("h", F.xxhash64(f"row.{text_col}")).join(lists, "h", "left").select("row", "redrawn")
+    entity = "array<struct<kind:string,start:int,end:int,surrogate:string>>"
+    rows = rows.withColumn("text", F.lit("")).withColumn("entities", F.array().cast(entity))
+    schema = rows.select("row", "text", "entities").schema
+    schema["text"].nullable = True
+    return rows.mapInArrow(_replace(text_col, key, shared), schema)
+
+
+def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(h.as_py(), k, f) for h, t in zip(batch.column("h"), batch.column("text")) for k, f in {e[2:] for e in detect(t.as_py() or "")}]
+        types = (pa.int64(), pa.string(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["h", "kind", "form"])

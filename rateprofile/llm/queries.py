@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, simhash
+from . import chat, decontaminate, langid, mixing, pii, repeats, secrets, simhash, topk, warc
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,91 @@ def _mix(spark, sf_dir):
 def _simhash(spark, sf_dir):
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@_query("op3_pii_surrogates")
+def _pii(spark, sf_dir):
+    got = pii.anonymise(table(spark, sf_dir, "documents"))
+    return got.select(F.col("row.doc_id").alias("doc_id"), F.size("entities").cast("long").alias("n_entities"), "entities", "text")
+
+
+@_query(
+    "op5_top_k",
+    """
+with v as (
+  select vec_id, row_number() over () as r, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scores as (
+  select q.r, q.vec_id as query_id, c.vec_id, cast(list_inner_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score
+  from v q join v c on q.r <> c.r and len(q.v) = len(c.v)
+  where q.vec_id % 100 = 0),
+ranked as (select *, row_number() over (partition by r order by score desc, vec_id nulls last) as rank from scores)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 10
+""",
+)
+def _top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+@_query("op6_secret_scan")
+def _secrets(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    spans, base = F.col("spans"), secrets.base_only(F.col("spans"))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *[secrets.count_of(spans, k[0]).alias(f"n_{k[0]}") for k in secrets.KINDS],
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+        secrets.spans_text(spans).alias("spans"),
+    )
+
+
+@_query("op7_suffix_dedup")
+def _repeats(spark, sf_dir):
+    got = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return got.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("op8_language_id")
+def _language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~langid.held_out()))
+    got = langid.predict(docs.withColumn("held_out", langid.held_out()), model)
+    return got.select(F.col("row.doc_id").alias("doc_id"), F.col("row.held_out").alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@_query(
+    "op9_preference_format",
+    """
+with t as (
+  select cast(floor(conv_id / 2) as bigint) as pair_id, conv_id % 2 = 0 as c, turn, coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null),
+p as (select *, row_number() over (partition by pair_id, c order by turn nulls last, role, text) - 1 as position from t),
+s as (
+  select pair_id, min(position) as split from (
+    select coalesce(a.pair_id, b.pair_id) as pair_id, coalesce(a.position, b.position) as position
+    from (select * from p where c) a full join (select * from p where not c) b on a.pair_id = b.pair_id and a.position = b.position
+    where a.role is null or b.role is null or a.role <> b.role or a.text <> b.text)
+  group by pair_id),
+r as (
+  select p.*, coalesce(position < split, true) as in_prompt, '<|im_start|>' || role || chr(10) as head,
+         '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) as rendered
+  from p left join s using (pair_id)),
+o as (select *, coalesce(sum(length(rendered)) over (partition by pair_id, c order by position rows between unbounded preceding and 1 preceding), 0) as start from r)
+select pair_id, case when in_prompt then 'prompt' when c then 'chosen' else 'rejected' end as part, position, role, rendered,
+       cast(start as bigint) as start, cast(start + length(rendered) as bigint) as "end",
+       case when not in_prompt and role = 'assistant' then cast(start + length(head) as bigint) end as loss_start,
+       case when not in_prompt and role = 'assistant' then cast(start + length(rendered) - 1 as bigint) end as loss_end
+from o where c or not in_prompt
+""",
+)
+def _preferences(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations")
+    return chat.format_pairs(conversations, *chat.id_pairs(conversations))
+
+
+@_query("op10_warc")
+def _warc(spark, sf_dir):
+    index = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
