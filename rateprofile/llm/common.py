@@ -50,6 +50,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct ``row``, out of the way of any other name."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

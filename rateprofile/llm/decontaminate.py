@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, ascii_lower, byte_table, materialise, mix64, slices, spread, text_bytes
+from .common import ascii_lower, byte_table, materialise, mix64, slices, spread, text_bytes, whole_row, Words
 
 WINDOW_WORDS = 10
 MAX_WINDOWS = 500_000
@@ -181,7 +181,7 @@ def find_hits(data: np.ndarray, offsets: np.ndarray, groups: list[Patterns], own
 
 def merge(spans: list) -> list[list[int]]:
     out: list[list[int]] = []
-    for a, b in sorted(spans):
+    for a, b in sorted(map(tuple, spans)):
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
         else:
@@ -213,7 +213,7 @@ def decontaminate(
     n = windows.count()
     rounds = max(1, -(-n // max_windows))
     out = docs.select(
-        F.struct(*docs.columns).alias("row"),
+        whole_row(docs),
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast(_RUNS).alias("hits"),
         F.array().cast("array<string>").alias("items"),
@@ -237,7 +237,7 @@ def _scan(tables, text_col: str):
             n_words, hits, items = [], [], []
             for (n, h, own), old_h, old_own in zip(find_hits(data, offsets, groups, owners), batch.column("hits").to_pylist(), batch.column("items").to_pylist()):
                 if old_h:
-                    h = merge([*h, *((x["first"], x["end"]) for x in old_h)])
+                    h = merge([*h, *([x["first"], x["end"]] for x in old_h)])
                 if old_own:
                     own = sorted({*own, *old_own})
                 n_words.append(n)

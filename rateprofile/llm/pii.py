@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, whole_row
 
 KEY = b"rateprofile-surrogates"
 #: Entities that drew again are broadcast up to this number, else joined per document.
@@ -258,7 +258,7 @@ def anonymise(docs: DataFrame, text_col: str = "text", key: bytes = KEY, broadca
     few = redrawn.count() <= broadcast_redrawn
     shared = spark.sparkContext.broadcast({(r["kind"], r["form"]): r["attempt"] for r in redrawn.collect()} if few else {})
     kind = "array<struct<kind:string,form:string,attempt:int>>"
-    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    rows = docs.select(whole_row(docs))
     if few:
         rows = rows.withColumn("redrawn", F.lit(None).cast(kind))
     else:

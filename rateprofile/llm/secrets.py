@@ -19,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import whole_row
+
 _FENCE, _OTHER = "\x01", "\x02"
 _ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 _FOUND = "array<struct<start:bigint,value:string>>"
@@ -135,7 +137,7 @@ def scan(docs: DataFrame, text_col: str = "text", classes: tuple[CharClass, ...]
     A candidate that the allow-list matches adds no entropy span; pattern spans
     always stay. Work grows linearly with a text, but for the spans found in it.
     """
-    out = docs.select(F.struct(*docs.columns).alias("row"))
+    out = docs.select(whole_row(docs))
     text = F.coalesce(F.col(f"row.{text_col}"), F.lit(""))
     lists = [_pattern_spans(text, order, *k) for order, k in enumerate(KINDS)]
     lists += [_entropy_spans(text, order, c, allow) for order, c in enumerate(classes, len(KINDS))]

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, byte_table, materialise, slices, text_bytes
+from .common import byte_table, materialise, slices, text_bytes, whole_row, Words
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -76,7 +76,7 @@ def _majority(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
     """Input rows as struct ``row`` and their ``fingerprint`` (long, as raw bits)."""
-    out = docs.select(F.struct(*docs.columns).alias("row"), F.lit(0).cast("long").alias("fingerprint"))
+    out = docs.select(whole_row(docs), F.lit(0).cast("long").alias("fingerprint"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,8 +225,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """The document with the smallest id (null last) of every group, in its input columns. Ties
     of id within a group are broken by a hash of the row; exact copies of that row
     leave one."""
-    row_hash = F.xxhash64(*[F.col(c) for c in docs.columns])
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), row_hash.alias("key"))
+    row_hash = F.xxhash64(whole_row(docs))
+    keyed = docs.select(whole_row(docs), F.col(id_col).alias("id"), row_hash.alias("key"))
     prints = with_fingerprint(keyed.select("id", "key", F.col(f"row.{text_col}").alias("text")), "text", shingle)
     ids = materialise(prints.select("row.id", "row.key", "fingerprint"), "prints")
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
