@@ -92,13 +92,13 @@ def event_counters(
     """
     start_x = array_head("location", 0)
     end_x = array_head("pass_end_location", 0)
-    is_pass = _is("event_type", PASS)
-    complete = is_pass & F.col("pass_outcome").isNull()
-    is_shot = _is("event_type", SHOT)
-    is_dribble = _is("event_type", DRIBBLE)
+    is_pass = _is("type_name", PASS)
+    complete = is_pass & F.col("pass_outcome_name").isNull()
+    is_shot = _is("type_name", SHOT)
+    is_dribble = _is("type_name", DRIBBLE)
     zone = start_x >= zone_min_x
     if zone_event_types is not None:
-        zone = zone & F.col("event_type").isin(*zone_event_types)
+        zone = zone & F.col("type_name").isin(*zone_event_types)
     aerial = None
     for flag in AERIAL_WON_FLAGS:
         aerial = _flag(flag) if aerial is None else (aerial | _flag(flag))
@@ -108,44 +108,50 @@ def event_counters(
         "progressive_passes": complete & ((end_x - start_x) >= progressive_min_advance),
         "key_passes": is_pass & (_flag("pass_shot_assist") | _flag("pass_goal_assist")),
         "shots": is_shot,
-        "goals": is_shot & _is("shot_outcome", GOAL),
+        "goals": is_shot & _is("shot_outcome_name", GOAL),
         "dribble_attempts": is_dribble,
-        "dribbles_completed": is_dribble & _is("dribble_outcome", DRIBBLE_COMPLETE),
-        "tackles_won": _is("event_type", DUEL)
-        & _is("duel_type", TACKLE)
-        & F.col("duel_outcome").isin(*TACKLE_WON_OUTCOMES),
-        "interceptions": _is("event_type", INTERCEPTION),
+        "dribbles_completed": is_dribble & _is("dribble_outcome_name", DRIBBLE_COMPLETE),
+        "tackles_won": _is("type_name", DUEL)
+        & _is("duel_type_name", TACKLE)
+        & F.col("duel_outcome_name").isin(*TACKLE_WON_OUTCOMES),
+        "interceptions": _is("type_name", INTERCEPTION),
         "aerial_duels_won": aerial,
-        "pressures": _is("event_type", PRESSURE),
+        "pressures": _is("type_name", PRESSURE),
         "attacking_third_touches": zone,
-        "gk_shots_faced": _is("gk_type", GK_SHOT_FACED),
-        "gk_shots_saved": F.col("gk_type").isin(*GK_SHOT_SAVED),
-        "gk_claims": F.col("gk_type").isin(*GK_CLAIM),
-        "gk_sweeper_actions": _is("gk_type", GK_SWEEPER),
+        "gk_shots_faced": _is("goalkeeper_type_name", GK_SHOT_FACED),
+        "gk_shots_saved": F.col("goalkeeper_type_name").isin(*GK_SHOT_SAVED),
+        "gk_claims": F.col("goalkeeper_type_name").isin(*GK_CLAIM),
+        "gk_sweeper_actions": _is("goalkeeper_type_name", GK_SWEEPER),
     }
 
 
+# --- Fixed values: output schema of the player feature table ------------------------
+# In the order in which the table lists them: per-90 rates of counters, and ratios
+# (name, numerator, denominator).
+FEATURE_TABLE = (
+    ("passes_attempted",),
+    ("pass_completion_pct", "passes_completed", "passes_attempted"),
+    ("progressive_passes",),
+    ("key_passes",),
+    ("shots",),
+    ("shot_conversion_pct", "goals", "shots"),
+    ("dribbles_completed",),
+    ("dribble_success_pct", "dribbles_completed", "dribble_attempts"),
+    ("tackles_won",),
+    ("interceptions",),
+    ("aerial_duels_won",),
+    ("pressures",),
+    ("attacking_third_touches",),
+    ("gk_shots_faced",),
+    ("gk_save_pct", "gk_shots_saved", "gk_shots_faced"),
+    ("gk_claims",),
+    ("gk_sweeper_actions",),
+)
+# --- end of fixed values ------------------------------------------------------------
+
+
 def event_feature_specs():
-    """Output specs (rates and ratios) of the 17-column player feature table, in
-    the order the feature table lists them."""
+    """Output specs (rates and ratios) of ``FEATURE_TABLE``."""
     from ..operators.features import Rate, Ratio
 
-    return [
-        Rate("passes_attempted"),
-        Ratio("pass_completion_pct", "passes_completed", "passes_attempted"),
-        Rate("progressive_passes"),
-        Rate("key_passes"),
-        Rate("shots"),
-        Ratio("shot_conversion_pct", "goals", "shots"),
-        Rate("dribbles_completed"),
-        Ratio("dribble_success_pct", "dribbles_completed", "dribble_attempts"),
-        Rate("tackles_won"),
-        Rate("interceptions"),
-        Rate("aerial_duels_won"),
-        Rate("pressures"),
-        Rate("attacking_third_touches"),
-        Rate("gk_shots_faced"),
-        Ratio("gk_save_pct", "gk_shots_saved", "gk_shots_faced"),
-        Rate("gk_claims"),
-        Rate("gk_sweeper_actions"),
-    ]
+    return [Ratio(*f) if len(f) == 3 else Rate(*f) for f in FEATURE_TABLE]

@@ -12,27 +12,51 @@ from ..functions.predicates import event_counters, event_feature_specs
 from ..operators import counts, exposure, features
 
 
-def player_minutes(events: DataFrame, segments: DataFrame, end_mode: str = "reference", mode: str = "span") -> DataFrame:
+CLOCK_MAXIMA = ("last_minute", "last_second", "last_clock")
+
+
+def player_match_summary(events: DataFrame, **counter_args) -> DataFrame:
+    """One row per (match, player), NULL players included: ``total_events``, the 17 counters and the
+    maxima of the clock. One pass over the events serves counters, session ends and intensity."""
+    clock = F.col("minute") + F.col("second") / 60.0
+    aggs = [F.count_if(p).alias(name) for name, p in event_counters(**counter_args).items()]
+    maxima = [F.max(c).alias(name) for name, c in zip(CLOCK_MAXIMA, (F.col("minute"), F.col("second"), clock))]
+    return events.groupBy("match_id", "player_id").agg(F.count(F.lit(1)).alias("total_events"), *aggs, *maxima)
+
+
+def match_ends(events: DataFrame, end_mode: str, summarised: bool) -> DataFrame:
+    """Session ends from events, or from a summary that has their clock maxima."""
+    out = "match_end_minute"
+    if not summarised:
+        return exposure.session_end(events, "match_id", "minute", "second", mode=end_mode, out=out)
+    if end_mode == "exact":
+        return events.groupBy("match_id").agg(F.max("last_clock").alias(out))
+    return exposure.session_end(events, "match_id", "last_minute", "last_second", mode=end_mode, out=out)
+
+
+def player_minutes(
+    events: DataFrame, segments: DataFrame, end_mode: str = "reference", mode: str = "span", summarised: bool = False
+) -> DataFrame:
     """Minutes on the pitch and primary position per (match, player) from lineup
     segments (A1-A3, J1-J2, W1, P2-P5): ``mm:ss`` clocks parsed to minutes, an
     open ``to`` filled with the match end taken from the events, segments with
-    no position (unused substitutes) dropped."""
-    ends = exposure.session_end(events, "match_id", "minute", "second", mode=end_mode, out="match_end_minute")
+    no position (unused substitutes) dropped. ``summarised``: ``events`` is a ``player_match_summary``."""
+    ends = match_ends(events, end_mode, summarised)
     segs = segments.select(
         "match_id",
         "player_id",
         "player_name",
         "team_id",
         "team_name",
-        "position_name",
-        clock_to_minutes("from_ts").alias("from_min"),
-        clock_to_minutes("to_ts").alias("to_min"),
+        "positions_position",
+        clock_to_minutes("positions_from").alias("from_min"),
+        clock_to_minutes("positions_to").alias("to_min"),
     )
     return exposure.exposure(
         segs,
         "match_id",
         "player_id",
-        role="position_name",
+        role="positions_position",
         ends=ends,
         end_col="match_end_minute",
         mode=mode,
@@ -91,17 +115,3 @@ def split_sessions(
         "competition_id long, season_id long, split string",
     )
     return sessions.join(F.broadcast(keys), ["competition_id", "season_id"], "inner")
-
-
-def restrict_to_cohorts(df: DataFrame, cohorts: Sequence[tuple[int, int]]) -> DataFrame:
-    """Keep the rows of the listed (competition_id, season_id) cohorts when the
-    table carries those columns (a cohort-partitioned landing does): the filter
-    becomes a partition filter, so other cohorts' files are not read."""
-    if not {"competition_id", "season_id"} <= set(df.columns) or not cohorts:
-        return df
-    cond = None
-    for comp, season in cohorts:
-        c = (F.col("competition_id") == int(comp)) & (F.col("season_id") == int(season))
-        cond = c if cond is None else (cond | c)
-    return df.filter(cond)
-

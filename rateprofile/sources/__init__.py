@@ -1,24 +1,34 @@
 from .json_sources import (
+    accepted,
+    explode_path,
     explode_segments,
+    flatten,
     flatten_events,
     load_events,
     load_lineups,
+    load_rejected,
     load_sessions,
     missing_sessions,
     optional_field,
     path_key,
+    rejected,
 )
 from .sinks import drop_vectors, write_parquet
 
 __all__ = [
+    "accepted",
     "drop_vectors",
+    "explode_path",
     "explode_segments",
+    "flatten",
     "flatten_events",
     "load_events",
     "load_lineups",
+    "load_rejected",
     "load_sessions",
     "missing_sessions",
     "optional_field",
     "path_key",
+    "rejected",
     "write_parquet",
 ]

@@ -118,40 +118,3 @@ MATCH_SCHEMA = StructType(
         StructField("match_date", StringType()),
     ]
 )
-
-# Flat event columns, in the order load_events emits them.
-FLAT_EVENT_COLUMNS = (
-    "match_id",
-    "event_id",
-    "period",
-    "minute",
-    "second",
-    "event_type",
-    "team_id",
-    "team_name",
-    "player_id",
-    "player_name",
-    "event_position",
-    "location",
-    "under_pressure",
-    "duration",
-    "pass_recipient_id",
-    "pass_length",
-    "pass_end_location",
-    "pass_outcome",
-    "pass_goal_assist",
-    "pass_shot_assist",
-    "shot_outcome",
-    "shot_xg",
-    "dribble_outcome",
-    "duel_type",
-    "duel_outcome",
-    "pass_aerial_won",
-    "shot_aerial_won",
-    "clearance_aerial_won",
-    "miscontrol_aerial_won",
-    "interception_outcome",
-    "sub_replacement_id",
-    "gk_type",
-    "gk_outcome",
-)

@@ -3,6 +3,6 @@
 The source model is batch only; streaming here serves one purpose: parse each
 session file once and keep a Parquet copy up to date as files arrive."""
 
-from .landing import land_events, land_lineups
+from .landing import Landed, land_events, land_lineups
 
-__all__ = ["land_events", "land_lineups"]
+__all__ = ["Landed", "land_events", "land_lineups"]

@@ -5,56 +5,88 @@ its schema with an extra pass). Here the files are parsed once, with the
 explicit schema, by a file-source streaming query with an ``availableNow``
 trigger: it processes every file not yet landed and stops. The checkpoint
 records which files are done, so re-running after new session files arrive
-only parses the new ones, and a failed run resumes exactly once. Downstream
-operators then read the Parquet copy (column pruning, predicate pushdown,
-splittable files).
+only parses the new ones. Each micro-batch is written to folders of its own
+(``batch_id=n``), which a repeated batch overwrites, so a failed run resumes exactly
+once. Records that cannot be parsed go to ``{out_path}_rejected``, with their file, in the same
+batch. Downstream operators then read the Parquet copy (column pruning,
+predicate pushdown, splittable files).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.json_sources import explode_segments, flatten_events, path_key
+from ..sources.json_sources import CORRUPT, accepted, explode_segments, flatten_events, path_key, with_corrupt
 from ..sources.schemas import EVENT_SCHEMA, LINEUP_SCHEMA
 
 COHORT_COLUMNS = ("competition_id", "season_id")
 
 
+@dataclass
+class Landed:
+    """What a run read: source records that were parsed, and those rejected."""
+
+    records: int = 0
+    rejected: int = 0
+
+
 def _stream(spark: SparkSession, src_dir: str, schema: StructType, max_files: int) -> DataFrame:
     return (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(with_corrupt(schema))
         .option("multiLine", True)
         .option("maxFilesPerTrigger", max_files)
         .json(src_dir)
-        .withColumn("match_id", path_key())
+        .withColumns({"match_id": path_key(), "_source_file": F.col("_metadata.file_path")})
     )
 
 
 def _with_cohort(df: DataFrame, sessions: DataFrame | None, partition_cols: Sequence[str]) -> DataFrame:
-    """Stream-static left join adding the cohort columns of each session (one
-    row per session on the static side)."""
+    """Left join adding the cohort columns of each session (one row per session on the static side)."""
     if sessions is None:
         return df
     return df.join(sessions.select("match_id", *partition_cols), "match_id", "left")
 
 
-def _land(df: DataFrame, out_path: str, checkpoint: str, partition_cols: Sequence[str] = ()) -> int:
-    writer = (
-        df.writeStream.format("parquet")
-        .option("path", out_path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
+def _land(
+    stream: DataFrame,
+    flat: Callable[[DataFrame], DataFrame],
+    out_path: str,
+    checkpoint: str,
+    sessions: DataFrame | None,
+    partition_cols: Sequence[str],
+) -> Landed:
+    out, landed = out_path.rstrip("/"), Landed()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # parsed once for both tables and the counts
+        try:
+            bad = batch.filter(F.col(CORRUPT).isNotNull())
+            total, n_bad = batch.count(), bad.count()
+            rows = _with_cohort(flat(accepted(batch).drop("_source_file")), sessions, partition_cols)
+            writer = rows.write.mode("overwrite")
+            if sessions is not None:
+                writer = writer.partitionBy(*partition_cols)
+            writer.parquet(f"{out}/batch_id={batch_id}")
+            if n_bad:
+                bad.select(F.col("_source_file").alias("source_file"), F.col(CORRUPT).alias("record")).write.mode(
+                    "overwrite"
+                ).parquet(f"{out}_rejected/batch_id={batch_id}")
+            landed.records += total - n_bad
+            landed.rejected += n_bad
+        finally:
+            batch.unpersist()
+
+    query = (
+        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
-    if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
-    query = writer.start()
     query.awaitTermination()
-    progress = query.recentProgress or []
-    return int(sum(p.get("numInputRows", 0) for p in progress))
+    return landed
 
 
 def land_events(
@@ -65,13 +97,12 @@ def land_events(
     max_files: int = 256,
     sessions: DataFrame | None = None,
     partition_cols: Sequence[str] = COHORT_COLUMNS,
-) -> int:
-    """Flat events of every new file under ``src_dir`` appended to ``out_path``.
+) -> Landed:
+    """Flat events of every new file under ``src_dir`` added to ``out_path``.
     With a ``sessions`` dimension the landed table is partitioned by cohort
     (a few large folders rather than one per session), so reads of some cohorts
-    prune the rest. Returns the number of source records (events) read by this run."""
-    flat = _with_cohort(flatten_events(_stream(spark, src_dir, EVENT_SCHEMA, max_files)), sessions, partition_cols)
-    return _land(flat, out_path, checkpoint, partition_cols if sessions is not None else ())
+    prune the rest. Returns the number of source records (events) landed and rejected by this run."""
+    return _land(_stream(spark, src_dir, EVENT_SCHEMA, max_files), flatten_events, out_path, checkpoint, sessions, partition_cols)
 
 
 def land_lineups(
@@ -82,9 +113,8 @@ def land_lineups(
     max_files: int = 256,
     sessions: DataFrame | None = None,
     partition_cols: Sequence[str] = COHORT_COLUMNS,
-) -> int:
-    """Flat presence segments of every new lineup file appended to ``out_path``,
+) -> Landed:
+    """Flat presence segments of every new lineup file added to ``out_path``,
     partitioned by cohort when ``sessions`` is given. Returns the number of
-    source records (team rows) read by this run."""
-    flat = _with_cohort(explode_segments(_stream(spark, src_dir, LINEUP_SCHEMA, max_files)), sessions, partition_cols)
-    return _land(flat, out_path, checkpoint, partition_cols if sessions is not None else ())
+    source records (team rows) landed and rejected by this run."""
+    return _land(_stream(spark, src_dir, LINEUP_SCHEMA, max_files), explode_segments, out_path, checkpoint, sessions, partition_cols)

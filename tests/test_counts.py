@@ -91,5 +91,5 @@ def test_aerial_balance_invariant(spark, football_dir):
     ev = load_events(spark, f"{football_dir}/events/*.json")
     won = conditional_counts(ev, ["match_id"], event_counters(), require_not_null=["player_id"])
     total_won = won.agg(F.sum("aerial_duels_won")).first()[0]
-    lost = ev.filter((F.col("event_type") == "Duel") & (F.col("duel_type") == "Aerial Lost")).count()
+    lost = ev.filter((F.col("type_name") == "Duel") & (F.col("duel_type_name") == "Aerial Lost")).count()
     assert total_won == lost > 0

@@ -4,25 +4,30 @@ import io
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from rateprofile.sources.json_sources import (
+    explode_path,
+    flatten,
     load_events,
     load_lineups,
+    load_rejected,
     load_sessions,
     missing_sessions,
     optional_field,
     path_key,
 )
-from rateprofile.sources.schemas import FLAT_EVENT_COLUMNS
+from rateprofile.sources.schemas import EVENT_SCHEMA, LINEUP_SCHEMA
 from rateprofile.sources.sinks import write_parquet
-from rateprofile.streaming import land_events, land_lineups
+from rateprofile.streaming import Landed, land_events, land_lineups
 
 
 def test_load_events_keys_and_shape(spark, football_dir):
     ev = load_events(spark, f"{football_dir}/events/*.json")
-    assert tuple(ev.columns) == FLAT_EVENT_COLUMNS
+    assert {"match_id", "id", "type_name", "player_id", "location", "pass_outcome_name", "goalkeeper_type_name"} <= set(ev.columns)
+    assert len(ev.columns) == len(set(ev.columns)) and all("." not in c for c in ev.columns)
     files = sorted(glob.glob(f"{football_dir}/events/*.json"))
     expected = {int(os.path.basename(p)[:-5]): len(json.load(open(p))) for p in files}
     got = {r.match_id: r["count"] for r in ev.groupBy("match_id").count().collect()}
@@ -37,8 +42,8 @@ def test_load_lineups_explode_outer(spark, football_dir):
     one = lu.filter(F.col("match_id") == 3001)
     # 2 teams x 16 players; player 7 has two segments; unused substitutes keep one NULL row
     assert one.count() == 2 * 17
-    assert one.filter(F.col("position_name").isNull()).count() == 2 * 4
-    assert one.filter(F.col("to_ts").isNull() & F.col("position_name").isNotNull()).count() == 2 * 11
+    assert one.filter(F.col("positions_position").isNull()).count() == 2 * 4
+    assert one.filter(F.col("positions_to").isNull() & F.col("positions_position").isNotNull()).count() == 2 * 11
 
 
 def test_sessions_from_paths(spark, football_dir):
@@ -71,15 +76,15 @@ def test_parquet_round_trip(spark, scratch):
 
 
 def test_streaming_landing_matches_batch_scan(spark, football_dir, scratch):
-    n = land_events(spark, f"{football_dir}/events", f"{scratch}/events", f"{scratch}/ck_events")
+    n = land_events(spark, f"{football_dir}/events", f"{scratch}/events", f"{scratch}/ck_events", max_files=2).records
     batch = load_events(spark, f"{football_dir}/events/*.json")
     assert n == batch.count()
     landed = spark.read.parquet(f"{scratch}/events")
     assert landed.count() == n
     assert rows(landed.groupBy("match_id").count()) == rows(batch.groupBy("match_id").count())
     # a second run finds nothing new
-    assert land_events(spark, f"{football_dir}/events", f"{scratch}/events", f"{scratch}/ck_events") == 0
-    teams = land_lineups(spark, f"{football_dir}/lineups", f"{scratch}/lineups", f"{scratch}/ck_lineups")
+    assert land_events(spark, f"{football_dir}/events", f"{scratch}/events", f"{scratch}/ck_events") == Landed(0, 0)
+    teams = land_lineups(spark, f"{football_dir}/lineups", f"{scratch}/lineups", f"{scratch}/ck_lineups").records
     assert teams == 2 * len(os.listdir(f"{football_dir}/lineups"))
     batch_lu = load_lineups(spark, f"{football_dir}/lineups/*.json")
     assert rows(spark.read.parquet(f"{scratch}/lineups").select(*batch_lu.columns)) == rows(batch_lu)
@@ -96,14 +101,14 @@ def test_json_lines_input_matches_arrays(spark, football_dir, scratch):
     arr = load_events(spark, f"{football_dir}/events/*.json").filter(F.col("match_id").isin(*[
         int(os.path.basename(p)[:-5]) for p in glob.glob(f"{scratch}/jl/*.json")
     ]))
-    cols = ["match_id", "event_id", "event_type", "player_id", "minute", "second"]
+    cols = ["match_id", "id", "type_name", "player_id", "minute", "second"]
     assert rows(jl, *cols) == rows(arr, *cols)
 
 
 def test_landing_partitioned_by_cohort(spark, football_dir, scratch):
     sessions = load_sessions(spark, f"{football_dir}/matches/*/*.json")
     land_events(spark, f"{football_dir}/events", f"{scratch}/ev", f"{scratch}/ck", sessions=sessions)
-    parts = sorted(p for p in os.listdir(f"{scratch}/ev") if p.startswith("competition_id="))
+    parts = sorted(p for p in os.listdir(f"{scratch}/ev/batch_id=0") if p.startswith("competition_id="))
     assert parts == ["competition_id=901", "competition_id=902", "competition_id=903", "competition_id=904"]
     landed = spark.read.parquet(f"{scratch}/ev")
     one = landed.filter((F.col("competition_id") == 901) & (F.col("season_id") == 1))
@@ -117,3 +122,63 @@ def test_landing_partitioned_by_cohort(spark, football_dir, scratch):
     pruning = [line for line in buf.getvalue().splitlines() if line.startswith("PartitionFilters")][0]
     assert "competition_id" in pruning and "901" in pruning and "season_id" in pruning
 
+
+def _broken(football_dir, scratch):
+    """A copy of two sessions, one of them truncated in the middle of its array."""
+    files = sorted(glob.glob(f"{football_dir}/events/*.json"))[:2]
+    os.makedirs(f"{scratch}/events")
+    for i, p in enumerate(files):
+        text = open(p).read()
+        with open(f"{scratch}/events/{os.path.basename(p)}", "w") as f:
+            f.write(text if i else text[: len(text) // 2])
+    return [int(os.path.basename(p)[:-5]) for p in files], len(json.load(open(files[1])))
+
+
+def test_truncated_file_is_rejected_not_lost(spark, football_dir, scratch):
+    (bad, good), n = _broken(football_dir, scratch)
+    ev = load_events(spark, f"{scratch}/events/*.json")
+    assert rows(ev.groupBy("match_id").count()) == [(good, n)]
+    reject = load_rejected(spark, f"{scratch}/events/*.json", EVENT_SCHEMA).collect()
+    assert [os.path.basename(r.source_file) for r in reject] == [f"{bad}.json"] and reject[0].record
+    assert load_rejected(spark, f"{scratch}/events/*.json", EVENT_SCHEMA).count() == 1
+    assert load_rejected(spark, f"{football_dir}/lineups/*.json", LINEUP_SCHEMA).count() == 0
+    # the session counts as missing, not as landed
+    manifest = spark.createDataFrame([(bad,), (good,)], "match_id long")
+    assert rows(missing_sessions(manifest, ev, "match_id")) == [(bad,)]
+    # and the landing reports it and keeps its text
+    landed = land_events(spark, f"{scratch}/events", f"{scratch}/out", f"{scratch}/ck")
+    assert landed == Landed(n, 1)
+    assert spark.read.parquet(f"{scratch}/out").count() == n
+    assert [os.path.basename(r.source_file) for r in spark.read.parquet(f"{scratch}/out_rejected").collect()] == [f"{bad}.json"]
+
+
+def test_landing_counts_all_batches(spark, football_dir, scratch):
+    """More batches than the progress history of a query keeps."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        landed = land_events(spark, f"{football_dir}/events", f"{scratch}/ev", f"{scratch}/ck", max_files=4)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert landed.records == spark.read.parquet(f"{scratch}/ev").count() > 0
+    assert len(glob.glob(f"{scratch}/ev/batch_id=*")) > 2
+
+
+def test_unreadable_date_is_null(spark, scratch):
+    os.makedirs(f"{scratch}/9")
+    with open(f"{scratch}/9/1.json", "w") as f:
+        json.dump([{"match_id": 1, "match_date": "TBC"}, {"match_id": 2, "match_date": "2024-02-03"}], f)
+    names = spark.createDataFrame([(9, 1, "Cup")], "competition_id long, season_id long, competition_name string")
+    s = load_sessions(spark, f"{scratch}/*/*.json", names)
+    assert rows(s, "match_id", "season_year", "competition_name") == [(1, None, "Cup"), (2, 2024, "Cup")]
+
+
+def test_flatten_and_explode_path(spark):
+    df = spark.createDataFrame([(1, ({"a": 1}, [(2, [(3, "x"), (4, "y")]), (5, [])]))], "k long, s struct<m:map<string,int>,l:array<struct<p:int,q:array<struct<r:int,t:string>>>>>")
+    assert flatten(df).columns == ["k", "s_m", "s_l"]
+    outer = explode_path(explode_path(df.select("k", "s.l"), "l"), "l.q", keep_empty=True)
+    assert rows(flatten(outer, plain=("l",)), "k", "p", "q_r", "q_t") == [(1, 2, 3, "x"), (1, 2, 4, "y"), (1, 5, None, None)]
+    inner = explode_path(explode_path(df.select("k", "s.l"), "l"), "l.q")
+    assert inner.count() == 2
+    clash = spark.createDataFrame([(1, (2,))], "a_b int, a struct<b:int>")
+    with pytest.raises(ValueError):
+        flatten(clash)
