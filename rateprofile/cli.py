@@ -12,16 +12,22 @@ cluster resources.
 from __future__ import annotations
 
 import argparse
-import os
 
 from pyspark.sql import SparkSession
 
+from .functions.predicates import MIN_EXPOSURE_MINUTES
 from .plans import family_profiles, global_profiles, write_family_outputs, write_global_outputs
-from .sources.json_sources import load_events, load_lineups, load_sessions
+from .plans.family_profiles import FAMILY_OVERRIDES
+from .plans.global_profiles import K_RANGE
+from .sources.json_sources import load_events, load_lineups, load_rejected, load_sessions
+from .sources.schemas import EVENT_SCHEMA, LINEUP_SCHEMA
 from .sources.sinks import write_parquet
 from .streaming import land_events, land_lineups
 
 
+NAMES_SCHEMA = "competition_id long, season_id long, competition_name string"
+
+
 def _pairs(values):
     return [tuple(int(p) for p in v.split(":")) for v in values or []]
 
@@ -36,31 +42,62 @@ def main(argv=None) -> None:
     ap.add_argument("--k", type=int, default=None, help="override the silhouette-chosen k")
     ap.add_argument("--spot", nargs="*", default=[], help="name substrings to spot-check")
     ap.add_argument("--parquet", action="store_true", help="read events/lineups landed as Parquet under --data")
+    ap.add_argument("--matches", help="match files ({cohort}/{season}.json, a glob); default for global: DATA/matches/*/*.json; "
+                    "given to land, the landed tables are partitioned by cohort")
+    ap.add_argument("--names", help="CSV with header: competition_id,season_id,competition_name, shown in the reports")
+    ap.add_argument("--min-minutes", type=float, default=MIN_EXPOSURE_MINUTES, help="least minutes of a profiled entity")
+    ap.add_argument("--k-range", type=int, nargs=2, metavar=("FIRST", "LAST"), default=(K_RANGE[0], K_RANGE[-1]))
+    ap.add_argument("--family-k", nargs="*", default=[], metavar="FAMILY=K", help="override the k of a family (FAMILY= for none)")
+    ap.add_argument("--end-mode", choices=["reference", "exact"], default="reference")
+    ap.add_argument("--exposure-mode", choices=["span", "sum_segments"], default="span")
+    ap.add_argument("--ignore-case", action="store_true", help="spot checks ignore case")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"rateprofile-{args.command}").getOrCreate()
     data, out = args.data.rstrip("/"), args.out.rstrip("/")
     if args.command == "land":
-        # partition the landed tables by cohort when the match files are present
-        sessions = load_sessions(spark, f"{data}/matches/*/*.json") if os.path.isdir(f"{data}/matches") else None
-        land_events(spark, f"{data}/events", f"{out}/events", f"{out}/_checkpoints/events", sessions=sessions)
-        land_lineups(spark, f"{data}/lineups", f"{out}/lineups", f"{out}/_checkpoints/lineups", sessions=sessions)
+        sessions = load_sessions(spark, args.matches) if args.matches else None
+        for what, land in (("events", land_events), ("lineups", land_lineups)):
+            done = land(spark, f"{data}/{what}", f"{out}/{what}", f"{out}/_checkpoints/{what}", sessions=sessions)
+            print(f"{what}: {done.records} records landed, {done.rejected} rejected")
         return
     if args.parquet:
         events, segments = spark.read.parquet(f"{data}/events"), spark.read.parquet(f"{data}/lineups")
     else:
         events, segments = load_events(spark, f"{data}/events/*.json"), load_lineups(spark, f"{data}/lineups/*.json")
+        for what, schema in (("events", EVENT_SCHEMA), ("lineups", LINEUP_SCHEMA)):
+            write_parquet(load_rejected(spark, f"{data}/{what}/*.json", schema), f"{out}/report/rejected_{what}")
     if args.command == "global":
-        sessions = load_sessions(spark, f"{data}/matches/*/*.json")
+        names = spark.read.schema(NAMES_SCHEMA).option("header", True).csv(args.names) if args.names else None
+        sessions = load_sessions(spark, args.matches or f"{data}/matches/*/*.json", names)
         res = global_profiles(
-            events, segments, sessions, _pairs(args.train), _pairs(args.test), k_override=args.k, spot_names=args.spot
+            events,
+            segments,
+            sessions,
+            _pairs(args.train),
+            _pairs(args.test),
+            min_minutes=args.min_minutes,
+            k_range=range(args.k_range[0], args.k_range[1] + 1),
+            k_override=args.k,
+            spot_names=args.spot,
+            ignore_case=args.ignore_case,
+            end_mode=args.end_mode,
+            exposure_mode=args.exposure_mode,
         )
         write_global_outputs(res, out)
-        for name in ("sweep", "train_profile", "test_profile", "profile_drift", "cross_tab", "model_compare",
+        for name in ("sweep", "train_profile", "gmm_profile", "test_profile", "profile_drift", "cross_tab", "model_compare",
                      "most_blended", "cohort_intensity", "spot_check"):
             write_parquet(res[name], f"{out}/report/{name}")
     else:
-        res = family_profiles(events, segments, spot_names=args.spot)
+        overrides = {**FAMILY_OVERRIDES, **{f: int(k) if k else None for f, k in (x.split("=") for x in args.family_k)}}
+        res = family_profiles(
+            events,
+            segments,
+            overrides=overrides,
+            min_minutes=args.min_minutes,
+            spot_names=args.spot,
+            ignore_case=args.ignore_case,
+        )
         write_family_outputs(res, out)
         for name in ("sizes", "choice", "sweep", "profiles", "cross_tab", "samples", "spot_check"):
             write_parquet(res[name], f"{out}/report/{name}")

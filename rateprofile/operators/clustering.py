@@ -2,9 +2,9 @@
 
 Determinism: K-Means and Gaussian-mixture fits depend on the row layout even
 with a fixed seed, so every fit goes through ``fit_layout`` first (hash
-partition on the entity id into a number of partitions derived from the row
-count, then sort within partitions) and the laid-out vectors are materialised
-once (``cut_lineage``) before a sweep re-reads them k times.
+partition on the entity id into a fixed number of partitions, then sort within
+partitions), and the laid-out vectors are persisted once for all fits that
+read them, and released after these.
 
 Silhouette uses ``ClusteringEvaluator`` (squared Euclidean), which is one pass
 with per-cluster sums, never pairwise; a labelling with fewer than two clusters
@@ -14,11 +14,14 @@ has no silhouette and gives ``None``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,46 +30,37 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField,
 from ..functions.columns import vector_max
 from ..session import cut_lineage, describe_jobs
 
+#: Layout of every fit input: a parameter, not a function of the data, since the layout is
+#: part of what a seeded fit depends on.
 DEFAULT_FIT_PARTITIONS = 32
-ROWS_PER_FIT_PARTITION = 50_000
 DEFAULT_SEED = 42
+#: Centroids that enter one broadcast row, times their dimension.
+CENTROID_VALUES = 1_000_000
 
 
 def fit_layout(df: DataFrame, id_col: str, partitions: int = DEFAULT_FIT_PARTITIONS) -> DataFrame:
-    """Fixed, data-determined row layout for reproducible fits."""
+    """Fixed row layout for reproducible fits."""
     return df.repartition(partitions, id_col).sortWithinPartitions(id_col)
 
 
-def fit_partitions(n_rows: int, rows_per_partition: int = ROWS_PER_FIT_PARTITION, max_partitions: int = 4096) -> int:
-    """Partition count for a fit input of ``n_rows``: a function of the data
-    only, so the same data always gets the same layout (and the same model)."""
-    return max(1, min(max_partitions, math.ceil(n_rows / rows_per_partition)))
+def prepare_for_fit(df: DataFrame, id_col: str, partitions: int | None = None) -> DataFrame:
+    """Lay out and persist the vectors that several fits will read. The fits share this one copy
+    (Spark ML caches a copy of its own for an input that is not persisted); the caller releases it
+    with ``unpersist``, or uses ``fitting``."""
+    laid = fit_layout(df, id_col, partitions or DEFAULT_FIT_PARTITIONS).persist(StorageLevel.MEMORY_AND_DISK)
+    laid.count()
+    return laid
 
 
-def prepare_for_fit(
-    df: DataFrame,
-    id_col: str,
-    partitions: int | None = None,
-    rows_per_partition: int = ROWS_PER_FIT_PARTITION,
-    input_materialised: bool = False,
-) -> DataFrame:
-    """Lay out and materialise the vectors that several fits will read.
-
-    Without an explicit ``partitions`` the row count sets the partition count
-    (``fit_partitions``). An expensive input is materialised before it is
-    counted, so its plan runs once; an input that is a projection of a
-    materialised table (``input_materialised=True``) is counted directly. Each
-    fit iteration is one Spark job over these partitions; sizing them to the
-    data keeps small fits from paying for many near-empty tasks and spreads
-    large fits over the cluster.
-    """
-    if partitions is not None:
-        return cut_lineage(fit_layout(df, id_col, partitions))
-    first = df if input_materialised else cut_lineage(df)
-    laid = cut_lineage(fit_layout(first, id_col, fit_partitions(first.count(), rows_per_partition)))
-    if not input_materialised:
-        first.unpersist()  # only held in memory when no checkpoint folder is configured
-    return laid
+@contextmanager
+def fitting(df: DataFrame, id_col: str, partitions: int | None = None) -> Iterator[DataFrame]:
+    """``prepare_for_fit`` for the time of a ``with`` block. What was derived from it stays valid
+    and is computed from ``df`` after that."""
+    laid = prepare_for_fit(df, id_col, partitions)
+    try:
+        yield laid
+    finally:
+        laid.unpersist()
 
 
 def fit_kmeans(
@@ -188,48 +182,76 @@ def sweep_table(spark: SparkSession, rows: Sequence[dict], chosen_k: int) -> Dat
     return spark.createDataFrame(data, SWEEP_SCHEMA)
 
 
-def label_centroids(
-    df: DataFrame, label_col: str, features_col: str = "features", max_centroids: int = 1024
-) -> list[tuple]:
-    """Mean vector per label: one distributed aggregation (partial aggregation
-    per task), of which at most ``max_centroids + 1`` rows are fetched, so the
-    driver never receives more than the bound; more labels than that is an error."""
-    means = df.groupBy(label_col).agg(Summarizer.mean(F.col(features_col)).alias("_m"))
-    rows = means.limit(max_centroids + 1).collect()
-    if len(rows) > max_centroids:
-        raise ValueError(f"more than max_centroids={max_centroids} labels")
-    return sorted((r[label_col], [float(v) for v in r["_m"].toArray()]) for r in rows)
+def score_labelling(df: DataFrame, label_col: str, features_col: str = "features") -> dict:
+    """Cost (sum of squared distances to the cluster means) and silhouette of any labelling, as a sweep
+    scores its fits: one pass of sums per cluster, and the silhouette."""
+    x = F.col(features_col)
+    sums = df.groupBy(label_col).agg(
+        F.count(F.lit(1)).alias("n"),
+        vector_to_array(Summarizer.mean(x)).alias("m"),
+        F.sum(F.aggregate(vector_to_array(x), F.lit(0.0), lambda a, v: a + v * v)).alias("q"),
+    )
+    own = F.col("q") - F.col("n") * F.aggregate("m", F.lit(0.0), lambda a, v: a + v * v)
+    cost, k = sums.agg(F.sum(own), F.count(F.lit(1))).first()
+    return {"training_cost": float(cost), "silhouette": silhouette(df, label_col, features_col, n_clusters=k)}
+
+
+def sum_of_squares(df: DataFrame, label_col: str, features_col: str = "features") -> DataFrame:
+    """One row (n, within, between): the sum of squares about the overall mean, split by a labelling."""
+    x = F.col(features_col)
+    norm = lambda v: F.aggregate(v, F.lit(0.0), lambda a, e: a + e * e)
+    per = df.groupBy(label_col).agg(
+        F.count(F.lit(1)).alias("n"),
+        vector_to_array(Summarizer.mean(x)).alias("m"),
+        F.sum(norm(vector_to_array(x))).alias("q"),
+    )
+    weighted = F.transform("m", lambda e: e * F.col("n"))
+    total = per.agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.col("q") - F.col("n") * norm(F.col("m"))).alias("within"),
+        F.sum(F.col("n") * norm(F.col("m"))).alias("b"),
+        vector_to_array(Summarizer.sum(array_to_vector(weighted))).alias("s"),
+    )
+    return total.select(F.col("rows").alias("n"), "within", (F.col("b") - norm(F.col("s")) / F.col("rows")).alias("between"))
+
+
+def label_centroids(df: DataFrame, label_col: str, features_col: str = "features") -> DataFrame:
+    """(label, centroid): mean vector per label, one distributed aggregation."""
+    return df.groupBy(label_col).agg(vector_to_array(Summarizer.mean(F.col(features_col))).alias("centroid"))
 
 
 def nearest_centroid(
     df: DataFrame,
     array_col: str,
-    centroids: Sequence[tuple],
+    centroids: DataFrame,
     cluster_out: str = "cluster",
     distance_out: str = "distance",
     digits: int = 9,
+    block_values: int = CENTROID_VALUES,
 ) -> DataFrame:
     """Assign each row to its nearest centroid by squared Euclidean distance (M8).
 
-    ``centroids`` are (id, vector) pairs (k of them: bounded model state, like a
-    fitted K-Means model's centres). They enter the plan as literals, so no join
-    is needed: every row computes its k distances with higher-order functions.
-    Distances are rounded to ``digits`` before ranking and ties go to the
-    centroid listed first (ascending id).
+    ``centroids`` has an id and a vector column, in this order. They are materialised and measured, and
+    meet the rows as one broadcast row per block of at most ``block_values`` numbers; the best of the blocks
+    wins, so there is no limit on their number. Distances are rounded to ``digits`` before ranking and
+    ties go to the smallest id. Rows are compared with centroids of their own dimension.
     """
-    ordered = sorted(centroids, key=lambda c: c[0])
-    ids = F.array(*[F.lit(c[0]) for c in ordered])
-    cents = F.array(*[F.array(*[F.lit(float(v)) for v in c[1]]) for c in ordered])
+    id_col, vec_col = centroids.columns[:2]
+    given = cut_lineage(centroids.select(F.col(id_col).alias("_id"), F.col(vec_col).cast("array<double>").alias("_c")))
+    values = given.agg(F.sum(F.size("_c"))).first()[0] or 0
+    blocks = max(1, math.ceil(values / block_values))
     x = F.col(array_col).cast("array<double>")
 
     def sqdist(c: Column) -> Column:
-        diffs = F.zip_with(x, c, lambda a, b: (a - b) * (a - b))
-        return F.round(F.aggregate(diffs, F.lit(0.0), lambda acc, v: acc + v), digits)
-
-    d = F.col("_d")
-    best = F.array_position(d, F.array_min(d))
-    return df.withColumn("_d", F.transform(cents, sqdist)).select(
-        *df.columns,
-        F.element_at(ids, best.cast("int")).alias(cluster_out),
-        F.array_min(d).alias(distance_out),
-    )
+        diffs = F.zip_with(x, c["_c"], lambda a, b: (a - b) * (a - b))
+        d = F.round(F.aggregate(diffs, F.lit(0.0), lambda acc, v: acc + v), digits)
+        return F.struct(d.alias("d"), c["_id"].alias("id"))
+
+    out = df.withColumn("_dim", F.size(array_col)).withColumn("_best", F.lit(None).cast(f"struct<d:double,id:{given.schema['_id'].dataType.simpleString()}>"))
+    for b in range(blocks):
+        part = given.filter(F.pmod(F.xxhash64("_id"), F.lit(blocks)) == b)
+        row = part.groupBy(F.size("_c").alias("_dim")).agg(F.collect_list(F.struct("_id", "_c")).alias("_cents"))
+        best = F.array_min(F.transform("_cents", sqdist))
+        # a NULL side loses
+        out = out.join(F.broadcast(row), "_dim", "left").withColumn("_best", F.least("_best", best)).drop("_cents")
+    return out.select(*df.columns, F.col("_best.id").alias(cluster_out), F.col("_best.d").alias(distance_out))

@@ -46,6 +46,16 @@ def session_end(
     return events.groupBy(session).agg(end.alias(out))
 
 
+def session_ends(
+    events: DataFrame, session: str, minute: ColumnOrName = "minute", second: ColumnOrName = "second", out: str = "session_end"
+) -> DataFrame:
+    """Both session ends in one pass: ``out`` (mode "reference") and ``{out}_exact``."""
+    m, s = as_col(minute), as_col(second)
+    return events.groupBy(session).agg(
+        (F.max(m) + F.max(s) / 60.0).alias(out), F.max(m + s / 60.0).alias(f"{out}_exact")
+    )
+
+
 def fill_open_ends(
     segments: DataFrame,
     ends: DataFrame,
@@ -134,18 +144,37 @@ def _exposure_open_ends(
     segments therefore reaches the join as one row per (entity, role), not as
     its raw segments.
     """
+    per_role = segs.groupBy(session, entity, role).agg(*segment_summary(from_col, to_col), *[F.max(c).alias(c) for c in carry])
+    return exposure_of_summary(per_role, ends, session, entity, role, end_col, carry, out, role_out)
+
+
+def segment_summary(from_col: str, to_col: str) -> list[Column]:
+    """Aggregates of a group of segments that determine its exposure once the session end is known."""
     frm, to = F.col(from_col), F.col(to_col)
     is_open = to.isNull()
-    keys = [session, entity]
-    per_role = segs.groupBy(*keys, role).agg(
+    return [
         F.min(frm).alias("_from"),
         F.max(to).alias("_to_closed"),
         F.sum(F.when(~is_open, to - frm)).alias("_w_closed"),
         F.count_if(is_open).alias("_n_open"),
         F.count_if(is_open & frm.isNotNull()).alias("_n_open_timed"),
         F.sum(F.when(is_open, frm)).alias("_from_open"),
-        *[F.max(c).alias(c) for c in carry],
-    )
+    ]
+
+
+def exposure_of_summary(
+    per_role: DataFrame,
+    ends: DataFrame,
+    session: str,
+    entity: str,
+    role: str,
+    end_col: str = "session_end",
+    carry: Sequence[str] = (),
+    out: str = "exposure",
+    role_out: str = "primary_role",
+) -> DataFrame:
+    """Span exposure and dominant role from one ``segment_summary`` row per (session, entity, role)."""
+    keys = [session, entity]
     end = F.col(end_col)
     has_open = F.col("_n_open") > 0
     filled = per_role.join(ends.select(session, end_col), session, "left").select(
@@ -174,6 +203,46 @@ def _exposure_open_ends(
     )
 
 
+def _span_open_ends(
+    segs: DataFrame,
+    ends: DataFrame,
+    session: str,
+    entity: str,
+    from_col: str,
+    to_col: str,
+    end_col: str,
+    carry: Sequence[str],
+    out: str,
+) -> DataFrame:
+    """Span exposure without roles: one aggregated row per (session, entity) meets the session ends."""
+    frm, to = F.col(from_col), F.col(to_col)
+    per = segs.groupBy(session, entity).agg(
+        F.min(frm).alias("_from"),
+        F.max(to).alias("_to"),
+        F.count_if(to.isNull()).alias("_n_open"),
+        *[F.max(c).alias(c) for c in carry],
+    )
+    last = F.greatest("_to", F.when(F.col("_n_open") > 0, F.col(end_col)))
+    joined = per.join(ends.select(session, end_col), session, "left")
+    return joined.select(session, entity, *carry, clamp_min(last - F.col("_from")).alias(out))
+
+
+def _lengths_open_ends(
+    segs: DataFrame, ends: DataFrame, session: str, entity: str, from_col: str, to_col: str, end_col: str, out: str
+) -> DataFrame:
+    """Sum of the clamped segment lengths per (session, entity). Closed segments are summed, and
+    open ones counted per start, before the session ends are joined: each open start is clamped by itself."""
+    frm, to = F.col(from_col), F.col(to_col)
+    keys = [session, entity]
+    start = F.when(to.isNull(), frm)
+    per = segs.groupBy(*keys, to.isNull().alias("_open"), start.alias("_start")).agg(
+        F.sum(clamp_min(to - frm)).alias("_closed"), F.count(F.lit(1)).alias("_n")
+    )
+    joined = per.join(ends.select(session, end_col), session, "left")
+    length = F.when(F.col("_open"), F.col("_n") * clamp_min(F.col(end_col) - F.col("_start"))).otherwise(F.col("_closed"))
+    return joined.groupBy(*keys).agg(F.sum(length).alias(out))
+
+
 def exposure(
     segments: DataFrame,
     session: str,
@@ -204,6 +273,15 @@ def exposure(
     keys = [session, entity]
     if ends is not None and role and role_weight is None and mode == "span":
         return _exposure_open_ends(segs, ends, session, entity, from_col, to_col, role, end_col, carry, out, role_out)
+    if ends is not None and role_weight is None:
+        if mode == "span":
+            return _span_open_ends(segs, ends, session, entity, from_col, to_col, end_col, carry, out)
+        lengths = _lengths_open_ends(segs, ends, session, entity, from_col, to_col, end_col, out)
+        if not role:
+            names = segs.groupBy(*keys).agg(*[F.max(c).alias(c) for c in carry]) if carry else None
+            return names.join(lengths, keys) if carry else lengths
+        roles = _exposure_open_ends(segs, ends, session, entity, from_col, to_col, role, end_col, carry, "_span", role_out)
+        return roles.join(lengths, keys).select(*keys, *carry, out, role_out)
     if ends is not None:
         segs = fill_open_ends(segs, ends, session, to_col, end_col)
     frm, to = F.col(from_col), F.col(to_col)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
@@ -26,6 +27,9 @@ K_MIN = 2
 K_CAP = 6
 # --- end of fixed values ------------------------------------------------------------
 
+#: Partitions over which the rows of one family are spread before its fits.
+FAMILY_SPREAD = 32
+
 
 def family_k_ranges(
     features: DataFrame,
@@ -46,6 +50,19 @@ def family_k_ranges(
     )
 
 
+def override_accepted(min_size, min_per_cluster: int = MIN_PER_CLUSTER):
+    """The rule of M12, on a number or a column."""
+    return min_size >= min_per_cluster
+
+
+def override_guard(members: DataFrame, family_col: str, cluster_col: str, min_per_cluster: int = MIN_PER_CLUSTER) -> DataFrame:
+    """(family, min_size, accepted): whether a proposed clustering of each family may replace the
+    chosen one (M12), from its members."""
+    sizes = members.groupBy(family_col, cluster_col).agg(F.count(F.lit(1)).alias("n"))
+    smallest = sizes.groupBy(family_col).agg(F.min("n").alias("min_size"))
+    return smallest.withColumn("accepted", override_accepted(F.col("min_size"), min_per_cluster))
+
+
 FAMILY_SWEEP_SCHEMA = StructType(
     [
         StructField("family", StringType(), False),
@@ -80,24 +97,25 @@ def cluster_families(
     partitions: int | None = None,
     cluster_col: str = "cluster",
     parallel_fits: int = 8,
-    max_families: int = 256,
+    only: Sequence[str] | None = None,
     input_materialised: bool = False,
 ) -> dict[str, DataFrame]:
     """Per-family scaling, k sweep, override guard (M12) and final assignment.
 
     Returns ``assignments`` (input columns + ``cluster``; ineligible families are
     not clustered and do not appear), ``sweep`` and ``choice`` tables.
-    An override k is accepted only when its smallest cluster has at least
-    ``min_per_cluster`` members; otherwise the silhouette-best k is kept.
+    ``only`` lists the families to cluster (default: all that occur; each is a few driver-side jobs, so
+    list them where labels are many). An override k is accepted only when its smallest
+    cluster has at least ``min_per_cluster`` members (``override_guard``); otherwise the
+    silhouette-best k is kept.
     """
     spark = features.sparkSession
     overrides = dict(overrides or {})
     if not input_materialised:  # read twice below: sizes, then scaling
         features = cut_lineage(features)
-    ranges = family_k_ranges(features, family_col, min_per_cluster).limit(max_families + 1).collect()
-    if len(ranges) > max_families:
-        raise ValueError(f"more than max_families={max_families} families")
-    eligible = {r[family_col]: (int(r["n"]), int(r["k_min"]), int(r["k_max"])) for r in ranges if r["eligible"]}
+    wanted = features if only is None else features.filter(F.col(family_col).isin(*only))
+    ranges = family_k_ranges(wanted, family_col, min_per_cluster).filter("eligible").collect()
+    eligible = {r[family_col]: (int(r["n"]), int(r["k_min"]), int(r["k_max"])) for r in ranges}
 
     if not eligible:
         return {
@@ -106,19 +124,19 @@ def cluster_families(
             "choice": spark.createDataFrame([], FAMILY_CHOICE_SCHEMA),
         }
     all_cols = sorted({c for cols in [default_features, *feature_sets.values()] for c in cols})
-    # One pass z-scores every eligible family; that table is materialised once,
-    # then each family gets its own laid-out, materialised fit input, so each of
-    # its k fits reads only that family's rows.
-    scaled_all = cut_lineage(
-        grouped_standardise(features.filter(F.col(family_col).isin(*eligible.keys())), family_col, all_cols)
-    )
+    # One pass z-scores every eligible family. That table is laid out by family and cached, so the
+    # input of a family comes from its own batches; each input is persisted once for all its fits.
+    scaled_all = grouped_standardise(features.filter(F.col(family_col).isin(*eligible.keys())), family_col, all_cols)
+    scaled_all = scaled_all.repartition(F.col(family_col), F.pmod(F.xxhash64(id_col), F.lit(FAMILY_SPREAD))).sortWithinPartitions(family_col, id_col)
+    scaled_all = scaled_all.persist(StorageLevel.MEMORY_AND_DISK)
 
     def prepare(fam: str):
         cols = [f"z_{c}" for c in feature_sets.get(fam, default_features)]
         own = assemble(scaled_all.filter(F.col(family_col) == fam), cols, "features")
-        return fam, prepare_for_fit(own, id_col, partitions, input_materialised=True)
+        return fam, prepare_for_fit(own, id_col, partitions)
 
     inputs = dict(run_parallel(prepare, sorted(eligible), parallel_fits))
+    scaled_all.unpersist()
     # Every (family, k) fit is an independent job: submit them together, plus
     # any override k outside the family's sweep range.
     jobs = [(fam, k) for fam in sorted(eligible) for k in range(eligible[fam][1], eligible[fam][2] + 1)]
@@ -145,7 +163,7 @@ def cluster_families(
         if override is not None and int(override) != best_k:
             cand = by_job[(family, int(override))]
             override_min = cand["min_size"]
-            if override_min >= min_per_cluster:
+            if override_accepted(override_min, min_per_cluster):
                 chosen = cand
         preds = chosen["model"].transform(inputs[family]).withColumnRenamed("cluster", cluster_col)
         assignments.append(preds.select(*features.columns, cluster_col))
@@ -156,6 +174,9 @@ def cluster_families(
     out = assignments[0]
     for a in assignments[1:]:
         out = out.unionByName(a)
+    out = cut_lineage(out)
+    for laid in inputs.values():
+        laid.unpersist()
     return {
         "assignments": out,
         "sweep": spark.createDataFrame(sweep_rows, FAMILY_SWEEP_SCHEMA),

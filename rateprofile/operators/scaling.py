@@ -22,6 +22,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+BROADCAST_GROUPS = 10_000
+
 
 def assemble(df: DataFrame, features: Sequence[str] | str, out: str = "features_raw") -> DataFrame:
     """Build a dense vector column from numeric columns, or from one array column."""
@@ -67,14 +71,20 @@ def grouped_standardise(
     group_col: str,
     feature_cols: Sequence[str],
     prefix: str = "z_",
+    broadcast_groups: int = BROADCAST_GROUPS,
 ) -> DataFrame:
     """Add ``{prefix}{feature}`` = (x - group mean) / group sample std (0 when the
-    std is 0 or undefined) for every feature, with statistics per ``group_col``."""
+    std is 0 or undefined) for every feature, with statistics per ``group_col``.
+
+    The statistics (one row per group) are materialised and counted: up to
+    ``broadcast_groups`` rows are broadcast, so entities are not shuffled on a
+    key with few values; more are joined."""
     stats = df.groupBy(group_col).agg(
         *[F.avg(c).alias(f"_mu_{c}") for c in feature_cols],
         *[F.stddev_samp(c).alias(f"_sd_{c}") for c in feature_cols],
     )
-    joined = df.join(stats, group_col, "inner")
+    stats = cut_lineage(stats)
+    joined = df.join(F.broadcast(stats) if stats.count() <= broadcast_groups else stats, group_col, "inner")
     zs = []
     for c in feature_cols:
         sd = F.col(f"_sd_{c}")

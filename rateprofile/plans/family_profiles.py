@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import LabelRule, contains_any, label_family
@@ -42,7 +42,10 @@ def family_profiles(
     spot_names: Sequence[str] = (),
     ignore_case: bool = False,
     partitions: int | None = None,
+    min_per_cluster: int = families.MIN_PER_CLUSTER,
 ) -> dict[str, DataFrame]:
+    """Run L2. Only the families that ``overrides`` lists are clustered (a NULL override keeps the
+    silhouette's choice); labels outside the rules stay in the feature table alone."""
     feats = player_features(player_match_stats(events), player_minutes(events, segments), min_minutes)
     feats = cut_lineage(feats.withColumn("family", label_family("position_label", rules)))
     res = families.cluster_families(
@@ -54,17 +57,26 @@ def family_profiles(
         overrides,
         seed=seed,
         partitions=partitions,
+        min_per_cluster=min_per_cluster,
+        only=tuple(overrides),
         input_materialised=True,
     )
     clustered = res["assignments"]
     all_cols = sorted({c for cols in [default_features, *feature_sets.values()] for c in cols})
-    profiles = clustered.groupBy("family", "cluster").agg(
+    # a family reports its own columns; the others are NULL there
+    own = [_own(c, feature_sets, default_features) for c in all_cols]
+    reported = clustered.select(*[c for c in clustered.columns if c not in all_cols], *own)
+    profiles = reported.groupBy("family", "cluster").agg(
         F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in all_cols]
     )
+    used = F.coalesce(
+        *[F.when(F.col("family") == f, F.lit(", ".join(cols))) for f, cols in feature_sets.items()],
+        F.lit(", ".join(default_features)),
+    )
     cross = clustered.groupBy("family", "cluster", "position_label").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("family", "cluster").orderBy("player_id")
     samples = (
-        clustered.withColumn("rank", F.row_number().over(w))
+        reported.withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= sample_n)
         .select("family", "cluster", "rank", "player_id", "player_name", "position_label", *all_cols)
     )
@@ -73,8 +85,8 @@ def family_profiles(
     )
     return {
         "features": feats,
-        "sizes": families.family_k_ranges(feats, "family"),
-        "choice": res["choice"],
+        "sizes": families.family_k_ranges(feats, "family", min_per_cluster),
+        "choice": res["choice"].withColumn("features_used", used),
         "sweep": res["sweep"],
         "assignments": clustered,
         "profiles": profiles.orderBy("family", "cluster"),
@@ -84,6 +96,16 @@ def family_profiles(
     }
 
 
+def _own(column: str, feature_sets: Mapping[str, Sequence[str]], default_features: Sequence[str]) -> Column:
+    """``column`` where it is one of the features of the row's family."""
+    special = [f for f in feature_sets]
+    has = [f for f in special if column in feature_sets[f]]
+    fits = F.col("family").isin(*has) if has else F.lit(False)
+    if column in default_features:
+        fits = fits | (~F.col("family").isin(*special) if special else F.lit(True))
+    return F.when(fits, F.col(column)).alias(column)
+
+
 def write_family_outputs(results: dict[str, DataFrame], out_dir: str) -> None:
     """One write, one folder per family."""
     write_parquet(results["assignments"], f"{out_dir.rstrip('/')}/families", partition_by=("family",))

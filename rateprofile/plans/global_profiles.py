@@ -18,15 +18,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import GENERAL_FEATURES, MIN_EXPOSURE_MINUTES, PRESSURE
+from ..functions.predicates import GENERAL_FEATURES, MIN_EXPOSURE_MINUTES
 from ..operators import assess, clustering, scaling
 from ..session import cut_lineage
 from ..sources.sinks import drop_vectors, write_parquet
 from .common import (
+    CLOCK_MAXIMA,
     player_features,
-    player_match_stats,
+    player_match_summary,
     player_minutes,
-    restrict_to_cohorts,
     split_sessions,
     with_split,
 )
@@ -74,7 +74,7 @@ def cluster_and_assess(
         raise ValueError(f"no entities in the {train_value!r} split meet the exposure minimum")
 
     scaled, scaler = scaling.standardise(train, feature_cols)
-    fit_input = clustering.prepare_for_fit(scaled, id_col, partitions, input_materialised=True)
+    fit_input = clustering.prepare_for_fit(scaled, id_col, partitions)
     sweep_rows = clustering.kmeans_sweep(fit_input, k_range, seed)
     silhouette_k = clustering.choose_k(sweep_rows)
     best_k = clustering.choose_k(sweep_rows, k_override)
@@ -86,7 +86,7 @@ def cluster_and_assess(
     # Both fitted models applied in one chain over the rows: no join of their outputs.
     kpred = kmeans_model.transform(fit_input).withColumnRenamed("cluster", "cluster_kmeans")
     both = gmm_model.transform(kpred).withColumn("gmm_max_prob", F.array_max(vector_to_array("probability")))
-    train_out = both.drop("probability")
+    train_out = cut_lineage(both.drop("probability"))
 
     test_pred = kmeans_model.transform(scaling.apply_scaler(test, feature_cols, scaler)).withColumnRenamed(
         "cluster", "cluster_kmeans"
@@ -102,6 +102,7 @@ def cluster_and_assess(
             ("kmeans", silhouette_k, by_k[silhouette_k]["silhouette"]),
             ("gmm", silhouette_k, clustering.silhouette(gmm_at_sil, "cluster_gmm")),
         ]
+    fit_input.unpersist()
     compare = spark.createDataFrame(compare_rows, "model string, k int, silhouette double")
     return {
         "sweep": clustering.sweep_table(spark, sweep_rows, best_k).withColumn(
@@ -152,11 +153,12 @@ def global_profiles(
     ``exposure_mode`` ("span" | "sum_segments") the minutes rule, and
     ``per_period_denominator`` the intensity denominator (see the operators)."""
     splits = split_sessions(sessions, train_cohorts, test_cohorts)
-    # Minutes feed both the features and the intensity denominator; one row per
-    # (match, player), so it is materialised once instead of re-reading events.
-    minutes = cut_lineage(player_minutes(events, segments, end_mode=end_mode, mode=exposure_mode))
-    # Counters read the widest slice of the events; only train and test cohorts matter.
-    stats = player_match_stats(restrict_to_cohorts(events, [*train_cohorts, *test_cohorts]))
+    # The events are read once: counters, clock maxima and pressures all come from one summary per
+    # (match, player), NULL players included.
+    summary = cut_lineage(player_match_summary(events))
+    # Minutes feed both the features and the intensity denominator.
+    minutes = cut_lineage(player_minutes(summary, segments, end_mode=end_mode, mode=exposure_mode, summarised=True))
+    stats = summary.filter(F.col("player_id").isNotNull()).drop(*CLOCK_MAXIMA)
     feats = player_features(with_split(stats, splits), with_split(minutes, splits), min_minutes, by=("split",))
     # The entity table is small next to the events it summarises: materialise it
     # once (reliable checkpoint) so every later report reads it, not the events.
@@ -175,13 +177,12 @@ def global_profiles(
         partitions=partitions,
         input_materialised=True,
     )
-    pressures = events.filter(F.col("event_type") == PRESSURE)
     cohort_cols = ["competition_name"] if "competition_name" in sessions.columns else ["competition_id", "season_id"]
     cohort_dim = sessions.select(
         "match_id", F.concat_ws("/", *[F.col(c).cast("string") for c in cohort_cols]).alias("cohort"), "season_year"
     )
     intensity = assess.cohort_intensity(
-        pressures,
+        summary,
         minutes,
         cohort_dim,
         "match_id",
@@ -189,6 +190,7 @@ def global_profiles(
         "season_year",
         exposure_col="minutes_played",
         per_period_denominator=per_period_denominator,
+        count_col="pressures",
     )
     res["features"] = feats
     res["cohort_intensity"] = intensity.orderBy("season_year", "cohort")

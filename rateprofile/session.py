@@ -1,4 +1,4 @@
-"""Session-level helpers: lineage cuts and a session builder for tests / bench.
+"""Session-level helpers: lineage cuts.
 
 Library code never builds or configures the session it is given; the only
 session setting it reads is ``spark.checkpoint.dir`` (the shared folder a
@@ -8,7 +8,6 @@ cluster names for reliable checkpoints).
 from __future__ import annotations
 
 import logging
-import tempfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -49,29 +48,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "rateprofile") -> SparkSession:
-    """Session for tests and the local bench only (never used by the library)."""
-    builder = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    if not checkpoint_dir(spark):
-        # Only where the session names no shared folder (tests, local bench).
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rateprofile-ckpt-", dir="/tmp"))
-    return spark
-
-
 def describe_jobs(spark: SparkSession, text: str) -> None:
     """Label the Spark jobs this thread submits next (visible in the event log),
     e.g. which family and k a parallel fit belongs to."""

@@ -15,9 +15,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from rateprofile.session import local_session
+    from tools.local import local_session
 
-    s = local_session("*", shuffle_partitions=8, app="rateprofile-tests")
+    s = local_session("*", shuffle_partitions=8, app="rateprofile-tests", checkpoint_dir=tempfile.mkdtemp(prefix="rateprofile-ckpt-", dir="/tmp"))
     yield s
     s.stop()
 

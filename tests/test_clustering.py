@@ -97,7 +97,12 @@ def test_choose_k():
 def test_nearest_centroid_matches_brute_force(emb, emb_np):
     ids, x, labels = emb_np
     cents = clustering.label_centroids(scaling.assemble(emb, "embedding", "v"), "label", "v")
-    out = {r.vec_id: (r.cluster, r.distance) for r in clustering.nearest_centroid(emb, "embedding", cents).collect()}
+    found = clustering.nearest_centroid(emb, "embedding", cents)
+    out = {r.vec_id: (r.cluster, r.distance) for r in found.collect()}
+    # in blocks of a few centroids the same
+    blocks = clustering.nearest_centroid(emb, "embedding", cents, block_values=150)
+    assert {r.vec_id: (r.cluster, r.distance) for r in blocks.collect()} == out
+    cents = sorted((r[0], list(r[1])) for r in cents.collect())
     cm = np.array([c[1] for c in cents])
     d = np.round(((x[:, None, :] - cm[None, :, :]) ** 2).sum(-1), 9)
     for i, vid in enumerate(ids):
@@ -115,13 +120,22 @@ def test_family_override_guard(spark, emb):
     cols = [f"f{i}" for i in range(6)]
     strict = families.cluster_families(wide, "vec_id", "family", {}, cols, {"LOW": 6}, min_per_cluster=1000)
     assert strict["choice"].count() == 0  # nobody is eligible under a floor of 1000
-    res = families.cluster_families(wide, "vec_id", "family", {}, cols, {"LOW": 4}, min_per_cluster=3)
-    choice = {r.family: r for r in res["choice"].collect()}
-    assert set(choice) == {"LOW", "HIGH"}
+    n_low = wide.filter("family = 'LOW'").count()
+    # k clusters of a family of n leave one with at most n / k members: a floor above that must reject
+    floor = n_low // 6 + 1
+    rejected = families.cluster_families(wide, "vec_id", "family", {}, cols, {"LOW": 6}, min_per_cluster=floor)
+    low = {r.family: r for r in rejected["choice"].collect()}["LOW"]
+    assert low.override_k == 6 and low.override_min_size < floor
+    assert low.chosen_k == low.silhouette_k != 6 and not low.overridden
+    accepted = families.cluster_families(wide, "vec_id", "family", {}, cols, {"LOW": 4}, min_per_cluster=1, only=("LOW",))
+    choice = {r.family: r for r in accepted["choice"].collect()}
+    assert set(choice) == {"LOW"}  # only the listed family
     low = choice["LOW"]
-    assert low.override_k == 4
-    assert low.chosen_k == (4 if low.override_min_size >= 3 else low.silhouette_k)
-    assert res["assignments"].count() == wide.count()
+    assert low.chosen_k == 4 and low.overridden == (low.silhouette_k != 4)
+    assert accepted["assignments"].count() == n_low
+    guard = {r.family: r for r in families.override_guard(accepted["assignments"], "family", "cluster", 12).collect()}
+    sizes = [r["count"] for r in accepted["assignments"].groupBy("cluster").count().collect()]
+    assert guard["LOW"].min_size == min(sizes) and guard["LOW"].accepted == (min(sizes) >= 12)
     ranges = {r.family: r for r in families.family_k_ranges(wide, "family").collect()}
     n = ranges["LOW"].n
     assert ranges["LOW"].k_max == max(2, min(6, n // 12))
@@ -164,3 +178,24 @@ def test_family_specific_feature_set(spark, emb):
     k = {r.family: r.chosen_k for r in res["choice"].collect()}["LOW"]
     assert len({r.cluster for r in low}) <= k
     assert {r.family for r in res["sweep"].collect()} == {"LOW", "HIGH"}
+
+
+def test_sums_of_squares_and_scores(emb, emb_np):
+    ids, x, labels = emb_np
+    df = scaling.assemble(emb, "embedding", "features")
+    r = clustering.sum_of_squares(df, "label").first()
+    within = sum(((x[labels == k] - x[labels == k].mean(axis=0)) ** 2).sum() for k in set(labels))
+    assert r.n == len(x) and abs(r.within - within) < 1e-6
+    assert abs(r.within + r.between - ((x - x.mean(axis=0)) ** 2).sum()) < 1e-6
+    assert abs(clustering.score_labelling(df, "label")["training_cost"] - within) < 1e-6
+
+
+def test_fits_share_one_copy_and_release_it(spark, emb):
+    """A sweep keeps about one copy of its input cached, and nothing is left afterwards."""
+    store = spark.sparkContext._jsc
+    before = store.getPersistentRDDs().size()
+    scaled, _ = scaling.standardise(emb, "embedding")
+    with clustering.fitting(scaled.select("vec_id", "features"), "vec_id", 4) as data:
+        clustering.kmeans_sweep(data, (3, 4, 5))
+        assert store.getPersistentRDDs().size() == before + 1
+    assert store.getPersistentRDDs().size() == before

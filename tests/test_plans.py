@@ -49,6 +49,10 @@ def test_family_profiles_end_to_end(spark, football_dir, scratch):
     choice = {r.family: r for r in res["choice"].collect()}
     assert "GK" not in choice and set(choice) <= {"DEF", "MID", "FWD"}
     assert res["assignments"].count() == sum(s.n for f, s in sizes.items() if s.eligible)
+    assert all("shots_p90" in r.features_used for r in choice.values())
+    # a family lists its own columns only
+    assert res["profiles"].filter("gk_claims_p90 is not null").count() == 0
+    assert res["profiles"].filter("shots_p90 is null").count() == 0
     samples = res["samples"]
     assert samples.groupBy("family", "cluster").count().agg(F.max("count")).first()[0] <= 8
     write_family_outputs(res, scratch)
@@ -69,13 +73,17 @@ def test_cli_land_then_global_on_parquet(spark, football_dir, scratch):
 
     from rateprofile.cli import main
 
-    main(["land", "--data", football_dir, "--out", f"{scratch}/bronze"])
+    main(["land", "--data", football_dir, "--out", f"{scratch}/bronze", "--matches", f"{football_dir}/matches/*/*.json"])
+    with open(f"{scratch}/names.csv", "w") as f:
+        f.write("competition_id,season_id,competition_name\n901,1,First Cup\n902,1,Second Cup\n903,2,Third Cup\n904,2,Fourth Cup\n")
     shutil.copytree(f"{football_dir}/matches", f"{scratch}/bronze/matches")
     main(
         ["global", "--data", f"{scratch}/bronze", "--out", f"{scratch}/out", "--parquet", "--k", "3",
-         "--train", "901:1", "902:1", "--test", "903:2", "904:2", "--spot", "Star"]
+         "--names", f"{scratch}/names.csv", "--k-range", "3", "5", "--train", "901:1", "902:1", "--test", "903:2", "904:2", "--spot", "Star"]
     )
     sweep = spark.read.parquet(f"{scratch}/out/report/sweep").collect()
     assert [r.k for r in sweep if r.chosen] == [3]
     assert spark.read.parquet(f"{scratch}/out/player_features_train").count() > 0
     assert spark.read.parquet(f"{scratch}/out/report/cohort_intensity").count() == 4
+    assert {r.cohort for r in spark.read.parquet(f"{scratch}/out/report/cohort_intensity").collect()} == {"First Cup", "Second Cup", "Third Cup", "Fourth Cup"}
+    assert spark.read.parquet(f"{scratch}/out/report/gmm_profile").count() == 3

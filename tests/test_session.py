@@ -22,15 +22,3 @@ def test_cut_lineage_reads_the_checkpoint_not_the_source(spark):
     plan = _plan(cut)
     assert "FileScan parquet" not in plan and "HashAggregate" not in plan
     assert sorted(cut.collect()) == sorted(src.collect())
-
-
-def test_restrict_to_cohorts(spark):
-    from rateprofile.plans.common import restrict_to_cohorts
-
-    with_cols = spark.createDataFrame(
-        [(1, 901, 1), (2, 901, 2), (3, 902, 1)], "match_id long, competition_id long, season_id long"
-    )
-    assert sorted(r.match_id for r in restrict_to_cohorts(with_cols, [(901, 1), (902, 1)]).collect()) == [1, 3]
-    assert restrict_to_cohorts(with_cols, []).count() == 3
-    without = spark.createDataFrame([(1,), (2,)], "match_id long")
-    assert restrict_to_cohorts(without, [(901, 1)]).count() == 2  # nothing to filter on: unchanged
