@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import round_all
+from ..session import checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -22,3 +24,13 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def sql_round(expr: str, alias: str, digits: int = 6) -> str:
     return f"round(cast({expr} as double), {digits}) as {alias}"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Where queries that test a sink write: the folder that the session shares."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    if found is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="rateprofile-")
+    return found.rstrip("/")

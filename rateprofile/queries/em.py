@@ -9,12 +9,17 @@ Exact checks compare long-form vectors: ``posexplode`` in Spark (position from
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.columns import array_head
-from ..operators import assess, clustering, scaling
-from .common import finish, table
+from ..operators import assess, clustering, families, scaling
+from ..session import cut_lineage
+from ..sources.sinks import drop_vectors, write_parquet
+from .common import finish, shared_folder, table
 
 # --- Fixed values of the adapter -----------------------------------------------------
 DIM = 64
@@ -24,6 +29,9 @@ SWEEP_KS = tuple(range(3, 11))
 SAMPLE_N = 8
 BLENDED_N = 15
 SEED = 42
+GUARD_FLOOR = 12
+#: Layout of the fits on the test tables (a parameter; the default suits larger tables).
+FIT_PARTITIONS = 8
 # --- end of fixed values ---------------------------------------------------------------
 
 FEATS = [f"f{i}" for i in range(DIM)]
@@ -33,19 +41,16 @@ def _emb(spark, sf_dir):
     return table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
 
 
-def _wide(df):
-    return df.select("vec_id", "label", *[array_head("embedding", i).cast("double").alias(f) for i, f in enumerate(FEATS)])
-
-
 def _scaled(spark, sf_dir):
     scaled, model = scaling.standardise(_emb(spark, sf_dir), "embedding")
     return scaled, model
 
 
+@contextmanager
 def _fit_input(spark, sf_dir):
     scaled, _ = _scaled(spark, sf_dir)
-    # a scaler transform over a Parquet scan: cheap to re-read, counted directly
-    return clustering.prepare_for_fit(scaled.select("vec_id", "label", "features"), "vec_id", input_materialised=True)
+    with clustering.fitting(scaled.select("vec_id", "label", "features"), "vec_id", FIT_PARTITIONS) as laid:
+        yield laid
 
 
 def q_vec_head(spark, sf_dir):
@@ -75,12 +80,12 @@ def q_silhouette_by_label(spark, sf_dir):
 
 
 def q_cluster_profile(spark, sf_dir):
-    return finish(assess.cluster_profile(_wide(_emb(spark, sf_dir)), "label", FEATS))
+    return finish(assess.vector_profile(scaling.assemble(_emb(spark, sf_dir), "embedding", "v"), "label", "v", FEATS))
 
 
 def q_nearest_centroid(spark, sf_dir):
     emb = _emb(spark, sf_dir)
-    cents = clustering.label_centroids(scaling.assemble(emb, "embedding", "v"), "label", "v", max_centroids=1024)
+    cents = clustering.label_centroids(scaling.assemble(emb, "embedding", "v"), "label", "v")
     out = clustering.nearest_centroid(emb, "embedding", cents, "cluster", "distance")
     return finish(out.select("vec_id", F.col("cluster").cast("long").alias("cluster"), "distance"))
 
@@ -100,51 +105,136 @@ def q_min_group_size(spark, sf_dir):
 
 
 def q_kmeans_assign(spark, sf_dir):
-    _, preds = clustering.fit_kmeans(_fit_input(spark, sf_dir), K, SEED)
+    with _fit_input(spark, sf_dir) as data:
+        _, preds = clustering.fit_kmeans(data, K, SEED)
     return preds.select("vec_id", "cluster")
 
 
 def q_gmm_assign(spark, sf_dir):
-    _, preds = clustering.fit_gmm(_fit_input(spark, sf_dir), K, SEED)
+    with _fit_input(spark, sf_dir) as data:
+        _, preds = clustering.fit_gmm(data, K, SEED)
     return finish(preds.select("vec_id", "cluster", "max_prob"))
 
 
-def q_models_side_by_side(spark, sf_dir):
-    data = _fit_input(spark, sf_dir)
+def _both_models(data):
     km, _ = clustering.fit_kmeans(data, K, SEED, prediction_col="cluster_kmeans")
     gm, _ = clustering.fit_gmm(data, K, SEED, prediction_col="cluster_gmm")
     # One pass over the rows: both fitted models applied in a chain, no join.
-    both = gm.transform(km.transform(data)).withColumn(
-        "gmm_max_prob", F.array_max(vector_to_array("probability"))
-    )
+    both = gm.transform(km.transform(data)).withColumn("gmm_max_prob", F.array_max(vector_to_array("probability")))
+    return km, both
+
+
+def q_models_side_by_side(spark, sf_dir):
+    with _fit_input(spark, sf_dir) as data:
+        _, both = _both_models(data)
     return finish(both.select("vec_id", "cluster_kmeans", "cluster_gmm", "gmm_max_prob"))
 
 
+def q_model_fit_check(spark, sf_dir):
+    """What must hold for real fits (M3, M4, J8): rows clustered; rows whose cluster has the nearest
+    centre; rows whose mixture component is the most likely one, with probabilities that sum to 1; and
+    the total sum of squares as within plus between the fitted clusters."""
+    with _fit_input(spark, sf_dir) as data:
+        km, both = _both_models(data)
+        centres = spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(km.clusterCenters())], "id int, centroid array<double>")
+        x = both.withColumn("x", vector_to_array("features"))
+        # centres a rounding apart are equally near
+        near = clustering.nearest_centroid(x, "x", centres, "nearest", "distance")
+        own = F.aggregate(F.zip_with("x", "centroid", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, v: a + v)
+        near = near.join(F.broadcast(centres.withColumnRenamed("id", "cluster_kmeans")), "cluster_kmeans")
+        p = vector_to_array("probability")
+        rows = near.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.abs(own - F.col("distance")) < 1e-6).alias("n_nearest"),
+            F.count_if(F.get(p, F.col("cluster_gmm")) == F.array_max(p)).alias("n_likeliest"),
+            F.count_if(F.abs(F.aggregate(p, F.lit(0.0), lambda a, v: a + v) - 1.0) < 1e-6).alias("n_proper"),
+        )
+        ss = clustering.sum_of_squares(both, "cluster_kmeans").select("n", F.round(F.col("within") + F.col("between"), 4).alias("total_ss"))
+        return cut_lineage(rows.join(ss, "n"))
+
+
 def q_k_sweep(spark, sf_dir):
-    rows = clustering.kmeans_sweep(_fit_input(spark, sf_dir), SWEEP_KS, SEED)
+    with _fit_input(spark, sf_dir) as data:
+        rows = clustering.kmeans_sweep(data, SWEEP_KS, SEED)
+    return finish(clustering.sweep_table(spark, rows, clustering.choose_k(rows)))
+
+
+def q_k_scores(spark, sf_dir):
+    """The scoring half of the sweep (M2, M6) on given labellings, vec_id mod k: cost, silhouette, chosen k."""
+    scaled, _ = _scaled(spark, sf_dir)
+    rows = []
+    for k in SWEEP_KS:
+        labelled = scaled.withColumn("cluster", F.pmod("vec_id", F.lit(k)))
+        rows.append({"k": k, **clustering.score_labelling(labelled, "cluster")})
     return finish(clustering.sweep_table(spark, rows, clustering.choose_k(rows)))
 
 
 def q_model_compare(spark, sf_dir):
-    data = _fit_input(spark, sf_dir)
-    _, kp = clustering.fit_kmeans(data, K, SEED)
-    _, gp = clustering.fit_gmm(data, K, SEED)
+    with _fit_input(spark, sf_dir) as data:
+        _, kp = clustering.fit_kmeans(data, K, SEED)
+        _, gp = clustering.fit_gmm(data, K, SEED)
+        rows = [
+            ("kmeans", K, clustering.silhouette(kp, "cluster")),
+            ("gmm", K, clustering.silhouette(gp, "cluster")),
+        ]
+    return finish(spark.createDataFrame(rows, "model string, k int, silhouette double"))
+
+
+def q_label_compare(spark, sf_dir):
+    """The comparison of two labellings by silhouette (M13): label, and vec_id mod K."""
+    scaled, _ = _scaled(spark, sf_dir)
     rows = [
-        ("kmeans", K, clustering.silhouette(kp, "cluster")),
-        ("gmm", K, clustering.silhouette(gp, "cluster")),
+        ("label", clustering.silhouette(scaled, "label")),
+        ("modulo", clustering.silhouette(scaled.withColumn("c", F.pmod("vec_id", F.lit(K))), "c")),
     ]
-    return finish(spark.createDataFrame(rows, "model string, k int, silhouette double"))
+    return finish(spark.createDataFrame(rows, "model string, silhouette double"))
 
 
-def q_holdout_assign(spark, sf_dir):
+def _transfer(spark, sf_dir):
     emb = _emb(spark, sf_dir)
     train, scaler = scaling.standardise(emb.filter(F.col("label") < HOLDOUT_MIN_LABEL), "embedding")
-    fit_input = clustering.prepare_for_fit(train.select("vec_id", "features"), "vec_id", input_materialised=True)
-    model, _ = clustering.fit_kmeans(fit_input, K, SEED)
-    test = scaling.apply_scaler(emb.filter(F.col("label") >= HOLDOUT_MIN_LABEL), "embedding", scaler)
+    return train, scaling.apply_scaler(emb.filter(F.col("label") >= HOLDOUT_MIN_LABEL), "embedding", scaler)
+
+
+def q_holdout_assign(spark, sf_dir):
+    train, test = _transfer(spark, sf_dir)
+    with clustering.fitting(train.select("vec_id", "features"), "vec_id", FIT_PARTITIONS) as data:
+        model, _ = clustering.fit_kmeans(data, K, SEED)
     return model.transform(test).select("vec_id", "label", "cluster")
 
 
+def q_holdout_nearest(spark, sf_dir):
+    """Transfer to held-out rows (M7) with given centres: the scaled means of the train labels."""
+    train, test = _transfer(spark, sf_dir)
+    x = test.withColumn("x", vector_to_array("features"))
+    out = clustering.nearest_centroid(x, "x", clustering.label_centroids(train, "label"))
+    return finish(out.select("vec_id", F.col("cluster").cast("long").alias("cluster"), "distance"))
+
+
+def q_override_guard(spark, sf_dir):
+    """The guard on a proposed k (M12) over given memberships: a proposal that splits each label by
+    vec_id mod 2 (accepted where both halves reach the floor), and one that splits off a few rows (rejected)."""
+    emb = _emb(spark, sf_dir).select("vec_id", "label")
+    halves = emb.select(F.concat(F.lit("halves "), "label").alias("family"), F.pmod("vec_id", F.lit(2)).alias("cluster"))
+    few = emb.select(F.concat(F.lit("few "), "label").alias("family"), (F.pmod("vec_id", F.lit(97)) == 0).cast("long").alias("cluster"))
+    return families.override_guard(halves.unionByName(few), "family", "cluster", GUARD_FLOOR)
+
+
+def q_written_clusters(spark, sf_dir):
+    """An entity table with vectors, written without them and read back."""
+    scaled, _ = _scaled(spark, sf_dir)
+    path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+    write_parquet(drop_vectors(scaled.withColumn("x0", array_head("embedding", 0).cast("double"))), path)
+    return finish(spark.read.parquet(path).select("vec_id", "label", "x0"))
+
+
+def q_written_families(spark, sf_dir):
+    """Written once, a folder per family, and read back."""
+    path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+    write_parquet(_emb(spark, sf_dir).select("vec_id", F.concat(F.lit("L"), "label").alias("family")), path, partition_by=("family",))
+    return spark.read.parquet(path).select("vec_id", "family")
+
+
 # ------------------------------------------------------------------------- oracle SQL
 _LONG = """q as (select vec_id, label, generate_subscripts(embedding, 1) - 1 as pos,
                  unnest(embedding)::double as x from embeddings)"""
@@ -181,7 +271,58 @@ d as (select vec_id, k, round(sum((x - cx) * (x - cx)), 9) as d from q join ce u
 select vec_id, k::bigint as cluster, round(d, 6) as distance from (
   select *, row_number() over (partition by vec_id order by d, k) as rn from d) t where rn = 1"""
 
+_Z = f"""{_LONG},
+st as (select pos, avg(x) as mu, stddev_samp(x) as sd from q group by pos),
+z as (select vec_id, label, q.pos, case when sd = 0 then 0 else (x - mu) / sd end as x from q join st using (pos))"""
+
+
+def _scores_sql(labels: str) -> str:
+    """Cost and silhouette per labelling g of ``labels``: rows (g, vec_id, c)."""
+    return f"""
+with {_Z},
+lab as ({labels}),
+zz as (select lab.g, lab.c, z.vec_id, z.pos, z.x from z join lab using (vec_id)),
+pt as (select g, vec_id, c, sum(x * x) as xi from zz group by g, vec_id, c),
+cl as (select g, c as kc, count(*) as n, sum(xi) as psi from pt group by g, c),
+cy as (select g, c as kc, pos, sum(x) as sx from zz group by g, c, pos),
+co as (select cl.g, sum(psi - sq / n) as cost from cl join (select g, kc, sum(sx * sx) as sq from cy group by g, kc) using (g, kc) group by cl.g),
+dt as (select zz.g, vec_id, zz.c, kc, sum(x * sx) as dot from zz join cy on zz.g = cy.g and zz.pos = cy.pos group by zz.g, vec_id, zz.c, kc),
+d as (select dt.g, dt.vec_id, dt.c, dt.kc, case when dt.c = dt.kc then n / (n - 1) else 1 end * (xi + psi / n - 2 * dot / n) as d
+      from dt join pt on dt.g = pt.g and dt.vec_id = pt.vec_id join cl on dt.g = cl.g and dt.kc = cl.kc),
+ab as (select g, vec_id, min(d) filter (where c = kc) as a, min(d) filter (where c <> kc) as b from d group by g, vec_id),
+si as (select g, avg((b - a) / greatest(a, b)) as silhouette from ab group by g)
+"""
+
+
+_SWEEP_LABELS = f"select k as g, vec_id, vec_id % k as c from embeddings, range({SWEEP_KS[0]}, {SWEEP_KS[-1] + 1}) r(k)"
+_COMPARE_LABELS = f"select 'label' as g, vec_id, label as c from embeddings union all select 'modulo', vec_id, vec_id % {K} from embeddings"
+
 ORACLE = {
+    "k_scores": _scores_sql(_SWEEP_LABELS)
+    + """select cast(g as integer) as k, round(cost, 6) as training_cost, round(silhouette, 6) as silhouette,
+       g = (select min(g) from si where silhouette = (select max(silhouette) from si)) as chosen
+from co join si using (g)""",
+    "label_compare": _scores_sql(_COMPARE_LABELS) + "select g as model, round(silhouette, 6) as silhouette from si",
+    "model_fit_check": f"""
+with {_Z}
+select count(distinct vec_id) as n, count(distinct vec_id) as n_nearest, count(distinct vec_id) as n_likeliest,
+       count(distinct vec_id) as n_proper, round(sum(x * x), 4) as total_ss from z""",
+    "holdout_nearest": f"""
+with {_LONG},
+st as (select pos, avg(x) as mu, stddev_samp(x) as sd from q where label < {HOLDOUT_MIN_LABEL} group by pos),
+z as (select vec_id, label, q.pos, case when sd = 0 then 0 else (x - mu) / sd end as x from q join st using (pos)),
+ce as (select label as k, pos, avg(x) as cx from z where label < {HOLDOUT_MIN_LABEL} group by label, pos),
+d as (select vec_id, k, round(sum((x - cx) * (x - cx)), 9) as d from z join ce using (pos)
+      where label >= {HOLDOUT_MIN_LABEL} group by vec_id, k)
+select vec_id, k::bigint as cluster, round(d, 6) as distance from (
+  select *, row_number() over (partition by vec_id order by d, k) as rn from d) t where rn = 1""",
+    "override_guard": f"""
+with m as (select 'halves ' || label as family, vec_id % 2 as cluster from embeddings
+           union all select 'few ' || label, cast(vec_id % 97 = 0 as bigint) from embeddings),
+s as (select family, cluster, count(*) as n from m group by family, cluster)
+select family, min(n) as min_size, min(n) >= {GUARD_FLOOR} as accepted from s group by family""",
+    "written_clusters": "select vec_id, label, round(embedding[1]::double, 6) as x0 from embeddings",
+    "written_families": "select vec_id, 'L' || label as family from embeddings",
     "vec_head": "select vec_id, round(embedding[1]::double, 6) as x0 from embeddings",
     "max_component": "select vec_id, round(list_max(embedding)::double, 6) as max_component from embeddings",
     "standardise": _z_sql("", ""),
@@ -219,4 +360,11 @@ QUERIES = {
     "k_sweep": q_k_sweep,
     "model_compare": q_model_compare,
     "holdout_assign": q_holdout_assign,
+    "k_scores": q_k_scores,
+    "label_compare": q_label_compare,
+    "model_fit_check": q_model_fit_check,
+    "holdout_nearest": q_holdout_nearest,
+    "override_guard": q_override_guard,
+    "written_clusters": q_written_clusters,
+    "written_families": q_written_families,
 }

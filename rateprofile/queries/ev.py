@@ -15,10 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import LabelRule, label_family, minutes_to_clock, clock_to_minutes, safe_ratio
-from ..operators import assess, counts, exposure, families, features, scaling
+from ..functions.predicates import event_counters
+from ..operators import assess, clustering, counts, exposure, families, features, scaling
 from ..operators.features import Rate, Ratio
 from ..plans.global_profiles import cluster_and_assess
+from ..session import cut_lineage
 from .common import finish, table
+from .em import FIT_PARTITIONS
 
 # --- Fixed values of the adapter -----------------------------------------------------
 SPLIT_DATE = "2024-01-16"
@@ -60,18 +63,14 @@ def ev_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ev_segments(ev: DataFrame) -> DataFrame:
+def _segment_times() -> list:
     start = F.col("minute") + F.col("second") / 60.0
-    return ev.select(
-        "event_id",
-        "day",
-        "user_id",
-        F.col("event_type").alias("role"),
-        start.alias("from_min"),
-        F.when(F.col("value") >= OPEN_MIN_VALUE, F.lit(None).cast("double"))
-        .otherwise(start + F.col("value") / 60.0)
-        .alias("to_min"),
-    )
+    end = F.when(F.col("value") >= OPEN_MIN_VALUE, F.lit(None).cast("double")).otherwise(start + F.col("value") / 60.0)
+    return [start.alias("from_min"), end.alias("to_min")]
+
+
+def ev_segments(ev: DataFrame) -> DataFrame:
+    return ev.select("event_id", "day", "user_id", F.col("event_type").alias("role"), *_segment_times())
 
 
 def ev_session_end(ev: DataFrame, mode: str = "reference") -> DataFrame:
@@ -97,9 +96,39 @@ def _split(df: DataFrame) -> DataFrame:
     return df.withColumn("split", F.when(F.col("day") < SPLIT_DATE, "A").otherwise("B"))
 
 
+def ev_summary(ev: DataFrame) -> DataFrame:
+    """One row per (day, user, event type): counts, the segment summary of the role and the clock
+    maxima. It is materialised, so whatever is derived from it reads the events once."""
+    rows = ev.select("*", *_segment_times())
+    per = rows.groupBy("day", "user_id", "event_type").agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.count_if(F.col("value") >= HIGH_VALUE).alias("high_value"),
+        F.max("minute").alias("last_minute"),
+        F.max("second").alias("last_second"),
+        *exposure.segment_summary("from_min", "to_min"),
+    )
+    return cut_lineage(per)
+
+
+def summary_counts(summary: DataFrame) -> DataFrame:
+    """The counters of ``ev_counters`` from the summary."""
+    is_type = lambda t: F.col("event_type") == t
+    aggs = [F.sum(F.when(is_type(t), F.col("total_events")).otherwise(0)).alias(t) for t in EVENT_TYPES]
+    purchases = F.sum(F.when(is_type("purchase"), F.col("high_value")).otherwise(0))
+    return summary.groupBy("day", "user_id").agg(
+        F.sum("total_events").alias("total_events"), *aggs, F.sum("high_value").alias("high_value"), purchases.alias("high_value_purchase")
+    )
+
+
+def summary_exposure(summary: DataFrame) -> DataFrame:
+    ends = exposure.session_end(summary, "day", "last_minute", "last_second")
+    roles = summary.withColumnRenamed("event_type", "role").filter(F.col("role").isNotNull())
+    return exposure.exposure_of_summary(roles, ends, "day", "user_id", "role")
+
+
 def ev_features(spark: SparkSession, sf_dir: str, by_split: bool = False) -> DataFrame:
-    ev = ev_events(spark, sf_dir)
-    cnt, expo = ev_counts(ev), ev_exposure(ev)
+    summary = ev_summary(ev_events(spark, sf_dir))
+    cnt, expo = summary_counts(summary), summary_exposure(summary)
     by = ()
     if by_split:
         cnt, expo, by = _split(cnt), _split(expo), ("split",)
@@ -127,10 +156,7 @@ def q_clock_parse(spark, sf_dir):
 
 
 def q_session_end(spark, sf_dir):
-    ev = ev_events(spark, sf_dir)
-    ref = ev_session_end(ev, "reference")
-    exact = exposure.session_end(ev, "day", "minute", "second", mode="exact", out="session_end_exact")
-    return finish(ref.join(exact, "day"))
+    return finish(exposure.session_ends(ev_events(spark, sf_dir), "day", "minute", "second"))
 
 
 def q_open_end_fill(spark, sf_dir):
@@ -202,22 +228,22 @@ def q_fill_numeric(spark, sf_dir):
 
 
 def q_cohort_intensity(spark, sf_dir):
-    ev = ev_events(spark, sf_dir)
-    sessions = ev.select("day").distinct().select(
+    summary = ev_summary(ev_events(spark, sf_dir))
+    sessions = summary.select("day").distinct().select(
         "day",
         F.when(F.col("day") < SPLIT_DATE, "A").otherwise("B").alias("cohort"),
         F.year(F.to_date("day")).cast("long").alias("year"),
     )
-    errors = ev.filter(F.col("event_type") == INTENSITY_TYPE)
-    out = assess.cohort_intensity(errors, ev_exposure(ev), sessions, "day", "cohort", "year")
+    errors = summary.filter(F.col("event_type") == INTENSITY_TYPE)
+    out = assess.cohort_intensity(
+        errors, summary_exposure(summary), sessions, "day", "cohort", "year", count_col="total_events"
+    )
     return finish(out)
 
 
 def q_profile_drift(spark, sf_dir):
     feats = ev_features(spark, sf_dir, by_split=True)
-    a = assess.cluster_profile(feats.filter(F.col("split") == "A"), "label", EV_FEATURES)
-    b = assess.cluster_profile(feats.filter(F.col("split") == "B"), "label", EV_FEATURES)
-    return finish(assess.profile_drift(a, b, "label", EV_FEATURES))
+    return finish(assess.split_drift(feats, "label", "split", EV_FEATURES, "A", "B"))
 
 
 def ev_family_features(spark, sf_dir):
@@ -233,22 +259,95 @@ def q_family_standardise(spark, sf_dir):
     return finish(z.select("user_id", "family", *[f"z_{c}" for c in EV_FEATURES]))
 
 
+def _global(spark, sf_dir):
+    feats = ev_features(spark, sf_dir, by_split=True)
+    return feats, cluster_and_assess(feats, EV_FEATURES, "user_id", None, "label", train_value="A", test_value="B", partitions=FIT_PARTITIONS)
+
+
 def q_global_clusters(spark, sf_dir):
     """Pipeline L1's model half on the events table: fit on the first half of the
-    month (A), transfer to the second (B); the train entities with their K-Means
-    and Gaussian-mixture clusters."""
-    feats = ev_features(spark, sf_dir, by_split=True)
-    res = cluster_and_assess(
-        feats, EV_FEATURES, "user_id", None, "label", train_value="A", test_value="B", k_range=(3, 4, 5, 6)
+    month (A) with the full k sweep, transfer to the second (B): the entities of both with their
+    K-Means cluster, and the Gaussian-mixture cluster of the train entities."""
+    _, res = _global(spark, sf_dir)
+    train = res["train_clusters"].select("user_id", F.lit("A").alias("split"), "cluster_kmeans", "cluster_gmm", "gmm_max_prob")
+    test = res["test_clusters"].select("user_id", F.lit("B").alias("split"), "cluster_kmeans")
+    return finish(train.unionByName(test, allowMissingColumns=True))
+
+
+def q_global_fit_check(spark, sf_dir):
+    """What must hold for the real fit of L1, per split: the entities clustered and, for the train
+    split, the total sum of squares of the scaled features as the sum of its within and between
+    parts (a partition of it by the fitted clusters)."""
+    feats, res = _global(spark, sf_dir)
+    scaled, _ = scaling.standardise(feats.filter(F.col("split") == "A"), EV_FEATURES)
+    labelled = scaled.select("user_id", "features").join(res["train_clusters"].select("user_id", "cluster_kmeans"), "user_id")
+    parts = clustering.sum_of_squares(labelled, "cluster_kmeans")
+    n = res["train_clusters"].select(F.lit("A").alias("split")).unionByName(res["test_clusters"].select(F.lit("B").alias("split")))
+    counts_ = n.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    total = parts.select(F.lit("A").alias("split"), F.round(F.col("within") + F.col("between"), 4).alias("total_ss"))
+    return counts_.join(total, "split", "left")
+
+
+def _family_result(spark, sf_dir):
+    return families.cluster_families(
+        ev_family_features(spark, sf_dir), "user_id", "family", {}, EV_FEATURES, overrides={"BROWSE": 3}, partitions=FIT_PARTITIONS
     )
-    return finish(res["train_clusters"].select("user_id", "cluster_kmeans", "cluster_gmm", "gmm_max_prob"))
 
 
 def q_family_clusters(spark, sf_dir):
-    res = families.cluster_families(
-        ev_family_features(spark, sf_dir), "user_id", "family", {}, EV_FEATURES, overrides={"BROWSE": 3}
+    return _family_result(spark, sf_dir)["assignments"].select("user_id", "family", "cluster")
+
+
+def q_family_fit_check(spark, sf_dir):
+    """The entities that L2 clusters: all of the families with at least 24, each once, in clusters 0 to k - 1."""
+    res = _family_result(spark, sf_dir)
+    k = res["choice"].select("family", "chosen_k")
+    own = res["assignments"].select("user_id", "family", "cluster").join(F.broadcast(k), "family")
+    return own.groupBy("family").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("user_id").alias("n_entities"),
+        F.count_if(F.col("cluster").between(0, F.col("chosen_k") - 1)).alias("n_valid"),
+    )
+
+
+# The flat event shape of the football model, filled from the events table: kinds and outcomes follow
+# from the number k in props, coordinates from value.
+KINDS = ("Pass", "Shot", "Dribble", "Duel", "Interception", "Pressure", "Goal Keeper")
+KEEPER_KINDS = ("Shot Faced", "Shot Saved", "Shot Saved to Post", "Shot Saved Off Target", "Collected", "Punch", "Keeper Sweeper")
+DUEL_OUTCOMES = ("Won", "Success", "Success In Play", "Success Out", "Lost")
+
+
+def ev_flat_events(spark, sf_dir) -> DataFrame:
+    ev = table(spark, sf_dir, "events", ["event_id", "user_id", "value", "props"])
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    ev = ev.withColumn("k", k).withColumn("m", F.pmod(F.floor(F.col("value")).cast("int"), F.lit(100)))
+    kind = F.element_at(F.array(*map(F.lit, KINDS)), F.pmod("k", F.lit(7)) + 1)
+    k, m = F.col("k"), F.col("m")
+    none = F.lit(None)
+    return ev.select(
+        "event_id",
+        F.when(F.pmod(k, F.lit(11)) != 0, F.col("user_id")).alias("player_id"),
+        kind.alias("type_name"),
+        F.when(F.pmod(k, F.lit(13)) != 0, F.array(F.col("value"), F.lit(40.0))).alias("location"),
+        F.array(F.col("value") + F.pmod(k, F.lit(30)) - 10.0, F.lit(40.0)).alias("pass_end_location"),
+        F.when(F.pmod(m, F.lit(3)) == 0, "Incomplete").alias("pass_outcome_name"),
+        F.when(F.pmod(m, F.lit(5)) == 0, True).alias("pass_shot_assist"),
+        F.when(F.pmod(m, F.lit(4)) == 0, F.pmod(m, F.lit(8)) == 0).alias("pass_goal_assist"),
+        F.when(F.pmod(m, F.lit(4)) == 1, "Goal").otherwise("Saved").alias("shot_outcome_name"),
+        F.when(F.pmod(m, F.lit(2)) == 0, "Complete").otherwise("Incomplete").alias("dribble_outcome_name"),
+        F.when(F.pmod(m, F.lit(6)) < 4, "Tackle").otherwise("Aerial Lost").alias("duel_type_name"),
+        F.element_at(F.array(*map(F.lit, DUEL_OUTCOMES)), F.pmod(m, F.lit(5)) + 1).alias("duel_outcome_name"),
+        F.when(F.pmod(m, F.lit(17)) == 0, True).alias("pass_aerial_won"),
+        F.when(F.pmod(m, F.lit(19)) == 0, True).alias("shot_aerial_won"),
+        (F.pmod(m, F.lit(23)) == 0).alias("clearance_aerial_won"),
+        none.cast("boolean").alias("miscontrol_aerial_won"),
+        F.when(kind == "Goal Keeper", F.element_at(F.array(*map(F.lit, KEEPER_KINDS)), F.pmod(m, F.lit(7)) + 1)).alias("goalkeeper_type_name"),
     )
-    return res["assignments"].select("user_id", "family", "cluster")
+
+
+def q_event_counters(spark, sf_dir):
+    """The 17 counters of the football model (E1-E17) as they are, per player."""
+    return counts.conditional_counts(ev_flat_events(spark, sf_dir), ["player_id"], event_counters(), require_not_null=["player_id"])
 
 
 # ------------------------------------------------------------------------- oracle SQL
@@ -342,8 +441,8 @@ def _profile_drift_sql() -> str:
 with ff as ({inner}),
 a as (select label, count(*) as n, {means_a} from ff where split = 'A' group by label),
 b as (select label, count(*) as n, {means_a} from ff where split = 'B' group by label)
-select a.label, a.n as n_a, b.n as n_b, {diffs}
-from a join b on a.label = b.label
+select coalesce(a.label, b.label) as label, coalesce(a.n, 0) as n_a, coalesce(b.n, 0) as n_b, {diffs}
+from a full join b on a.label is not distinct from b.label
 """
 
 
@@ -360,7 +459,54 @@ from ff window w as (partition by family)
 """
 
 
+def _event_counters_sql() -> str:
+    name = lambda xs, i: "case " + " ".join(f"when {i} = {n} then '{x}'" for n, x in enumerate(xs)) + " end"
+    return f"""
+with b as (select user_id, value, cast(json_extract_string(props, '$.k') as integer) as k, cast(floor(value) as integer) % 100 as m from events),
+f as (select *, {name(KINDS, 'k % 7')} as kind, case when k % 13 <> 0 then value end as x,
+             value + k % 30 - 10.0 as ex, m % 3 <> 0 as done, {name(DUEL_OUTCOMES, 'm % 5')} as duel,
+             case when k % 7 = 6 then {name(KEEPER_KINDS, 'm % 7')} end as gk
+      from b where k % 11 <> 0)
+select user_id as player_id, count(*) as total_events,
+  count(*) filter (where kind = 'Pass') as passes_attempted,
+  count(*) filter (where kind = 'Pass' and done) as passes_completed,
+  count(*) filter (where kind = 'Pass' and done and ex - x >= 10) as progressive_passes,
+  count(*) filter (where kind = 'Pass' and (m % 5 = 0 or m % 8 = 0)) as key_passes,
+  count(*) filter (where kind = 'Shot') as shots,
+  count(*) filter (where kind = 'Shot' and m % 4 = 1) as goals,
+  count(*) filter (where kind = 'Dribble') as dribble_attempts,
+  count(*) filter (where kind = 'Dribble' and m % 2 = 0) as dribbles_completed,
+  count(*) filter (where kind = 'Duel' and m % 6 < 4 and duel <> 'Lost') as tackles_won,
+  count(*) filter (where kind = 'Interception') as interceptions,
+  count(*) filter (where m % 17 = 0 or m % 19 = 0 or m % 23 = 0) as aerial_duels_won,
+  count(*) filter (where kind = 'Pressure') as pressures,
+  count(*) filter (where x >= 80) as attacking_third_touches,
+  count(*) filter (where gk = 'Shot Faced') as gk_shots_faced,
+  count(*) filter (where gk in ('Shot Saved', 'Shot Saved to Post', 'Shot Saved Off Target')) as gk_shots_saved,
+  count(*) filter (where gk in ('Collected', 'Punch')) as gk_claims,
+  count(*) filter (where gk = 'Keeper Sweeper') as gk_sweeper_actions
+from f where user_id is not null group by user_id"""
+
+
+def _global_check_sql() -> str:
+    ss = " + ".join(f"coalesce((count({c}) - 1) * case when var_samp({c}) > 0 then 1 end, 0)" for c in EV_FEATURES)
+    return f"""
+with ff as ({_features_sql(split=True)})
+select split, count(*) as n, case when split = 'A' then round(cast({ss} as double), 4) end as total_ss
+from ff group by split"""
+
+
+def _family_check_sql() -> str:
+    return f"""
+with ff as (select {_family_case('label')} as family from ({_features_sql(False)}) r),
+s as (select family, count(*) as n from ff group by family)
+select family, n, n as n_entities, n as n_valid from s where n >= 24"""
+
+
 ORACLE = {
+    "event_counters": _event_counters_sql(),
+    "global_fit_check": _global_check_sql(),
+    "family_fit_check": _family_check_sql(),
     "entity_features": _flagship_sql(),
     "clock_parse": """
 select event_id, printf('%d:%02d', hour(ts) * 60 + minute(ts), second(ts)) as clock,
@@ -453,4 +599,7 @@ QUERIES = {
     "family_standardise": q_family_standardise,
     "family_clusters": q_family_clusters,
     "global_clusters": q_global_clusters,
+    "global_fit_check": q_global_fit_check,
+    "family_fit_check": q_family_fit_check,
+    "event_counters": q_event_counters,
 }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import LabelRule, label_family
 from ..operators import assess, exposure, families
-from ..sources.json_sources import missing_sessions
+from ..sources.json_sources import explode_path, flatten, missing_sessions
 from .common import finish, table
 
 # --- Fixed values of the adapter -----------------------------------------------------
@@ -51,25 +51,11 @@ def split_keys(spark, sf_dir):
     return orders.join(F.broadcast(keys), ["o_orderpriority", "year"], "inner").select("o_orderkey", "split")
 
 
-def nested_orders(spark, sf_dir):
-    """Orders with their lines as nested arrays (the shape of a lineup file); an
-    order without lines has a NULL array. No grouping builds the arrays: every
-    line is wrapped in its own array, so no array grows with a hot order. Lines
-    meet their order in an inner join (AQE can split a skewed side of it); orders
-    with no line come from the anti join against the distinct line keys."""
-    line = F.struct("l_linenumber", "l_suppkey", "l_returnflag", "l_quantity")
-    wrapped = _lines(spark, sf_dir).select(F.col("l_orderkey").alias("o_orderkey"), F.array(line).alias("lines"))
-    orders = _orders(spark, sf_dir, ("o_orderkey", "o_custkey"))
-    with_lines = wrapped.join(orders, "o_orderkey", "inner")
-    no_lines = missing_sessions(orders, wrapped, "o_orderkey").withColumn(
-        "lines", F.lit(None).cast(wrapped.schema["lines"].dataType)
-    )
-    return with_lines.unionByName(no_lines)
-
-
 def q_segments_explode(spark, sf_dir):
-    flat = nested_orders(spark, sf_dir).select("o_orderkey", "o_custkey", F.explode_outer("lines").alias("s"))
-    return finish(flat.select("o_orderkey", "o_custkey", "s.*"))
+    """Orders with their lines; an order without lines keeps one row with NULL line columns."""
+    lines = _lines(spark, sf_dir).withColumnRenamed("l_orderkey", "o_orderkey")
+    flat = _orders(spark, sf_dir, ("o_orderkey", "o_custkey")).join(lines, "o_orderkey", "left")
+    return finish(flat)
 
 
 def q_drop_null_segments(spark, sf_dir):
@@ -77,6 +63,19 @@ def q_drop_null_segments(spark, sf_dir):
     return flat.filter(F.col("l_linenumber").isNotNull())
 
 
+def q_nested_explode(spark, sf_dir):
+    """S5 over data that nests: documents hold lines, lines hold words. A line without words keeps a row
+    with a NULL word, as an entity without segments does."""
+    words = lambda line: F.filter(F.split(line, " "), lambda w: w != "")
+    text = F.coalesce("text", F.lit(""))
+    lines = F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("number"), words(line).alias("words")))
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"]).select("doc_id", lines.alias("lines"))
+    flat = flatten(explode_path(explode_path(docs, "lines"), "lines.words", keep_empty=True), plain=("lines",))
+    return flat.groupBy("doc_id", "number").agg(
+        F.count("words").alias("n_words"), F.count(F.lit(1)).alias("n_rows"), F.max("words").alias("last_word")
+    ).withColumn("number", F.col("number").cast("long"))
+
+
 def q_missing_sessions(spark, sf_dir):
     return missing_sessions(
         _orders(spark, sf_dir, ("o_orderkey", "o_orderpriority")),
@@ -194,6 +193,10 @@ from orders left join lineitem on o_orderkey = l_orderkey""",
     "drop_null_segments": """
 select o_orderkey, o_custkey, l_linenumber, l_suppkey, l_returnflag, round(l_quantity, 6) as l_quantity
 from orders join lineitem on o_orderkey = l_orderkey""",
+    "nested_explode": """
+with l as (select doc_id, i - 1 as number, list_filter(string_split(s[i], ' '), lambda w: w <> '') as w
+           from (select doc_id, string_split(coalesce(text, ''), chr(10)) as s from documents), lateral (select unnest(range(1, len(s) + 1)) as i))
+select doc_id, number, cast(len(w) as bigint) as n_words, cast(greatest(len(w), 1) as bigint) as n_rows, list_max(w) as last_word from l""",
     "missing_sessions": """
 select o_orderkey, o_orderpriority from orders
 where not exists (select 1 from lineitem where l_orderkey = o_orderkey)""",
@@ -247,6 +250,7 @@ from s""",
 QUERIES = {
     "segments_explode": q_segments_explode,
     "drop_null_segments": q_drop_null_segments,
+    "nested_explode": q_nested_explode,
     "missing_sessions": q_missing_sessions,
     "cohort_dim": q_cohort_dim,
     "role_totals": q_role_totals,

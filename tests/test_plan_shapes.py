@@ -7,8 +7,8 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from rateprofile.queries import QUERIES
 
 FORBIDDEN = (
     "CartesianProduct",
@@ -19,7 +19,6 @@ FORBIDDEN = (
     "MapInPandas",
     "PythonUDF",
 )
-QUERIES = entry.queries()
 PLANS = {}
 
 

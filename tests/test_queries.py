@@ -9,11 +9,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from rateprofile.queries import ORACLE, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -39,8 +38,12 @@ def _canon(cols, rows):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.count() >= 0
     assert df.columns[:4] == ["user_id", "label", "exposure_min", "days_seen"]
+    rows = df.collect()
+    assert len(rows) > 100 and len({r.user_id for r in rows}) == len(rows)
+    rates = [c for c in df.columns if c not in ("user_id", "label", "days_seen")]
+    assert all(r[c] is not None and r[c] >= 0 for r in rows for c in rates)
+    assert all(any(r[c] > 0 for r in rows) for c in rates)
 
 
 def test_every_query_is_registered():
