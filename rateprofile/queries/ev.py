@@ -285,7 +285,8 @@ def q_global_fit_check(spark, sf_dir):
     n = res["train_clusters"].select(F.lit("A").alias("split")).unionByName(res["test_clusters"].select(F.lit("B").alias("split")))
     counts_ = n.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
     total = parts.select(F.lit("A").alias("split"), F.round(F.col("within") + F.col("between"), 4).alias("total_ss"))
-    return counts_.join(total, "split", "left")
+    both = counts_.unionByName(total, allowMissingColumns=True)
+    return both.groupBy("split").agg(F.max("n").alias("n"), F.max("total_ss").alias("total_ss"))
 
 
 def _family_result(spark, sf_dir):
