@@ -96,18 +96,21 @@ def _split(df: DataFrame) -> DataFrame:
     return df.withColumn("split", F.when(F.col("day") < SPLIT_DATE, "A").otherwise("B"))
 
 
-def ev_summary(ev: DataFrame) -> DataFrame:
-    """One row per (day, user, event type): counts, the segment summary of the role and the clock
-    maxima. It is materialised, so whatever is derived from it reads the events once."""
+def summarise(ev: DataFrame) -> DataFrame:
+    """One row per (day, user, event type): counts, the segment summary of the role and the clock maxima."""
     rows = ev.select("*", *_segment_times())
-    per = rows.groupBy("day", "user_id", "event_type").agg(
+    return rows.groupBy("day", "user_id", "event_type").agg(
         F.count(F.lit(1)).alias("total_events"),
         F.count_if(F.col("value") >= HIGH_VALUE).alias("high_value"),
         F.max("minute").alias("last_minute"),
         F.max("second").alias("last_second"),
         *exposure.segment_summary("from_min", "to_min"),
     )
-    return cut_lineage(per)
+
+
+def ev_summary(ev: DataFrame) -> DataFrame:
+    """The materialised summary: whatever is derived from it reads the events once."""
+    return cut_lineage(summarise(ev))
 
 
 def summary_counts(summary: DataFrame) -> DataFrame:
