@@ -26,11 +26,13 @@ _ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 _FOUND = "array<struct<start:bigint,value:string>>"
 
 #: Kinds in the order in which they are listed, pattern, and the
-#: shortest accepted length of the group that is measured.
+#: shortest accepted length of the group that is measured. The last two match greedy runs, so their
+#: least length can stand in the pattern: a shorter run is dropped either way, and nothing else starts
+#: inside it. An assignment that is too short can hold the next key word, which it uses up.
 KINDS: tuple[tuple[str, str, int, int], ...] = (
     ("assign", _ASSIGN, 2, 6),
-    ("access", r"AKIA[A-Z0-9]+", 0, 20),
-    ("hex", r"[0-9a-f]+", 0, 24),
+    ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
+    ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 
 
