@@ -166,7 +166,20 @@ def _preferences(spark, sf_dir):
     return chat.format_pairs(conversations, *chat.id_pairs(conversations))
 
 
-@_query("op10_warc")
+@_query(
+    "op10_warc",
+    """
+with p as (select page_id, coalesce(html, '') as h from pages),
+d as (select *, sha1(h) as s, max(page_id) over (partition by h) as last from p)
+select page_id, cast(octet_length(encode(h)) as bigint) as payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 + ((((
+         instr('0123456789abcdef', substr(s, (5 * i) // 4 + 1, 1)) - 1) * 16
+         + greatest(instr('0123456789abcdef', substr(s || '0', (5 * i) // 4 + 2, 1)) - 1, 0)) >> (3 - (5 * i) % 4)) & 31) as bigint), 1)), '') as payload_digest,
+       case when page_id is distinct from last then 'revisit' else 'response' end as record_type,
+       case when page_id is distinct from last then last end as refers_to
+from d
+""",
+)
 def _warc(spark, sf_dir):
     index = warc.write(table(spark, sf_dir, "pages"))
     return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
