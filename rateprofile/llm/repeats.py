@@ -13,10 +13,12 @@ the next depth: q, 2q, 4q. Grouping by a number is the sort of that round.
 
 Rounds: (1) anchors alone in their q-gram bucket are done. (2) Buckets are refined by the numbers at all later
 (and earlier) offsets of the anchor's context, the union of all windows that hold it: where a context
-occurs again, each of its bytes is covered. (3) For the contexts that occur once, but not alone
-in their q-gram bucket, windows are taken in stretches of offsets. A stretch whose common core is unique is done;
-one whose whole span is shared by all who share the core is covered. (4) The windows of the other
-stretches are compared one by one. Each round joins on bucket numbers only, with counts combined before the shuffle.
+occurs again, each of its bytes is covered. (3) The contexts that occur once, but not alone in their
+q-gram bucket, are refined window by window with the others of the bucket, one of each kind: numbers of depth q, 2q, 4q up to the
+length, each from the last. A bucket is refined in one task while it is small. Beyond ``BUCKET_CONTEXTS`` it
+is split first: the range of its windows is halved, the core that all windows of a half share refines the
+bucket, and so on until a bucket is small or all its members cover the same bytes; then these occur again as a whole.
+All joins are on bucket numbers, with counts combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from .common import materialise, mix64, slices, spread, text_bytes
 
 LENGTH = 200
 GRAM = 40
-#: Window offsets that are judged together in round 3.
-STRETCH = 16
+#: Buckets with up to this many different contexts are refined in one task, others by joins.
+BUCKET_CONTEXTS = 4096
 _BASE = 0xD6E8FEB86659FD93
 
 
@@ -104,7 +106,7 @@ def _anchor_rows(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            ids, keys = batch.column("id"), batch.column("key")
+            keys, checks = batch.column("key"), batch.column("check")
             for i, j in slices(offsets):
                 off = offsets[i : j + 1] - offsets[i]
                 buckets = gram_buckets(data[offsets[i] : offsets[j]], gram)
@@ -117,8 +119,8 @@ def _anchor_rows(length: int, gram: int):
                 c = context_numbers(buckets, lo, hi, p - lo, 2 * length - gram, gram)
                 rows = pa.array(text + i)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(buckets[p].view(np.int64)), pa.array(c.view(np.int64)), ids.take(rows), keys.take(rows), pa.array((p - off[text]).astype(np.int32))],
-                    names=["bucket", "context", "id", "key", "pos"],
+                    [pa.array(buckets[p].view(np.int64)), pa.array(c.view(np.int64)), keys.take(rows), checks.take(rows), pa.array((p - off[text]).astype(np.int32))],
+                    names=["bucket", "context", "key", "check", "pos"],
                 )
 
     return run
@@ -131,15 +133,15 @@ def _contexts(length: int, gram: int):
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             raw = data.tobytes()
-            out: dict[str, list] = {c: [] for c in ("bucket", "id", "key", "pos", "before", "bytes", "single")}
+            out: dict[str, list] = {c: [] for c in ("bucket", "key", "check", "pos", "before", "bytes", "single", "a", "b")}
             for i, marks in enumerate(batch.column("marks").to_pylist()):
                 a, b = int(offsets[i]), int(offsets[i + 1])
                 for m in marks:
                     p = a + m["pos"]
                     lo, hi = max(a, p - (length - gram)), min(b, p + length)
-                    for c, v in zip(out, (m["bucket"], batch.column("id")[i].as_py(), batch.column("key")[i].as_py(), m["pos"], p - lo, raw[lo:hi], m["single"])):
+                    for c, v in zip(out, (m["bucket"], batch.column("key")[i].as_py(), batch.column("check")[i].as_py(), m["pos"], p - lo, raw[lo:hi], m["single"], 0, length - gram)):
                         out[c].append(v)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_())
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
 
     return run
@@ -161,62 +163,43 @@ def _string_numbers(buckets: np.ndarray, at: np.ndarray, size: np.ndarray, most:
     return number
 
 
-def _stretch_rows(length: int, gram: int):
-    """Round 3: a row per context and stretch of window offsets."""
+def _halves(length: int, gram: int):
+    """Contexts of large buckets -> a row per half of the range a .. b of their windows' distances from the
+    anchor. What all windows of a half have in common, its core, refines the bucket; ``span`` is the number of
+    all that they cover, to which the bytes are cut."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             buckets, start, size, anchor = _joined(batch, gram)
-            before = anchor - start
-            top = length - gram
-            # windows at distance d before the anchor; possible: low <= d <= high
-            low, high = np.maximum(0, length - (size - before)), np.minimum(top, before)
-            n = top // STRETCH + 1
-            row = np.repeat(np.arange(len(start)), n)
-            s = np.tile(np.arange(n), len(start))
-            a, b = s * STRETCH, np.minimum(s * STRETCH + STRETCH - 1, top)
-            some = (np.maximum(a, low[row]) <= np.minimum(b, high[row]))
-            row, s, a, b = row[some], s[some], a[some], b[some]
-            at = anchor[row]
+            raw = text_bytes(batch.column("bytes"))[0].tobytes()
+            first, last = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("a", "b"))
+            mid = (first + last) // 2
+            row = np.tile(np.arange(len(start)), 2)
+            a, b = np.concatenate((first, mid + 1)), np.concatenate((mid, last))
+            before = (anchor - start)[row]
+            some = np.maximum(a, length - (size[row] - before)) <= np.minimum(b, before)
+            row, a, b = row[some], a[some], b[some]
+            at, end = anchor[row], (start + size)[row]
             core = _string_numbers(buckets, at - a, length - (b - a), length, gram)
-            lo, hi = np.maximum(at - b, start[row]), np.minimum(at - a + length, (start + size)[row])
-            span = _pair(_string_numbers(buckets, lo, hi - lo, length + STRETCH, gram), (at - lo).astype(np.uint64))
+            lo, hi = np.maximum(at - b, start[row]), np.minimum(at - a + length, end)
+            span = _pair(_string_numbers(buckets, lo, hi - lo, 2 * length, gram), (at - lo).astype(np.uint64))
+            own = batch.column("bucket").to_numpy(zero_copy_only=False).view(np.uint64)[row]
+            refined = _pair(_pair(own, core), (a * 100_003 + b).astype(np.uint64))
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("bucket").take(take), pa.array(s.astype(np.int32)), pa.array(core.view(np.int64)), pa.array(span.view(np.int64)), batch.column("id").take(take), batch.column("key").take(take), batch.column("pos").take(take), batch.column("single").take(take), pa.array((lo - at).astype(np.int32)), pa.array((hi - at).astype(np.int32))],
-                names=["bucket", "stretch", "core", "span", "id", "key", "pos", "single", "lo", "hi"],
-            )
-
-    return run
-
-
-def _window_rows(length: int, gram: int):
-    """Round 4: a row per context and window of its open stretches."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            buckets, start, size, anchor = _joined(batch, gram)
-            before = anchor - start
-            top = length - gram
-            low, high = np.maximum(0, length - (size - before)), np.minimum(top, before)
-            lists = batch.column("stretches")
-            counts = np.diff(lists.offsets.to_numpy())
-            row = np.repeat(np.arange(len(start)), counts)
-            s = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            d = spread(s * STRETCH, np.full(len(s), STRETCH))
-            row = np.repeat(row, STRETCH)
-            fine = (d >= low[row]) & (d <= high[row])
-            d, row = d[fine], row[fine]
-            at = anchor[row] - d
-            number = _string_numbers(buckets, at, np.full(len(at), length), length, gram)
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("bucket").take(take), pa.array(d.astype(np.int32)), pa.array(number.view(np.int64)), batch.column("id").take(take), batch.column("key").take(take), batch.column("pos").take(take), batch.column("single").take(take)],
-                names=["bucket", "d", "number", "id", "key", "pos", "single"],
+                [
+                    pa.array(refined.view(np.int64)),
+                    *(batch.column(c).take(take) for c in ("key", "check", "pos")),
+                    pa.array((at - lo).astype(np.int32)),
+                    pa.array([raw[x:y] for x, y in zip(lo.tolist(), hi.tolist())], pa.binary()),
+                    batch.column("single").take(take),
+                    pa.array(a.astype(np.int32)),
+                    pa.array(b.astype(np.int32)),
+                    pa.array(span.view(np.int64)),
+                ],
+                names=["bucket", "key", "check", "pos", "before", "bytes", "single", "a", "b", "span"],
             )
 
     return run
@@ -248,7 +231,71 @@ def _cut():
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def _bucket_runs(length: int, gram: int, most: int = 4096):
+    """Round 3: contexts in order of their buckets -> runs of repeated windows. Whole buckets are refined
+    together, about ``most`` contexts at a time."""
+
+    def refine(batch: pa.RecordBatch) -> pa.RecordBatch:
+        buckets, start, size, anchor = _joined(batch, gram)
+        before = anchor - start
+        # bucket numbers of twice the depth from those of the last round, up to the length
+        number, depth = buckets, gram
+        while depth * 2 <= length:
+            number = _pair(number[: len(number) - depth], number[depth:])
+            depth *= 2
+        if depth < length:
+            number = _pair(number[: len(number) - (length - depth)], number[length - depth :])
+        first, last = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("a", "b"))
+        low, high = np.maximum(first, length - (size - before)), np.minimum(last, before)
+        counts = np.maximum(high - low + 1, 0)
+        row = np.repeat(np.arange(len(start)), counts)
+        d = spread(low, counts)
+        own = batch.column("bucket").to_numpy(zero_copy_only=False).view(np.uint64)
+        # equal windows at the same distance from the anchor of one bucket
+        key = _pair(number[anchor[row] - d], _pair(own[row], d.astype(np.uint64)))
+        order = np.argsort(key)
+        equal = key[order[1:]] == key[order[:-1]]
+        again = np.zeros(len(key), bool)
+        again[order[1:][equal]] = True
+        again[order[:-1][equal]] = True
+        again &= batch.column("single").to_numpy(zero_copy_only=False).astype(bool)[row]
+        # neighbouring windows of a context as one run
+        follows = np.concatenate(([False], again[:-1] & (row[1:] == row[:-1]))) if len(row) else again
+        first = np.flatnonzero(again & ~follows)
+        leads = np.concatenate((again[1:] & (row[1:] == row[:-1]), [False])) if len(row) else again
+        last = np.flatnonzero(again & ~leads)
+        pos = batch.column("pos").to_numpy(zero_copy_only=False).astype(np.int64)
+        take = pa.array(row[first])
+        return pa.RecordBatch.from_arrays(
+            [batch.column("key").take(take), batch.column("check").take(take), pa.array(pos[row[first]] - d[last]), pa.array(pos[row[first]] - d[first] + length)],
+            names=["key", "check", "lo", "hi"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < most:
+                continue
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            own = whole.column("bucket").to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero(np.diff(own)) + 1
+            at = 0
+            # the last bucket may go on in the next batch
+            while len(edges) and edges[-1] > at:
+                upto = edges[edges > at]
+                cut = upto[max(0, int(np.searchsorted(upto, at + most, side="right")) - 1)]
+                yield refine(whole.slice(at, cut - at))
+                at = int(cut)
+            held = [whole.slice(at)]
+        if sum(b.num_rows for b in held):
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            yield refine(whole)
+
+    return run
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, bucket_contexts: int = BUCKET_CONTEXTS) -> DataFrame:
     """One row per document: ``id_col``, ``n_bytes``, ``spans`` (maximal runs of bytes covered by a
     string of ``length`` bytes that starts anywhere else too), ``kept`` (the other bytes).
 
@@ -258,54 +305,56 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gives an empty result; other columns play no part. Memory per task follows
     the longest text.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    at = ["id", "key"]
-    long_enough = base.filter(F.octet_length("text") >= length)
-    suffixes = long_enough.mapInArrow(_anchor_rows(length, gram), "bucket long, context long, id long, key long, pos int")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    base = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.xxhash64(F.lit(7), text_col, id_col).alias("check"), text.alias("text")
+    )
+    at = ["key", "check"]
+    long_enough = base.filter(F.octet_length("text") >= length).select(*at, "text")
+    suffixes = long_enough.mapInArrow(_anchor_rows(length, gram), "bucket long, context long, key long, check long, pos int")
     # round 1: buckets with more than one anchor
     again = suffixes.groupBy("bucket").agg(F.count("*").alias("n"), F.min("context").alias("c0"), F.max("context").alias("c1")).filter("n > 1")
     shared = materialise(suffixes.join(again.select("bucket", (F.col("c0") == F.col("c1")).alias("same")), "bucket"), "shared-anchors")
     # round 2: contexts that occur again
     mixed = shared.filter("not same")
-    counted = mixed.groupBy("bucket", "context").agg(F.count("*").alias("n"), F.min(F.struct("id", "key", "pos")).alias("one"))
+    counted = materialise(mixed.groupBy("bucket", "context").agg(F.count("*").alias("n"), F.min(F.struct(*at, "pos")).alias("one")), "contexts")
     repeated = counted.filter("n > 1").select("bucket", "context")
     whole = shared.filter("same").unionByName(mixed.join(repeated, ["bucket", "context"], "left_semi"))
     whole = whole.select(*at, F.greatest(F.col("pos") - (length - gram), F.lit(0)).cast("long").alias("lo"), (F.col("pos") + length).cast("long").alias("hi"))
-    # one context of each kind takes part in the next rounds
-    marks = counted.select("one.id", "one.key", F.struct("one.pos", "bucket", (F.col("n") == 1).alias("single")).alias("m")).groupBy(*at).agg(F.collect_list("m").alias("marks"))
-    contexts = materialise(_with(base, marks, "inner").mapInArrow(_contexts(length, gram), "bucket long, id long, key long, pos int, before int, bytes binary, single boolean"), "contexts")
-    # round 3: stretches of windows
-    stretches = contexts.mapInArrow(_stretch_rows(length, gram), "bucket long, stretch int, core long, span long, id long, key long, pos int, single boolean, lo int, hi int")
-    core = ["bucket", "stretch", "core"]
-    cores = stretches.groupBy(*core).agg(F.count("*").alias("n"), F.min("span").alias("s0"), F.max("span").alias("s1"), F.max("single").alias("any")).filter("n > 1 and any")
-    found = materialise(stretches.join(cores.select(*core, (F.col("s0") == F.col("s1")).alias("full")), core), "stretches")
-    covered = found.filter("full and single").select(*at, (F.col("pos") + F.col("lo")).cast("long").alias("lo"), (F.col("pos") + F.col("hi")).cast("long").alias("hi"))
-    # round 4: single windows
-    place = [*at, "bucket", "pos"]
-    open_ = found.filter("not full").groupBy(*place).agg(F.collect_list("stretch").alias("stretches"))
-    windows = _with(contexts, open_, "inner", place).mapInArrow(_window_rows(length, gram), "bucket long, d int, number long, id long, key long, pos int, single boolean")
-    number = ["bucket", "d", "number"]
-    twice = windows.groupBy(*number).agg(F.count("*").alias("n"), F.max("single").alias("any")).filter("n > 1 and any").select(*number)
-    hits = windows.filter("single").join(twice, number, "left_semi")
-    hits = hits.groupBy(*at, "pos").agg(F.array_sort(F.collect_set("d")).alias("ds"))
-    # neighbouring windows as one run
-    first = F.filter("ds", lambda d: ~F.array_contains("ds", d - 1))
-    last = F.filter("ds", lambda d: ~F.array_contains("ds", d + 1))
-    run = F.explode(F.arrays_zip(first.alias("a"), last.alias("b")))
-    hits = hits.select(*at, "pos", run.alias("r")).select(*at, (F.col("pos") - F.col("r.b")).cast("long").alias("lo"), (F.col("pos") - F.col("r.a") + length).cast("long").alias("hi"))
-    runs = whole.unionByName(covered).unionByName(hits).groupBy(*at).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
+    # one context of each kind in the buckets where some occur once: their bytes, at every size taken from the texts once
+    sizes = counted.groupBy("bucket").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("least = 1")
+    wanted = "bucket long, key long, check long, pos int, before int, bytes binary, single boolean, a int, b int"
+    kinds = counted.join(sizes.select("bucket"), "bucket", "left_semi")
+    rows = materialise(_marked(base, kinds, at).mapInArrow(_contexts(length, gram), wanted), "contexts")
+    # round 3: windows of whole buckets; large ones are halved until they are small, or all the same
+    runs = whole
+    large = materialise(sizes.filter(F.col("kinds") > bucket_contexts).select("bucket", F.lit(True).alias("any"), F.lit(False).alias("same")), "large-buckets")
+    while not large.isEmpty():
+        runs = runs.unionByName(_small_runs(rows.join(large, "bucket", "left_anti"), length, gram))
+        # shared by all: everything that the windows cover occurs again
+        full = rows.join(large.filter("any and same").select("bucket"), "bucket", "left_semi").filter("single")
+        lo = F.col("pos") - F.col("before")
+        runs = runs.unionByName(full.select(*at, lo.cast("long").alias("lo"), (lo + F.octet_length("bytes")).cast("long").alias("hi")))
+        rows = rows.join(large.filter("any and not same").select("bucket"), "bucket", "left_semi").drop("span")
+        rows = materialise(rows.mapInArrow(_halves(length, gram), f"{wanted}, span long"), "halves")
+        sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.max("single").alias("any"), (F.min("span") == F.max("span")).alias("same"))
+        large = materialise(sizes.filter(F.col("n") > bucket_contexts).select("bucket", "any", "same"), "large-buckets")
+    runs = runs.unionByName(_small_runs(rows, length, gram))
+    runs = runs.groupBy(*at).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
     clipped = F.transform("runs", lambda r: F.struct(r["lo"].alias("lo"), F.least(r["hi"], F.octet_length("text").cast("long")).alias("hi")))
-    done = _with(base, runs, "left").withColumn("runs", clipped)
+    done = base.join(runs, at, "left").withColumn("runs", clipped)
     out = done.mapInArrow(_cut(), "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     return out.select(F.col("id").alias(id_col), "n_bytes", "spans", "kept")
 
 
-def _with(left: DataFrame, right: DataFrame, how: str, on: list[str] | None = None) -> DataFrame:
-    """Join on id (null equals null) and the other key columns."""
-    on = on or ["id", "key"]
-    renamed = right.select(*[F.col(c).alias(f"r_{c}") if c in on else F.col(c) for c in right.columns])
-    same = [F.col(c).eqNullSafe(F.col(f"r_{c}")) if c == "id" else F.col(c) == F.col(f"r_{c}") for c in on]
-    cond = same[0]
-    for s in same[1:]:
-        cond = cond & s
-    return left.join(renamed, cond, how).drop(*[f"r_{c}" for c in on])
+def _marked(base: DataFrame, kinds: DataFrame, at: list[str]) -> DataFrame:
+    """The documents that hold one of the contexts, with their places."""
+    mark = F.struct("one.pos", "bucket", (F.col("n") == 1).alias("single")).alias("m")
+    marks = kinds.select("one.key", "one.check", mark).groupBy(*at).agg(F.collect_list("m").alias("marks"))
+    return base.join(marks, at)
+
+
+def _small_runs(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """Runs of repeated windows; each bucket is in one task."""
+    whole = contexts.drop("span").repartition("bucket").sortWithinPartitions("bucket")
+    return whole.mapInArrow(_bucket_runs(length, gram), "key long, check long, lo long, hi long")

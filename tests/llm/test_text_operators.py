@@ -265,6 +265,8 @@ def test_repeats_random(llm):
         expected = brute_repeats(docs, length)
         assert sum(len(x[2]) for x in expected) > 10
         assert multiset(repeats_of(df, length=length, gram=gram)) == multiset(expected)
+        # all buckets as large ones
+        assert multiset(repeats_of(df, length=length, gram=gram, bucket_contexts=1)) == multiset(expected)
 
 
 # ---- language ID
