@@ -25,7 +25,9 @@ WEIGHTS = (1, 2, 3)
 SEED = 20240229
 ROUNDS = 12
 #: Documents per stretch of the running word count of a source.
-STRETCH_DOCS = 5000
+STRETCH_DOCS = 1000
+#: Slots that one task generates.
+TASK_SLOTS = 100_000
 #: Up to this many sources the per-source table is broadcast, else joined.
 BROADCAST_SOURCES = 20_000
 _CELLS = 2048
@@ -135,6 +137,8 @@ def slots(sources: DataFrame, n_sources: int, shard_slots: int = SHARD_SLOTS, se
     n_slots = int(sources.agg(F.sum("quota")).first()[0] or 0)
     n_shards = max(1, -(-n_slots // shard_slots))
     counts = shard_counts(sources, n_sources, n_slots, n_shards, seed).filter("count > 0")
+    # few rows that become many: spread them first, by a number that follows what they become
+    counts = counts.repartition(max(1, -(-n_slots // TASK_SLOTS)), "sid", "shard")
     each = counts.select("sid", "n_blocks", "shard", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("t"))
     each = each.withColumn("rank", F.col("first") + F.col("t")).withColumn("round", F.floor(F.col("rank") / F.col("n_blocks")))
     block = permuted(F.col("rank") % F.col("n_blocks"), F.col("n_blocks"), ["sid", "round"], seed)
@@ -184,7 +188,8 @@ class Mix:
         """One row per block taken and document in it: ``shard``, ``place``, ``sid``, ``block``,
         ``id``, ``start``, ``first``, ``n_words`` and ``text`` if it was kept."""
         parts = pieces(self.docs, self.block_words, "text" if self.keep_text else None).drop("source", "size", "key")
-        return slots(self.sources, self.n_sources, self.shard_slots, self.seed).join(parts, ["sid", "block"])
+        # sizes before the slots are generated say nothing about after: never broadcast them
+        return slots(self.sources, self.n_sources, self.shard_slots, self.seed).hint("merge").join(parts, ["sid", "block"])
 
     def taken(self) -> DataFrame:
         """The documents with ``source_size``, ``target`` and ``taken``, the words that the mix takes."""
