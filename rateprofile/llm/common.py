@@ -19,7 +19,7 @@ from ..session import checkpoint_dir
 
 #: Texts are worked on in slices of about this many bytes, so that the numpy
 #: temporaries of a task stay small whatever the size of an Arrow batch.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -84,12 +84,12 @@ def text_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes; a longer text is a range of its own."""
+def slices(offsets: np.ndarray, limit: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes and at most ``rows`` rows; a longer text is a range of its own."""
     n, i = len(offsets) - 1, 0
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + limit, side="right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), i + rows, n)
         yield i, j
         i = j
 
