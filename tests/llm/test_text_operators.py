@@ -303,6 +303,35 @@ def test_language_rejects_by_distance(llm):
     assert [r[0] for r in langid.predict(odd, model).select("rejected").collect()] == [True, True]
 
 
+def random_letters(rng, n):
+    return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+
+def test_language_rejects_unlearned(llm):
+    """A Latin-script language that was not learned and random letters are rejected, the learned ones are not."""
+    docs = table(llm, "/root/testdata/sf0.01", "documents").filter(F.length("text") > 300)
+    rng = random.Random(4)
+    letters = llm.createDataFrame([(-1 - i, random_letters(rng, 200), "letters") for i in range(50)], "doc_id long, text string, lang string")
+    asked = docs.filter(langid.held_out()).select("doc_id", "text", "lang").unionByName(letters)
+    for left_out in ("en", "es"):
+        model = langid.fit(docs.filter(~langid.held_out() & (F.col("lang") != left_out)))
+        got = langid.predict(asked, model).select("row.lang", "rejected").toPandas().groupby("lang").rejected.mean()
+        assert got[left_out] > 0.9 and got["letters"] == 1
+        assert all(v < 0.03 for k, v in got.items() if k not in (left_out, "letters"))
+
+
+def test_language_outlier_is_no_centroid():
+    rng = np.random.default_rng(1)
+    x = np.abs(rng.normal(1, 0.1, (100, 50)))
+    x[7] = 0
+    x[7, 3] = 1
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    sums, own = langid.large_clusters(x, 3)
+    assert own[7] == -1 and np.bincount(own[own >= 0]).min() >= 2
+    assert (x[7] @ sums.T / np.linalg.norm(sums, axis=1)).max() < 0.5
+    assert langid.large_clusters(x[7:8], 3)[1].tolist() == [0]
+
+
 # ---- surrogates
 
 
