@@ -320,6 +320,19 @@ def test_language_rejects_unlearned(llm):
         assert all(v < 0.03 for k, v in got.items() if k not in (left_out, "letters"))
 
 
+def test_language_judges_short_texts(llm):
+    """Short texts are rejected by distance too, and those of learned languages are kept."""
+    docs = table(llm, "/root/testdata/sf0.01", "documents").filter(F.length("text") > 300)
+    rng = random.Random(6)
+    odd = ["漢字仮名交じり文を書く", "漢字仮名交じり文" * 6, "Привет мир это совсем другой язык", *[random_letters(rng, 22) for _ in range(40)]]
+    cut = docs.filter(langid.held_out()).select("doc_id", F.expr("substr(text, 50, 20 + doc_id % 150)").alias("text"))
+    asked = cut.unionByName(llm.createDataFrame([(-1 - i, t) for i, t in enumerate(odd)], "doc_id long, text string"))
+    got = langid.predict(asked, langid.fit(docs.filter(~langid.held_out()))).select((F.col("row.doc_id") < 0).alias("odd"), "rejected").toPandas()
+    # the limits come from a few dozen texts a language here
+    assert got[got.odd].rejected.mean() > 0.8
+    assert got[~got.odd].rejected.mean() < 0.02
+
+
 def test_language_outlier_is_no_centroid():
     rng = np.random.default_rng(1)
     x = np.abs(rng.normal(1, 0.1, (100, 50)))
