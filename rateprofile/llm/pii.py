@@ -67,6 +67,12 @@ _NAME_WORD = r"[^\W\d_a-zа-яß-öø-ÿ][^\W\d_A-ZА-ЯÀ-Þ]+"
 _NAME = re.compile(rf"\b(?P<title>{'|'.join(t for g in TITLES.values() for t in g)})\.? (?P<name>{_NAME_WORD}(?:[ -]{_NAME_WORD}){{0,2}})")
 _GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 _IBAN_LENGTHS = range(15, 35)
+#: Lengths of the countries' IBANs; other countries have any.
+_IBAN_LENGTH = {
+    c: int(n)
+    for n, cs in (part.split(":") for part in "15:NO 16:BE 18:DK,FI,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,XK 21:CH,CR,HR,LI,LV 22:BG,BH,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU 31:MT,SC 32:LC".split())
+    for c in cs.split(",")
+}
 
 
 def luhn(digits: str) -> bool:
@@ -78,18 +84,37 @@ def _iban_ok(s: str) -> bool:
     return len(s) in _IBAN_LENGTHS and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def _iban_end(text: str, start: int, end: int) -> int | None:
+    """Where a valid IBAN ends that begins at ``start``: with the length of its country, else the
+    longest one, at the end of a word. The pattern takes in upper-case words and numbers behind it."""
+    ends = [e for e in range(end, start, -1) if text[e - 1].isalnum() and (e == len(text) or not text[e].isalnum())]
+    forms = [(e, text[start:e].replace(" ", "")) for e in ends]
+    fixed = _IBAN_LENGTH.get(text[start : start + 2])
+    return next((e for e, form in sorted(forms, key=lambda x: len(x[1]) != fixed) if _iban_ok(form)), None)
+
+
+def _digital(text: str) -> Iterator[tuple[int, int, str, str]]:
+    at = 0
+    while m := _DIGITAL.search(text, at):
+        kind, start, end = m.lastgroup, m.start(), m.end()
+        if kind == "iban":
+            end = _iban_end(text, start, end)
+            if end is None:
+                # what the false match took in can hold other entities
+                at = start + 1
+                continue
+        s = text[start:end]
+        yield start, end, kind, s if kind == "ip" else re.sub(r"[^0-9A-Z]", "", s)
+        at = end
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) of the entities, in order, not overlapping."""
     found: list[tuple[int, int, str, str]] = []
     if "@" in text:
         found += [(m.start(), m.end(), "email", m.group().lower()) for m in _EMAIL.finditer(text)]
     if any(d in text for d in "0123456789"):
-        for m in _DIGITAL.finditer(text):
-            kind, s = m.lastgroup, m.group()
-            form = s if kind == "ip" else re.sub(r"[^0-9A-Z]", "", s)
-            if kind == "iban" and not _iban_ok(form):
-                continue
-            found.append((m.start(), m.end(), kind, form))
+        found += _digital(text)
     for m in _NAME.finditer(text):
         found.append((m.start("name"), m.end("name"), "name_" + _GENDER[m["title"]], re.sub(r"[ -]", " ", m["name"]).lower()))
     out: list[tuple[int, int, str, str]] = []

@@ -376,6 +376,22 @@ def test_surrogates_keep_type_and_format():
         assert new.split(" ")[0] in pii.GIVEN[script, kind[-1]] and new.istitle()
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("IBAN BE68 5390 0754 7034 BIC GKCCBEBB", [("iban", "BE68 5390 0754 7034")]),
+        ("ES91 2100 0418 4502 0005 1332 BIC: X", [("iban", "ES91 2100 0418 4502 0005 1332")]),
+        ("SE45 5000 0000 0583 9825 7466 SEK 40", [("iban", "SE45 5000 0000 0583 9825 7466")]),
+        ("REF AB12 DE89 3704 0044 0532 0130 00 EUR", [("iban", "DE89 3704 0044 0532 0130 00")]),
+        ("AB12 4111 1111 1111 1111 x", [("card", "4111 1111 1111 1111")]),
+        ("BE68 5390 0754 7035 BIC", []),
+        ("DE89370400440532013000 1234 5678 9012 3456", [("iban", "DE89370400440532013000"), ("card", "1234 5678 9012 3456")]),
+    ],
+)
+def test_iban_with_what_follows(text, found):
+    assert [(e[2], text[e[0] : e[1]]) for e in pii.detect(text)] == found
+
+
 def anonymised(df, **kw):
     return pii.anonymise(df, **kw).select("row.doc_id", F.col("row.text").alias("old"), "text", "entities").collect()
 
