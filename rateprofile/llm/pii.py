@@ -5,7 +5,7 @@ Detection gives each mention a type and a canonical form (digits of a phone
 number, lower-cased address, name words). The surrogate of a canonical form is
 drawn from HMAC-SHA256(key, type, form, attempt): same length, letters for letters and digits
 for digits; card numbers keep their checksum status, IBANs get a valid checksum, names
-keep script and gender. It is poured back into the punctuation and case of each mention, so
+keep script and gender, and parts of a name get the parts of its surrogate. It is poured back into the punctuation and case of each mention, so
 mentions of one entity agree (coreference).
 
 Distinctness is checked over the whole corpus: entities with the same surrogate, or
@@ -27,13 +27,13 @@ from pyspark.sql import functions as F
 from .common import materialise, whole_row
 
 KEY = b"rateprofile-surrogates"
-#: Entities that drew again are broadcast up to this number, else joined per document.
+#: Entities that drew again or whose gender another text tells are broadcast up to this number, else joined per document.
 BROADCAST_REDRAWN = 100_000
 #: From this attempt on a surrogate may equal an entity of the corpus, so that small
 #: formats cannot run out; it stays distinct from all other surrogates.
 ATTEMPTS_APART = 40
 
-#: Titles by gender, and the names whose gender is known without one.
+#: Titles by gender.
 TITLES = {
     "m": ("Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Mister", "господин"),
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Señorita", "Srta", "госпожа"),
@@ -48,6 +48,12 @@ GIVEN = {
     ("cyrillic", "f"): ("Анна", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Ксения", "Мария"),
     ("cyrillic", "n"): ("Саша", "Женя", "Валя", "Слава"),
 }
+#: Common given names that are detected without a title if a family name follows, by gender;
+#: those of the surrogates are too. A titled mention tells the gender of any other name.
+KNOWN = {
+    "m": "Alexander Andreas Antoine Antonio Arthur Benjamin Bernd Carlos Charles Christian Christopher Claude Daniel Diego Edward Eric Fernando Francisco Frank Fritz Hans Heinrich Henri Henry Jack Jacques Jakob James Javier Jean Jens John José Joseph Juan Julien Jürgen Karl Klaus Louis Luis Lukas Manuel Marc Mark Matthias Max Michael Michel Miguel Nicolas Pablo Pedro Peter Philippe Pierre Rafael Ralf Richard Robert Samuel Stefan Stephen Steven Thomas Tobias Uwe Walter William Wolfgang Александр Алексей Андрей Дмитрий Михаил Николай Павел Пётр Сергей",
+    "f": "Ana Angela Anna Anne Barbara Beatriz Birgit Camille Carmen Caroline Catherine Charlotte Christine Claudia Cristina Elena Elisabeth Elizabeth Emily Eva Françoise Hannah Heike Ingrid Isabel Isabelle Jane Jennifer Jessica Johanna Karin Katharina Lena Linda Lisa Lucía Lucy Margaret Maria Marie María Martina Mary Monika Monique Nathalie Nicole Olivia Patricia Paula Pilar Rachel Sabine Sandra Sarah Sophie Susan Susanne Sylvie Teresa Ursula Valérie Victoria Наталья Ольга Светлана Татьяна Юлия",
+}
 #: Syllables of which family names are made, by script.
 SYLLABLES = {
     "latin": [c + v for c in "bdfgklmnprstv" for v in "aeiou"],
@@ -64,8 +70,12 @@ _DIGITAL = re.compile(
 )
 _EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])|(?<!\w)[\w.%+-]{1,64}@(?:[\w-]{1,63}\.){1,8}[A-Za-z]{2,24}(?!\w)")
 _NAME_WORD = r"[^\W\d_a-zа-яß-öø-ÿ][^\W\d_A-ZА-ЯÀ-Þ]+"
-_NAME = re.compile(rf"\b(?P<title>{'|'.join(t for g in TITLES.values() for t in g)})\.? (?P<name>{_NAME_WORD}(?:[ -]{_NAME_WORD}){{0,2}})")
+_TITLE = "|".join(t for g in TITLES.values() for t in g)
+_NAME = re.compile(rf"\b(?P<title>(?:{_TITLE})\.?(?: (?:{_TITLE})\b\.?)*) (?P<name>{_NAME_WORD}(?:[ -]{_NAME_WORD}){{0,2}})")
+_CAPITALS = re.compile(r"\b[^\W\d_a-zа-яß-öø-ÿ][^\W\d_]+(?![^\W\d_])")
 _GENDER = {t: g for g, ts in TITLES.items() for t in ts}
+_GIVEN_GENDER = {w.lower(): g for (_, g), ws in GIVEN.items() for w in ws} | {w.lower(): g for g, ws in KNOWN.items() for w in ws.split()}
+_GIVEN_NAME = re.compile(rf"(?P<given>[A-ZА-Я](?<!\w.)[^\W\d_A-ZА-ЯÀ-Þ]+)(?:-{_NAME_WORD})? (?=(?P<family>{_NAME_WORD}(?:-{_NAME_WORD})?))")
 _IBAN_LENGTHS = range(15, 35)
 #: Lengths of the countries' IBANs; other countries have any.
 _IBAN_LENGTH = {
@@ -108,6 +118,87 @@ def _digital(text: str) -> Iterator[tuple[int, int, str, str]]:
         at = end
 
 
+def _words(name: str) -> tuple[str, ...]:
+    return tuple(re.split("[ -]", name.lower()))
+
+
+def _direct_names(text: str) -> list[tuple[int, int, tuple[str, ...], str | None]]:
+    """(start, end, words, gender of the title or None) of titled names and of given names with a family name."""
+    found = []
+    for m in _NAME.finditer(text):
+        told = next((g for t in re.findall(r"\w+", m["title"]) if (g := _GENDER[t]) != "n"), "n")
+        found.append((m.start("name"), m.end("name"), _words(m["name"]), told))
+    found += [(m.start(), m.end("family"), _words(text[m.start() : m.end("family")]), None) for m in _GIVEN_NAME.finditer(text) if m["given"].lower() in _GIVEN_GENDER]
+    out = []
+    for d in sorted(found, key=lambda d: (d[0], -d[1], d[3] is None)):
+        if not out or d[0] >= out[-1][1]:
+            out.append(d)
+    return out
+
+
+def _names(text: str) -> list[tuple[int, int, str, str]]:
+    """Mentions of the names that ``_direct_names`` finds and, anywhere in the text, of these names
+    or parts of them without a title. The form of a part is that of the whole name: of several, the one mentioned
+    last, else the first to come. A title of the other gender keeps a part apart from a name."""
+    direct = _direct_names(text)
+    if not direct:
+        return []
+    first: dict[tuple[str, ...], int] = {}
+    said: dict[tuple[str, ...], set[str]] = {}
+    for a, _, f, told in direct:
+        first.setdefault(f, a)
+        said.setdefault(f, set()).add(told or "n")
+    gender = {f: _gender(f, g) for f, g in said.items()}
+    parts: dict[tuple[str, ...], set[tuple[str, ...]]] = {}
+    for f in first:
+        for i in range(len(f)):
+            for j in range(i + 1, len(f) + 1):
+                parts.setdefault(f[i:j], set()).add(f)
+    whole = {p: {w for w in fs if len(parts[w]) == 1} - {p} for p, fs in parts.items()}
+
+    def fitting(f: tuple[str, ...], told: str) -> set[tuple[str, ...]]:
+        return {w for w in whole[f] if "n" in (told, gender[w]) or gender[w] == told}
+
+    own = {f for _, _, f, told in direct if not fitting(f, told or "n")}
+    mentions, at = [], 0
+    for d in [*direct, (len(text), len(text), (), None)]:
+        mentions += [(*m, None) for m in _parts_between(text, at, d[0], parts)]
+        at = d[1]
+        mentions.append(d)
+    last: dict[tuple[str, ...], int] = {}
+    resolved = []
+    for a, b, f, told in mentions[:-1]:
+        fits = fitting(f, told or "n") | ({f} & own if told is None else set()) or {f}
+        form = max(fits, key=lambda w: (last.get(w, -1), -first.get(w, a), w))
+        last[form] = a
+        said.setdefault(form, set()).add(told or "n")
+        resolved.append((a, b, form))
+    return [(a, b, "name_" + _gender(f, said[f]), " ".join(f)) for a, b, f in resolved]
+
+
+def _gender(form: tuple[str, ...], titles: set[str]) -> str:
+    """What titles say, n if they contradict each other; without one, that of a known given name."""
+    told = titles - {"n"}
+    if told:
+        return told.pop() if len(told) == 1 else "n"
+    return _GIVEN_GENDER.get(form[0], "n") if len(form) > 1 else "n"
+
+
+def _parts_between(text: str, start: int, end: int, parts: dict) -> list[tuple[int, int, tuple[str, ...]]]:
+    """The longest runs of capitalised words that are names or parts of names."""
+    words, out, k = list(_CAPITALS.finditer(text, start, end)), [], 0
+    while k < len(words):
+        a, b, run = words[k].start(), words[k].end(), (words[k].group().lower(),)
+        k += 1
+        if run not in parts:
+            continue
+        while k < len(words) and text[b : words[k].start()] in (" ", "-") and (longer := (*run, words[k].group().lower())) in parts:
+            run, b = longer, words[k].end()
+            k += 1
+        out.append((a, b, run))
+    return out
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) of the entities, in order, not overlapping."""
     found: list[tuple[int, int, str, str]] = []
@@ -115,8 +206,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         found += [(m.start(), m.end(), "email", m.group().lower()) for m in _EMAIL.finditer(text)]
     if any(d in text for d in "0123456789"):
         found += _digital(text)
-    for m in _NAME.finditer(text):
-        found.append((m.start("name"), m.end("name"), "name_" + _GENDER[m["title"]], re.sub(r"[ -]", " ", m["name"]).lower()))
+    found += _names(text)
     out: list[tuple[int, int, str, str]] = []
     for e in sorted(found, key=lambda e: (e[0], -e[1])):
         if not out or e[0] >= out[-1][1]:
@@ -184,7 +274,10 @@ def pour(mention: str, kind: str, form: str, new: str) -> str:
     if kind == "ip":
         return new
     if kind.startswith("name_"):
-        words = iter(new.split(" "))
+        # a mention of a part of the name gets that part of the surrogate
+        part, whole = _words(mention), tuple(form.split(" "))
+        at = next((i for i in range(len(whole) - len(part) + 1) if whole[i : i + len(part)] == part), 0)
+        words = iter(new.split(" ")[at:])
         parts = re.split(r"([ -])", mention)
         return "".join(p if i % 2 else (next(words).upper() if p.isupper() and len(p) > 1 else next(words).capitalize()) for i, p in enumerate(parts))
     if kind == "email" and len(new) == len(mention):
@@ -212,6 +305,16 @@ def _drawn(key: bytes):
     return run
 
 
+def one_gender(said: DataFrame) -> DataFrame:
+    """(kind, form, as_kind): a name of which texts tell different genders has one kind throughout the
+    corpus, that of the only told gender, or neither."""
+    name = F.col("kind").startswith("name_")
+    told = said.filter(name).groupBy("form").agg(F.max(F.col("kind") == "name_m").alias("m"), F.max(F.col("kind") == "name_f").alias("f"))
+    agreed = F.when(F.col("m") & ~F.col("f"), "name_m").when(F.col("f") & ~F.col("m"), "name_f").otherwise("name_n")
+    names = said.filter(name).join(told.select("form", agreed.alias("as_kind")), "form")
+    return said.filter(~name).withColumn("as_kind", F.col("kind")).unionByName(names)
+
+
 _SCHEMA = "kind string, form string, attempt int, new string"
 
 
@@ -251,9 +354,9 @@ def _replace(text_col: str, key: bytes, shared):
                 text = t.as_py()
                 spans, out, at = [], [], 0
                 found = detect(text) if text else []
-                mine = {(x["kind"], x["form"]): x["attempt"] for x in own[i].as_py() or ()} if found else {}
+                mine = {(x["kind"], x["form"]): (x["as_kind"], x["attempt"]) for x in own[i].as_py() or ()} if found else {}
                 for a, b, kind, form in found:
-                    n = mine.get((kind, form), common.get((kind, form), 0))
+                    kind, n = mine.get((kind, form)) or common.get((kind, form)) or (kind, 0)
                     if (kind, form, n) not in memo:
                         if len(memo) > 200_000:
                             memo.clear()
@@ -278,11 +381,14 @@ def anonymise(docs: DataFrame, text_col: str = "text", key: bytes = KEY, broadca
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text"))
-    entities = materialise(texts.mapInArrow(_entities(text_col), "kind string, form string").distinct(), "entities")
-    redrawn = materialise(assign(entities, key).filter("attempt > 0").select("kind", "form", "attempt"), "redrawn")
+    said = materialise(texts.mapInArrow(_entities(text_col), "kind string, form string").distinct(), "said")
+    entities = materialise(one_gender(said), "entities")
+    again = assign(entities.select(F.col("as_kind").alias("kind"), "form").distinct(), key).filter("attempt > 0").select(F.col("kind").alias("as_kind"), "form", "attempt")
+    redrawn = entities.join(again, ["as_kind", "form"], "left").filter("attempt > 0 or kind <> as_kind")
+    redrawn = materialise(redrawn.select("kind", "form", "as_kind", F.coalesce("attempt", F.lit(0)).alias("attempt")), "redrawn")
     few = redrawn.count() <= broadcast_redrawn
-    shared = spark.sparkContext.broadcast({(r["kind"], r["form"]): r["attempt"] for r in redrawn.collect()} if few else {})
-    kind = "array<struct<kind:string,form:string,attempt:int>>"
+    shared = spark.sparkContext.broadcast({(r["kind"], r["form"]): (r["as_kind"], r["attempt"]) for r in redrawn.collect()} if few else {})
+    kind = "array<struct<kind:string,form:string,as_kind:string,attempt:int>>"
     rows = docs.select(whole_row(docs))
     if few:
         rows = rows.withColumn("redrawn", F.lit(None).cast(kind))
@@ -290,7 +396,7 @@ def anonymise(docs: DataFrame, text_col: str = "text", key: bytes = KEY, broadca
         # only documents that mention such an entity get a list of attempts
         keyed = docs.select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text")).dropDuplicates(["h"])
         mentions = keyed.mapInArrow(_mentions, "h long, kind string, form string").join(redrawn, ["kind", "form"])
-        lists = mentions.groupBy("h").agg(F.collect_list(F.struct("kind", "form", "attempt")).alias("redrawn"))
+        lists = mentions.groupBy("h").agg(F.collect_list(F.struct("kind", "form", "as_kind", "attempt")).alias("redrawn"))
         rows = rows.withColumn("h", F.xxhash64(f"row.{text_col}")).join(lists, "h", "left").select("row", "redrawn")
     entity = "array<struct<kind:string,start:int,end:int,surrogate:string>>"
     rows = rows.withColumn("text", F.lit("")).withColumn("entities", F.array().cast(entity))

@@ -392,6 +392,33 @@ def test_iban_with_what_follows(text, found):
     assert [(e[2], text[e[0] : e[1]]) for e in pii.detect(text)] == found
 
 
+def test_names_without_title():
+    cases = {
+        "Dr Anna Weber came. Anna Weber said, WEBER. Frau Weber and Anna": ["f anna weber"] * 5,
+        "Anna Weber said Weber's dog": ["f anna weber"] * 2,
+        "Weber hired Herr Max Weber; Frau Weber and Weber left, Frau Dr. Eva Weber too": ["m max weber", "m max weber", *["f eva weber"] * 3],
+        "Herr Weber met Frau Anna Weber": ["m weber", "f anna weber"],
+        "Prof Kim Olsen spoke. Mr Olsen left": ["m kim olsen"] * 2,
+        "Emma alone and Weber alone, may Mark my words": [],
+        "Ольга Петрова пришла. Петрова ушла": ["f ольга петрова"] * 2,
+    }
+    for text, found in cases.items():
+        assert [f"{e[2][5:]} {e[3]}" for e in pii.detect(text)] == found, text
+
+
+def test_names_one_surrogate(llm):
+    texts = ["Mr John Smith", "Dr John Smith and Smith", "John Smith wrote", "Prof Toni Meier", "Frau Toni Meier", "Toni Meier und Mx Toni Meier", "Dr Lu Ke", "Mr Lu Ke", "Ms Lu Ke"]
+    df = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for limit in (100, 0):
+        got = sorted(anonymised(df, broadcast_redrawn=limit))
+        new = [[e["surrogate"] for e in r["entities"]] for r in got]
+        kinds = [{e["kind"] for e in r["entities"]} for r in got]
+        assert {n[0] for n in new[:3]} == {new[0][0]} and new[1][1] == new[0][0].split(" ")[1]
+        assert kinds == [{"name_m"}] * 3 + [{"name_f"}] * 3 + [{"name_n"}] * 3
+        assert len({n[0] for n in new[3:5]} | set(new[5])) == 1 and len({n[0] for n in new[6:]}) == 1
+        assert new[5][1] == new[3][0] and not any(w in r["text"] for r in got for w in ("John", "Smith", "Lu Ke"))
+
+
 def anonymised(df, **kw):
     return pii.anonymise(df, **kw).select("row.doc_id", F.col("row.text").alias("old"), "text", "entities").collect()
 
