@@ -61,12 +61,26 @@ SYLLABLES = {
 }
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+#: 555-123-4567 with or without 1 before it; behind a trunk 0: an area and one block, an area
+#: and two blocks, 044 123 45 67, 01 23 45 67 89.
+_NATIONAL = (
+    r"(?:1[-. ])?[0-9]{3}(?P<s1>[-. ])[0-9]{3}(?P=s1)[0-9]{4}"
+    r"|(?:\(0[1-9][0-9]{0,4}\) ?|0[1-9][0-9]{0,3}[ /-])[0-9]{5,8}"
+    r"|(?:\(0[1-9][0-9]{1,3}\) ?|0[1-9][0-9]{1,3}[-. /])[0-9]{3,4}[-. ][0-9]{3,4}"
+    r"|0[1-9][0-9][-. /][0-9]{3}(?P<s2>[-. ])[0-9]{2}(?P=s2)[0-9]{2}"
+    r"|0[1-9](?P<s3>[-. ])[0-9]{2}(?:(?P=s3)[0-9]{2}){3}"
+)
+#: Digits of the phone numbers of countries where all have the same number, without the country's code.
+_PHONE_DIGITS = {"1": 10, "7": 10, "31": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8, "48": 9, "52": 10, "61": 9, "91": 10, "351": 9}
+#: Of any phone number, with the country's code (E.164).
+_MOST_PHONE_DIGITS = 15
 _DIGITAL = re.compile(
     r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
-    r"|(?P<phone>(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,5}){1,4}(?![0-9])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9]))"
+    r"|(?P<phone>(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,5}){1,4}(?![0-9])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}(?![0-9]))"
     r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
     rf"|(?P<ip>(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9]))"
     r"|(?P<card>(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z]))"
+    rf"|(?P<national>(?<![0-9A-Za-z+])(?<![0-9][.,/-])(?:{_NATIONAL})(?![0-9A-Za-z])(?![.,/-][0-9]))"
 )
 _EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])|(?<!\w)[\w.%+-]{1,64}@(?:[\w-]{1,63}\.){1,8}[A-Za-z]{2,24}(?!\w)")
 _NAME_WORD = r"[^\W\d_a-zа-яß-öø-ÿ][^\W\d_A-ZА-ЯÀ-Þ]+"
@@ -103,6 +117,17 @@ def _iban_end(text: str, start: int, end: int) -> int | None:
     return next((e for e, form in sorted(forms, key=lambda x: len(x[1]) != fixed) if _iban_ok(form)), None)
 
 
+def _phone_end(s: str) -> int | None:
+    """Where the phone number ends in what the pattern took in, which may hold numbers behind it: with
+    the digits of its country, else as late as any number may."""
+    ends = [e for e in range(len(s), 0, -1) if s[e - 1].isdigit() and (e == len(s) or not s[e].isdigit())]
+    digits = {e: sum(c.isdigit() for c in s[:e]) for e in ends}
+    sign = re.sub("[^0-9]", "", s)
+    code = next((sign[:n] for n in (3, 2, 1) if sign[:n] in _PHONE_DIGITS), None)
+    exact = len(code) + _PHONE_DIGITS[code] + ("(0)" in s) if code else None
+    return next((e for e in sorted(ends, key=lambda e: digits[e] != exact) if digits[e] <= _MOST_PHONE_DIGITS), None)
+
+
 def _digital(text: str) -> Iterator[tuple[int, int, str, str]]:
     at = 0
     while m := _DIGITAL.search(text, at):
@@ -113,6 +138,9 @@ def _digital(text: str) -> Iterator[tuple[int, int, str, str]]:
                 # what the false match took in can hold other entities
                 at = start + 1
                 continue
+        if kind == "phone" and text[start] == "+":
+            end = start + (_phone_end(text[start:end]) or end - start)
+        kind = "phone" if kind == "national" else kind
         s = text[start:end]
         yield start, end, kind, s if kind == "ip" else re.sub(r"[^0-9A-Z]", "", s)
         at = end

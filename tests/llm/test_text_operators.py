@@ -392,6 +392,21 @@ def test_iban_with_what_follows(text, found):
     assert [(e[2], text[e[0] : e[1]]) for e in pii.detect(text)] == found
 
 
+def test_phone_forms():
+    whole = ["555-123-4567", "555.123.4567", "555 123 4567", "1-555-123-4567", "(555) 123-4567", "030 1234567", "030/1234567", "(030) 1234567", "0171-1234567", "020 7946 0958", "044 123 45 67", "01 23 45 67 89", "+33 1 23 45 67 89", "+44 (0)20 7946 0958", "+49 30 1234567", "+15551234567"]
+    for mention in whole:
+        text = f"call {mention}, or"
+        found = pii.detect(text)
+        assert [(e[2], text[e[0] : e[1]]) for e in found] == [("phone", mention)], mention
+        new = pii.pour(mention, "phone", found[0][3], pii.surrogate("phone", found[0][3]))
+        assert [e[2] for e in pii.detect(f"x {new} y")] == ["phone"] and re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", mention)
+    for mention in ("+1 (017) 555-7713", "+33 1 23 45 67 89", "+44 20 7946 0958", "030 1234567", "555-123-4567"):
+        text = f"{mention} 42 items"
+        assert [(text[e[0] : e[1]], e[3]) for e in pii.detect(text)] == [(mention, re.sub("[^0-9]", "", mention))], mention
+    for text in ("on 01.02.2020 or 2020-01-02 at 09:30", "0.123456789 and 1,234,567.89", "12-34 56", "3.1415926535", "555-123-456", "v 1.555.123.4567.8"):
+        assert pii.detect(text) == [], text
+
+
 def test_names_without_title():
     cases = {
         "Dr Anna Weber came. Anna Weber said, WEBER. Frau Weber and Anna": ["f anna weber"] * 5,
