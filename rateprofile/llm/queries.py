@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, mixing, pii, repeats, secrets, simhash, topk, warc
+from . import chat, decontaminate, divergence, langid, mining, mixing, pii, quality, repeats, secrets, simhash, topk, warc
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,68 @@ from d
 def _warc(spark, sf_dir):
     index = warc.write(table(spark, sf_dir, "pages"))
     return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query(
+    "op11_hard_negatives",
+    """
+with v as materialized (
+  select vec_id, row_number() over () as r, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scores as materialized (
+  select a.r, a.vec_id as anchor_id, b.r as other, b.vec_id, a.label = b.label as same, cast(list_inner_product(a.v, b.v) as bigint) as score
+  from v a join v b on a.r <> b.r and len(a.v) = len(b.v)
+  where a.vec_id % 100 = 0),
+positives as (select * from (select *, row_number() over (partition by r order by score desc, vec_id nulls last) as k from scores where same) where k <= 5),
+negatives as (
+  select p.anchor_id, p.vec_id as positive_id, row_number() over (partition by p.r, p.other order by n.score desc, n.vec_id nulls last) as rank,
+         n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+  from positives p join scores n on p.r = n.r and not n.same and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from negatives where rank <= 10
+""",
+)
+def _hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mining.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("id") % 100 == 0)
+
+
+@_query("op12_quality")
+def _quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.filter(~quality.held_out()))
+    got = quality.score(docs, model, ["doc_id"])
+    return got.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@_query(
+    "op13_source_divergence",
+    r"""
+with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+           from documents),
+o as materialized (select r, lang, source, term, count(*) as n from (select r, lang, source, unnest(w) as term from d) group by all),
+kept as materialized (select lang, term, cast(sum(n) as hugeint) as n from o group by lang, term having count(*) >= 3),
+c as materialized (select lang, source, term, cast(sum(o.n) as hugeint) as n from o join kept using (lang, term) group by all),
+g as materialized (select lang, source, cast(coalesce(s.n, 0) + coalesce(v.v, 0) as hugeint) as t
+      from (select distinct lang, source from d) left join (select lang, source, sum(n) as n from c group by all) s using (lang, source)
+      left join (select lang, count(*) as v from kept group by lang) v using (lang)),
+l as (select lang, cast(sum(n) + count(*) as hugeint) as t from kept group by lang),
+p as materialized (select g.lang, g.source, k.term, 1 + (1000000000 * (coalesce(c.n, 0) + 1)) // g.t as p, coalesce(c.n, 0) as n
+      from g join kept k on g.lang = k.lang left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+q as (select k.lang, k.term, 1 + (1000000000 * (k.n + 1)) // l.t as q from kept k join l using (lang)),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(s.value, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join (select x.lang, x.source, y.source as item, sum(((x.p - y.p) * (x.p - y.p)) // y.p) as value
+             from p x join p y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by all) s
+    on s.lang = a.lang and s.source = a.source and s.item = b.source),
+terms as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q)) // q as value from p join q using (lang, term) where n > 0 and p > q),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from (select * from pairs union all select * from terms))
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank from ranked where part = 'pair' or rank <= 200
+""",
+)
+def _divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
