@@ -1,106 +1,183 @@
 """Command line: run a pipeline on a folder of session JSON files.
 
-    python -m rateprofile global   --data DATA --out OUT [--train C:S ...] [--test C:S ...] [--k 5]
+    python -m rateprofile global   --data DATA --out OUT [--preset tournaments | --train C:S ... --test C:S ...] [--k 5]
     python -m rateprofile families --data DATA --out OUT
+    python -m rateprofile apply    --data DATA --out OUT --model OUT_OF_GLOBAL/model [--cohorts C:S ...]
     python -m rateprofile land     --data DATA --out OUT   (JSON -> Parquet, incremental)
 
 DATA holds ``events/*.json``, ``lineups/*.json`` and ``matches/{cohort}/{season}.json``.
 The session comes from ``spark-submit`` / the environment; nothing here sets
-cluster resources.
+cluster resources. An option that a command does not know is an error, not ignored.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+import contextlib
+
+from pyspark.sql import DataFrame, SparkSession
 
 from .functions.predicates import MIN_EXPOSURE_MINUTES
-from .plans import family_profiles, global_profiles, write_family_outputs, write_global_outputs
-from .plans.family_profiles import FAMILY_OVERRIDES
+from .operators.families import MIN_PER_CLUSTER
+from .operators.models import load_model, save_model
+from .plans import apply_profiles, family_profiles, global_profiles, write_family_outputs, write_global_outputs
+from .plans.family_profiles import FAMILY_OVERRIDES, SEED
 from .plans.global_profiles import K_RANGE
-from .sources.json_sources import load_events, load_lineups, load_rejected, load_sessions
-from .sources.schemas import EVENT_SCHEMA, LINEUP_SCHEMA
+from .presets import PRESETS
+from .sources.json_sources import explode_segments, flatten_events, json_input, load_sessions, session_dimension, session_keys
+from .sources.schemas import EVENT_SCHEMA, LINEUP_SCHEMA, MATCH_SCHEMA
 from .sources.sinks import write_parquet
 from .streaming import land_events, land_lineups
 
-
 NAMES_SCHEMA = "competition_id long, season_id long, competition_name string"
+GLOBAL_REPORTS = ("sweep", "train_profile", "gmm_profile", "test_profile", "profile_drift", "cross_tab", "model_compare", "most_blended", "cohort_intensity", "spot_check")
+FAMILY_REPORTS = ("sizes", "choice", "sweep", "profiles", "cross_tab", "samples", "spot_check")
 
 
 def _pairs(values):
     return [tuple(int(p) for p in v.split(":")) for v in values or []]
 
 
-def main(argv=None) -> None:
+def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="rateprofile")
-    ap.add_argument("command", choices=["global", "families", "land"])
-    ap.add_argument("--data", required=True, help="folder with events/, lineups/ and matches/ (or landed Parquet)")
-    ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
-    ap.add_argument("--train", nargs="*", help="competition:season pairs fitted on")
-    ap.add_argument("--test", nargs="*", help="competition:season pairs held out")
-    ap.add_argument("--k", type=int, default=None, help="override the silhouette-chosen k")
-    ap.add_argument("--spot", nargs="*", default=[], help="name substrings to spot-check")
-    ap.add_argument("--parquet", action="store_true", help="read events/lineups landed as Parquet under --data")
-    ap.add_argument("--matches", help="match files ({cohort}/{season}.json, a glob); default for global: DATA/matches/*/*.json; "
-                    "given to land, the landed tables are partitioned by cohort")
-    ap.add_argument("--names", help="CSV with header: competition_id,season_id,competition_name, shown in the reports")
-    ap.add_argument("--min-minutes", type=float, default=MIN_EXPOSURE_MINUTES, help="least minutes of a profiled entity")
-    ap.add_argument("--k-range", type=int, nargs=2, metavar=("FIRST", "LAST"), default=(K_RANGE[0], K_RANGE[-1]))
-    ap.add_argument("--family-k", nargs="*", default=[], metavar="FAMILY=K", help="override the k of a family (FAMILY= for none)")
-    ap.add_argument("--end-mode", choices=["reference", "exact"], default="reference")
-    ap.add_argument("--exposure-mode", choices=["span", "sum_segments"], default="span")
-    ap.add_argument("--ignore-case", action="store_true", help="spot checks ignore case")
-    args = ap.parse_args(argv)
+    commands = ap.add_subparsers(dest="command", required=True)
+    everywhere = argparse.ArgumentParser(add_help=False)
+    everywhere.add_argument("--data", required=True, help="folder with events/, lineups/ and matches/ (or landed Parquet)")
+    everywhere.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    everywhere.add_argument("--matches", help="match files ({cohort}/{season}.json, a glob); default: DATA/matches/*/*.json; "
+                            "given to land, the landed tables are partitioned by cohort")
+    reads = argparse.ArgumentParser(add_help=False)
+    reads.add_argument("--parquet", action="store_true", help="read events/lineups landed as Parquet under --data")
+    fits = argparse.ArgumentParser(add_help=False)
+    fits.add_argument("--spot", nargs="*", default=[], help="name substrings to spot-check")
+    fits.add_argument("--ignore-case", action="store_true", help="spot checks ignore case")
+    fits.add_argument("--min-minutes", type=float, default=MIN_EXPOSURE_MINUTES, help="least minutes of a profiled entity")
+    fits.add_argument("--end-mode", choices=["reference", "exact"], default="reference")
+    fits.add_argument("--exposure-mode", choices=["span", "sum_segments"], default="span")
+    fits.add_argument("--seed", type=int, default=SEED)
+
+    one = commands.add_parser("global", parents=[everywhere, reads, fits], help="pipeline L1")
+    one.add_argument("--preset", choices=sorted(PRESETS), help="cohorts, their names, train and test lists and k, unless given")
+    one.add_argument("--train", nargs="*", help="competition:season pairs fitted on")
+    one.add_argument("--test", nargs="*", help="competition:season pairs held out")
+    one.add_argument("--k", type=int, help="override the silhouette-chosen k")
+    one.add_argument("--k-range", type=int, nargs=2, metavar=("FIRST", "LAST"), default=(K_RANGE[0], K_RANGE[-1]))
+    one.add_argument("--names", help="CSV with header: competition_id,season_id,competition_name, shown in the reports")
+    one.add_argument("--per-period-denominator", action="store_true", help="intensity per cohort and year over the minutes of that year")
+    one.add_argument("--fit-partitions", type=int, help="partitions of the mixture's input (its fit depends on them)")
+
+    two = commands.add_parser("families", parents=[everywhere, reads, fits], help="pipeline L2")
+    two.add_argument("--family-k", nargs="*", default=[], metavar="FAMILY=K", help="override the k of a family (FAMILY= for none)")
+    two.add_argument("--min-cluster-size", type=int, default=MIN_PER_CLUSTER, help="least members of a cluster of an override")
+
+    three = commands.add_parser("apply", parents=[everywhere, reads], help="a model saved by global, on other matches")
+    three.add_argument("--model", required=True, help="folder of the model: OUT/model of a global run")
+    three.add_argument("--cohorts", nargs="*", help="competition:season pairs (default: all matches)")
 
+    commands.add_parser("land", parents=[everywhere], help="JSON to Parquet, incremental")
+    return ap
+
+
+def main(argv=None) -> None:
+    args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"rateprofile-{args.command}").getOrCreate()
     data, out = args.data.rstrip("/"), args.out.rstrip("/")
-    if args.command == "land":
-        sessions = load_sessions(spark, args.matches) if args.matches else None
-        for what, land in (("events", land_events), ("lineups", land_lineups)):
-            done = land(spark, f"{data}/{what}", f"{out}/{what}", f"{out}/_checkpoints/{what}", sessions=sessions)
-            print(f"{what}: {done.records} records landed, {done.rejected} rejected")
-        return
+    with contextlib.ExitStack() as stack:
+        if args.command == "land":
+            _land(spark, args, data, out)
+            return
+        events, segments = _inputs(spark, args, data, out, stack)
+        if args.command == "global":
+            _global(spark, args, data, out, stack, events, segments)
+        elif args.command == "families":
+            _families(args, out, events, segments)
+        else:
+            sessions = _sessions(spark, args, data, out, stack, None) if args.cohorts else None
+            res = apply_profiles(load_model(spark, args.model), events, segments, sessions, _pairs(args.cohorts))
+            for name, table in res.items():
+                write_parquet(table, f"{out}/{name}")
+
+
+def _rejects(bad: DataFrame, what: str, out: str) -> None:
+    write_parquet(bad, f"{out}/report/rejected_{what}")
+    n = bad.count()
+    if n:
+        print(f"{what}: {n} records rejected, see {out}/report/rejected_{what}")
+
+
+def _inputs(spark, args, data, out, stack) -> tuple[DataFrame, DataFrame]:
     if args.parquet:
-        events, segments = spark.read.parquet(f"{data}/events"), spark.read.parquet(f"{data}/lineups")
-    else:
-        events, segments = load_events(spark, f"{data}/events/*.json"), load_lineups(spark, f"{data}/lineups/*.json")
-        for what, schema in (("events", EVENT_SCHEMA), ("lineups", LINEUP_SCHEMA)):
-            write_parquet(load_rejected(spark, f"{data}/{what}/*.json", schema), f"{out}/report/rejected_{what}")
-    if args.command == "global":
-        names = spark.read.schema(NAMES_SCHEMA).option("header", True).csv(args.names) if args.names else None
-        sessions = load_sessions(spark, args.matches or f"{data}/matches/*/*.json", names)
-        res = global_profiles(
-            events,
-            segments,
-            sessions,
-            _pairs(args.train),
-            _pairs(args.test),
-            min_minutes=args.min_minutes,
-            k_range=range(args.k_range[0], args.k_range[1] + 1),
-            k_override=args.k,
-            spot_names=args.spot,
-            ignore_case=args.ignore_case,
-            end_mode=args.end_mode,
-            exposure_mode=args.exposure_mode,
-        )
-        write_global_outputs(res, out)
-        for name in ("sweep", "train_profile", "gmm_profile", "test_profile", "profile_drift", "cross_tab", "model_compare",
-                     "most_blended", "cohort_intensity", "spot_check"):
-            write_parquet(res[name], f"{out}/report/{name}")
-    else:
-        overrides = {**FAMILY_OVERRIDES, **{f: int(k) if k else None for f, k in (x.split("=") for x in args.family_k)}}
-        res = family_profiles(
-            events,
-            segments,
-            overrides=overrides,
-            min_minutes=args.min_minutes,
-            spot_names=args.spot,
-            ignore_case=args.ignore_case,
-        )
-        write_family_outputs(res, out)
-        for name in ("sizes", "choice", "sweep", "profiles", "cross_tab", "samples", "spot_check"):
-            write_parquet(res[name], f"{out}/report/{name}")
+        return spark.read.parquet(f"{data}/events"), spark.read.parquet(f"{data}/lineups")
+    tables = []
+    for what, schema, flat in (("events", EVENT_SCHEMA, flatten_events), ("lineups", LINEUP_SCHEMA, explode_segments)):
+        rows, bad = stack.enter_context(json_input(spark, f"{data}/{what}/*.json", schema, flat))
+        _rejects(bad, what, out)
+        tables.append(rows)
+    return tables[0], tables[1]
+
+
+def _sessions(spark, args, data, out, stack, names) -> DataFrame:
+    path = args.matches or f"{data}/matches/*/*.json"
+    rows, bad = stack.enter_context(json_input(spark, path, MATCH_SCHEMA, lambda raw: session_dimension(raw, names), session_keys()))
+    _rejects(bad, "matches", out)
+    return rows
+
+
+def _global(spark, args, data, out, stack, events, segments) -> None:
+    preset = PRESETS.get(args.preset)
+    names = spark.read.schema(NAMES_SCHEMA).option("header", True).csv(args.names) if args.names else None
+    if names is None and preset:
+        names = spark.createDataFrame(list(preset.cohorts), NAMES_SCHEMA)
+    given = lambda value, name: value if value is not None else getattr(preset, name) if preset else None
+    train, test = (_pairs(v) if v is not None else list(getattr(preset, n)) if preset else [] for v, n in ((args.train, "train"), (args.test, "test")))
+    res = global_profiles(
+        events,
+        segments,
+        _sessions(spark, args, data, out, stack, names),
+        train,
+        test,
+        min_minutes=args.min_minutes,
+        k_range=range(args.k_range[0], args.k_range[1] + 1),
+        k_override=given(args.k, "k"),
+        seed=args.seed,
+        spot_names=args.spot,
+        ignore_case=args.ignore_case,
+        partitions=args.fit_partitions,
+        end_mode=args.end_mode,
+        exposure_mode=args.exposure_mode,
+        per_period_denominator=args.per_period_denominator,
+    )
+    write_global_outputs(res, out)
+    save_model(res["model"], f"{out}/model")
+    for name in GLOBAL_REPORTS:
+        write_parquet(res[name], f"{out}/report/{name}")
+
+
+def _families(args, out, events, segments) -> None:
+    overrides = {**FAMILY_OVERRIDES, **{f: int(k) if k else None for f, k in (x.split("=") for x in args.family_k)}}
+    res = family_profiles(
+        events,
+        segments,
+        overrides=overrides,
+        min_minutes=args.min_minutes,
+        seed=args.seed,
+        spot_names=args.spot,
+        ignore_case=args.ignore_case,
+        min_per_cluster=args.min_cluster_size,
+        end_mode=args.end_mode,
+        exposure_mode=args.exposure_mode,
+    )
+    write_family_outputs(res, out)
+    for name in FAMILY_REPORTS:
+        write_parquet(res[name], f"{out}/report/{name}")
+
+
+def _land(spark, args, data, out) -> None:
+    sessions = load_sessions(spark, args.matches) if args.matches else None
+    for what, land in (("events", land_events), ("lineups", land_lineups)):
+        done = land(spark, f"{data}/{what}", f"{out}/{what}", f"{out}/_checkpoints/{what}", sessions=sessions)
+        print(f"{what}: {done.records} records landed, {done.rejected} rejected")
 
 
 if __name__ == "__main__":

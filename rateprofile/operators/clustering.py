@@ -1,7 +1,7 @@
-"""Clustering operators (M2-M6, M8, M13) on Spark ML.
+"""Clustering operators (M3-M6, M8, M13) on Spark ML; sweeps over k are in ``operators.sweep``.
 
-Determinism: K-Means and Gaussian-mixture fits depend on the row layout even
-with a fixed seed, so every fit goes through ``fit_layout`` first (hash
+Determinism: the fits of Spark ML depend on the row layout even
+with a fixed seed, so every one goes through ``fit_layout`` first (hash
 partition on the entity id into a fixed number of partitions, then sort within
 partitions), and the laid-out vectors are persisted once for all fits that
 read them, and released after these.
@@ -14,8 +14,7 @@ has no silhouette and gives ``None``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -28,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from ..functions.columns import vector_max
-from ..session import cut_lineage, describe_jobs
+from ..session import cut_lineage
+from .sweep import Fit
 
 #: Layout of every fit input: a parameter, not a function of the data, since the layout is
 #: part of what a seeded fit depends on.
@@ -117,42 +117,9 @@ def silhouette(
     return float(evaluator.evaluate(preds.withColumn(prediction_col, F.col(prediction_col).cast("double"))))
 
 
-def score_kmeans(
-    df: DataFrame, k: int, seed: int = DEFAULT_SEED, features_col: str = "features", label: str = ""
-) -> dict:
-    """Fit K-Means at one k and score it: k, training_cost, silhouette, sizes, and
-    the fitted model (kept so the chosen k need not be refitted)."""
-    describe_jobs(df.sparkSession, f"rateprofile kmeans {label} k={k}".replace("  ", " "))
-    model, preds = fit_kmeans(df, k, seed, features_col, "cluster")
-    sizes = [int(s) for s in model.summary.clusterSizes]
-    return {
-        "k": int(k),
-        "training_cost": float(model.summary.trainingCost),
-        "silhouette": silhouette(preds, "cluster", features_col, n_clusters=sum(1 for s in sizes if s > 0)),
-        "min_size": min(s for s in sizes if s > 0),
-        "model": model,
-    }
-
-
-def run_parallel(fn, items: Sequence, parallel_fits: int = 8) -> list:
-    """Submit independent Spark jobs (model fits) from a small driver thread pool."""
-    items = list(items)
-    if not items:
-        return []
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel_fits, len(items)))) as pool:
-        return list(pool.map(fn, items))
-
-
-def kmeans_sweep(
-    df: DataFrame,
-    ks: Iterable[int],
-    seed: int = DEFAULT_SEED,
-    features_col: str = "features",
-    parallel_fits: int = 8,
-) -> list[dict]:
-    """Fit K-Means for every k and score it (M2). Fits are independent Spark jobs
-    on the same materialised input, submitted a few at a time."""
-    return run_parallel(lambda k: score_kmeans(df, k, seed, features_col), list(ks), parallel_fits)
+def score_row(fit: Fit) -> dict:
+    """What a sweep reports of one fit."""
+    return {"k": fit.k, "training_cost": fit.training_cost, "silhouette": fit.silhouette}
 
 
 def choose_k(rows: Sequence[dict], override: int | None = None) -> int:

@@ -2,24 +2,22 @@
 
 One grouped count gives every family's size and its k range (no per-family
 count job). Every family is z-scored by its own mean and std in one pass for
-all families (``grouped_standardise``), materialised once; each eligible family
-then gets its own laid-out fit input, k sweep and fit, so a fit reads only its
-own family's rows. The driver loop is proportional to families x k (bounded by
-the rule list and the k cap), never to rows; all row work is in Spark jobs.
+all families (``grouped_standardise``); one sweep then fits every k of every family in
+shared passes (``sweep_kmeans``), so the number of passes does not grow with families or k.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..session import cut_lineage
-from .clustering import DEFAULT_SEED, choose_k, prepare_for_fit, run_parallel, score_kmeans
-from .scaling import assemble, grouped_standardise
+from .clustering import DEFAULT_SEED, choose_k, score_row
+from .scaling import grouped_standardise
+from .sweep import MAX_STEPS, assign, sweep_kmeans
 
 # --- Fixed values: family k-range rule ---------------------------------------------
 MIN_PER_CLUSTER = 12
@@ -27,9 +25,6 @@ K_MIN = 2
 K_CAP = 6
 # --- end of fixed values ------------------------------------------------------------
 
-#: Partitions over which the rows of one family are spread before its fits.
-FAMILY_SPREAD = 32
-
 
 def family_k_ranges(
     features: DataFrame,
@@ -94,17 +89,16 @@ def cluster_families(
     overrides: Mapping[str, int | None] | None = None,
     seed: int = DEFAULT_SEED,
     min_per_cluster: int = MIN_PER_CLUSTER,
-    partitions: int | None = None,
     cluster_col: str = "cluster",
-    parallel_fits: int = 8,
     only: Sequence[str] | None = None,
+    max_steps: int = MAX_STEPS,
     input_materialised: bool = False,
 ) -> dict[str, DataFrame]:
     """Per-family scaling, k sweep, override guard (M12) and final assignment.
 
     Returns ``assignments`` (input columns + ``cluster``; ineligible families are
     not clustered and do not appear), ``sweep`` and ``choice`` tables.
-    ``only`` lists the families to cluster (default: all that occur; each is a few driver-side jobs, so
+    ``only`` lists the families to cluster (default: all that occur; the driver holds the centres of each, so
     list them where labels are many). An override k is accepted only when its smallest
     cluster has at least ``min_per_cluster`` members (``override_guard``); otherwise the
     silhouette-best k is kept.
@@ -124,59 +118,31 @@ def cluster_families(
             "choice": spark.createDataFrame([], FAMILY_CHOICE_SCHEMA),
         }
     all_cols = sorted({c for cols in [default_features, *feature_sets.values()] for c in cols})
-    # One pass z-scores every eligible family. That table is laid out by family and cached, so the
-    # input of a family comes from its own batches; each input is persisted once for all its fits.
-    scaled_all = grouped_standardise(features.filter(F.col(family_col).isin(*eligible.keys())), family_col, all_cols)
-    scaled_all = scaled_all.repartition(F.col(family_col), F.pmod(F.xxhash64(id_col), F.lit(FAMILY_SPREAD))).sortWithinPartitions(family_col, id_col)
-    scaled_all = scaled_all.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def prepare(fam: str):
-        cols = [f"z_{c}" for c in feature_sets.get(fam, default_features)]
-        own = assemble(scaled_all.filter(F.col(family_col) == fam), cols, "features")
-        return fam, prepare_for_fit(own, id_col, partitions)
-
-    inputs = dict(run_parallel(prepare, sorted(eligible), parallel_fits))
-    scaled_all.unpersist()
-    # Every (family, k) fit is an independent job: submit them together, plus
-    # any override k outside the family's sweep range.
-    jobs = [(fam, k) for fam in sorted(eligible) for k in range(eligible[fam][1], eligible[fam][2] + 1)]
-    extra = [
-        (fam, int(overrides[fam]))
-        for fam in sorted(eligible)
-        if overrides.get(fam) is not None and not eligible[fam][1] <= int(overrides[fam]) <= eligible[fam][2]
-    ]
-    scored = run_parallel(
-        lambda job: (job, score_kmeans(inputs[job[0]], job[1], seed, label=f"family={job[0]}")),
-        jobs + extra,
-        parallel_fits,
-    )
-    by_job = dict(scored)
-
-    assignments, sweep_rows, choice_rows = [], [], []
+    # one pass z-scores every eligible family, each on its own features
+    scaled = grouped_standardise(features.filter(F.col(family_col).isin(*eligible.keys())), family_col, all_cols)
+    own = [(fam, F.array(*[F.col(f"z_{c}") for c in feature_sets.get(fam, default_features)])) for fam in sorted(eligible)]
+    x = F.coalesce(*[F.when(F.col(family_col) == fam, cols) for fam, cols in own])
+    scaled = scaled.select(*features.columns, x.alias("_scaled"))
+    ks = {fam: {*range(lo, hi + 1), *([int(overrides[fam])] if overrides.get(fam) is not None else [])} for fam, (_, lo, hi) in eligible.items()}
+    fits = sweep_kmeans(scaled, id_col, ks, "_scaled", family_col, seed, max_steps)
+
+    chosen_fits, sweep_rows, choice_rows = [], [], []
     for family in sorted(eligible):
         n, k_lo, k_hi = eligible[family]
-        rows = [by_job[(family, k)] for k in range(k_lo, k_hi + 1)]
+        by_k = {t.k: t for t in fits[family]}
+        rows = [score_row(by_k[k]) for k in range(k_lo, k_hi + 1)]
         sweep_rows += [(family, r["k"], r["training_cost"], r["silhouette"]) for r in rows]
         best_k = choose_k(rows)
-        chosen = by_job[(family, best_k)]
+        chosen = by_k[best_k]
         override, override_min = overrides.get(family), None
         if override is not None and int(override) != best_k:
-            cand = by_job[(family, int(override))]
-            override_min = cand["min_size"]
+            override_min = by_k[int(override)].min_size
             if override_accepted(override_min, min_per_cluster):
-                chosen = cand
-        preds = chosen["model"].transform(inputs[family]).withColumnRenamed("cluster", cluster_col)
-        assignments.append(preds.select(*features.columns, cluster_col))
-        choice_rows.append(
-            (family, n, best_k, override, override_min, chosen["k"], chosen["silhouette"], chosen["k"] != best_k)
-        )
-
-    out = assignments[0]
-    for a in assignments[1:]:
-        out = out.unionByName(a)
+                chosen = by_k[int(override)]
+        chosen_fits.append(chosen)
+        choice_rows.append((family, n, best_k, override, override_min, chosen.k, chosen.silhouette, chosen.k != best_k))
+    out = assign(scaled, chosen_fits, "_scaled", family_col, cluster_col).drop("_scaled")
     out = cut_lineage(out)
-    for laid in inputs.values():
-        laid.unpersist()
     return {
         "assignments": out,
         "sweep": spark.createDataFrame(sweep_rows, FAMILY_SWEEP_SCHEMA),

@@ -41,12 +41,14 @@ def family_profiles(
     sample_n: int = SAMPLE_N,
     spot_names: Sequence[str] = (),
     ignore_case: bool = False,
-    partitions: int | None = None,
     min_per_cluster: int = families.MIN_PER_CLUSTER,
+    end_mode: str = "reference",
+    exposure_mode: str = "span",
 ) -> dict[str, DataFrame]:
     """Run L2. Only the families that ``overrides`` lists are clustered (a NULL override keeps the
-    silhouette's choice); labels outside the rules stay in the feature table alone."""
-    feats = player_features(player_match_stats(events), player_minutes(events, segments), min_minutes)
+    silhouette's choice); labels outside the rules stay in the feature table alone. ``end_mode`` and
+    ``exposure_mode`` as in L1."""
+    feats = player_features(player_match_stats(events), player_minutes(events, segments, end_mode, exposure_mode), min_minutes)
     feats = cut_lineage(feats.withColumn("family", label_family("position_label", rules)))
     res = families.cluster_families(
         feats,
@@ -56,7 +58,6 @@ def family_profiles(
         default_features,
         overrides,
         seed=seed,
-        partitions=partitions,
         min_per_cluster=min_per_cluster,
         only=tuple(overrides),
         input_materialised=True,
@@ -69,33 +70,41 @@ def family_profiles(
     profiles = reported.groupBy("family", "cluster").agg(
         F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in all_cols]
     )
-    used = F.coalesce(
-        *[F.when(F.col("family") == f, F.lit(", ".join(cols))) for f, cols in feature_sets.items()],
-        F.lit(", ".join(default_features)),
-    )
-    cross = clustered.groupBy("family", "cluster", "position_label").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("family", "cluster").orderBy("player_id")
-    samples = (
-        reported.withColumn("rank", F.row_number().over(w))
-        .filter(F.col("rank") <= sample_n)
-        .select("family", "cluster", "rank", "player_id", "player_name", "position_label", *all_cols)
-    )
+    samples = family_samples(reported, "player_id", sample_n).select("family", "cluster", "rank", "player_id", "player_name", "position_label", *all_cols)
     spot = clustered.filter(contains_any("player_name", spot_names, ignore_case)).select(
         "family", "cluster", "player_id", "player_name", "position_label"
     )
     return {
         "features": feats,
         "sizes": families.family_k_ranges(feats, "family", min_per_cluster),
-        "choice": res["choice"].withColumn("features_used", used),
+        "choice": res["choice"].withColumn("features_used", features_used(feature_sets, default_features)),
         "sweep": res["sweep"],
         "assignments": clustered,
         "profiles": profiles.orderBy("family", "cluster"),
-        "cross_tab": cross.orderBy("family", "cluster", F.desc("n")),
+        "cross_tab": family_cross_tab(clustered, "position_label").orderBy("family", "cluster", F.desc("n")),
         "samples": samples,
         "spot_check": spot,
     }
 
 
+def features_used(feature_sets: Mapping[str, Sequence[str]], default_features: Sequence[str]) -> Column:
+    """The names of the features a row's family is fitted on."""
+    return F.coalesce(
+        *[F.when(F.col("family") == f, F.lit(", ".join(cols))) for f, cols in feature_sets.items()],
+        F.lit(", ".join(default_features)),
+    )
+
+
+def family_cross_tab(clustered: DataFrame, label_col: str) -> DataFrame:
+    return clustered.groupBy("family", "cluster", label_col).agg(F.count(F.lit(1)).alias("n"))
+
+
+def family_samples(clustered: DataFrame, id_col: str, n: int = SAMPLE_N) -> DataFrame:
+    """The first ``n`` members of every cluster of every family, with their ``rank``."""
+    w = Window.partitionBy("family", "cluster").orderBy(id_col)
+    return clustered.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
 def _own(column: str, feature_sets: Mapping[str, Sequence[str]], default_features: Sequence[str]) -> Column:
     """``column`` where it is one of the features of the row's family."""
     special = [f for f in feature_sets]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import GENERAL_FEATURES, MIN_EXPOSURE_MINUTES
-from ..operators import assess, clustering, scaling
+from ..operators import assess, clustering, models, scaling, sweep
 from ..session import cut_lineage
 from ..sources.sinks import drop_vectors, write_parquet
 from .common import (
@@ -54,12 +54,13 @@ def cluster_and_assess(
     ignore_case: bool = False,
     partitions: int | None = None,
     input_materialised: bool = False,
-) -> dict[str, DataFrame]:
+    max_steps: int = sweep.MAX_STEPS,
+) -> dict[str, DataFrame | models.ProfileModel]:
     """The model half of L1 on any entity feature table with a split column:
     standardise on the train rows, k sweep, K-Means at the chosen k and a
     Gaussian mixture, then profiles, cross-tab, spot check, model comparison,
     most blended entities, and transfer of the fitted scaler + model to the
-    held-out rows with per-cluster drift.
+    held-out rows with per-cluster drift. ``model`` is the fitted model itself (``models.save_model``).
 
     The entity table is read several times (scaler fit, fit layout, holdout,
     reports), so it is materialised first unless the caller already did
@@ -74,36 +75,32 @@ def cluster_and_assess(
         raise ValueError(f"no entities in the {train_value!r} split meet the exposure minimum")
 
     scaled, scaler = scaling.standardise(train, feature_cols)
-    fit_input = clustering.prepare_for_fit(scaled, id_col, partitions)
-    sweep_rows = clustering.kmeans_sweep(fit_input, k_range, seed)
+    ks = {*k_range, *([int(k_override)] if k_override is not None else [])}
+    by_k = {t.k: t for t in sweep.sweep_kmeans(scaled, id_col, ks, seed=seed, max_steps=max_steps)[""]}
+    sweep_rows = [clustering.score_row(by_k[k]) for k in sorted(set(k_range))]
     silhouette_k = clustering.choose_k(sweep_rows)
     best_k = clustering.choose_k(sweep_rows, k_override)
-    by_k = {r["k"]: r for r in sweep_rows}
-    km = by_k[best_k] if best_k in by_k else clustering.score_kmeans(fit_input, best_k, seed)
-    kmeans_model = km["model"]
-    gmm_model, _ = clustering.fit_gmm(fit_input, best_k, seed, prediction_col="cluster_gmm")
-
-    # Both fitted models applied in one chain over the rows: no join of their outputs.
-    kpred = kmeans_model.transform(fit_input).withColumnRenamed("cluster", "cluster_kmeans")
-    both = gmm_model.transform(kpred).withColumn("gmm_max_prob", F.array_max(vector_to_array("probability")))
-    train_out = cut_lineage(both.drop("probability"))
-
-    test_pred = kmeans_model.transform(scaling.apply_scaler(test, feature_cols, scaler)).withColumnRenamed(
-        "cluster", "cluster_kmeans"
-    )
+    km = by_k[best_k]
+    compare_rows = [("kmeans", best_k, km.silhouette)]
+    with clustering.fitting(scaled, id_col, partitions) as fit_input:
+        gmm_model, _ = clustering.fit_gmm(fit_input, best_k, seed, prediction_col="cluster_gmm")
+        # Both fitted models applied in one chain over the rows: no join of their outputs.
+        both = gmm_model.transform(sweep.assign(fit_input, [km], cluster_out="cluster_kmeans"))
+        train_out = cut_lineage(both.withColumn("gmm_max_prob", F.array_max(vector_to_array("probability"))).drop("probability"))
+        compare_rows.append(("gmm", best_k, clustering.silhouette(train_out, "cluster_gmm")))
+        if silhouette_k != best_k:
+            # An override moved k: compare the two models at the silhouette-best k too.
+            _, gmm_at_sil = clustering.fit_gmm(fit_input, silhouette_k, seed, prediction_col="cluster_gmm")
+            compare_rows += [
+                ("kmeans", silhouette_k, by_k[silhouette_k].silhouette),
+                ("gmm", silhouette_k, clustering.silhouette(gmm_at_sil, "cluster_gmm")),
+            ]
+
+    test_pred = sweep.assign(scaling.apply_scaler(test, feature_cols, scaler), [km], cluster_out="cluster_kmeans")
     train_profile = assess.cluster_profile(train_out, "cluster_kmeans", feature_cols)
     test_profile = assess.cluster_profile(test_pred, "cluster_kmeans", feature_cols)
-    sil_gmm = clustering.silhouette(train_out, "cluster_gmm")
-    compare_rows = [("kmeans", best_k, km["silhouette"]), ("gmm", best_k, sil_gmm)]
-    if silhouette_k != best_k:
-        # An override moved k: compare the two models at the silhouette-best k too.
-        _, gmm_at_sil = clustering.fit_gmm(fit_input, silhouette_k, seed, prediction_col="cluster_gmm")
-        compare_rows += [
-            ("kmeans", silhouette_k, by_k[silhouette_k]["silhouette"]),
-            ("gmm", silhouette_k, clustering.silhouette(gmm_at_sil, "cluster_gmm")),
-        ]
-    fit_input.unpersist()
     compare = spark.createDataFrame(compare_rows, "model string, k int, silhouette double")
+    settings = {"feature_cols": feature_cols, "id_col": id_col, "k": best_k, "seed": seed}
     return {
         "sweep": clustering.sweep_table(spark, sweep_rows, best_k).withColumn(
             "silhouette_max", F.col("k") == F.lit(silhouette_k)
@@ -120,6 +117,7 @@ def cluster_and_assess(
         if name_col
         else drop_vectors(train_out).limit(0),
         "model_compare": compare,
+        "model": models.profile_model(scaler, km, gmm_model, feature_cols, settings, train_profile),
         "most_blended": assess.lowest(
             train_out.select(id_col, *([name_col] if name_col else []), label_col, "cluster_gmm", "gmm_max_prob"),
             ["gmm_max_prob", id_col],
@@ -193,10 +191,29 @@ def global_profiles(
         count_col="pressures",
     )
     res["features"] = feats
+    res["model"].settings.update(min_minutes=min_minutes, end_mode=end_mode, exposure_mode=exposure_mode)
     res["cohort_intensity"] = intensity.orderBy("season_year", "cohort")
     return res
 
 
+def apply_profiles(model: models.ProfileModel, events: DataFrame, segments: DataFrame, sessions: DataFrame | None = None, cohorts: Sequence[tuple[int, int]] = ()) -> dict[str, DataFrame]:
+    """A saved model (M7) on other matches: their features, made with the settings of the fit, the clusters of every
+    player, the profile of these and its drift from the training profile. ``cohorts`` of ``sessions`` limit the matches."""
+    settings = model.settings
+    if cohorts:
+        wanted = split_sessions(sessions, cohorts, ()).select("match_id")
+        events, segments = events.join(wanted, "match_id", "left_semi"), segments.join(wanted, "match_id", "left_semi")
+    summary = cut_lineage(player_match_summary(events))
+    minutes = player_minutes(summary, segments, end_mode=settings["end_mode"], mode=settings["exposure_mode"], summarised=True)
+    stats = summary.filter(F.col("player_id").isNotNull()).drop(*CLOCK_MAXIMA)
+    assigned = cut_lineage(model.apply(player_features(stats, minutes, settings["min_minutes"])))
+    profile = assess.cluster_profile(assigned, models.KMEANS_COL, settings["feature_cols"])
+    out = {"assigned": assigned, "profile": profile.orderBy(models.KMEANS_COL), "cross_tab": assess.cross_tab(assigned, models.KMEANS_COL, "position_label")}
+    if model.profile is not None:
+        out["profile_drift"] = assess.profile_drift(model.profile, profile, models.KMEANS_COL, settings["feature_cols"])
+    return out
+
+
 def write_global_outputs(results: dict[str, DataFrame], out_dir: str) -> None:
     """The train and test entity tables as Parquet (vectors dropped)."""
     write_parquet(results["train_clusters"], f"{out_dir.rstrip('/')}/player_features_train")

@@ -16,10 +16,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions.columns import array_head
-from ..operators import assess, clustering, families, scaling
+from ..operators import assess, clustering, families, models, scaling, sweep
 from ..session import cut_lineage
 from ..sources.sinks import drop_vectors, write_parquet
 from .common import finish, shared_folder, table
+from .kmeans_sql import chosen_sql, grid_sql, kmeans_sql
 
 # --- Fixed values of the adapter -----------------------------------------------------
 DIM = 64
@@ -105,9 +106,9 @@ def q_min_group_size(spark, sf_dir):
 
 
 def q_kmeans_assign(spark, sf_dir):
-    with _fit_input(spark, sf_dir) as data:
-        _, preds = clustering.fit_kmeans(data, K, SEED)
-    return preds.select("vec_id", "cluster")
+    scaled, _ = _scaled(spark, sf_dir)
+    fit = sweep.sweep_kmeans(scaled, "vec_id", [K], seed=SEED)[""][0]
+    return sweep.assign(scaled, [fit]).select("vec_id", "cluster")
 
 
 def q_gmm_assign(spark, sf_dir):
@@ -154,8 +155,8 @@ def q_model_fit_check(spark, sf_dir):
 
 
 def q_k_sweep(spark, sf_dir):
-    with _fit_input(spark, sf_dir) as data:
-        rows = clustering.kmeans_sweep(data, SWEEP_KS, SEED)
+    scaled, _ = _scaled(spark, sf_dir)
+    rows = [clustering.score_row(t) for t in sweep.sweep_kmeans(scaled, "vec_id", SWEEP_KS, seed=SEED)[""]]
     return finish(clustering.sweep_table(spark, rows, clustering.choose_k(rows)))
 
 
@@ -196,11 +197,40 @@ def _transfer(spark, sf_dir):
     return train, scaling.apply_scaler(emb.filter(F.col("label") >= HOLDOUT_MIN_LABEL), "embedding", scaler)
 
 
+def _holdout_model(spark, sf_dir, gmm: bool = False):
+    emb = _emb(spark, sf_dir)
+    train, scaler = scaling.standardise(emb.filter(F.col("label") < HOLDOUT_MIN_LABEL), "embedding")
+    fit = sweep.sweep_kmeans(train, "vec_id", [K], seed=SEED)[""][0]
+    mixture = None
+    if gmm:
+        with clustering.fitting(train.select("vec_id", "features"), "vec_id", FIT_PARTITIONS) as data:
+            mixture, _ = clustering.fit_gmm(data, K, SEED, prediction_col=models.GMM_COL)
+    model = models.profile_model(scaler, fit, mixture, settings={"k": K, "seed": SEED})
+    return model, scaling.assemble(emb.filter(F.col("label") >= HOLDOUT_MIN_LABEL), "embedding")
+
+
 def q_holdout_assign(spark, sf_dir):
-    train, test = _transfer(spark, sf_dir)
-    with clustering.fitting(train.select("vec_id", "features"), "vec_id", FIT_PARTITIONS) as data:
-        model, _ = clustering.fit_kmeans(data, K, SEED)
-    return model.transform(test).select("vec_id", "label", "cluster")
+    """Transfer to held-out rows (M7): scaler and K-Means fitted on labels below 5, applied to the others."""
+    model, test = _holdout_model(spark, sf_dir)
+    return model.apply(test).select("vec_id", "label", F.col(models.KMEANS_COL).alias("cluster"))
+
+
+def q_saved_model_assign(spark, sf_dir):
+    """The same through a model on storage (M7): fitted, saved to the shared folder, loaded and applied."""
+    model, test = _holdout_model(spark, sf_dir)
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    models.save_model(model, path)
+    loaded = models.load_model(spark, path)
+    return loaded.apply(test).select("vec_id", F.col(models.KMEANS_COL).alias("cluster"), F.lit(loaded.settings["k"]).alias("k"))
+
+
+def q_saved_mixture_assign(spark, sf_dir):
+    """A saved model with a mixture: every held-out row gets both clusters; the probability of the likeliest component."""
+    model, test = _holdout_model(spark, sf_dir, gmm=True)
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    models.save_model(model, path)
+    got = models.load_model(spark, path).apply(test)
+    return finish(got.select("vec_id", models.KMEANS_COL, models.GMM_COL, models.MAX_PROB_COL))
 
 
 def q_holdout_nearest(spark, sf_dir):
@@ -297,7 +327,41 @@ si as (select g, avg((b - a) / greatest(a, b)) as silhouette from ab group by g)
 _SWEEP_LABELS = f"select k as g, vec_id, vec_id % k as c from embeddings, range({SWEEP_KS[0]}, {SWEEP_KS[-1] + 1}) r(k)"
 _COMPARE_LABELS = f"select 'label' as g, vec_id, label as c from embeddings union all select 'modulo', vec_id, vec_id % {K} from embeddings"
 
+#: More than any fit on the test tables takes to come to rest; the queries use the operator's own bound.
+_STEPS = sweep.MAX_STEPS
+
+
+def _points_sql(stats_filter: str = "", out_filter: str = "") -> str:
+    return f"""{_LONG},
+st as (select pos, avg(x) as mu, stddev_samp(x) as sd from q {stats_filter} group by pos),
+gr as materialized (select vec_id, label, list({grid_sql("case when sd = 0 then 0 else (x - mu) / sd end")} order by q.pos) as x
+       from q join st using (pos) group by vec_id, label),
+pts as materialized (select '' as family, cast(vec_id as varchar) as id, x from gr {out_filter})"""
+
+
+_TRAIN = f"where label < {HOLDOUT_MIN_LABEL}"
+_HOLDOUT_SQL = f"""
+with {_points_sql(_TRAIN, _TRAIN)},
+ks as (select '' as family, {K} as k),
+{kmeans_sql(K, _STEPS, SEED)},
+d as (select vec_id, label, c, list_inner_product(x, x) - 2 * list_inner_product(x, v) + list_inner_product(v, v) as d
+      from gr, centres where label >= {HOLDOUT_MIN_LABEL}),
+a as (select vec_id, label, cast(c as integer) as cluster from (select *, row_number() over (partition by vec_id order by d, c) as r from d) t where r = 1)
+"""
+
 ORACLE = {
+    "kmeans_assign": f"""
+with {_points_sql()},
+ks as (select '' as family, {K} as k),
+{kmeans_sql(K, _STEPS, SEED)}
+select cast(id as bigint) as vec_id, cast(c as integer) as cluster from members""",
+    "k_sweep": f"""
+with {_points_sql()},
+ks as (select '' as family, cast(k as integer) as k from range({SWEEP_KS[0]}, {SWEEP_KS[-1] + 1}) r(k)),
+{kmeans_sql(SWEEP_KS[-1], _STEPS, SEED)}
+select k, round(training_cost, 6) as training_cost, round(silhouette, 6) as silhouette, k = (select k from {chosen_sql()}) as chosen from fitted""",
+    "holdout_assign": _HOLDOUT_SQL + "select * from a",
+    "saved_model_assign": _HOLDOUT_SQL + f"select vec_id, cluster, {K} as k from a",
     "k_scores": _scores_sql(_SWEEP_LABELS)
     + """select cast(g as integer) as k, round(cost, 6) as training_cost, round(silhouette, 6) as silhouette,
        g = (select min(g) from si where silhouette = (select max(silhouette) from si)) as chosen
@@ -360,6 +424,8 @@ QUERIES = {
     "k_sweep": q_k_sweep,
     "model_compare": q_model_compare,
     "holdout_assign": q_holdout_assign,
+    "saved_model_assign": q_saved_model_assign,
+    "saved_mixture_assign": q_saved_mixture_assign,
     "k_scores": q_k_scores,
     "label_compare": q_label_compare,
     "model_fit_check": q_model_fit_check,

@@ -11,17 +11,20 @@ cohort intensity measures ``error`` events.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import LabelRule, label_family, minutes_to_clock, clock_to_minutes, safe_ratio
 from ..functions.predicates import event_counters
-from ..operators import assess, clustering, counts, exposure, families, features, scaling
+from ..operators import assess, clustering, counts, exposure, families, features, scaling, sweep
 from ..operators.features import Rate, Ratio
-from ..plans.global_profiles import cluster_and_assess
+from ..plans.family_profiles import SAMPLE_N as FAMILY_SAMPLE_N
+from ..plans.family_profiles import SEED, family_cross_tab, family_samples, features_used
+from ..plans.global_profiles import K_RANGE, cluster_and_assess
 from ..session import cut_lineage
 from .common import finish, table
 from .em import FIT_PARTITIONS
+from .kmeans_sql import chosen_sql, grid_sql, kmeans_sql
 
 # --- Fixed values of the adapter -----------------------------------------------------
 SPLIT_DATE = "2024-01-16"
@@ -35,6 +38,7 @@ EV_FAMILY_RULES = (
     LabelRule("CONVERT", contains=("purchase",)),
     LabelRule("BROWSE", contains=("click", "view")),
 )
+EV_OVERRIDES = {"BROWSE": 3}
 # --- end of fixed values ---------------------------------------------------------------
 
 EV_OUTPUTS = [
@@ -294,7 +298,7 @@ def q_global_fit_check(spark, sf_dir):
 
 def _family_result(spark, sf_dir):
     return families.cluster_families(
-        ev_family_features(spark, sf_dir), "user_id", "family", {}, EV_FEATURES, overrides={"BROWSE": 3}, partitions=FIT_PARTITIONS
+        ev_family_features(spark, sf_dir), "user_id", "family", {}, EV_FEATURES, overrides=EV_OVERRIDES
     )
 
 
@@ -302,6 +306,49 @@ def q_family_clusters(spark, sf_dir):
     return _family_result(spark, sf_dir)["assignments"].select("user_id", "family", "cluster")
 
 
+def q_family_choice(spark, sf_dir):
+    """The k of each family (M9-M12): the best of its sweep, or the override that passes the guard."""
+    return finish(_family_result(spark, sf_dir)["choice"])
+
+
+def q_family_sweep(spark, sf_dir):
+    """Cost and silhouette of every k of every family (M9)."""
+    return finish(_family_result(spark, sf_dir)["sweep"])
+
+
+def q_family_report(spark, sf_dir):
+    """The family report (S9) over the clustered entities: clusters by label (rank NULL) and the first members
+    of each cluster (n NULL)."""
+    clustered = _family_result(spark, sf_dir)["assignments"]
+    cross = family_cross_tab(clustered, "label").select("family", "cluster", "label", "n")
+    first = family_samples(clustered, "user_id", FAMILY_SAMPLE_N).select("family", "cluster", F.col("rank").cast("long").alias("rank"), "user_id", "label")
+    return cross.unionByName(first, allowMissingColumns=True)
+
+
+def q_family_features_used(spark, sf_dir):
+    """The feature list each clustered family is fitted on (M16), where one family has its own."""
+    own = {"ACQUIRE": EV_FEATURES[:2]}
+    feats = ev_family_features(spark, sf_dir)
+    res = families.cluster_families(feats, "user_id", "family", own, EV_FEATURES, max_steps=0)
+    return res["choice"].select("family", "n", features_used(own, EV_FEATURES).alias("features_used"))
+
+
+def q_global_transfer(spark, sf_dir):
+    """L1's K-Means half: the chosen k, and the cluster of every entity of both halves of the month from the fit on the first."""
+    _, res = _global(spark, sf_dir)
+    both = [res[t].select("user_id", F.lit(s).alias("split"), "cluster_kmeans") for t, s in (("train_clusters", "A"), ("test_clusters", "B"))]
+    chosen = res["sweep"].filter("chosen").select(F.col("k").alias("chosen_k"))
+    return both[0].unionByName(both[1]).withColumn("chosen_k", chosen.scalar())
+
+
+def q_global_profile(spark, sf_dir):
+    """L1's ordered training profile (G1): the clusters in their order, with the position of each."""
+    _, res = _global(spark, sf_dir)
+    # k rows: their order as they are read
+    ordered = res["train_profile"].withColumn("position", (F.row_number().over(Window.orderBy(F.monotonically_increasing_id())) - 1).cast("long"))
+    return finish(ordered.select("position", "cluster_kmeans", "n", *[f"mean_{c}" for c in EV_FEATURES]))
+
+
 def q_family_fit_check(spark, sf_dir):
     """The entities that L2 clusters: all of the families with at least 24, each once, in clusters 0 to k - 1."""
     res = _family_result(spark, sf_dir)
@@ -507,7 +554,75 @@ s as (select family, count(*) as n from ff group by family)
 select family, n, n as n_entities, n as n_valid from s where n >= 24"""
 
 
+def _zgrid(c: str, mean: str, sd: str) -> str:
+    return grid_sql(f"case when {sd} > 0 then ({c} - {mean}) / {sd} else 0 end")
+
+
+def _family_kmeans_sql(steps: int = sweep.MAX_STEPS, own: str = "") -> str:
+    """The families' sweep and choice on top of the feature table: ``choice`` and ``assigned``."""
+    st = ", ".join(f"avg({c}) as mu_{c}, stddev_samp({c}) as sd_{c}" for c in EV_FEATURES)
+    xs = ", ".join(_zgrid(c, f"mu_{c}", f"sd_{c}") for c in EV_FEATURES)
+    overrides = " ".join(f"when '{f}' then {k}" for f, k in EV_OVERRIDES.items())
+    return f"""
+with ff as materialized (select *, {_family_case('label')} as family from ({_features_sql(False)}) r),
+sz as materialized (select family, count(*) as n, greatest({families.K_MIN}, least({families.K_CAP}, count(*) // {families.MIN_PER_CLUSTER})) as k_max,
+              case family {overrides} end as override_k
+       from ff group by family having count(*) >= {2 * families.MIN_PER_CLUSTER}),
+ks as (select family, cast(unnest(range({families.K_MIN}, k_max + 1)) as integer) as k from sz union select family, override_k from sz where override_k is not null),
+fs as (select family, {st} from ff group by family),
+pts as materialized (select ff.family, cast(user_id as varchar) as id, [{xs}] as x from ff join fs using (family) join sz using (family)),
+{kmeans_sql(families.K_CAP, steps, SEED)},
+swept as (select f.* from fitted f join sz using (family) where f.k between {families.K_MIN} and sz.k_max),
+pick as materialized (select sz.family, sz.n, b.k as silhouette_k, sz.override_k, case when sz.override_k <> b.k then o.min_size end as override_min_size,
+  case when sz.override_k <> b.k and o.min_size >= {families.MIN_PER_CLUSTER} then sz.override_k else b.k end as chosen_k
+  from sz join {chosen_sql('swept')} b using (family) left join fitted o on o.family = sz.family and o.k = sz.override_k),
+choice as (select p.family, p.n, p.silhouette_k, p.override_k, p.override_min_size, p.chosen_k, round(f.silhouette, 6) as chosen_silhouette, p.chosen_k <> p.silhouette_k as overridden
+  from pick p join fitted f on f.family = p.family and f.k = p.chosen_k),
+assigned as (select cast(m.id as bigint) as user_id, m.family, cast(m.c as integer) as cluster from members m join pick p on p.family = m.family and p.chosen_k = m.k)
+"""
+
+
+def _family_report_sql() -> str:
+    return f"""{_family_kmeans_sql()},
+al as materialized (select a.*, ff.label from assigned a join ff using (user_id)),
+fm as (select family, cluster, user_id, label, row_number() over (partition by family, cluster order by user_id) as rank from al)
+select family, cluster, label, count(*) as n, cast(null as bigint) as rank, cast(null as bigint) as user_id from al group by family, cluster, label
+union all select family, cluster, label, null, rank, user_id from fm where rank <= {FAMILY_SAMPLE_N}"""
+
+
+def _global_kmeans_sql() -> str:
+    """L1's sweep on the first half of the month, its chosen k, and the clusters of both halves."""
+    st = ", ".join(f"avg({c}) as mu_{c}, stddev_samp({c}) as sd_{c}" for c in EV_FEATURES)
+    xs = ", ".join(_zgrid(c, f"mu_{c}", f"sd_{c}") for c in EV_FEATURES)
+    return f"""
+with ff as materialized ({_features_sql(True)}),
+fs as (select {st} from ff where split = 'A'),
+gr as materialized (select split, user_id, [{xs}] as x from ff, fs),
+pts as materialized (select '' as family, cast(user_id as varchar) as id, x from gr where split = 'A'),
+ks as (select '' as family, cast(k as integer) as k from range({K_RANGE[0]}, {K_RANGE[-1] + 1}) r(k)),
+{kmeans_sql(K_RANGE[-1], sweep.MAX_STEPS, SEED)},
+best as (select k from {chosen_sql()} b),
+di as (select split, user_id, c, list_inner_product(x, x) - 2 * list_inner_product(x, v) + list_inner_product(v, v) as d
+       from gr, centres where k = (select k from best)),
+assigned as materialized (select split, user_id, cast(c as integer) as cluster_kmeans from (
+  select *, row_number() over (partition by split, user_id order by d, c) as r from di) t where r = 1)
+"""
+
+
 ORACLE = {
+    "family_clusters": _family_kmeans_sql() + "select * from assigned",
+    "family_choice": _family_kmeans_sql() + "select * from choice",
+    "family_sweep": _family_kmeans_sql() + "select family, k, round(training_cost, 6) as training_cost, round(silhouette, 6) as silhouette from swept",
+    "family_report": _family_report_sql(),
+    "family_features_used": f"""
+with ff as (select {_family_case('label')} as family from ({_features_sql(False)}) r)
+select family, count(*) as n, case family when 'ACQUIRE' then '{", ".join(EV_FEATURES[:2])}' else '{", ".join(EV_FEATURES)}' end as features_used
+from ff group by family having count(*) >= {2 * families.MIN_PER_CLUSTER}""",
+    "global_transfer": _global_kmeans_sql() + "select user_id, split, cluster_kmeans, (select k from best) as chosen_k from assigned",
+    "global_profile": _global_kmeans_sql()
+    + "select cast(row_number() over (order by cluster_kmeans) - 1 as bigint) as position, cluster_kmeans, count(*) as n, "
+    + ", ".join(f"round(avg({c}), 6) as mean_{c}" for c in EV_FEATURES)
+    + " from assigned join ff using (split, user_id) where split = 'A' group by cluster_kmeans",
     "event_counters": _event_counters_sql(),
     "global_fit_check": _global_check_sql(),
     "family_fit_check": _family_check_sql(),
@@ -602,6 +717,12 @@ QUERIES = {
     "family_sizes": q_family_sizes,
     "family_standardise": q_family_standardise,
     "family_clusters": q_family_clusters,
+    "family_choice": q_family_choice,
+    "family_sweep": q_family_sweep,
+    "family_report": q_family_report,
+    "family_features_used": q_family_features_used,
+    "global_transfer": q_global_transfer,
+    "global_profile": q_global_profile,
     "global_clusters": q_global_clusters,
     "global_fit_check": q_global_fit_check,
     "family_fit_check": q_family_fit_check,

@@ -4,6 +4,7 @@ from .json_sources import (
     explode_segments,
     flatten,
     flatten_events,
+    json_input,
     load_events,
     load_lineups,
     load_rejected,
@@ -12,6 +13,8 @@ from .json_sources import (
     optional_field,
     path_key,
     rejected,
+    session_dimension,
+    session_keys,
 )
 from .sinks import drop_vectors, write_parquet
 
@@ -22,6 +25,7 @@ __all__ = [
     "explode_segments",
     "flatten",
     "flatten_events",
+    "json_input",
     "load_events",
     "load_lineups",
     "load_rejected",
@@ -30,5 +34,7 @@ __all__ = [
     "optional_field",
     "path_key",
     "rejected",
+    "session_dimension",
+    "session_keys",
     "write_parquet",
 ]

@@ -10,8 +10,10 @@ pushdown.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
@@ -151,20 +153,39 @@ def load_rejected(spark: SparkSession, path: str, schema: StructType, multi_line
     return rejected(read_json_arrays(spark, path, schema, multi_line))
 
 
+@contextmanager
+def json_input(
+    spark: SparkSession, path: str, schema: StructType, flat: Callable[[DataFrame], DataFrame], keys: dict[str, Column] | None = None
+) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """(rows, rejected) of the files under ``path``, both from one parse that is kept for the time of the ``with``
+    block: rows as ``flat`` makes them, rejected as (source_file, record). ``keys``: columns taken
+    from the path of each file (default: ``match_id``)."""
+    read = read_json_arrays(spark, path, schema)
+    read = read.withColumns({**({"match_id": path_key()} if keys is None else keys), "_source_file": F.col("_metadata.file_path")})
+    read = read.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        bad = read.filter(F.col(CORRUPT).isNotNull()).select(F.col("_source_file").alias("source_file"), F.col(CORRUPT).alias("record"))
+        yield flat(read.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_source_file")), bad
+    finally:
+        read.unpersist()
+
+
+def session_keys() -> dict[str, Column]:
+    return {"competition_id": path_key(COHORT_PATH_PATTERN, 1), "season_id": path_key(COHORT_PATH_PATTERN, 2)}
+
+
+def session_dimension(raw: DataFrame, cohort_names: DataFrame | None = None) -> DataFrame:
+    """Match records with their cohort -> match_id, competition_id, season_id, season_year (NULL for an unreadable
+    date) and, when a (competition_id, season_id, competition_name) table is given, the name."""
+    dim = raw.select("match_id", "competition_id", "season_id", F.year(F.col("match_date").try_cast("date")).alias("season_year"))
+    return dim if cohort_names is None else dim.join(cohort_names, ["competition_id", "season_id"], "left")
+
+
 def load_sessions(spark: SparkSession, path: str, cohort_names: DataFrame | None = None) -> DataFrame:
-    """Session -> cohort dimension from ``{cohort_id}/{season_id}.json`` match
-    files (S6; an unreadable date has a NULL year): match_id, competition_id, season_id, season_year and, when a
-    (competition_id, season_id, competition_name) table is given, the name."""
-    raw = accepted(read_json_arrays(spark, path, MATCH_SCHEMA))
-    dim = raw.select(
-        "match_id",
-        path_key(COHORT_PATH_PATTERN, 1).alias("competition_id"),
-        path_key(COHORT_PATH_PATTERN, 2).alias("season_id"),
-        F.year(F.col("match_date").try_cast("date")).alias("season_year"),
-    )
-    if cohort_names is not None:
-        dim = dim.join(cohort_names, ["competition_id", "season_id"], "left")
-    return dim
+    """Session -> cohort dimension from ``{cohort_id}/{season_id}.json`` match files (S6), as ``session_dimension``
+    has it. A match file that cannot be parsed is left out; ``load_rejected`` with ``MATCH_SCHEMA`` lists it."""
+    raw = read_json_arrays(spark, path, MATCH_SCHEMA).withColumns(session_keys())
+    return session_dimension(accepted(raw), cohort_names)
 
 
 def missing_sessions(manifest: DataFrame, landed: DataFrame, key: str) -> DataFrame:

@@ -196,6 +196,7 @@ def test_fits_share_one_copy_and_release_it(spark, emb):
     before = store.getPersistentRDDs().size()
     scaled, _ = scaling.standardise(emb, "embedding")
     with clustering.fitting(scaled.select("vec_id", "features"), "vec_id", 4) as data:
-        clustering.kmeans_sweep(data, (3, 4, 5))
+        for k in (3, 4, 5):
+            clustering.fit_kmeans(data, k)
         assert store.getPersistentRDDs().size() == before + 1
     assert store.getPersistentRDDs().size() == before
