@@ -32,7 +32,7 @@ def test_each_operator_is_registered_once(llm):  # noqa: F811
     import __spark_entry__ as entry
 
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
 
