@@ -28,7 +28,7 @@ from .presets import PRESETS
 from .sources.json_sources import explode_segments, flatten_events, json_input, load_sessions, session_dimension, session_keys
 from .sources.schemas import EVENT_SCHEMA, LINEUP_SCHEMA, MATCH_SCHEMA
 from .sources.sinks import write_parquet
-from .streaming import land_events, land_lineups
+from .streaming import entity_profiles, land, read_entities, read_landed, update_entities
 
 NAMES_SCHEMA = "competition_id long, season_id long, competition_name string"
 GLOBAL_REPORTS = ("sweep", "train_profile", "gmm_profile", "test_profile", "profile_drift", "cross_tab", "model_compare", "most_blended", "cohort_intensity", "spot_check")
@@ -75,7 +75,9 @@ def _parser() -> argparse.ArgumentParser:
     three.add_argument("--model", required=True, help="folder of the model: OUT/model of a global run")
     three.add_argument("--cohorts", nargs="*", help="competition:season pairs (default: all matches)")
 
-    commands.add_parser("land", parents=[everywhere], help="JSON to Parquet, incremental")
+    four = commands.add_parser("land", parents=[everywhere], help="JSON to Parquet, incremental")
+    four.add_argument("--entities", action="store_true", help="keep the totals and features of all players up to date, too")
+    four.add_argument("--end-mode", choices=["reference", "exact"], default="reference")
     return ap
 
 
@@ -108,7 +110,7 @@ def _rejects(bad: DataFrame, what: str, out: str) -> None:
 
 def _inputs(spark, args, data, out, stack) -> tuple[DataFrame, DataFrame]:
     if args.parquet:
-        return spark.read.parquet(f"{data}/events"), spark.read.parquet(f"{data}/lineups")
+        return read_landed(spark, f"{data}/events"), read_landed(spark, f"{data}/lineups")
     tables = []
     for what, schema, flat in (("events", EVENT_SCHEMA, flatten_events), ("lineups", LINEUP_SCHEMA, explode_segments)):
         rows, bad = stack.enter_context(json_input(spark, f"{data}/{what}/*.json", schema, flat))
@@ -175,9 +177,12 @@ def _families(args, out, events, segments) -> None:
 
 def _land(spark, args, data, out) -> None:
     sessions = load_sessions(spark, args.matches) if args.matches else None
-    for what, land in (("events", land_events), ("lineups", land_lineups)):
-        done = land(spark, f"{data}/{what}", f"{out}/{what}", f"{out}/_checkpoints/{what}", sessions=sessions)
+    for what, done in land(spark, data, out, sessions).items():
         print(f"{what}: {done.records} records landed, {done.rejected} rejected")
+    if args.entities:
+        done = update_entities(spark, out, args.end_mode)
+        print(f"entities: {done.sessions} sessions changed, {done.players} players rebuilt, {done.parts} parts written")
+        write_parquet(entity_profiles(read_entities(spark, out)), f"{out}/player_features")
 
 
 if __name__ == "__main__":

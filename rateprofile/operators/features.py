@@ -153,14 +153,21 @@ def entity_features(
         expo = entity_exposure(exposure, keys, exposure_col, exposure_out, sessions_out, carry)
     joined = expo.join(totals, keys, "inner").filter(F.col(exposure_out) >= min_exposure)
 
+    head = [*keys, *carry] + ([label_out] if label_col else []) + [exposure_out, sessions_out]
+    return rates(joined, head, outputs, exposure_out, per, fill)
+
+
+def rates(
+    totals: DataFrame, head: Sequence[str], outputs: Sequence[Rate | Ratio], exposure_col: str, per: float = 90.0, fill: float | None = 0.0
+) -> DataFrame:
+    """``head`` columns with the rates and ratios of an entity's totals."""
     metrics = []
     for o in outputs:
         if isinstance(o, Rate):
-            metrics.append(per_exposure(o.counter, exposure_out, per).alias(o.name))
+            metrics.append(per_exposure(o.counter, exposure_col, per).alias(o.name))
         else:
             metrics.append(safe_ratio(o.numerator, o.denominator).alias(o.name))
-    head = [*keys, *carry] + ([label_out] if label_col else []) + [exposure_out, sessions_out]
-    out = joined.select(*head, *metrics)
+    out = totals.select(*head, *metrics)
     if fill is not None:
         out = out.na.fill(float(fill), subset=[o.name for o in outputs])
     return out

@@ -15,13 +15,13 @@ from ..operators import counts, exposure, features
 CLOCK_MAXIMA = ("last_minute", "last_second", "last_clock")
 
 
-def player_match_summary(events: DataFrame, **counter_args) -> DataFrame:
-    """One row per (match, player), NULL players included: ``total_events``, the 17 counters and the
+def player_match_summary(events: DataFrame, keys: Sequence[str] = ("match_id", "player_id"), **counter_args) -> DataFrame:
+    """One row per (match, player), or per ``keys``, NULL players included: ``total_events``, the 17 counters and the
     maxima of the clock. One pass over the events serves counters, session ends and intensity."""
     clock = F.col("minute") + F.col("second") / 60.0
     aggs = [F.count_if(p).alias(name) for name, p in event_counters(**counter_args).items()]
     maxima = [F.max(c).alias(name) for name, c in zip(CLOCK_MAXIMA, (F.col("minute"), F.col("second"), clock))]
-    return events.groupBy("match_id", "player_id").agg(F.count(F.lit(1)).alias("total_events"), *aggs, *maxima)
+    return events.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_events"), *aggs, *maxima)
 
 
 def match_ends(events: DataFrame, end_mode: str, summarised: bool) -> DataFrame:
