@@ -11,18 +11,22 @@ cohort intensity measures ``error`` events.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import LabelRule, label_family, minutes_to_clock, clock_to_minutes, safe_ratio
 from ..functions.predicates import event_counters
-from ..operators import assess, clustering, counts, exposure, families, features, scaling, sweep
+from ..operators import assess, clustering, counts, deliveries, exposure, families, features, scaling, sweep
 from ..operators.features import Rate, Ratio
 from ..plans.family_profiles import SAMPLE_N as FAMILY_SAMPLE_N
 from ..plans.family_profiles import SEED, family_cross_tab, family_samples, features_used
 from ..plans.global_profiles import K_RANGE, cluster_and_assess
 from ..session import cut_lineage
-from .common import finish, table
+from ..sources.bucketed import write_bucketed
+from ..sources.published import publish, read_published
+from .common import finish, shared_folder, table
 from .em import FIT_PARTITIONS
 from .kmeans_sql import chosen_sql, grid_sql, kmeans_sql
 
@@ -39,6 +43,7 @@ EV_FAMILY_RULES = (
     LabelRule("BROWSE", contains=("click", "view")),
 )
 EV_OVERRIDES = {"BROWSE": 3}
+EV_BUCKETS = 8
 # --- end of fixed values ---------------------------------------------------------------
 
 EV_OUTPUTS = [
@@ -194,6 +199,66 @@ def q_session_entity_counts(spark, sf_dir):
     return ev_counts(ev_events(spark, sf_dir))
 
 
+def _bucketed(spark, df, key):
+    path = f"{shared_folder(spark)}/bucketed-{uuid.uuid4().hex}"
+    return write_bucketed(df, path, [key], EV_BUCKETS)
+
+
+def bucketed_exposure(spark, sf_dir):
+    """Exposure from segments and session ends that are both landed bucketed on the session (J1, J2): no shuffle."""
+    ev = ev_events(spark, sf_dir)
+    segments, clocks = _bucketed(spark, ev_segments(ev), "day"), _bucketed(spark, ev.select("day", "minute", "second"), "day")
+    return exposure.exposure(segments, "day", "user_id", ends=ev_session_end(clocks))
+
+
+def q_bucketed_exposure(spark, sf_dir):
+    return finish(bucketed_exposure(spark, sf_dir))
+
+
+def bucketed_features(spark, sf_dir):
+    """Features from session counts and exposure that are both landed bucketed on the entity (J4, J5): no shuffle."""
+    summary = ev_summary(ev_events(spark, sf_dir))
+    cnt, expo = _bucketed(spark, summary_counts(summary), "user_id"), _bucketed(spark, summary_exposure(summary), "user_id")
+    return features.entity_features(
+        cnt, expo, "user_id", EV_OUTPUTS, min_exposure=MIN_EXPOSURE, label_out="label", exposure_out="exposure_min", sessions_out="days_seen"
+    )
+
+
+def q_bucketed_features(spark, sf_dir):
+    return finish(bucketed_features(spark, sf_dir))
+
+
+def q_last_delivery(spark, sf_dir):
+    """Every day is delivered once, even days a second time with other values, and days divisible by three once more, late,
+    with an older stamp; the rows of the last delivery count."""
+    ev = ev_events(spark, sf_dir).select("event_id", "day", "user_id", "value")
+    day = F.dayofmonth(F.to_date("day"))
+    copies = [(1, 2, F.lit(True), F.lit(0.0)), (2, 3, day % 2 == 0, F.lit(1.0)), (3, 1, day % 3 == 0, F.lit(5.0))]
+    rows_ = None
+    for delivery, stamp, has, plus in copies:
+        part = ev.filter(has).withColumns({"value": F.col("value") + plus, "delivery": F.lit(delivery), "stamp": F.lit(stamp)})
+        rows_ = part if rows_ is None else rows_.unionByName(part)
+    files = rows_.select("day", "delivery", "stamp").distinct()
+    current = deliveries.current_rows(rows_, deliveries.last_deliveries(files, "day", ["stamp"]), ["day", "delivery"])
+    return finish(current.groupBy("day").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value_sum"), F.max("delivery").cast("long").alias("delivery")))
+
+
+def q_incremental_totals(spark, sf_dir):
+    """A4 - A6 kept up to date: the days before the split are merged first, then the others as a second batch, from whose
+    partial aggregates only the users who occur in it are rebuilt; published in parts, and read back."""
+    ev = _split(ev_events(spark, sf_dir))
+    summary = cut_lineage(ev.groupBy("split", "day", "user_id").agg(F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("value_sum"), F.max("minute").alias("last_minute")))
+    build = lambda partials: deliveries.merged_partials(partials, ["user_id"], ["n_events", "value_sum"], ["last_minute"])
+    path = f"{shared_folder(spark)}/totals-{uuid.uuid4().hex}"
+    part = F.pmod(F.col("user_id"), F.lit(8)).cast("string")
+    publish(build(summary.filter("split = 'A'")).withColumn("part", part).withColumnRenamed("part", "bucket"), path, "bucket")
+    touched = summary.filter("split = 'B' and user_id % 3 <> 0").select("user_id").distinct()
+    rebuilt = build(summary.join(touched, "user_id", "left_semi")).withColumn("bucket", part)
+    parts = [r["bucket"] for r in rebuilt.select("bucket").distinct().collect()]
+    publish(deliveries.refresh(read_published(spark, path, rebuilt.schema, parts), touched, rebuilt, ["user_id"]), path, "bucket", parts)
+    return finish(read_published(spark, path).drop("bucket"))
+
+
 def q_entity_totals(spark, sf_dir):
     cnt = ev_counts(ev_events(spark, sf_dir))
     cols = ["total_events", *EVENT_TYPES, "high_value", "high_value_purchase"]
@@ -610,6 +675,16 @@ assigned as materialized (select split, user_id, cast(c as integer) as cluster_k
 
 
 ORACLE = {
+    "last_delivery": f"""
+with {_EV_CTES},
+d as (select day, day(cast(day as date)) % 2 = 0 as again, count(*) as n, sum(value) as v from e group by day)
+select day, n, round(v + case when again then n else 0 end, 6) as value_sum, cast(case when again then 2 else 1 end as bigint) as delivery from d""",
+    "incremental_totals": f"""
+with {_EV_CTES},
+s as (select *, day < '{SPLIT_DATE}' as first from e),
+t as (select distinct user_id from s where not first and user_id % 3 <> 0)
+select user_id, count(*) as n_events, round(sum(value), 6) as value_sum, cast(max(mi) as integer) as last_minute
+from s where first or user_id in (select user_id from t) group by user_id""",
     "family_clusters": _family_kmeans_sql() + "select * from assigned",
     "family_choice": _family_kmeans_sql() + "select * from choice",
     "family_sweep": _family_kmeans_sql() + "select family, k, round(training_cost, 6) as training_cost, round(silhouette, 6) as silhouette from swept",
@@ -697,6 +772,9 @@ select family, count(*) as n from ff group by family""",
     "family_standardise": _family_standardise_sql(),
 }
 
+ORACLE["bucketed_exposure"] = ORACLE["exposure_with_role"]
+ORACLE["bucketed_features"] = ORACLE["entity_features"]
+
 QUERIES = {
     "entity_features": q_entity_features,
     "clock_parse": q_clock_parse,
@@ -717,6 +795,10 @@ QUERIES = {
     "family_sizes": q_family_sizes,
     "family_standardise": q_family_standardise,
     "family_clusters": q_family_clusters,
+    "last_delivery": q_last_delivery,
+    "incremental_totals": q_incremental_totals,
+    "bucketed_exposure": q_bucketed_exposure,
+    "bucketed_features": q_bucketed_features,
     "family_choice": q_family_choice,
     "family_sweep": q_family_sweep,
     "family_report": q_family_report,

@@ -1,3 +1,4 @@
+from .bucketed import open_bucketed, write_bucketed
 from .json_sources import (
     accepted,
     explode_path,
@@ -16,6 +17,7 @@ from .json_sources import (
     session_dimension,
     session_keys,
 )
+from .published import parts_of, publish, read_published
 from .sinks import drop_vectors, write_parquet
 
 __all__ = [
@@ -31,10 +33,15 @@ __all__ = [
     "load_rejected",
     "load_sessions",
     "missing_sessions",
+    "open_bucketed",
     "optional_field",
+    "parts_of",
     "path_key",
+    "publish",
+    "read_published",
     "rejected",
     "session_dimension",
     "session_keys",
+    "write_bucketed",
     "write_parquet",
 ]
