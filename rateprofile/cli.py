@@ -56,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     fits.add_argument("--end-mode", choices=["reference", "exact"], default="reference")
     fits.add_argument("--exposure-mode", choices=["span", "sum_segments"], default="span")
     fits.add_argument("--seed", type=int, default=SEED)
+    fits.add_argument("--published", action="store_true", help="entity tables behind a manifest: readers never see half a write")
 
     one = commands.add_parser("global", parents=[everywhere, reads, fits], help="pipeline L1")
     one.add_argument("--preset", choices=sorted(PRESETS), help="cohorts, their names, train and test lists and k, unless given")
@@ -65,6 +66,7 @@ def _parser() -> argparse.ArgumentParser:
     one.add_argument("--k-range", type=int, nargs=2, metavar=("FIRST", "LAST"), default=(K_RANGE[0], K_RANGE[-1]))
     one.add_argument("--names", help="CSV with header: competition_id,season_id,competition_name, shown in the reports")
     one.add_argument("--per-period-denominator", action="store_true", help="intensity per cohort and year over the minutes of that year")
+    one.add_argument("--model-name", default="model", help="folder under OUT for the fitted model; it must not hold one already")
     one.add_argument("--fit-partitions", type=int, help="partitions of the mixture's input (its fit depends on them)")
 
     two = commands.add_parser("families", parents=[everywhere, reads, fits], help="pipeline L2")
@@ -150,8 +152,8 @@ def _global(spark, args, data, out, stack, events, segments) -> None:
         exposure_mode=args.exposure_mode,
         per_period_denominator=args.per_period_denominator,
     )
-    write_global_outputs(res, out)
-    save_model(res["model"], f"{out}/model")
+    write_global_outputs(res, out, args.published)
+    save_model(res["model"], f"{out}/{args.model_name}")
     for name in GLOBAL_REPORTS:
         write_parquet(res[name], f"{out}/report/{name}")
 
@@ -170,7 +172,7 @@ def _families(args, out, events, segments) -> None:
         end_mode=args.end_mode,
         exposure_mode=args.exposure_mode,
     )
-    write_family_outputs(res, out)
+    write_family_outputs(res, out, args.published)
     for name in FAMILY_REPORTS:
         write_parquet(res[name], f"{out}/report/{name}")
 

@@ -60,12 +60,50 @@ def safe_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
 
 
 # --- P12: any-substring match --------------------------------------------------
+#: More substrings than this are matched by one pattern instead of a chain of ``contains``.
+CHAIN_SUBSTRINGS = 16
+
+
+def substring_pattern(substrings: Sequence[str]) -> str:
+    """A pattern found in a string exactly when the string holds one of ``substrings``: their prefix tree, so that
+    a position is tried along one path and not against every substring. What follows a whole substring is cut off."""
+    root: dict = {}
+    for s in sorted(set(substrings), key=len):
+        node = root
+        for c in s:
+            if node.get("") is not None:
+                break
+            node = node.setdefault(c, {})
+        else:
+            node.clear()
+            node[""] = {}
+
+    def escape(c: str) -> str:
+        return c if c.isalnum() and c.isascii() else f"\\x{{{ord(c):x}}}"
+
+    def branch(node: dict) -> str:
+        # chains of single children in a loop: a long substring is no deep recursion
+        out = []
+        while True:
+            if "" in node:
+                return "".join(out)
+            if len(node) > 1:
+                return "".join(out) + "(?:" + "|".join(escape(c) + branch(n) for c, n in sorted(node.items())) + ")"
+            ((c, node),) = node.items()
+            out.append(escape(c))
+
+    return branch(root)
+
+
 def contains_any(c: ColumnOrName, substrings: Sequence[str], ignore_case: bool = False) -> Column:
-    """True when the string contains any of ``substrings`` (case-sensitive by default)."""
+    """True when the string contains any of ``substrings`` (case-sensitive by default). Many substrings are one
+    expression: the pattern of their prefix tree."""
     if not substrings:
         return F.lit(False)
     target = F.lower(as_col(c)) if ignore_case else as_col(c)
     subs = [s.lower() for s in substrings] if ignore_case else list(substrings)
+    if len(subs) > CHAIN_SUBSTRINGS and "" not in subs:
+        return target.rlike(substring_pattern(subs))
     return reduce(lambda a, b: a | b, [target.contains(s) for s in subs])
 
 

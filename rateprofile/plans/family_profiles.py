@@ -18,6 +18,7 @@ from ..functions.columns import LabelRule, contains_any, label_family
 from ..functions.predicates import GENERAL_FEATURES, GOALKEEPER_FEATURES, MIN_EXPOSURE_MINUTES, POSITION_FAMILY_RULES
 from ..operators import families
 from ..session import cut_lineage
+from ..sources.published import publish
 from ..sources.sinks import write_parquet
 from .common import player_features, player_match_stats, player_minutes
 
@@ -115,6 +116,12 @@ def _own(column: str, feature_sets: Mapping[str, Sequence[str]], default_feature
     return F.when(fits, F.col(column)).alias(column)
 
 
-def write_family_outputs(results: dict[str, DataFrame], out_dir: str) -> None:
-    """One write, one folder per family."""
-    write_parquet(results["assignments"], f"{out_dir.rstrip('/')}/families", partition_by=("family",))
+def write_family_outputs(results: dict[str, DataFrame], out_dir: str, published: bool = False) -> None:
+    """One write, one folder per family. ``published``: behind a manifest (``sources.published``), so that readers never see
+    half a write, and the families of this run alone are replaced."""
+    path = f"{out_dir.rstrip('/')}/families"
+    if published:
+        ran = [r["family"] for r in results["sizes"].select("family").collect()]
+        publish(results["assignments"], path, "family", replace=ran)
+    else:
+        write_parquet(results["assignments"], path, partition_by=("family",))

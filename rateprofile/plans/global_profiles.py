@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import GENERAL_FEATURES, MIN_EXPOSURE_MINUTES
 from ..operators import assess, clustering, models, scaling, sweep
 from ..session import cut_lineage
+from ..sources.published import publish
 from ..sources.sinks import drop_vectors, write_parquet
 from .common import (
     CLOCK_MAXIMA,
@@ -214,7 +215,9 @@ def apply_profiles(model: models.ProfileModel, events: DataFrame, segments: Data
     return out
 
 
-def write_global_outputs(results: dict[str, DataFrame], out_dir: str) -> None:
-    """The train and test entity tables as Parquet (vectors dropped)."""
-    write_parquet(results["train_clusters"], f"{out_dir.rstrip('/')}/player_features_train")
-    write_parquet(results["test_clusters"], f"{out_dir.rstrip('/')}/player_features_test")
+def write_global_outputs(results: dict[str, DataFrame], out_dir: str, published: bool = False) -> None:
+    """The train and test entity tables as Parquet (vectors dropped). ``published``: behind a manifest
+    (``sources.published``): readers see the old tables until the new ones are whole."""
+    for name, table in (("train", results["train_clusters"]), ("test", results["test_clusters"])):
+        path = f"{out_dir.rstrip('/')}/player_features_{name}"
+        publish(table, path) if published else write_parquet(table, path)

@@ -15,9 +15,10 @@ from contextlib import contextmanager
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.columns import array_head
-from ..operators import assess, clustering, families, models, scaling, sweep
+from ..functions.columns import array_head, contains_any
+from ..operators import assess, clustering, families, labellings, models, scaling, sweep
 from ..session import cut_lineage
+from ..sources.published import publish, read_published
 from ..sources.sinks import drop_vectors, write_parquet
 from .common import finish, shared_folder, table
 from .kmeans_sql import chosen_sql, grid_sql, kmeans_sql
@@ -33,6 +34,9 @@ SEED = 42
 GUARD_FLOOR = 12
 #: Layout of the fits on the test tables (a parameter; the default suits larger tables).
 FIT_PARTITIONS = 8
+#: Substrings of the many-names check, and their number.
+MANY = 2000
+MANY_NAMES = tuple(f"{7 * i}-" if i % 2 == 0 else f"v{i}1" for i in range(MANY))
 # --- end of fixed values ---------------------------------------------------------------
 
 FEATS = [f"f{i}" for i in range(DIM)]
@@ -160,13 +164,17 @@ def q_k_sweep(spark, sf_dir):
     return finish(clustering.sweep_table(spark, rows, clustering.choose_k(rows)))
 
 
+def _scaled_once(spark, sf_dir):
+    """The scaled vectors, materialised: embeddings are read for the scaler and for this table."""
+    return cut_lineage(_scaled(spark, sf_dir)[0].select("vec_id", "label", "features"))
+
+
 def q_k_scores(spark, sf_dir):
     """The scoring half of the sweep (M2, M6) on given labellings, vec_id mod k: cost, silhouette, chosen k."""
-    scaled, _ = _scaled(spark, sf_dir)
-    rows = []
-    for k in SWEEP_KS:
-        labelled = scaled.withColumn("cluster", F.pmod("vec_id", F.lit(k)))
-        rows.append({"k": k, **clustering.score_labelling(labelled, "cluster")})
+    by_k = {str(k): F.pmod("vec_id", F.lit(k)) for k in SWEEP_KS}
+    scores = labellings.score_labellings(_scaled_once(spark, sf_dir), by_k)
+    rows = [{"k": int(r["labelling"]), "training_cost": r["training_cost"], "silhouette": r["silhouette"]} for r in scores.collect()]
+    rows.sort(key=lambda r: r["k"])
     return finish(clustering.sweep_table(spark, rows, clustering.choose_k(rows)))
 
 
@@ -183,12 +191,8 @@ def q_model_compare(spark, sf_dir):
 
 def q_label_compare(spark, sf_dir):
     """The comparison of two labellings by silhouette (M13): label, and vec_id mod K."""
-    scaled, _ = _scaled(spark, sf_dir)
-    rows = [
-        ("label", clustering.silhouette(scaled, "label")),
-        ("modulo", clustering.silhouette(scaled.withColumn("c", F.pmod("vec_id", F.lit(K))), "c")),
-    ]
-    return finish(spark.createDataFrame(rows, "model string, silhouette double"))
+    both = {"label": F.col("label"), "modulo": F.pmod("vec_id", F.lit(K))}
+    return finish(labellings.score_labellings(_scaled_once(spark, sf_dir), both).select(F.col("labelling").alias("model"), "silhouette"))
 
 
 def _transfer(spark, sf_dir):
@@ -265,6 +269,22 @@ def q_written_families(spark, sf_dir):
     return spark.read.parquet(path).select("vec_id", "family")
 
 
+def q_published_families(spark, sf_dir):
+    """S8 behind a manifest: all families are published, one is run again with its even ids alone, one is emptied, and
+    the table is read back."""
+    path = f"{shared_folder(spark)}/published-{uuid.uuid4().hex}"
+    all_ = _emb(spark, sf_dir).select("vec_id", F.concat(F.lit("L"), "label").alias("family"))
+    publish(all_, path, "family")
+    publish(all_.filter("family = 'L3' and vec_id % 2 = 0"), path, "family", replace=["L3", "L7"])
+    return read_published(spark, path)
+
+
+def q_spot_check_many(spark, sf_dir):
+    """P12 with as many substrings as there are labels and numbers: rows whose id, as text, holds one of them."""
+    text = _emb(spark, sf_dir).select("vec_id", F.concat(F.lit("v"), F.col("vec_id"), F.lit("-"), F.col("label")).alias("name"))
+    return text.filter(contains_any("name", MANY_NAMES)).select("vec_id", "name")
+
+
 # ------------------------------------------------------------------------- oracle SQL
 _LONG = """q as (select vec_id, label, generate_subscripts(embedding, 1) - 1 as pos,
                  unnest(embedding)::double as x from embeddings)"""
@@ -350,6 +370,12 @@ a as (select vec_id, label, cast(c as integer) as cluster from (select *, row_nu
 """
 
 ORACLE = {
+    "published_families": """
+select vec_id, 'L' || label as family from embeddings where label not in (3, 7) or (label = 3 and vec_id % 2 = 0)""",
+    "spot_check_many": f"""
+with t as (select vec_id, 'v' || vec_id || '-' || label as name from embeddings),
+n as (select range as i from range({MANY}))
+select distinct vec_id, name from t join n on contains(name, case when i % 2 = 0 then cast(7 * i as varchar) || '-' else 'v' || i || '1' end)""",
     "kmeans_assign": f"""
 with {_points_sql()},
 ks as (select '' as family, {K} as k),
@@ -433,4 +459,6 @@ QUERIES = {
     "override_guard": q_override_guard,
     "written_clusters": q_written_clusters,
     "written_families": q_written_families,
+    "published_families": q_published_families,
+    "spot_check_many": q_spot_check_many,
 }

@@ -16,6 +16,7 @@ from .json_sources import (
     rejected,
     session_dimension,
     session_keys,
+    variant_fields,
 )
 from .published import parts_of, publish, read_published
 from .sinks import drop_vectors, write_parquet
@@ -42,6 +43,7 @@ __all__ = [
     "rejected",
     "session_dimension",
     "session_keys",
+    "variant_fields",
     "write_bucketed",
     "write_parquet",
 ]

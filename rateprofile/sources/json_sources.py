@@ -85,6 +85,21 @@ def optional_field(df: DataFrame, path: str, dtype: DataType | str, alias: str |
     return F.col(path).alias(alias or path.split(".")[-1])
 
 
+def variant_fields(df: DataFrame, json_col: str, fields: dict[str, tuple[str, str]], keep: Sequence[str] = ()) -> DataFrame:
+    """Typed columns from JSON text whose shape varies from row to row (S3, S4): ``fields`` is name -> (path, type), paths
+    as ``$.a.b[0]``. The text is parsed once, into a variant; a path that a row does not have, or whose value there does not
+    fit the type, is NULL in that row, and so is everything of a text that is no JSON. The type
+    ``"shape"`` gives the type of the value as it is in that row."""
+    parsed = df.select(*keep, F.try_parse_json(F.col(json_col)).alias("_v"))
+
+    def field(path: str, dtype: str) -> Column:
+        if dtype != "shape":
+            return F.try_variant_get("_v", path, dtype)
+        return F.schema_of_variant(F.try_variant_get("_v", path, "variant"))
+
+    return parsed.select(*keep, *[field(path, dtype).alias(name) for name, (path, dtype) in fields.items()])
+
+
 def flatten(df: DataFrame, plain: Sequence[str] = ()) -> DataFrame:
     """Nested records -> flat columns (S3): every struct is walked down to its
     leaves, and a leaf is named by its path, joined with ``_``. The parts of a path listed in
