@@ -20,12 +20,13 @@ def table_name(prefix: str = "bucketed") -> str:
     return f"{prefix}_{uuid.uuid4().hex}"
 
 
-def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS, sort: Sequence[str] | None = None, name: str | None = None) -> DataFrame:
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS, sort: Sequence[str] | None = None, name: str | None = None, dealt: bool = False) -> DataFrame:
     """Write ``df`` to a new folder ``path``, one file per bucket of ``keys`` sorted by ``sort`` (default: the keys), and return
     it as a bucketed table. Rows are dealt to the buckets before they are written: a task writes whole buckets, not a
-    small file for each of them."""
+    small file for each of them. ``dealt``: they are already partitioned by the keys into ``buckets``."""
     name = name or table_name()
-    writer = df.repartition(buckets, *keys).write.format("parquet").option("path", path).bucketBy(buckets, *keys)
+    rows = df if dealt else df.repartition(buckets, *keys)
+    writer = rows.write.format("parquet").option("path", path).bucketBy(buckets, *keys)
     writer.sortBy(*(sort or keys)).saveAsTable(name)
     return df.sparkSession.table(name)
 
