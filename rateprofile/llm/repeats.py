@@ -1,10 +1,10 @@
 """Removal of byte strings that occur more than once, by bucket refinement of a
 sparse suffix array.
 
-Suffixes: only the suffixes at anchors are kept. An anchor is the position with
-the smallest q-gram bucket number among those of some window of ``length`` bytes (ties to the left), so
-every string of that length holds an anchor, and equal strings hold it at the same place:
-about one suffix per 80 bytes stands for all of them.
+Suffixes: only the suffixes at anchors are kept. The anchor of a window of ``length`` bytes is the position in it with
+the smallest q-gram bucket number (ties to the left); equal windows hold it at the same place. An anchor stands
+for the windows it is the anchor of, a run of neighbouring ones; their union is its context.
+About one suffix per 80 bytes stands for all of them.
 
 Buckets: the initial bucket of a position is its q-gram. A bucket number is a 64-bit hash of
 what it stands for, so numbers need no renumbering between tasks. Deeper
@@ -12,13 +12,14 @@ numbers come from pairs of earlier ones, (bucket of p, bucket of p + q), and the
 the next depth: q, 2q, 4q. Grouping by a number is the sort of that round.
 
 Rounds: (1) anchors alone in their q-gram bucket are done. (2) Buckets are refined by the numbers at all later
-(and earlier) offsets of the anchor's context, the union of all windows that hold it: where a context
-occurs again, each of its bytes is covered. (3) The contexts that occur once, but not alone in their
-q-gram bucket, are refined window by window with the others of the bucket, one of each kind: numbers of depth q, 2q, 4q up to the
-length, each from the last. A bucket is refined in one task while it is small. Beyond ``BUCKET_CONTEXTS`` it
-is split first: the range of its windows is halved, the core that all windows of a half share refines the
-bucket, and so on until a bucket is small or all its members cover the same bytes; then these occur again as a whole.
-All joins are on bucket numbers, with counts combined before the shuffle.
+(and earlier) offsets of the anchor's context: where a context occurs again, each of its bytes is covered.
+(3) One context of each kind is kept with its bytes, if some of its bucket occur once. Its windows are taken in stretches of
+``WIDTHS``[0], then those that stay open in stretches of ``WIDTHS``[1], and so on down to single windows. In each of these
+rounds the core that all windows of a stretch share refines the bucket: alone in it, none of the windows occurs again; if what
+the windows cover is the same in the whole bucket, all of them do; else the stretch stays open. Every bucket goes
+this way, whatever its size. Rounds move numbers and places, not bytes: the contexts are written once, in buckets of
+documents, and each round brings the open stretches to them. All joins are on bucket numbers with one row per number on the
+other side; numbers that hold more than a thousandth of the rows are dealt over ``SALTS`` parts.
 """
 
 from __future__ import annotations
@@ -30,12 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, slices, spread, text_bytes
+from ..sources.bucketed import write_bucketed
+from .common import materialise, mix64, new_path, slices, text_bytes
 
 LENGTH = 200
 GRAM = 40
-#: Buckets with up to this many different contexts are refined in one task, others by joins.
-BUCKET_CONTEXTS = 4096
+#: Windows in a stretch, round by round: each width a multiple of the next, the last 1.
+WIDTHS = (25, 5, 1)
+#: Contexts in a file of theirs.
+FILE_CONTEXTS = 50_000
+#: Parts over which the rows of a number are dealt that holds more than 1 / HOT of all rows (fewer than HOT numbers do).
+SALTS, HOT = 64, 1000
 _BASE = 0xD6E8FEB86659FD93
 
 
@@ -72,12 +78,13 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix64(a * np.uint64(0x9E3779B97F4A7C15) + mix64(b + np.uint64(0xA0761D6478BD642F)))
 
 
-def anchors(buckets: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """Positions (in the buffer) of the anchors of all texts."""
+def anchors(buckets: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions (in the buffer) of the anchors of all texts, with the first and the last of the windows they are the anchor of."""
     w = length - gram + 1
     n = len(buckets) - w + 1
+    none = np.zeros(0, np.int64)
     if n <= 0:
-        return np.zeros(0, np.int64)
+        return none, none, none
     bits = max(1, int(len(buckets)).bit_length())
     key = (buckets >> np.uint64(bits) << np.uint64(bits)) | np.arange(len(buckets), dtype=np.uint64)
     low, depth = key, 1
@@ -87,9 +94,11 @@ def anchors(buckets: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     low = np.minimum(low[:n], low[w - depth : w - depth + n])
     # windows that lie within one text
     text_of_end = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    inside = text_of_end[:n] == text_of_end[length - 1 : length - 1 + n]
-    at = (low[inside] & np.uint64((1 << bits) - 1)).astype(np.int64)
-    return np.unique(at) if len(at) else at
+    window = np.flatnonzero(text_of_end[:n] == text_of_end[length - 1 : length - 1 + n])
+    at = (low[window] & np.uint64((1 << bits) - 1)).astype(np.int64)
+    p, first, times = np.unique(at, return_index=True, return_counts=True)
+    # the windows with one smallest position are neighbours
+    return p, window[first], window[first + times - 1]
 
 
 def context_numbers(buckets: np.ndarray, lo: np.ndarray, hi: np.ndarray, before: np.ndarray, longest: int, gram: int) -> np.ndarray:
@@ -110,38 +119,33 @@ def _anchor_rows(length: int, gram: int):
             for i, j in slices(offsets):
                 off = offsets[i : j + 1] - offsets[i]
                 buckets = gram_buckets(data[offsets[i] : offsets[j]], gram)
-                p = anchors(buckets, off, length, gram)
+                p, lo, last = anchors(buckets, off, length, gram)
                 if not len(p):
                     continue
                 text = np.searchsorted(off, p, side="right") - 1
-                lo = np.maximum(p - (length - gram), off[text])
-                hi = np.minimum(p + length, off[text + 1])
+                hi = last + length
                 c = context_numbers(buckets, lo, hi, p - lo, 2 * length - gram, gram)
                 rows = pa.array(text + i)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(buckets[p].view(np.int64)), pa.array(c.view(np.int64)), keys.take(rows), checks.take(rows), pa.array((p - off[text]).astype(np.int32))],
-                    names=["bucket", "context", "key", "check", "pos"],
-                )
+                places = [pa.array((x - off[text]).astype(np.int32)) for x in (p, lo, hi)]
+                yield pa.RecordBatch.from_arrays([pa.array(buckets[p].view(np.int64)), pa.array(c.view(np.int64)), keys.take(rows), checks.take(rows), *places], names=["bucket", "context", "key", "check", "pos", "lo", "hi"])
 
     return run
 
 
-def _contexts(length: int, gram: int):
-    """Documents with the positions of their single contexts -> the bytes of these."""
+def _contexts():
+    """Documents with the places of contexts -> these with their bytes."""
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             raw = data.tobytes()
-            out: dict[str, list] = {c: [] for c in ("bucket", "key", "check", "pos", "before", "bytes", "single", "a", "b")}
+            out: dict[str, list] = {c: [] for c in ("bucket", "key", "check", "pos", "before", "bytes", "single")}
             for i, marks in enumerate(batch.column("marks").to_pylist()):
-                a, b = int(offsets[i]), int(offsets[i + 1])
+                a, key, check = int(offsets[i]), batch.column("key")[i].as_py(), batch.column("check")[i].as_py()
                 for m in marks:
-                    p = a + m["pos"]
-                    lo, hi = max(a, p - (length - gram)), min(b, p + length)
-                    for c, v in zip(out, (m["bucket"], batch.column("key")[i].as_py(), batch.column("check")[i].as_py(), m["pos"], p - lo, raw[lo:hi], m["single"], 0, length - gram)):
+                    for c, v in zip(out, (m["bucket"], key, check, m["pos"], m["pos"] - m["lo"], raw[a + m["lo"] : a + m["hi"]], m["single"])):
                         out[c].append(v)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
 
     return run
@@ -163,44 +167,47 @@ def _string_numbers(buckets: np.ndarray, at: np.ndarray, size: np.ndarray, most:
     return number
 
 
-def _halves(length: int, gram: int):
-    """Contexts of large buckets -> a row per half of the range a .. b of their windows' distances from the
-    anchor. What all windows of a half have in common, its core, refines the bucket; ``span`` is the number of
-    all that they cover, to which the bytes are cut."""
+def _stretches(length: int, gram: int, width: int, within: int):
+    """Contexts -> a row per stretch of ``width`` windows, a .. b their distances from the anchor (as far as the context
+    has them). Stretches lie on a grid within those of ``within``: the whole range in the first round, then the
+    ``open`` ones. ``number``: the bucket refined by the core that all windows of the stretch share; ``span``: the number of
+    all that they cover."""
+    names = ["number", "span", "key", "check", "pos", "a", "b", "single"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            buckets, start, size, anchor = _joined(batch, gram)
-            raw = text_bytes(batch.column("bytes"))[0].tobytes()
-            first, last = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("a", "b"))
-            mid = (first + last) // 2
-            row = np.tile(np.arange(len(start)), 2)
-            a, b = np.concatenate((first, mid + 1)), np.concatenate((mid, last))
-            before = (anchor - start)[row]
-            some = np.maximum(a, length - (size[row] - before)) <= np.minimum(b, before)
-            row, a, b = row[some], a[some], b[some]
-            at, end = anchor[row], (start + size)[row]
-            core = _string_numbers(buckets, at - a, length - (b - a), length, gram)
-            lo, hi = np.maximum(at - b, start[row]), np.minimum(at - a + length, end)
-            span = _pair(_string_numbers(buckets, lo, hi - lo, 2 * length, gram), (at - lo).astype(np.uint64))
-            own = batch.column("bucket").to_numpy(zero_copy_only=False).view(np.uint64)[row]
-            refined = _pair(_pair(own, core), (a * 100_003 + b).astype(np.uint64))
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(refined.view(np.int64)),
-                    *(batch.column(c).take(take) for c in ("key", "check", "pos")),
-                    pa.array((at - lo).astype(np.int32)),
-                    pa.array([raw[x:y] for x, y in zip(lo.tolist(), hi.tolist())], pa.binary()),
-                    batch.column("single").take(take),
-                    pa.array(a.astype(np.int32)),
-                    pa.array(b.astype(np.int32)),
-                    pa.array(span.view(np.int64)),
-                ],
-                names=["bucket", "key", "check", "pos", "before", "bytes", "single", "a", "b", "span"],
-            )
+            _, off = text_bytes(batch.column("bytes"))
+            for i, j in slices(off):
+                yield stretch(batch.slice(i, j - i))
+
+    def stretch(batch: pa.RecordBatch) -> pa.RecordBatch:
+        buckets, start, size, anchor = _joined(batch, gram)
+        before = anchor - start
+        if "open" in batch.schema.names:
+            lists = batch.column("open")
+            row = np.repeat(np.arange(len(start)), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+            outer = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64) // within * within
+        else:
+            row, outer = np.arange(len(start)), np.zeros(len(start), np.int64)
+        steps = -(-within // width)
+        row, a = np.repeat(row, steps), np.repeat(outer, steps) + np.tile(np.arange(steps) * width, len(outer))
+        # the last stretch of an outer one, or of all windows, is shorter
+        b = np.minimum(np.minimum(a + width - 1, a // within * within + within - 1), length - gram)
+        first, last = np.maximum(a, length - (size[row] - before[row])), np.minimum(b, before[row])
+        some = first <= last
+        row, a, b, first, last = row[some], a[some], b[some], first[some], last[some]
+        at = anchor[row]
+        core = _string_numbers(buckets, at - a, length - (b - a), length, gram)
+        span = _string_numbers(buckets, at - last, length + last - first, 2 * length, gram)
+        span = _pair(span, (first * 100_003 + last).astype(np.uint64))
+        own = batch.column("bucket").to_numpy(zero_copy_only=False).view(np.uint64)[row]
+        number = _pair(_pair(own, core), (a * 100_003 + b).astype(np.uint64))
+        take = pa.array(row)
+        columns = [batch.column(c).take(take) for c in ("key", "check", "pos")]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(number.view(np.int64)), pa.array(span.view(np.int64)), *columns, pa.array(first.astype(np.int16)), pa.array(last.astype(np.int16)), batch.column("single").take(take)],
+            names=names,
+        )
 
     return run
 
@@ -231,71 +238,20 @@ def _cut():
     return run
 
 
-def _bucket_runs(length: int, gram: int, most: int = 4096):
-    """Round 3: contexts in order of their buckets -> runs of repeated windows. Whole buckets are refined
-    together, about ``most`` contexts at a time."""
-
-    def refine(batch: pa.RecordBatch) -> pa.RecordBatch:
-        buckets, start, size, anchor = _joined(batch, gram)
-        before = anchor - start
-        # bucket numbers of twice the depth from those of the last round, up to the length
-        number, depth = buckets, gram
-        while depth * 2 <= length:
-            number = _pair(number[: len(number) - depth], number[depth:])
-            depth *= 2
-        if depth < length:
-            number = _pair(number[: len(number) - (length - depth)], number[length - depth :])
-        first, last = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("a", "b"))
-        low, high = np.maximum(first, length - (size - before)), np.minimum(last, before)
-        counts = np.maximum(high - low + 1, 0)
-        row = np.repeat(np.arange(len(start)), counts)
-        d = spread(low, counts)
-        own = batch.column("bucket").to_numpy(zero_copy_only=False).view(np.uint64)
-        # equal windows at the same distance from the anchor of one bucket
-        key = _pair(number[anchor[row] - d], _pair(own[row], d.astype(np.uint64)))
-        order = np.argsort(key)
-        equal = key[order[1:]] == key[order[:-1]]
-        again = np.zeros(len(key), bool)
-        again[order[1:][equal]] = True
-        again[order[:-1][equal]] = True
-        again &= batch.column("single").to_numpy(zero_copy_only=False).astype(bool)[row]
-        # neighbouring windows of a context as one run
-        follows = np.concatenate(([False], again[:-1] & (row[1:] == row[:-1]))) if len(row) else again
-        first = np.flatnonzero(again & ~follows)
-        leads = np.concatenate((again[1:] & (row[1:] == row[:-1]), [False])) if len(row) else again
-        last = np.flatnonzero(again & ~leads)
-        pos = batch.column("pos").to_numpy(zero_copy_only=False).astype(np.int64)
-        take = pa.array(row[first])
-        return pa.RecordBatch.from_arrays(
-            [batch.column("key").take(take), batch.column("check").take(take), pa.array(pos[row[first]] - d[last]), pa.array(pos[row[first]] - d[first] + length)],
-            names=["key", "check", "lo", "hi"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) < most:
-                continue
-            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            own = whole.column("bucket").to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero(np.diff(own)) + 1
-            at = 0
-            # the last bucket may go on in the next batch
-            while len(edges) and edges[-1] > at:
-                upto = edges[edges > at]
-                cut = upto[max(0, int(np.searchsorted(upto, at + most, side="right")) - 1)]
-                yield refine(whole.slice(at, cut - at))
-                at = int(cut)
-            held = [whole.slice(at)]
-        if sum(b.num_rows for b in held):
-            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            yield refine(whole)
-
-    return run
+def _matched(rows: DataFrame, groups: DataFrame, keys: list[str], row_id: list[str]) -> DataFrame:
+    """``rows`` that have their group in ``groups`` (one row per key, with its number of rows ``n``), with the other columns of
+    it. A group with more than 1 / HOT of all rows is dealt over SALTS parts; there are fewer than HOT of these, known to every task."""
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    heavy = F.col("n") * HOT > total
+    hot = F.broadcast(groups.filter(heavy).select(*keys, F.lit(True).alias("hot")))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(*row_id), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    left = rows.join(hot, keys, "left").withColumn("salt", salt).drop("hot")
+    parts = F.when(heavy, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    right = groups.withColumn("salt", F.explode(parts)).drop("n")
+    return left.join(right, [*keys, "salt"]).drop("salt")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, bucket_contexts: int = BUCKET_CONTEXTS) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """One row per document: ``id_col``, ``n_bytes``, ``spans`` (maximal runs of bytes covered by a
     string of ``length`` bytes that starts anywhere else too), ``kept`` (the other bytes).
 
@@ -311,50 +267,53 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     at = ["key", "check"]
     long_enough = base.filter(F.octet_length("text") >= length).select(*at, "text")
-    suffixes = long_enough.mapInArrow(_anchor_rows(length, gram), "bucket long, context long, key long, check long, pos int")
+    suffixes = long_enough.mapInArrow(_anchor_rows(length, gram), "bucket long, context long, key long, check long, pos int, lo int, hi int")
     # round 1: buckets with more than one anchor
-    again = suffixes.groupBy("bucket").agg(F.count("*").alias("n"), F.min("context").alias("c0"), F.max("context").alias("c1")).filter("n > 1")
-    shared = materialise(suffixes.join(again.select("bucket", (F.col("c0") == F.col("c1")).alias("same")), "bucket"), "shared-anchors")
+    per_bucket = suffixes.groupBy("bucket").agg(F.count("*").alias("n"), (F.min("context") == F.max("context")).alias("same"))
+    again = materialise(per_bucket.filter("n > 1"), "buckets")
+    shared = materialise(_matched(suffixes, again, ["bucket"], [*at, "pos"]), "shared-anchors")
     # round 2: contexts that occur again
     mixed = shared.filter("not same")
-    counted = materialise(mixed.groupBy("bucket", "context").agg(F.count("*").alias("n"), F.min(F.struct(*at, "pos")).alias("one")), "contexts")
-    repeated = counted.filter("n > 1").select("bucket", "context")
-    whole = shared.filter("same").unionByName(mixed.join(repeated, ["bucket", "context"], "left_semi"))
-    whole = whole.select(*at, F.greatest(F.col("pos") - (length - gram), F.lit(0)).cast("long").alias("lo"), (F.col("pos") + length).cast("long").alias("hi"))
-    # one context of each kind in the buckets where some occur once: their bytes, at every size taken from the texts once
-    sizes = counted.groupBy("bucket").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("least = 1")
-    wanted = "bucket long, key long, check long, pos int, before int, bytes binary, single boolean, a int, b int"
-    kinds = counted.join(sizes.select("bucket"), "bucket", "left_semi")
-    rows = materialise(_marked(base, kinds, at).mapInArrow(_contexts(length, gram), wanted), "contexts")
-    # round 3: windows of whole buckets; large ones are halved until they are small, or all the same
-    runs = whole
-    large = materialise(sizes.filter(F.col("kinds") > bucket_contexts).select("bucket", F.lit(True).alias("any"), F.lit(False).alias("same")), "large-buckets")
-    while not large.isEmpty():
-        runs = runs.unionByName(_small_runs(rows.join(large, "bucket", "left_anti"), length, gram))
-        # shared by all: everything that the windows cover occurs again
-        full = rows.join(large.filter("any and same").select("bucket"), "bucket", "left_semi").filter("single")
-        lo = F.col("pos") - F.col("before")
-        runs = runs.unionByName(full.select(*at, lo.cast("long").alias("lo"), (lo + F.octet_length("bytes")).cast("long").alias("hi")))
-        rows = rows.join(large.filter("any and not same").select("bucket"), "bucket", "left_semi").drop("span")
-        rows = materialise(rows.mapInArrow(_halves(length, gram), f"{wanted}, span long"), "halves")
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.max("single").alias("any"), (F.min("span") == F.max("span")).alias("same"))
-        large = materialise(sizes.filter(F.col("n") > bucket_contexts).select("bucket", "any", "same"), "large-buckets")
-    runs = runs.unionByName(_small_runs(rows, length, gram))
+    counted = materialise(mixed.groupBy("bucket", "context").agg(F.count("*").alias("n"), F.min(F.struct(*at, "pos", "lo", "hi")).alias("one")), "contexts")
+    repeated = materialise(counted.filter("n > 1").select("bucket", "context", "n"), "repeated-contexts")
+    whole = shared.filter("same").select(*at, "lo", "hi").unionByName(_matched(mixed, repeated, ["bucket", "context"], [*at, "pos"]).select(*at, "lo", "hi"))
+    runs = whole.select(*at, F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"))
+    # round 3: one context of each kind, in the buckets where some occur once, taken from the texts once
+    kinds = counted.join(counted.filter("n = 1").select("bucket").distinct(), "bucket", "left_semi")
+    n = kinds.count()
+    if n:
+        files = max(8, -(-n // FILE_CONTEXTS))
+        contexts = _written_contexts(base, kinds, at, files)
+        within, open_ = length - gram + 1, None
+        for width in widths:
+            found, open_ = _round(contexts, open_, at, files, length, gram, width, within)
+            runs, within = runs.unionByName(found), width
     runs = runs.groupBy(*at).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
-    clipped = F.transform("runs", lambda r: F.struct(r["lo"].alias("lo"), F.least(r["hi"], F.octet_length("text").cast("long")).alias("hi")))
-    done = base.join(runs, at, "left").withColumn("runs", clipped)
+    done = base.join(runs, at, "left")
     out = done.mapInArrow(_cut(), "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     return out.select(F.col("id").alias(id_col), "n_bytes", "spans", "kept")
 
 
-def _marked(base: DataFrame, kinds: DataFrame, at: list[str]) -> DataFrame:
-    """The documents that hold one of the contexts, with their places."""
-    mark = F.struct("one.pos", "bucket", (F.col("n") == 1).alias("single")).alias("m")
+def _written_contexts(base: DataFrame, kinds: DataFrame, at: list[str], files: int) -> DataFrame:
+    """The contexts with their bytes, dealt by document into the files of a bucketed table."""
+    mark = F.struct("one.pos", "one.lo", "one.hi", "bucket", (F.col("n") == 1).alias("single")).alias("m")
     marks = kinds.select("one.key", "one.check", mark).groupBy(*at).agg(F.collect_list("m").alias("marks"))
-    return base.join(marks, at)
-
-
-def _small_runs(contexts: DataFrame, length: int, gram: int) -> DataFrame:
-    """Runs of repeated windows; each bucket is in one task."""
-    whole = contexts.drop("span").repartition("bucket").sortWithinPartitions("bucket")
-    return whole.mapInArrow(_bucket_runs(length, gram), "key long, check long, lo long, hi long")
+    both = base.repartition(files, *at).join(marks.repartition(files, *at), at).select(*at, "text", "marks")
+    rows = both.mapInArrow(_contexts(), "bucket long, key long, check long, pos int, before int, bytes binary, single boolean")
+    return write_bucketed(rows, new_path(base.sparkSession, "contexts"), at, files, [*at, "pos"], dealt=True)
+
+
+def _round(contexts: DataFrame, open_: DataFrame | None, at: list[str], files: int, length: int, gram: int, width: int, within: int) -> tuple[DataFrame, DataFrame]:
+    """(runs of windows that occur again, the stretches that stay open) of one round; ``open_``: those of the round before."""
+    if open_ is not None:
+        # the open stretches come to the contexts, whose bytes stay where they are
+        marks = open_.groupBy(*at, "pos").agg(F.collect_list("a").alias("open"))
+        contexts = contexts.join(marks.repartition(files, *at), [*at, "pos"])
+    rows = contexts.mapInArrow(_stretches(length, gram, width, within), "number long, span long, key long, check long, pos int, a short, b short, single boolean")
+    groups = rows.groupBy("number").agg(F.count("*").alias("n"), (F.min("span") == F.max("span")).alias("same"), F.max("single").alias("any"))
+    # alone: does not occur again; without a single context among them: nothing to find out
+    groups = materialise(groups.filter("n > 1 and any").drop("any"), "stretches")
+    found = materialise(_matched(rows, groups, ["number"], [*at, "pos"]).drop("number", "span"), "found")
+    place = F.col("pos").cast("long")
+    runs = found.filter("same and single").select(*at, (place - F.col("b")).alias("lo"), (place - F.col("a") + length).alias("hi"))
+    return runs, found.filter("not same").select(*at, "pos", "a")

@@ -266,7 +266,8 @@ def test_repeats_random(llm):
         assert sum(len(x[2]) for x in expected) > 10
         assert multiset(repeats_of(df, length=length, gram=gram)) == multiset(expected)
         # all buckets as large ones
-        assert multiset(repeats_of(df, length=length, gram=gram, bucket_contexts=1)) == multiset(expected)
+        for widths in ((1,), (4, 2, 1), (9, 3, 1)):
+            assert multiset(repeats_of(df, length=length, gram=gram, widths=widths)) == multiset(expected)
 
 
 # ---- language ID
