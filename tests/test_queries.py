@@ -71,3 +71,13 @@ def test_query_matches_oracle(spark, duck, name):
 def test_model_queries_shape(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     assert df.count() > 0 and df.filter(" or ".join(f"{c} is null" for c in df.columns)).count() == 0
+
+
+def test_entry_without_a_package_of_the_training_data_queries(monkeypatch):
+    import sys
+
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("rateprofile.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    assert entry._training_data() == ({}, {})
+    assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(ORACLE)
