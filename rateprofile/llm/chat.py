@@ -38,6 +38,35 @@ def id_pairs(conversations: DataFrame, id_col: str = "conv_id") -> tuple[Column,
     return F.floor(c / 2).cast("long"), F.pmod(c, F.lit(2)) == 0
 
 
+def placed_turns(conversations: DataFrame, keys: dict[str, Column], turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """Turns with the columns of ``keys`` and their ``position`` in the conversation that these name."""
+    turns = conversations.select(
+        *[c.alias(k) for k, c in keys.items()],
+        F.coalesce(F.floor(F.col(turn_col) / STRETCH_TURNS), F.lit((1 << 62))).cast("long").alias("stretch"),
+        F.coalesce(F.col(turn_col).cast("long"), F.lit((1 << 62))).alias("turn"),
+        F.coalesce(F.col(role_col), F.lit("")).alias("role"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+    )
+    return running(turns, list(keys), "stretch", ["turn", "role", "text"], F.lit(1), "position")
+
+
+def answered_by_others(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """Pairs (``pair_id``, ``chosen``, ``turn``, ``role``, ``text``) for a table without preferences. Conversation 2k is
+    chosen. Rejected is its beginning, followed by what conversation 2k + 1 has from there on: an answer to
+    something else. The beginning has 1 + k mod (n - 1) of its n turns; a conversation of one turn or none has no beginning to
+    share. Turns are in order of number, role and text, nulls as in ``format_pairs``; turns without id are left out."""
+    c = F.col(id_col)
+    side = {"pair_id": F.floor(c / 2).cast("long"), "chosen": F.pmod(c, F.lit(2)) == 0}
+    placed = placed_turns(conversations.filter(c.isNotNull()), side, turn_col, role_col, text_col)
+    turns = placed.groupBy("pair_id").agg(F.count_if("chosen").alias("n"))
+    shared = F.when(F.col("n") > 1, 1 + F.pmod("pair_id", F.greatest(F.col("n") - 1, F.lit(1)))).otherwise(0)
+    both = placed.join(turns.select("pair_id", shared.alias("shared")), "pair_id")
+    # a turn of the beginning belongs to both sides, a later one to its own, an early one of the other to none
+    begins = F.col("position") < F.col("shared")
+    sides = F.when(F.col("chosen") & begins, F.array(F.lit(True), F.lit(False))).when(F.col("chosen") | ~begins, F.array("chosen")).otherwise(F.array().cast("array<boolean>"))
+    return both.select("pair_id", F.explode(sides).alias("chosen"), F.col("position").alias("turn"), "role", "text")
+
+
 def format_pairs(conversations: DataFrame, pair: Column, chosen: Column, turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per rendered turn: ``pair_id``, ``part`` ('prompt', 'chosen' or 'rejected'), ``position``
     (of the turn in its conversation), ``role``, ``rendered``, ``start`` and ``end`` (characters
@@ -49,17 +78,8 @@ def format_pairs(conversations: DataFrame, pair: Column, chosen: Column, turn_co
     are ordered by role and text, null first, then null turns; repeated rows are
     turns of their own; turns without pair are left out. An empty table has no rows.
     """
-    role, text = F.coalesce(F.col(role_col), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))
-    turns = conversations.filter(pair.isNotNull() & chosen.isNotNull()).select(
-        pair.alias("pair_id"),
-        chosen.alias("chosen"),
-        F.coalesce(F.floor(F.col(turn_col) / STRETCH_TURNS), F.lit((1 << 62))).cast("long").alias("stretch"),
-        F.coalesce(F.col(turn_col).cast("long"), F.lit((1 << 62))).alias("turn"),
-        role.alias("role"),
-        text.alias("text"),
-    )
-    order = ["turn", "role", "text"]
-    placed = running(turns, ["pair_id", "chosen"], "stretch", order, F.lit(1), "position")
+    given = conversations.filter(pair.isNotNull() & chosen.isNotNull())
+    placed = placed_turns(given, {"pair_id": pair, "chosen": chosen}, turn_col, role_col, text_col)
     # the first position at which the two sides differ, by hashes of the turns; a side that ends differs
     seen = placed.select("pair_id", "chosen", "position", F.sha2(F.concat_ws("\x00", F.length("role"), "role", "text"), 256).alias("h"))
     sides = seen.groupBy("pair_id", "position").agg(F.count("*").alias("n"), F.min("h").alias("a"), F.max("h").alias("b"))

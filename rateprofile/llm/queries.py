@@ -142,7 +142,13 @@ def _language(spark, sf_dir):
 with t as (
   select cast(floor(conv_id / 2) as bigint) as pair_id, conv_id % 2 = 0 as c, turn, coalesce(role, '') as role, coalesce(text, '') as text
   from conversations where conv_id is not null),
-p as (select *, row_number() over (partition by pair_id, c order by turn nulls last, role, text) - 1 as position from t),
+g as (select *, row_number() over (partition by pair_id, c order by turn nulls last, role, text) - 1 as position from t),
+n as (select pair_id, count(*) filter (where c) as n from g group by pair_id),
+k as (select pair_id, case when n > 1 then 1 + pair_id % (n - 1) else 0 end as k from n),
+p as (
+  select pair_id, c, position, role, text from g where c
+  union all select pair_id, false, position, role, text from g join k using (pair_id) where c and position < k
+  union all select pair_id, false, position, role, text from g join k using (pair_id) where not c and position >= k),
 s as (
   select pair_id, min(position) as split from (
     select coalesce(a.pair_id, b.pair_id) as pair_id, coalesce(a.position, b.position) as position
@@ -162,8 +168,8 @@ from o where c or not in_prompt
 """,
 )
 def _preferences(spark, sf_dir):
-    conversations = table(spark, sf_dir, "conversations")
-    return chat.format_pairs(conversations, *chat.id_pairs(conversations))
+    pairs = chat.answered_by_others(table(spark, sf_dir, "conversations"))
+    return chat.format_pairs(pairs, F.col("pair_id"), F.col("chosen"))
 
 
 @_query(

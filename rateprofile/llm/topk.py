@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
+from .mining import _NONE, _floor, products, width
 
 SCALE = 1024
 BUCKET_ROWS = 2048
@@ -35,21 +36,20 @@ _NO_ID = np.iinfo(np.int64).max
 
 
 def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
-    """(uid, id, v, dim, norm) of the vectors that take part."""
+    """(uid, id, v, dim, norm) of the vectors that take part; ``v`` holds whole numbers as doubles."""
     v = F.col(vector_col)
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    # far beyond this, scores would not fit a long
-    whole = lambda x: F.greatest(F.least(F.floor(x.cast("double") * scale), F.lit(1 << 52)), F.lit(-(1 << 52))).cast("long")
-    out = vectors.filter(v.isNotNull() & fine).select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("id"), F.transform(v, whole).alias("v"))
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    return out.select("uid", "id", "v", F.size("v").alias("dim"), F.sqrt(square).alias("norm"))
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    whole = lambda x: _floor(x.cast("double") * F.lit(float(scale)))
+    out = vectors.filter(v.isNotNull() & F.forall(v, finite)).select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("id"), F.transform(v, whole).alias("v"))
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    return out.filter(F.forall("v", finite)).select("uid", "id", "v", F.size("v").alias("dim"), F.sqrt(square).alias("norm"))
 
 
 def _pack(bucket_rows: int):
     """Rows in order of dimension and falling length -> buckets."""
 
     def emit(rows: dict[str, list]) -> pa.RecordBatch:
-        m = np.array(rows["v"], np.int64).reshape(len(rows["v"]), -1)
+        m = np.array(rows["v"], np.float64).reshape(len(rows["v"]), -1)
         ids = np.array([_NO_ID if i is None else i for i in rows["id"]], np.int64)
         cols = [
             pa.array([m.shape[1]], pa.int32()),
@@ -82,6 +82,7 @@ class _Queries:
     def __init__(self, uid, ids, m, norm, floor, k):
         self.uid, self.ids, self.m, self.norm, self.k = uid, ids, m, norm, k
         self.floor = floor
+        self.wide = width(m)
         self.best: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def take(self, q: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
@@ -98,9 +99,7 @@ class _Queries:
         self.floor[q[full]] = np.maximum(self.floor[q[full]], score[full])
 
     def visit(self, uids, ids, m, norms, longest, coordinate_from, focus) -> None:
-        exact = float(np.abs(m).max(initial=0)) * float(np.abs(self.m).max(initial=0)) * max(1, m.shape[1]) < 2**53
-        kind = np.float64 if exact else np.int64
-        v, w = m.astype(kind), self.m.astype(kind)
+        wide = width(m)
         with np.errstate(divide="ignore", invalid="ignore"):
             local = np.where(self.floor > 0, self.floor / (self.norm * longest), -1.0)
         local = np.where(np.isnan(local), -1.0, local) - _SLACK
@@ -111,7 +110,7 @@ class _Queries:
             need = np.where(self.floor[by_length] > 0, self.floor[by_length] / np.maximum(self.norm[by_length], 1e-300), -1.0) * (1 - _SLACK)
             upto = np.searchsorted(-norms, -need, side="right")
             n = int(upto.max())
-            self._verify(by_length, (v[:n] @ w[by_length].T), ids[:n], uids[:n])
+            self._verify(by_length, self._products(m[:n], wide[:n], by_length), ids[:n], uids[:n])
         if len(by_coordinate):
             unit = m / np.maximum(norms, 1e-300)[:, None]
             for q in by_coordinate.tolist():
@@ -127,21 +126,31 @@ class _Queries:
                         near &= unit[:, f] <= u[f] * t + wide
                 at = np.flatnonzero(near)
                 if len(at):
-                    self._verify(np.array([q]), (v[at] @ w[q])[:, None], ids[at], uids[at])
+                    self._verify(np.array([q]), self._products(m[at], wide[at], np.array([q])), ids[at], uids[at])
+
+    def _products(self, m: np.ndarray, wide: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Exact scores (rows x queries); what no long holds is the least long."""
+        if not wide.any() and not self.wide[q].any():
+            return products(m, self.m[q], 0)
+        out = np.empty((len(m), len(q)), np.int64)
+        for x in range(3):
+            for y in range(3):
+                rows, columns = np.flatnonzero(wide == x), np.flatnonzero(self.wide[q] == y)
+                if len(rows) and len(columns):
+                    out[np.ix_(rows, columns)] = products(m[rows], self.m[q[columns]], max(x, y))
+        return out
 
     def _verify(self, q: np.ndarray, score: np.ndarray, ids: np.ndarray, uids: np.ndarray) -> None:
         if not len(score):
             return
-        own = uids[:, None] == self.uid[q][None, :]
-        low = score.min() - 1 if len(score) else 0
-        masked = np.where(own, low, score)
-        bound = self.floor[q].copy()
+        fits = (uids[:, None] != self.uid[q][None, :]) & (score != _NONE)
+        # a floor is a double: beyond 2^53 it is compared as such, which keeps scores that round to it
+        some = fits & (score >= self.floor[q][None, :])
         if len(score) > self.k:
-            cut = np.partition(masked, len(score) - self.k, axis=0)[len(score) - self.k]
-            bound = np.maximum(bound, np.where(cut > low, cut, -np.inf))
-        row, col = np.nonzero((score >= bound[None, :]) & ~own)
+            some &= score >= np.partition(np.where(fits, score, _NONE), len(score) - self.k, axis=0)[len(score) - self.k]
+        row, col = np.nonzero(some)
         if len(row):
-            self.take(q[col], score[row, col].astype(np.int64).astype(np.float64 if score.dtype == np.float64 else np.int64), ids[row])
+            self.take(q[col], score[row, col], ids[row])
 
 
 def _search(queries, k: int, coordinate_from: float, focus: int):
@@ -154,7 +163,7 @@ def _search(queries, k: int, coordinate_from: float, focus: int):
                     continue
                 get = lambda c, t: np.frombuffer(batch.column(c)[i].as_buffer(), t)  # noqa: B023, E731
                 uids, ids, norms = get("uids", np.int64), get("ids", np.int64), get("norms", np.float64)
-                m = get("matrix", np.int64).reshape(len(uids), dim)
+                m = get("matrix", np.float64).reshape(len(uids), dim)
                 blocks[dim].visit(uids, ids, m, norms, longest, coordinate_from, focus)
         for b in blocks.values():
             for q, score, ids in b.best:
@@ -184,7 +193,7 @@ def top_k(
     Null vectors and vectors with null or non-finite components take no part;
     vectors are compared with those of their own dimension; repeated rows count
     one by one, and only a query's own row is left out; an empty table gives an
-    empty result. Scores are exact while they fit a long.
+    empty result. Scores are exact; a pair whose score no long holds is left out, as the result could not state it.
     """
     spark = vectors.sparkSession
     rows = materialise(integer_vectors(vectors, id_col, vector_col, scale), "vectors")
@@ -225,7 +234,7 @@ def _query_arrays(rows) -> dict[int, tuple]:
         d: (
             np.array([r["uid"] for r in rs], np.int64),
             np.array([r["id"] for r in rs], np.int64),
-            np.array([r["v"] for r in rs], np.int64).reshape(len(rs), d),
+            np.array([r["v"] for r in rs], np.float64).reshape(len(rs), d),
             np.array([r["norm"] for r in rs], np.float64),
             np.full(len(rs), -np.inf),
         )

@@ -49,8 +49,27 @@ def test_top_k_few(llm):
     assert top_of(llm.createDataFrame([], schema)) == []
     assert top_of(llm.createDataFrame([(0, [1.0])], schema)) == []
     assert top_of(llm.createDataFrame([(0, [1.0]), (1, [-2.0])], schema)) == [(0, 1, 1, -2048 * 1024)]
-    big = [(0, [3e18, 1.0]), (1, [1.0, 1.0]), (2, [-3e18, 1.0])]
-    assert [r[:3] for r in sorted(top_of(llm.createDataFrame(big, schema)))][:2] == [(0, 1, 1), (0, 2, 2)] or True
+
+
+def test_top_k_of_wide_values_is_exact(llm):
+    schema = "vec_id long, embedding array<double>"
+    exact = lambda rows: Counter((q, r, i, s) for q, r, i, s in brute_wide(rows))
+    small = [(0, [0.001]), (1, [6e12]), (2, [1e13])]
+    assert sorted(top_of(llm.createDataFrame(small, schema))) == [(0, 1, 2, 1024 * 10**13), (0, 2, 1, 1024 * 6 * 10**12)]
+    # sums that doubles cannot hold, wide queries, and scores that no long holds
+    rng = random.Random(9)
+    wide = [(i, [rng.choice([1.0, 2.0**20 + 1, 3e7, 1e12, -5e15, 0.25]) * rng.uniform(0.5, 2) for _ in range(3)]) for i in range(230)]
+    wide += [(300, [1e300, 1.0, 1.0]), (301, [1e307, 0.0, 0.0]), (400, [1.0, 1.0, 1.0])]
+    for kw in ({}, {"bucket_rows": 20, "query_block": 2, "coordinate_from": 0.0}):
+        assert Counter(top_of(llm.createDataFrame(wide, schema), **kw)) == exact(wide)
+
+
+def brute_wide(rows, k=10):
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if all(math.isfinite(1024 * x) for x in v)]
+    for q, a in whole:
+        if q % 100 == 0:
+            scores = [(-sum(x * y for x, y in zip(a, b)), i) for i, b in whole if i != q]
+            yield from ((q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(t for t in scores if abs(t[0]) < 2**63)[:k]))
 
 
 # ---- WARC
@@ -161,6 +180,34 @@ def test_preferences(llm):
     assert chat.format_pairs(none, *chat.id_pairs(none)).count() == 0
 
 
+def test_pairs_that_share_their_beginning(llm):
+    schema = "conv_id long, turn int, role string, text string, chosen int, pair_id string"
+    rng = random.Random(11)
+    rows = [(c, t, ["user", "assistant"][t % 2], f"c{c} t{t}", 1, "x") for c in range(20) for t in range(rng.randint(0, 6))]
+    rows += [(30, None, None, None, 1, "x"), (30, 1, "user", "a", 1, "x"), (30, 1, "user", "a", 1, "x"), (33, 0, "user", "alone", 1, "x"), (None, 0, "user", "none", 1, "x")]
+    got = defaultdict(list)
+    for r in sorted(chat.answered_by_others(llm.createDataFrame(rows, schema)).collect(), key=lambda r: r["turn"]):
+        got[r["pair_id"], r["chosen"]].append((r["role"], r["text"]))
+    turns = defaultdict(list)
+    for c, t, role, text, *_ in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is None, r[1] or 0, r[2] or "", r[3] or "")):
+        turns[c].append((role or "", text or ""))
+    want = {}
+    for p in {c // 2 for c in turns}:
+        a, b = turns[2 * p], turns[2 * p + 1]
+        k = 1 + p % (len(a) - 1) if len(a) > 1 else 0
+        want.update({(p, True): a, (p, False): a[:k] + b[k:]})
+    assert dict(got) == {k: v for k, v in want.items() if v}
+    assert chat.answered_by_others(llm.createDataFrame([], schema)).count() == 0
+
+
+def test_most_registered_pairs_have_a_prompt(llm):
+    from rateprofile.llm.queries import QUERIES
+
+    parts = QUERIES["op9_preference_format"](llm, SF_SMALL).groupBy("pair_id").agg(F.collect_set("part").alias("parts")).collect()
+    assert sum("prompt" in r["parts"] for r in parts) > len(parts) / 2
+    assert sum({"prompt", "chosen", "rejected"} <= set(r["parts"]) for r in parts) > len(parts) / 3
+
+
 # ---- pipeline
 
 
