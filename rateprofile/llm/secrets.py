@@ -8,7 +8,11 @@ split at the fences, and the lengths of the parts are summed up.
 Entropy: for each character class, runs of its characters are candidates. A
 window slides over a candidate; per step one count goes up and one goes down,
 and the sum of n log2 n is changed by these two counts only. Windows at or above
-the entropy of the class make a span, unless the allow-list suppresses it.
+the entropy of the class make spans, those that overlap or touch one span together.
+
+Allow-list: a stretch of letters and digits that holds a marker word (an example, a ruler) is no part of any
+candidate, what stands beside it, behind a separator, still is; a candidate that is a word, a number or the
+like as a whole makes no span. Runs shorter than the window of their class are no candidates.
 """
 
 from __future__ import annotations
@@ -48,16 +52,24 @@ class CharClass:
 
 CLASSES = (CharClass("hex", "0-9A-Fa-f", 24, 3.0), CharClass("base64", "A-Za-z0-9+/_=-", 24, 3.9))
 
-#: Candidates that are no secrets however mixed their characters are: words,
-#: numbers, UUIDs, rulers and alphabets, marked examples.
+#: Candidates that are no secrets as a whole: words, numbers, UUIDs, rulers.
 ALLOW = (
     r"^[A-Za-z]+$",
     r"^[0-9]+$",
     r"^[A-Za-z]+([-_/=][A-Za-z]+)*[-_/=]*$",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"(?i)example|placeholder|changeme|0123456789|abcdefghij",
     r"^[-_=+/]+$",
 )
+#: What marks the letters and digits around it as no secret.
+MARKERS = r"example|placeholder|changeme|0123456789|abcdefghij"
+_MARKED = rf"(?i)(?<![A-Za-z0-9])[A-Za-z0-9]*?(?:{MARKERS})[A-Za-z0-9]*"
+
+
+def _without_marked(text: Column) -> Column:
+    """The text with a character of no class in place of every character of a marked stretch."""
+    fenced = F.regexp_replace(F.translate(text, _FENCE, _OTHER), _MARKED, f"{_FENCE}$0{_FENCE}")
+    parts = F.transform(F.split(fenced, _FENCE, -1), lambda x, i: F.when(i % 2 == 1, F.repeat(F.lit(_OTHER), F.length(x))).otherwise(x))
+    return F.when(text.rlike(f"(?i){MARKERS}"), F.array_join(parts, "")).otherwise(text)
 
 
 def _found(text: Column, pattern: str, keep) -> Column:
@@ -82,8 +94,8 @@ def _allowed(value: Column, allow: tuple[str, ...]) -> Column:
 
 
 def window_entropy(value: Column, window: int, bits: float) -> Column:
-    """struct(first, last): end positions (from 1) of the first and the last window
-    of ``value`` (ASCII) with an entropy of ``bits`` or more; 0, 0 without one."""
+    """Array of struct(first, last): end positions (from 1) of the first and the last window of each stretch of
+    overlapping or touching windows of ``value`` (ASCII) with an entropy of ``bits`` or more."""
     nlogn = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(window + 1)])
     f = lambda n: F.element_at(nlogn, (n + 1).cast("int"))
 
@@ -96,16 +108,20 @@ def window_entropy(value: Column, window: int, bits: float) -> Column:
             had = F.element_at(acc["counts"], incoming + 1) - F.when(incoming == outgoing, 1).otherwise(0)
             total = acc["total"] - less + f(had + 1) - f(had)
             hot = (i >= window) & (F.lit(math.log2(window)) - total / window >= F.lit(bits - 1e-9))
+            apart = hot & (acc["last"] > 0) & (i - window > acc["last"])
             counts = F.transform(acc["counts"], lambda n, k: n + F.when(k == incoming, 1).otherwise(0) - F.when(k == outgoing, 1).otherwise(0))
             return F.struct(
                 counts.alias("counts"),
                 total.alias("total"),
-                F.when(hot & (acc["first"] == 0), i).otherwise(acc["first"]).alias("first"),
+                F.when(apart | hot & (acc["first"] == 0), i).otherwise(acc["first"]).alias("first"),
                 F.when(hot, i).otherwise(acc["last"]).alias("last"),
+                F.when(apart, F.concat(acc["done"], stretch(acc))).otherwise(acc["done"]).alias("done"),
             )
 
-        zero = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("total"), F.lit(0).alias("first"), F.lit(0).alias("last"))
-        return F.aggregate(F.sequence(F.lit(1), F.size(codes)), zero, step, lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
+        stretch = lambda acc: F.array(F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
+        none = F.array().cast("array<struct<first:int,last:int>>")
+        zero = F.struct(F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("total"), F.lit(0).alias("first"), F.lit(0).alias("last"), none.alias("done"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(codes)), zero, step, lambda acc: F.when(acc["last"] > 0, F.concat(acc["done"], stretch(acc))).otherwise(none))
 
     codes = F.transform(F.split(value, "", F.length(value)), lambda c: F.ascii(c))
     # bound as a lambda variable, so that the codes are made once per candidate
@@ -125,9 +141,8 @@ def _pattern_spans(text: Column, order: int, kind: str, pattern: str, group: int
 
 def _entropy_spans(text: Column, order: int, c: CharClass, allow: tuple[str, ...]) -> Column:
     found = _found(text, f"[{c.chars}]{{{c.window},}}", lambda v: ~_allowed(v, allow))
-    hot = F.transform(found, lambda x: F.struct(x["start"].alias("start"), window_entropy(x["value"], c.window, c.bits).alias("w")))
-    hot = F.filter(hot, lambda x: x["w"]["first"] > 0)
-    return F.transform(hot, lambda x: _span(x["start"] + x["w"]["first"] - c.window, x["start"] + x["w"]["last"], order, f"entropy_{c.name}"))
+    place = lambda x, w: _span(x["start"] + w["first"] - c.window, x["start"] + w["last"], order, f"entropy_{c.name}")
+    return F.flatten(F.transform(found, lambda x: F.transform(window_entropy(x["value"], c.window, c.bits), lambda w: place(x, w))))
 
 
 def scan(docs: DataFrame, text_col: str = "text", classes: tuple[CharClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW) -> DataFrame:
@@ -136,13 +151,14 @@ def scan(docs: DataFrame, text_col: str = "text", classes: tuple[CharClass, ...]
     by start and kind. Kinds: those of ``KINDS``, then one ``entropy_<class>`` per class.
 
     Null is an empty text and has no spans; repeated rows are scanned one by one.
-    A candidate that the allow-list matches adds no entropy span; pattern spans
+    What the allow-list matches adds no entropy span; pattern spans
     always stay. Work grows linearly with a text, but for the spans found in it.
     """
     out = docs.select(whole_row(docs))
     text = F.coalesce(F.col(f"row.{text_col}"), F.lit(""))
     lists = [_pattern_spans(text, order, *k) for order, k in enumerate(KINDS)]
-    lists += [_entropy_spans(text, order, c, allow) for order, c in enumerate(classes, len(KINDS))]
+    plain = _without_marked(text)
+    lists += [_entropy_spans(plain, order, c, allow) for order, c in enumerate(classes, len(KINDS))]
     return out.withColumn("spans", F.array_sort(F.concat(*lists)))
 
 
