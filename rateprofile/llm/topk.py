@@ -99,7 +99,7 @@ class _Queries:
         self.floor[q[full]] = np.maximum(self.floor[q[full]], score[full])
 
     def visit(self, uids, ids, m, norms, longest, coordinate_from, focus) -> None:
-        wide = width(m)
+        widths = width(m)
         with np.errstate(divide="ignore", invalid="ignore"):
             local = np.where(self.floor > 0, self.floor / (self.norm * longest), -1.0)
         local = np.where(np.isnan(local), -1.0, local) - _SLACK
@@ -110,7 +110,7 @@ class _Queries:
             need = np.where(self.floor[by_length] > 0, self.floor[by_length] / np.maximum(self.norm[by_length], 1e-300), -1.0) * (1 - _SLACK)
             upto = np.searchsorted(-norms, -need, side="right")
             n = int(upto.max())
-            self._verify(by_length, self._products(m[:n], wide[:n], by_length), ids[:n], uids[:n])
+            self._verify(by_length, self._products(m[:n], widths[:n], by_length), ids[:n], uids[:n])
         if len(by_coordinate):
             unit = m / np.maximum(norms, 1e-300)[:, None]
             for q in by_coordinate.tolist():
@@ -126,7 +126,7 @@ class _Queries:
                         near &= unit[:, f] <= u[f] * t + wide
                 at = np.flatnonzero(near)
                 if len(at):
-                    self._verify(np.array([q]), self._products(m[at], wide[at], np.array([q])), ids[at], uids[at])
+                    self._verify(np.array([q]), self._products(m[at], widths[at], np.array([q])), ids[at], uids[at])
 
     def _products(self, m: np.ndarray, wide: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Exact scores (rows x queries); what no long holds is the least long."""
