@@ -240,13 +240,14 @@ def _cut():
 
 def _matched(rows: DataFrame, groups: DataFrame, keys: list[str], row_id: list[str]) -> DataFrame:
     """``rows`` that have their group in ``groups`` (one row per key, with its number of rows ``n``), with the other columns of
-    it. A group with more than 1 / HOT of all rows is dealt over SALTS parts; there are fewer than HOT of these, known to every task."""
+    it. A group with more than 1 / HOT of all rows is dealt over SALTS parts; there are fewer than HOT of these, listed in the plan."""
     total = groups.agg(F.sum("n")).first()[0] or 0
-    heavy = F.col("n") * HOT > total
-    hot = F.broadcast(groups.filter(heavy).select(*keys, F.lit(True).alias("hot")))
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(*row_id), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
-    left = rows.join(hot, keys, "left").withColumn("salt", salt).drop("hot")
-    parts = F.when(heavy, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    hot = [r[0] for r in groups.filter(F.col("n") * HOT > total).select(F.xxhash64(*keys)).distinct().collect()]
+    if not hot:
+        return rows.join(groups.drop("n"), keys)
+    heavy, none = F.xxhash64(*keys).isin(hot), F.lit(0).cast("long")
+    left = rows.withColumn("salt", F.when(heavy, F.pmod(F.xxhash64(*row_id), F.lit(SALTS))).otherwise(none))
+    parts = F.when(heavy, F.sequence(none, F.lit(SALTS - 1).cast("long"))).otherwise(F.array(none))
     right = groups.withColumn("salt", F.explode(parts)).drop("n")
     return left.join(right, [*keys, "salt"]).drop("salt")
 
@@ -279,8 +280,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     whole = shared.filter("same").select(*at, "lo", "hi").unionByName(_matched(mixed, repeated, ["bucket", "context"], [*at, "pos"]).select(*at, "lo", "hi"))
     runs = whole.select(*at, F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"))
     # round 3: one context of each kind, in the buckets where some occur once, taken from the texts once
-    kinds = counted.join(counted.filter("n = 1").select("bucket").distinct(), "bucket", "left_semi")
-    n = kinds.count()
+    some = materialise(counted.groupBy("bucket").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("least = 1"), "kinds")
+    kinds = _matched(counted, some.select("bucket", F.col("kinds").alias("n")), ["bucket"], ["context"])
+    n = int(some.agg(F.sum("kinds")).first()[0] or 0)
     if n:
         files = max(8, -(-n // FILE_CONTEXTS))
         contexts = _written_contexts(base, kinds, at, files)
