@@ -294,10 +294,12 @@ def assign(df: DataFrame, fits: Sequence[Fit], features_col: str = "features", f
         return df.withColumn(cluster_out, F.lit(None).cast("int"))
     vector = isinstance(df.schema[features_col].dataType, VectorUDT)
     x = on_grid(vector_to_array(F.col(features_col)) if vector else F.col(features_col).cast("array<double>"), grid)
+    # without families the one fit is found by the length of the vectors: a join needs a key
+    key = lambda t: t.family if family_col else str(t.centres.shape[1])
     table = df.sparkSession.createDataFrame(
-        [(t.family, [(c, [float(v) for v in row]) for c, row in enumerate(t.centres)]) for t in fits], "_family string, _centres array<struct<c:int,v:array<double>>>"
+        [(key(t), [(c, [float(v) for v in row]) for c, row in enumerate(t.centres)]) for t in fits], "_family string, _centres array<struct<c:int,v:array<double>>>"
     )
-    family = F.col(family_col).cast("string") if family_col else F.lit("")
+    family = F.col(family_col).cast("string") if family_col else F.size(x).cast("string")
     distance = lambda v: F.aggregate(F.zip_with("_x", v, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, e: s + e)
     nearest = F.array_min(F.transform("_centres", lambda c: F.struct(distance(c["v"]).alias("d"), c["c"].alias("c"))))
     # model state: as many numbers as the fits have
