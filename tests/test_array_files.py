@@ -34,7 +34,7 @@ def test_records_at_any_split(spark, scratch, small_splits, indent):
         with open(f"{scratch}/{name}.json", "w") as f:
             json.dump(data, f, indent=indent, ensure_ascii=bool(n % 2))
         want += [(f"{name}.json", json.dumps(x, sort_keys=True)) for x in data]
-    for size in (17, 100, 1000, 1 << 20):
+    for size in (60, 1000, 1 << 20):
         small_splits(size)
         got = [(os.path.basename(r.file), json.dumps(json.loads(r.record), sort_keys=True)) for r in array_records(spark, f"{scratch}/*.json").collect()]
         assert sorted(got) == sorted(want), size
