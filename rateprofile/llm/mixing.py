@@ -2,13 +2,15 @@
 
 The words of a source are packed into blocks of a fixed number of words (a
 document covers one or more blocks, in part or in whole). Output shards draw how many blocks they
-take from each source as multinomial counts; what a source is drawn beyond
-its quota is put back and what it lacks is spread evenly over the shards, so the mix meets
-its targets and repeats no block more than ``max_repeats`` times. The slots of
+take from each source as multinomial counts. All draws together are as many as all quotas, so
+what a source is drawn beyond its quota, evenly over its shards, goes one for one to the sources
+that were drawn too little: the mix meets its targets, repeats no block more than ``max_repeats``
+times, and each shard keeps the number of its slots. The slots of
 a source run through a keyed permutation of its block numbers, once per
 repetition (a swap-or-not shuffle: a bijection for any number of blocks), and
 slots and blocks are joined by (source, block number), which spreads a hot
-source over all partitions.
+source over all partitions. The last block that a source gives is cut to the words that its target still
+lacks: a source's taken words differ from its target by less than one word.
 """
 
 from __future__ import annotations
@@ -26,11 +28,13 @@ SEED = 20240229
 ROUNDS = 12
 #: Documents per stretch of the running word count of a source.
 STRETCH_DOCS = 1000
+#: Shards per stretch of the running count of a source's draws.
+STRETCH_SHARDS = 1000
 #: Slots that one task generates.
 TASK_SLOTS = 100_000
 #: Up to this many sources the per-source table is broadcast, else joined.
 BROADCAST_SOURCES = 20_000
-_CELLS = 2048
+_LEAST_CELLS = 2048
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -43,8 +47,8 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.size(words_of(F.coalesce(text, F.lit("")))), F.lit(0)).cast("long")
 
 
-def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(sid, source, source_size, target, n_blocks, quota) from (source, size) rows.
+def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
+    """(sid, source, source_size, target, n_blocks, quota, last_words) from (source, size) rows.
 
     Sources in code-point order, null last, take the weights in turn and share
     the sum of all sizes; a target stops at ``max_repeats`` times the size of its source, and the
@@ -52,6 +56,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     unit of weight, which is found by filling sources up in the order in which
     they reach their limit. One row per source: the windows here run over
     sums, not over documents.
+
+    ``quota`` blocks hold the target's words: whole repetitions of the source, then the first blocks
+    of a permutation of it. Of the last one only ``last_words`` are taken (null: all).
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
@@ -69,80 +76,122 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     open_ = F.when(F.col("level") <= F.col("full_at"), F.struct("place", "level"))
     leveled = lines.withColumn("final", F.min(open_).over(every)["level"])
     target = F.least(F.col("cap"), F.col("final") * F.col("weight"))
-    blocks = F.ceil(F.col("source_size") / F.lit(block_words)).cast("long")
-    quota = F.when(F.col("source_size") > 0, F.least(F.round(F.col("target") / F.col("source_size") * F.col("n_blocks")).cast("long"), F.col("n_blocks") * max_repeats)).otherwise(F.lit(0).cast("long"))
-    return leveled.withColumn("target", target).withColumn("n_blocks", blocks).withColumn("quota", quota).select("sid", "source", "source_size", "target", "n_blocks", "quota")
+    length = F.lit(block_words).cast("long")
+    blocks = F.ceil(F.col("source_size") / length).cast("long")
+    wanted = leveled.withColumn("target", target).filter("source_size > 0").withColumn("n_blocks", blocks)
+    wanted = wanted.withColumn("words", F.least(F.round("target").cast("long"), F.col("source_size") * max_repeats))
+    wanted = wanted.withColumn("round", F.floor(F.col("words") / F.col("source_size"))).withColumn("rest", F.pmod("words", "source_size"))
+    # the source's last block can be short: where it comes in the last repetition tells how many blocks hold the rest
+    wanted = wanted.withColumn("short_at", permuted(F.col("n_blocks") - 1, F.col("n_blocks"), ["sid", "round"], seed, inverse=True))
+    missing = F.col("n_blocks") * length - F.col("source_size")
+    held = lambda m: m * length - F.when(F.col("short_at") < m, missing).otherwise(0)
+    wanted = wanted.withColumn("m", F.ceil(F.col("rest") / length).cast("long"))
+    wanted = wanted.withColumn("m", F.when(held(F.col("m")) < F.col("rest"), F.col("m") + 1).otherwise(F.col("m")))
+    cut = F.when(F.col("rest") > 0, F.col("rest") - held(F.col("m") - 1))
+    quotas = wanted.select("sid", "n_blocks", (F.col("round") * F.col("n_blocks") + F.col("m")).alias("quota"), cut.alias("last_words"))
+    none = F.lit(0).cast("long")
+    out = leveled.withColumn("target", target).join(quotas, "sid", "left")
+    return out.select("sid", "source", "source_size", "target", F.coalesce("n_blocks", none).alias("n_blocks"), F.coalesce("quota", none).alias("quota"), "last_words")
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_SOURCES else df
 
 
+def running(rows: DataFrame, by: str, stretch: Column, order: str, value: str, name: str) -> DataFrame:
+    """``rows`` with ``name``, the sum of ``value`` over the rows before in the order of (stretch,
+    ``order``) among those of the same ``by``. Sums go over stretches, then within each: no window
+    holds more than the rows of a stretch or the stretches of a ``by``."""
+    rows = rows.withColumn("_stretch", stretch)
+    sums = rows.groupBy(by, "_stretch").agg(F.sum(value).alias("_n"))
+    up_to = Window.partitionBy(by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select(by, "_stretch", F.coalesce(F.sum("_n").over(up_to), F.lit(0)).alias("_base"))
+    within = Window.partitionBy(by, "_stretch").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = rows.withColumn("_inner", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    return counted.join(base, [by, "_stretch"]).withColumn(name, F.col("_base") + F.col("_inner")).drop("_stretch", "_base", "_inner")
+
+
 def pack(docs: DataFrame, sources: DataFrame, n_sources: int, n_docs: int) -> DataFrame:
     """``docs`` (key, source, size, more) with ``sid`` and ``start``, the number of
-    words of the source before the document. Running sums go over stretches of a source,
-    then within each: no window holds more than a few thousand documents."""
+    words of the source before the document."""
     stretches = max(1, -(-n_docs // STRETCH_DOCS))
     own = sources.select("sid", F.col("source").alias("s_source"))
     placed = docs.join(_small(own, n_sources), F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source")
-    placed = placed.withColumn("stretch", F.pmod("key", F.lit(stretches)))
-    sums = placed.groupBy("sid", "stretch").agg(F.sum("size").alias("n"))
-    up_to = Window.partitionBy("sid").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select("sid", "stretch", F.coalesce(F.sum("n").over(up_to), F.lit(0)).alias("base"))
-    within = Window.partitionBy("sid", "stretch").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    counted = placed.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return counted.join(base, ["sid", "stretch"]).withColumn("start", F.col("base") + F.col("inner")).drop("stretch", "base", "inner")
+    return running(placed, "sid", F.pmod("key", F.lit(stretches)), "key", "size", "start")
 
 
-def permuted(x: Column, n: Column, keys: list[str], seed: int = SEED, rounds: int = ROUNDS) -> Column:
+def permuted(x: Column, n: Column, keys: list[str], seed: int = SEED, rounds: int = ROUNDS, inverse: bool = False) -> Column:
     """x (0 <= x < n) sent through a keyed bijection of 0 .. n - 1: in each round
-    x and its mirror about a round key may change places."""
+    x and its mirror about a round key may change places. Backwards, the rounds undo it."""
 
     def one(x: Column, r: Column) -> Column:
         mirror = F.pmod(F.pmod(F.xxhash64(F.lit(seed), r, *keys), n) - x, n)
         swap = F.xxhash64(F.lit(seed + 1), r, *keys, F.greatest(x, mirror)).bitwiseAND(F.lit(1)) == 1
         return F.when(swap, mirror).otherwise(x)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), x, one)
+    turns = F.sequence(F.lit(rounds), F.lit(1)) if inverse else F.sequence(F.lit(1), F.lit(rounds))
+    return F.aggregate(turns, x, one)
+
+
+def _in_shares(points: DataFrame, at: str, total: int, shares: DataFrame, n_sources: int) -> DataFrame:
+    """``points`` with the columns of the share (lo <= ``at`` < hi, in 0 .. total - 1) that each falls
+    into. Equal cells make it an equi-join; there are at least as many as shares, so that a point
+    meets about two shares."""
+    n_cells = max(_LEAST_CELLS, n_sources)
+    cell = lambda x: F.floor(x / F.lit(float(max(total, 1))) * n_cells)
+    cells = shares.filter("hi > lo").select("*", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1))).alias("cell"))
+    return points.withColumn("cell", cell(F.col(at))).join(_small(cells, n_sources), "cell").filter((F.col(at) >= F.col("lo")) & (F.col(at) < F.col("hi"))).drop("cell", "lo", "hi")
+
+
+def _shares(sources: DataFrame, value: Column) -> DataFrame:
+    """(sid, lo, hi): the sources' values laid end to end. A window over one row per source."""
+    upto = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
+    return sources.select("sid", value.alias("_v")).withColumn("hi", F.sum("_v").over(upto)).select("sid", (F.col("hi") - F.col("_v")).alias("lo"), "hi")
 
 
 def shard_counts(sources: DataFrame, n_sources: int, n_slots: int, n_shards: int, seed: int = SEED) -> DataFrame:
-    """(sid, n_blocks, shard, count, first): blocks that a shard takes from a source,
+    """(sid, shard, count, first): blocks that a shard takes from a source, where it takes any,
     and how many the shards before it take. The counts are multinomial draws,
-    corrected to the quota."""
+    corrected to the quota: the surplus of a source, spread evenly over its draws, goes to sources with too few."""
     spark = sources.sparkSession
-    upto = Window.orderBy("sid")
-    shares = sources.filter("quota > 0").withColumn("hi", F.sum("quota").over(upto) / F.lit(float(max(n_slots, 1)))).withColumn("lo", F.coalesce(F.lag("hi").over(upto), F.lit(0.0)))
-    cells = shares.select(
-        F.col("sid").alias("drawn"), "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") * _CELLS), F.least(F.floor(F.col("hi") * _CELLS), F.lit(_CELLS - 1)))).alias("cell")
-    )
-    u = F.pmod(F.xxhash64(F.lit(seed + 2), "id"), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    slots = spark.range(n_slots).select((F.col("id") % n_shards).alias("shard"), u.alias("u")).withColumn("cell", F.floor(F.col("u") * _CELLS))
-    # the cells are as many as the sources plus a constant
-    drawn = slots.join(_small(cells, n_sources), "cell").filter("u >= lo and u < hi").groupBy("shard", F.col("drawn").alias("sid")).agg(F.count("*").alias("n"))
-    grid = sources.filter("quota > 0").select("sid", "n_blocks", "quota", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))).alias("shard"))
-    counts = grid.join(drawn, ["sid", "shard"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    before = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("prior", F.least(F.coalesce(F.sum("n").over(before), F.lit(0)), "quota")).withColumn("total", F.sum("n").over(Window.partitionBy("sid")))
-    counts = counts.withColumn("lack", F.greatest(F.col("quota") - F.col("total"), F.lit(0)))
-    kept = F.least(F.col("n"), F.col("quota") - F.col("prior"))
-    given = lambda i: F.floor((F.col("lack") * i) / F.lit(n_shards)).cast("long")
-    extra = given(F.col("shard") + 1) - given(F.col("shard"))
-    return counts.select("sid", "n_blocks", "shard", (kept + extra).alias("count"), (F.col("prior") + given(F.col("shard"))).alias("first"))
+    stretch = F.floor(F.col("shard") / STRETCH_SHARDS)
+    slots = spark.range(n_slots).select((F.col("id") % n_shards).alias("shard"), F.pmod(F.xxhash64(F.lit(seed + 2), "id"), F.lit(max(n_slots, 1)).cast("long")).alias("u"))
+    drawn = _in_shares(slots, "u", n_slots, _shares(sources, F.col("quota")), n_sources).groupBy("sid", "shard").agg(F.count("*").alias("n"))
+    drawn = materialise(drawn, "drawn")
+    totals = drawn.groupBy("sid").agg(F.sum("n").alias("total"))
+    each = materialise(sources.select("sid", "quota").join(totals, "sid", "left").withColumn("total", F.coalesce("total", F.lit(0).cast("long"))), "totals")
+    n_freed = int(each.agg(F.sum(F.greatest(F.col("total") - F.col("quota"), F.lit(0)))).first()[0] or 0)
+    before = running(drawn, "sid", stretch, "shard", "n", "prior")
+    surplus = F.greatest(F.col("total") - F.col("quota"), F.lit(0))
+    freed_from = _shares(each, surplus).select("sid", F.col("lo").alias("freed_lo"))
+    before = before.join(_small(each.withColumn("surplus", surplus).join(freed_from, "sid"), n_sources), "sid")
+    # the product of two counts can pass 2^63
+    given = lambda i: F.expr(f"cast(surplus as decimal(19, 0)) * cast({i} as decimal(19, 0)) div total")
+    before = before.withColumn("freed_first", given("prior")).withColumn("freed", given("(prior + n)") - F.col("freed_first"))
+    freed = before.filter("freed > 0").select("shard", F.explode(F.sequence(F.col("freed_lo") + F.col("freed_first"), F.col("freed_lo") + F.col("freed_first") + F.col("freed") - 1)).alias("x"))
+    total = F.lit(max(n_freed, 1)).cast("long")
+    freed = freed.select("shard", permuted(F.col("x"), total, [], seed + 4).alias("x"))
+    lack = _shares(each, F.greatest(F.col("quota") - F.col("total"), F.lit(0)))
+    moved = _in_shares(freed, "x", n_freed, lack, n_sources).select("sid", "shard", F.lit(1).cast("long").alias("count"))
+    kept = before.select("sid", "shard", (F.col("n") - F.col("freed")).alias("count"))
+    counts = kept.unionByName(moved).groupBy("sid", "shard").agg(F.sum("count").alias("count")).filter("count > 0")
+    return running(counts, "sid", stretch, "shard", "count", "first")
 
 
 def slots(sources: DataFrame, n_sources: int, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
-    """(shard, sid, place, block): every block that the mix takes. ``place`` orders a
-    shard at random."""
+    """(shard, sid, place, block, last_words): every block that the mix takes. ``place`` orders a
+    shard at random; of the last block of a source only ``last_words`` are taken."""
     n_slots = int(sources.agg(F.sum("quota")).first()[0] or 0)
     n_shards = max(1, -(-n_slots // shard_slots))
-    counts = shard_counts(sources, n_sources, n_slots, n_shards, seed).filter("count > 0")
+    counts = shard_counts(sources, n_sources, n_slots, n_shards, seed)
+    counts = counts.join(_small(sources.select("sid", "n_blocks", "quota", "last_words"), n_sources), "sid")
     # few rows that become many: spread them first, by a number that follows what they become
     counts = counts.repartition(max(1, -(-n_slots // TASK_SLOTS)), "sid", "shard")
-    each = counts.select("sid", "n_blocks", "shard", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)).alias("t"))
-    each = each.withColumn("rank", F.col("first") + F.col("t")).withColumn("round", F.floor(F.col("rank") / F.col("n_blocks")))
+    each = counts.select("sid", "n_blocks", "quota", "last_words", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("rank"))
+    each = each.withColumn("round", F.floor(F.col("rank") / F.col("n_blocks")))
     block = permuted(F.col("rank") % F.col("n_blocks"), F.col("n_blocks"), ["sid", "round"], seed)
-    return each.select("shard", "sid", F.xxhash64(F.lit(seed + 3), "sid", "rank").alias("place"), block.alias("block"))
+    last = F.when(F.col("rank") == F.col("quota") - 1, F.col("last_words"))
+    return each.select("shard", "sid", F.xxhash64(F.lit(seed + 3), "sid", "rank").alias("place"), block.alias("block"), last.alias("last_words"))
 
 
 def pieces(packed: DataFrame, block_words: int = BLOCK_WORDS, text_col: str | None = None) -> DataFrame:
@@ -180,7 +229,7 @@ class Mix:
         sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_of(text).alias("size"), F.xxhash64(id_col, text_col).alias("key"), *([text.alias("text")] if keep_text else []))
         if not keep_text:
             sized = materialise(sized, "sizes")
-        self.sources = materialise(source_targets(sized.select("source", "size"), weights, max_repeats, block_words), "sources")
+        self.sources = materialise(source_targets(sized.select("source", "size"), weights, max_repeats, block_words, seed), "sources")
         self.n_sources = self.sources.count()
         self.docs = pack(sized, self.sources, self.n_sources, sized.count())
 
@@ -189,7 +238,12 @@ class Mix:
         ``id``, ``start``, ``first``, ``n_words`` and ``text`` if it was kept."""
         parts = pieces(self.docs, self.block_words, "text" if self.keep_text else None).drop("source", "size", "key")
         # sizes before the slots are generated say nothing about after: never broadcast them
-        return slots(self.sources, self.n_sources, self.shard_slots, self.seed).hint("merge").join(parts, ["sid", "block"])
+        rows = slots(self.sources, self.n_sources, self.shard_slots, self.seed).hint("merge").join(parts, ["sid", "block"])
+        at = F.col("start") + F.col("first") - F.col("block") * self.block_words
+        rows = rows.withColumn("left", F.coalesce(F.col("last_words") - at, F.col("n_words"))).filter("left > 0")
+        if self.keep_text:
+            rows = rows.withColumn("text", F.when(F.col("left") < F.col("n_words"), F.expr("substring_index(text, ' ', cast(left as int))")).otherwise(F.col("text")))
+        return rows.withColumn("n_words", F.least("left", "n_words")).drop("left", "last_words")
 
     def taken(self) -> DataFrame:
         """The documents with ``source_size``, ``target`` and ``taken``, the words that the mix takes."""
