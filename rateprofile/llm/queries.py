@@ -86,7 +86,7 @@ def _simhash(spark, sf_dir):
 
 @_query("op3_pii_surrogates")
 def _pii(spark, sf_dir):
-    got = pii.anonymise(table(spark, sf_dir, "documents"))
+    got = pii.anonymise(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return got.select(F.col("row.doc_id").alias("doc_id"), F.size("entities").cast("long").alias("n_entities"), "entities", "text")
 
 

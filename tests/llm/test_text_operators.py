@@ -417,11 +417,64 @@ def test_phone_forms():
         assert [e[2] for e in pii.detect(f"x {new} y")] == ["phone"] and re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", mention)
     for mention in ("+1 (017) 555-7713", "+33 1 23 45 67 89", "+44 20 7946 0958", "030 1234567", "555-123-4567"):
         text = f"{mention} 42 items"
-        assert [(text[e[0] : e[1]], e[3]) for e in pii.detect(text)] == [(mention, re.sub("[^0-9]", "", mention))], mention
+        assert [text[e[0] : e[1]] for e in pii.detect(text)] == [mention], mention
     for text in ("on 01.02.2020 or 2020-01-02 at 09:30", "0.123456789 and 1,234,567.89", "12-34 56", "3.1415926535", "555-123-456", "v 1.555.123.4567.8"):
         assert pii.detect(text) == [], text
 
 
+def poured(text):
+    return [pii.pour(text[a:b], k, f, pii.surrogate(k, f)) for a, b, k, f in pii.detect(text)]
+
+
+def test_phone_is_one_entity_with_and_without_its_country():
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    for text, code in {"+1 (555) 123-4567, 555-123-4567, (555) 123-4567, 1-555-123-4567": "1", "+44 20 7946 0958, 020 7946 0958, +44 (0)20 7946 0958": "44"}.items():
+        assert len({e[3] for e in pii.detect(text)}) == 1 and {e[3][: len(code)] for e in pii.detect(text)} == {code}
+        new = poured(text)
+        assert len(new) == text.count(",") + 1 and len({digits(n)[-9:] for n in new}) == 1 and new[0].startswith(f"+{code} ")
+    assert [e[3] for e in pii.detect("030 1234567 and 555-123-4567", ("52", "49"))] == ["49301234567", "525551234567"]
+    for mention in ("+351 212 345 678", "+49 30 1234567", "+7 495 1234567", "+998 71 123 45 67"):
+        assert poured(mention)[0].split(" ")[0] == mention.split(" ")[0]
+
+
+def test_family_names_of_several_words():
+    cases = {
+        "Juan Carlos García called": ["juan carlos garcía"],
+        "Martin Luther King spoke": ["martin luther king"],
+        "Anna van der Berg left; Berg and Van": ["anna van der berg"] * 2,
+        "Mr John McDonald and McDonald": ["john mcdonald"] * 2,
+        "Ms O'Brien, O'Brien": ["o'brien"] * 2,
+        "Priya Sharma met Wei Chen": ["priya sharma", "wei chen"],
+        "Frau Anna Weber Monday": ["anna weber"],
+        "Mark The words, Charlotte North Carolina, Mr The": [],
+    }
+    for text, found in cases.items():
+        assert [e[3] for e in pii.detect(text)] == found, text
+    assert re.fullmatch("[A-Z][a-z]+ van der [A-Z][a-z]+", poured("Anna van der Berg")[0])
+
+
+def test_addresses_share_their_domain():
+    new = poured("a.b@gmail.com, C9@Gmail.com, x@müll.example.org, ab@gmail.com")
+    assert new[0].split("@")[1] == new[1].split("@")[1].lower() == new[3].split("@")[1] != "gmail.com" and new[0].endswith(".com")
+    assert re.fullmatch("[a-z][.][a-z]@[a-z]{5}[.]com", new[0]) and re.fullmatch("[A-Z][0-9]@[A-Z][a-z]{4}[.]com", new[1])
+    assert re.fullmatch(r"[a-z]@[a-z][à-ÿ][a-z]{2}[.][a-z]{7}[.]org", new[2])
+
+
+def test_surrogate_permutation():
+    for n in (1, 2, 3, 10, 26, 1000):
+        p = pii.Permutation(n, b"key")
+        assert sorted(map(p.forth, range(n))) == list(range(n)) and all(p.back(p.forth(x)) == x for x in range(n))
+        for attempt in range(min(n, 4)):
+            other = [p.other(x, attempt) for x in range(n)]
+            assert sorted(other) == list(range(n)) and (n == 1 or all(a != b for a, b in enumerate(other)))
+    rng = random.Random(8)
+    cards = {"".join(rng.choice("0123456789") for _ in range(16)) for _ in range(2000)}
+    for kind, forms in {"card": cards, "phone": {"+4" + c[:10] for c in cards}, "ssn": {c[:9] for c in cards}, "ip": {f"10.0.{a}.{b}" for a in range(40) for b in range(50)}}.items():
+        new = {f: pii.surrogate(kind, f.lstrip("+")) for f in forms}
+        assert len(set(new.values())) == len(forms) and all(f.lstrip("+") != n for f, n in new.items())
+    assert all(pii.luhn(c) == pii.luhn(pii.surrogate("card", c)) for c in cards)
+
+
 def test_names_without_title():
     cases = {
         "Dr Anna Weber came. Anna Weber said, WEBER. Frau Weber and Anna": ["f anna weber"] * 5,
@@ -450,7 +503,7 @@ def test_names_one_surrogate(llm):
 
 
 def anonymised(df, **kw):
-    return pii.anonymise(df, **kw).select("row.doc_id", F.col("row.text").alias("old"), "text", "entities").collect()
+    return pii.anonymise(df, keep=df.columns, **kw).select("row.doc_id", F.col("row.text").alias("old"), "text", "entities").collect()
 
 
 def test_surrogates_corpus(llm, edge_docs, no_docs):
@@ -478,18 +531,50 @@ def test_surrogates_corpus(llm, edge_docs, no_docs):
 
 
 def test_surrogate_collisions(llm):
-    """A tiny format forces collisions: all one-letter one-digit addresses."""
-    forms = [("email", f"{c}{d}@a.co") for c in "abcdefgh" for d in range(10)]
-    got = pii.assign(llm.createDataFrame(forms, "kind string, form string")).collect()
-    assert len(got) == len(forms) == len({r["new"] for r in got})
-    assert any(r["attempt"] for r in got)
-    rows = [(i, f"to {f}") for i, (_, f) in enumerate(forms)]
+    """Formats that the corpus fills in whole or in large part end in one round, sparse ones stay apart."""
+    dense = [("domain", f"{c}.co") for c in "abcdefghijklmnopqrstuvwxyz"] + [("domain", f"{c}{d}.de") for c in "abcdefgh" for d in range(10)]
+    sparse = [("domain", f"{a}{b}{c}.org") for a in "abcdef" for b in "abcdefgh" for c in "abcdefghijklmnopqrst"] + [("name_m", f"anton m{a}{b}") for a in "abc" for b in "def"]
+    got = pii.assign(llm.createDataFrame(dense + sparse, "kind string, form string")).collect()
+    assert len(got) == len(dense) + len(sparse) == len({r["new"] for r in got}) and all(r["new"] != r["form"] for r in got)
+    real = {f for _, f in dense + sparse}
+    assert all(r["apart"] == (r["new"] not in real) for r in got)
+    assert all(r["apart"] for r in got if (r["kind"], r["form"]) in set(sparse)) and any(r["attempt"] for r in got)
+    assert not any(r["attempt"] for r in got if (r["kind"], r["form"]) in set(dense))
+    rows = [(i, f"to x{i % 7}@{f} or y@{f}") for i, (k, f) in enumerate(dense + sparse) if k == "domain"]
     df = llm.createDataFrame(rows, "doc_id long, text string")
     a = {r["doc_id"]: r["text"] for r in anonymised(df)}
-    assert len(set(a.values())) == len(forms)
+    assert len(set(a.values())) == len(rows) and all(len(set(re.findall(r"@(\S+)", t))) == 1 for t in a.values())
     assert a == {r["doc_id"]: r["text"] for r in anonymised(df, broadcast_redrawn=0)}
 
 
+SHAPES = {"email": r"[^@\s]+@[^@\s]+\.[^@.\s]+", "ip": r"\d+(\.\d+){3}", "iban": "[A-Z]{2}[0-9]{2}[A-Z0-9 ]+", "ssn": r"\d{3}-\d{2}-\d{4}", "card": "[0-9 -]{13,23}", "phone": "[+0-9() ./-]+"}
+
+
+def test_surrogates_of_the_table(llm):
+    """Over a whole table: one surrogate per entity, distinct ones, of the entity's form, no original left."""
+    docs = table(llm, SF_SMALL, "documents")
+    got = anonymised(docs.unionByName(docs.filter("doc_id % 10 = 0")))
+    new, old = defaultdict(set), set()
+    for r in got:
+        at = 0
+        rest = []
+        for e in r["entities"]:
+            mention = r["old"][e["start"] : e["end"]]
+            rest.append(r["old"][at : e["start"]])
+            at = e["end"]
+            assert mention != e["surrogate"] and mention not in r["text"]
+            if not e["kind"].startswith("name_"):
+                assert re.fullmatch(SHAPES[e["kind"]], e["surrogate"]) and len(mention) == len(e["surrogate"]) or e["kind"] == "ip"
+            new[e["kind"].split("_")[0], mention].add(e["surrogate"])
+            old.add(mention)
+        if r["old"] is not None:
+            assert r["text"] == "".join(a + b for a, b in zip(rest + [r["old"][at:]], [e["surrogate"] for e in r["entities"]] + [""]))
+    whole = {k: v for k, v in new.items() if k[0] != "name" or " " in k[1]}
+    assert whole and all(len(v) == 1 for v in whole.values())
+    surrogates = [next(iter(v)) for v in whole.values()]
+    assert len(surrogates) == len(set(surrogates)) and not set(surrogates) & old
+
+
 # ---- mixing
 
 
