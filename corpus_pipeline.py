@@ -41,7 +41,7 @@ def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     ship(spark)
     got = pii.anonymise(docs)
     new = {"text": F.col("text"), "n_chars": F.when(F.size("entities") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))}
-    return got.select(*[(new[c] if c in new else F.col(f"row.{c}")).alias(c) for c in docs.columns])
+    return got.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
