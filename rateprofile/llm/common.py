@@ -55,6 +55,19 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
 
 
+def rows_with_text(df: DataFrame, text_col: str, keep: list[str] | None) -> list[Column]:
+    """``row`` with the columns ``keep`` (None: all) and, where it lacks the text, ``text``: the
+    text goes to the tasks once and comes back only as a kept column."""
+    kept = df.columns if keep is None else keep
+    row = whole_row(df.select(*[F.col(f"`{c}`") for c in kept])) if kept else F.struct(F.lit(0).alias("none")).alias("row")
+    return [row] if text_col in kept else [row, F.col(f"`{text_col}`").alias("text")]
+
+
+def text_of(batch: pa.RecordBatch, text_col: str) -> pa.Array:
+    """The texts of a batch of ``rows_with_text``."""
+    return batch.column("text") if "text" in batch.schema.names else batch.column("row").field(text_col)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

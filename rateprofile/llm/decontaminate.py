@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_lower, byte_table, materialise, mix64, slices, spread, text_bytes, whole_row, Words
+from .common import Words, ascii_lower, byte_table, materialise, mix64, rows_with_text, slices, spread, text_bytes, text_of
 
 WINDOW_WORDS = 10
 MAX_WINDOWS = 500_000
@@ -200,8 +200,9 @@ def decontaminate(
     item_text_col: str = "text",
     window_words: int = WINDOW_WORDS,
     max_windows: int = MAX_WINDOWS,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """One row per document: ``row`` (struct of all input columns, whatever their
+    """One row per document: ``row`` (struct of the input columns ``keep``, all by default, whatever their
     names), ``n_words``, ``hits`` (merged runs of hit words), ``items`` (ids of the
     items with an occurring window, as strings in order).
 
@@ -213,7 +214,7 @@ def decontaminate(
     n = windows.count()
     rounds = max(1, -(-n // max_windows))
     out = docs.select(
-        whole_row(docs),
+        *rows_with_text(docs, text_col, keep),
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast(_RUNS).alias("hits"),
         F.array().cast("array<string>").alias("items"),
@@ -222,18 +223,19 @@ def decontaminate(
     for k in range(rounds):
         block = windows.filter(F.pmod(F.xxhash64("item", "window"), F.lit(rounds)) == k) if rounds > 1 else windows
         tables = sc.broadcast(compile_windows([(r[0], r[1]) for r in block.collect()]))
-        out = out.mapInArrow(_scan(tables, text_col), out.schema)
         if k < rounds - 1:
-            out = materialise(out, "hits")
+            out = materialise(out.mapInArrow(_scan(tables, text_col, out.columns), out.schema), "hits")
+        else:
+            result = ["row", "n_words", "hits", "items"]
+            out = out.mapInArrow(_scan(tables, text_col, result), out.select(*result).schema)
     return out
 
 
-def _scan(tables, text_col: str):
+def _scan(tables, text_col: str, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups, owners = tables.value
         for batch in batches:
-            row = batch.column("row")
-            data, offsets = text_bytes(row.field(text_col))
+            data, offsets = text_bytes(text_of(batch, text_col))
             n_words, hits, items = [], [], []
             for (n, h, own), old_h, old_own in zip(find_hits(data, offsets, groups, owners), batch.column("hits").to_pylist(), batch.column("items").to_pylist()):
                 if old_h:
@@ -244,10 +246,8 @@ def _scan(tables, text_col: str):
                 hits.append([{"first": a, "end": b} for a, b in h])
                 items.append(own)
             s = batch.schema
-            yield pa.RecordBatch.from_arrays(
-                [row, pa.array(n_words, pa.int64()), pa.array(hits, s.field("hits").type), pa.array(items, s.field("items").type)],
-                names=["row", "n_words", "hits", "items"],
-            )
+            new = {"n_words": pa.array(n_words, pa.int64()), "hits": pa.array(hits, s.field("hits").type), "items": pa.array(items, s.field("items").type)}
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in columns], names=columns)
 
     return run
 

@@ -61,7 +61,7 @@ from doc_words d left join words w using (r) left join items t using (r)
 """,
 )
 def _decontaminate(spark, sf_dir):
-    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     n_hit = decontaminate.hit_words()
     return found.select(
         F.col("row.doc_id").alias("doc_id"),
@@ -132,7 +132,7 @@ def _repeats(spark, sf_dir):
 def _language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(~langid.held_out()))
-    got = langid.predict(docs.withColumn("held_out", langid.held_out()), model)
+    got = langid.predict(docs.withColumn("held_out", langid.held_out()), model, keep=["doc_id", "held_out"])
     return got.select(F.col("row.doc_id").alias("doc_id"), F.col("row.held_out").alias("held_out"), "lang_pred", "score", "rejected")
 
 

@@ -228,9 +228,33 @@ def test_pipeline(llm, edge_docs):
 
 
 def test_pipeline_edges(llm, edge_docs, no_docs):
+    """What each stage does with nulls, empty texts, repeated rows and clashing columns."""
+    from collections import Counter
+
     import corpus_pipeline
 
-    for docs in (edge_docs, no_docs):
-        for _, stage in corpus_pipeline.STAGES:
-            docs = stage(llm, docs, SF_SMALL)
-            docs.count()
+    stages = dict(corpus_pipeline.STAGES)
+    rows = lambda df: Counter(repr(tuple(r)) for r in df.collect())
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(llm, no_docs, SF_SMALL).collect() == []
+    given = rows(edge_docs)
+    kept = {name: stages[name](llm, edge_docs, SF_SMALL) for name, _ in corpus_pipeline.STAGES[:-1]}
+    for name, df in kept.items():
+        # rows stay as they are, or go; all columns stay
+        assert df.columns == edge_docs.columns and not rows(df) - given, name
+    spoken = kept["language_id"].collect()
+    assert spoken and all(r["text"] and any(c.isalpha() for c in r["text"]) for r in spoken)
+    fate = Counter(r["text"] for r in spoken)
+    assert all(fate[t] in (0, n) for t, n in Counter(r["text"] for r in edge_docs.collect()).items())
+    ids = Counter(r["doc_id"] for r in kept["near_duplicates"].collect())
+    assert ids[0] == 1 and not ids[1] and ids[3] + ids[4] + ids[5] <= 1 and ids[6] == ids[9] == 1
+    # no benchmark passage and no entity in these texts
+    assert rows(kept["benchmark_decontamination"]) == rows(kept["pii_surrogates"]) == given
+    mixed = stages["source_mix"](llm, edge_docs, SF_SMALL).collect()
+    assert {r["source"] for r in mixed} == {"a", "b", "c", "d", ""}  # the texts of the null source have no words
+    assert all(r["n_words"] == len(r["text"].split(" ")) <= 64 and r["doc_ids"] for r in mixed)
+    entity = llm.createDataFrame([(1, "write to a@b.org", "en", "s", 17), (1, "write to a@b.org", "en", "s", 17), (2, None, "en", "s", None), (3, "", None, None, 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    new = stages["pii_surrogates"](llm, entity, SF_SMALL).collect()
+    assert len(new) == 4 and len({r["text"] for r in new if r["doc_id"] == 1}) == 1 and not any("a@b.org" in (r["text"] or "") for r in new)
+    assert {(r["doc_id"], r["text"], r["n_chars"]) for r in new if r["doc_id"] != 1} == {(2, None, None), (3, "", 0)}
+    assert all(r["n_chars"] == len(r["text"]) for r in new if r["doc_id"] == 1)

@@ -67,6 +67,19 @@ def test_decontaminate_edges(llm, edge_docs):
     assert multiset(hits_of(edge_docs, items, max_windows=5)) == multiset(expected)
 
 
+def test_kept_columns(llm, edge_docs):
+    """The same results with and without the text in the kept columns, also over several rounds."""
+    items = llm.createDataFrame([(i, " ".join(t.split()[:14])) for i, (_, t) in enumerate(pairs(edge_docs)) if t], "item_id long, text string")
+    model = langid.fit(edge_docs)
+    for keep in (["doc_id"], [], None):
+        got = decontaminate.decontaminate(edge_docs, items, max_windows=20, keep=keep)
+        assert got.columns == ["row", "n_words", "hits", "items"] and got.schema["row"].dataType.names == (edge_docs.columns if keep is None else keep or ["none"])
+        hits = multiset(got.select("n_words", "hits", "items").collect())
+        assert hits == multiset(decontaminate.decontaminate(edge_docs, items).select("n_words", "hits", "items").collect())
+        found = multiset(langid.predict(edge_docs, model, keep=keep).select("lang_pred", "score", "rejected").collect())
+        assert found == multiset(langid.predict(edge_docs, model).select("lang_pred", "score", "rejected").collect())
+
+
 def test_decontaminate_empty(edge_docs, no_docs, llm):
     none = llm.createDataFrame([], "item_id long, text string")
     assert hits_of(no_docs, none) == []
