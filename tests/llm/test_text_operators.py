@@ -373,6 +373,72 @@ def test_language_outlier_is_no_centroid():
     assert langid.large_clusters(x[7:8], 3)[1].tolist() == [0]
 
 
+def learned_by_brute_force(docs):
+    """(idf, {language: (unit vectors, texts)}), each different text of a language once, document frequencies by row."""
+    vector = lambda texts: np.vstack([langid.gram_counts(np.frombuffer(t, np.uint8), np.array([0, len(t)])) for t in texts])
+    rows = vector([t.encode() for _, t, _ in docs])
+    idf = np.log((1 + len(docs)) / (1 + (rows > 0).sum(axis=0))) + 0.05
+    texts = {lang: sorted({t.encode() for _, t, x in docs if x == lang}) for lang in sorted({x for _, _, x in docs})}
+    return idf.astype(np.float32), {lang: (langid.unit(vector(t), idf.astype(np.float32)), t) for lang, t in texts.items()}, vector
+
+
+@pytest.fixture(scope="session")
+def many_texts(llm):
+    """More texts of a language than fit into a small sample, one with copies, and a few of another."""
+    rng = random.Random(8)
+    rows = [(i, words(rng, rng.randint(1, 60)), "en") for i in range(520)] + [(1000 + i, words(rng, 30), "de") for i in range(3)]
+    rows += [(2000 + i, rows[5][1], "en") for i in range(40)]
+    return rows, llm.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_language_centroids_of_all_texts(many_texts):
+    rows, docs = many_texts
+    idf, by_lang, _ = learned_by_brute_force(rows)
+    model = langid.fit(docs, clusters=1)
+    assert np.allclose(model.idf, idf, atol=1e-6) and model.langs == ["de", "en"]
+    for lang, center in zip(model.langs, model.centroids):
+        mean = by_lang[lang][0].sum(axis=0)
+        assert np.allclose(center, mean / np.linalg.norm(mean), atol=1e-6)
+
+
+def test_language_kmeans_of_all_texts(llm, many_texts):
+    """Sizes and sums are those of all different texts dealt by the clusters' directions, however the rows lie."""
+    rows, docs = many_texts
+    idf, by_lang, _ = learned_by_brute_force(rows)
+    found = []
+    for parts in (1, 7):
+        texts = docs.select("lang", "text").distinct().repartition(parts).withColumn("copies", F.lit(1).cast("long"))
+        found.append(langid.kmeans(texts.mapInArrow(langid._counts(langid.DIMS), "lang string, text string, copies long, counts binary"), ["de", "en"], idf, 3))
+    for lang, (x, texts) in by_lang.items():
+        c = found[0][lang]
+        own = c.nearest(x)
+        assert c.size.sum() == len(texts) and c.size.tolist() == np.bincount(own, minlength=3).tolist()
+        assert np.allclose(c.sums, np.stack([x[own == k].sum(axis=0) for k in range(3)]), atol=1e-4)
+        assert np.allclose(c.sums, found[1][lang].sums, atol=1e-4)
+    assert (found[0]["en"].size > 50).all()
+
+
+def test_language_limits_of_all_texts(many_texts):
+    """The lowest percentile over pieces of all texts, each held against the centroid without its text."""
+    rows, docs = many_texts
+    idf, by_lang, vector = learned_by_brute_force(rows)
+    model = langid.fit(docs, clusters=1)
+    for lang, low in zip(model.langs, model.low):
+        x, texts = by_lang[lang]
+        of_band = defaultdict(list)
+        for text, own in zip(texts, x):
+            rest = x.sum(axis=0) - own
+            for half in range(2, max(2, math.ceil(2 * math.log2(len(text)))) + 1):
+                counts = vector([text[: int(2 ** (half / 2))]])
+                of_band[int(langid.band(counts.sum(axis=1))[0])].append(float((langid.unit(counts, idf) @ rest)[0] / np.linalg.norm(rest)))
+        expected = np.zeros(langid.BANDS)
+        for b in range(langid.BANDS):
+            enough = len(of_band[b]) >= max(1, min(50, len(texts) // 4))
+            expected[b] = 0.8 * np.quantile(of_band[b], 0.01) if enough else expected[max(b - 1, 0)]
+        assert expected.max() > 0.1
+        assert np.allclose(low, expected, atol=3e-5)
+
+
 # ---- surrogates
 
 
