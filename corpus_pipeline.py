@@ -17,9 +17,10 @@ from rateprofile.llm.common import materialise, ship, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go: no letters, or too far from every language."""
+    """Documents that the classifier rejects go: no letters, or too far from every language. It learns from
+    all labelled documents; for the limits each text is held against centroids without itself."""
     ship(spark)
-    model = langid.fit(docs.filter(~langid.held_out()))
+    model = langid.fit(docs)
     return langid.predict(docs, model).filter(~F.col("rejected")).select("row.*")
 
 

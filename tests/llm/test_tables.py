@@ -7,7 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
-from llm_fixtures import SF_SMALL, edge_docs, llm, no_docs  # noqa: F401 (fixtures)
+from llm_fixtures import SF_SMALL, edge_docs, llm, no_docs, words  # noqa: F401 (fixtures)
 from pyspark.sql import functions as F
 
 from rateprofile.llm import chat, topk, warc
@@ -227,6 +227,22 @@ def test_pipeline(llm, edge_docs):
     assert final and {i for r in final for i in r["doc_ids"]} <= own
 
 
+def test_pipeline_learns_from_all_labelled_documents(llm):
+    """A language whose documents all lie in op8's held-out third is learned, and its documents stay."""
+    import zlib
+
+    import corpus_pipeline
+
+    asked = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    rng = random.Random(8)
+    greek = lambda text: "".join(chr(0x3B1 + ord(c) - 97) if c != " " else c for c in text)
+    rows = [(i, greek(words(rng, 60)), "el", "a") if asked(i) else (i, words(rng, 60), "en", "a") for i in range(120)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = dict(corpus_pipeline.STAGES)["language_id"](llm, docs, SF_SMALL).collect()
+    assert sum(r["lang"] == "el" for r in docs.collect()) > 20
+    assert {r["doc_id"] for r in kept} == set(range(120))
+
+
 def test_pipeline_edges(llm, edge_docs, no_docs):
     """What each stage does with nulls, empty texts, repeated rows and clashing columns."""
     from collections import Counter
