@@ -219,6 +219,7 @@ def _round(texts: DataFrame, langs: list[str], idf: np.ndarray, deal: dict[str,
     shared = texts.sparkSession.sparkContext.broadcast((idf, deal))
     part = texts.select("lang", "counts").mapInArrow(_cluster_sums(shared, langs, clusters), "cell long, value long")
     got = part.groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
+    shared.destroy()
     sums = np.zeros((len(langs), clusters, dims + 1))
     sums.ravel()[got.column("cell").to_numpy()] = got.column("value").to_numpy() / FIXED
     out = {}
@@ -260,6 +261,7 @@ def kmeans(texts: DataFrame, langs: list[str], idf: np.ndarray, clusters: int, i
     shared = texts.sparkSession.sparkContext.broadcast((idf, mean))
     near = texts.select("lang", "counts").mapInArrow(_mean_cosines(shared), _TALLY).groupBy("lang")
     cuts = near.agg(F.percentile("cosine", F.array(*[F.lit(k / clusters) for k in range(1, clusters)]).cast("array<double>"), F.col("n"))).collect()
+    shared.destroy()
     found = _round(texts, langs, idf, {lang: Closeness(mean[lang], np.array(c)) for lang, c in cuts}, clusters)
     for _ in range(iterations):
         before = found
@@ -368,6 +370,7 @@ def _piece_limits(texts: DataFrame, idf: np.ndarray, found: dict[str, Clusters])
     shared = texts.sparkSession.sparkContext.broadcast((idf, found))
     pieces = texts.select("lang", "text").mapInArrow(_pieces(shared), _TALLY)
     got = pieces.groupBy("lang", "band").agg(F.percentile("cosine", 0.01, F.col("n")), F.sum("n")).collect()
+    shared.destroy()
     limit = {(lang, b): (low, n) for lang, b, low, n in got}
     out = {}
     for lang, c in found.items():

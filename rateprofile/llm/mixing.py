@@ -168,13 +168,14 @@ def shard_counts(sources: DataFrame, n_sources: int, n_slots: int, n_shards: int
     # the product of two counts can pass 2^63
     given = lambda i: F.expr(f"cast(surplus as decimal(19, 0)) * cast({i} as decimal(19, 0)) div total")
     before = before.withColumn("freed_first", given("prior")).withColumn("freed", given("(prior + n)") - F.col("freed_first"))
+    before = materialise(before.select("sid", "shard", "n", "freed_lo", "freed_first", "freed"), "freed")
     freed = before.filter("freed > 0").select("shard", F.explode(F.sequence(F.col("freed_lo") + F.col("freed_first"), F.col("freed_lo") + F.col("freed_first") + F.col("freed") - 1)).alias("x"))
     total = F.lit(max(n_freed, 1)).cast("long")
     freed = freed.select("shard", permuted(F.col("x"), total, [], seed + 4).alias("x"))
     lack = _shares(each, F.greatest(F.col("quota") - F.col("total"), F.lit(0)))
     moved = _in_shares(freed, "x", n_freed, lack, n_sources).select("sid", "shard", F.lit(1).cast("long").alias("count"))
     kept = before.select("sid", "shard", (F.col("n") - F.col("freed")).alias("count"))
-    counts = kept.unionByName(moved).groupBy("sid", "shard").agg(F.sum("count").alias("count")).filter("count > 0")
+    counts = materialise(kept.unionByName(moved).groupBy("sid", "shard").agg(F.sum("count").alias("count")).filter("count > 0"), "counts")
     return running(counts, "sid", stretch, "shard", "count", "first")
 
 
@@ -184,7 +185,7 @@ def slots(sources: DataFrame, n_sources: int, shard_slots: int = SHARD_SLOTS, se
     n_slots = int(sources.agg(F.sum("quota")).first()[0] or 0)
     n_shards = max(1, -(-n_slots // shard_slots))
     counts = shard_counts(sources, n_sources, n_slots, n_shards, seed)
-    counts = counts.join(_small(sources.select("sid", "n_blocks", "quota", "last_words"), n_sources), "sid")
+    counts = materialise(counts.join(_small(sources.select("sid", "n_blocks", "quota", "last_words"), n_sources), "sid"), "shard-counts")
     # few rows that become many: spread them first, by a number that follows what they become
     counts = counts.repartition(max(1, -(-n_slots // TASK_SLOTS)), "sid", "shard")
     each = counts.select("sid", "n_blocks", "quota", "last_words", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)).alias("rank"))

@@ -726,6 +726,14 @@ def test_mix_blocks(llm):
     assert all(n <= 64 for n in shards.values()) and max(shards.values()) - min(shards.values()) <= 1
 
 
+def test_mix_is_planned_in_parts(llm):
+    """The counts of the shards are written before the blocks are joined: one plan with all shuffles and broadcasts
+    takes too much of the driver's memory."""
+    docs = table(llm, SF_SMALL, "documents")
+    plan = mixing.Mix(docs, keep_text=True).blocks()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 12, plan
+
+
 def test_mix_of_small_sources(llm):
     """Sources of one block, of which the target is a part or a repeat; many of them beside a hot one."""
     rows = [(0, "big", words(random.Random(1), 4000))]
